@@ -115,7 +115,7 @@ def quick_search_opens(records: DataFrame, events: DataFrame) -> DataFrame:
 def session_summary(records: DataFrame, events: DataFrame) -> DataFrame:
     """Per session with a parsed record: target hits, distinct quick
     search (date, document) pairs and counted opens."""
-    sessions = records.filter(F.col("record_type") != fixed.UNPARSEABLE).groupBy(SID).agg()
+    sessions = records.filter(F.col("record_type") != fixed.UNPARSEABLE).select(SID).distinct()
     hits = hit_blocks(events).groupBy(SID).agg(F.count(F.lit(1)).alias("card_hits"))
     docs = (
         quick_search_pairs(events)
