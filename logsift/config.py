@@ -18,6 +18,10 @@ from pyspark.sql import SparkSession
 #: :mod:`logsift.operators.sessions`).
 DEFAULT_CHUNK_ROWS = 1_000_000
 
+#: At most this many large sessions are listed on the driver and broadcast
+#: (one short row each); more than that stay a lazily joined table.
+MAX_LISTED_SESSIONS = 100_000
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "logsift") -> SparkSession:
     builder = (

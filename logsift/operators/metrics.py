@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from logsift.functions import fixed
 from logsift.functions.timestamps import extract_date
-from logsift.operators.sessions import SID, session_dates
+from logsift.operators.sessions import SID, first_start_dates
 
 _BLOCK = [SID, "block_line", "block_path"]
 
@@ -86,7 +86,7 @@ def dated_opens(records: DataFrame) -> DataFrame:
         records.filter((rt == fixed.DOCUMENT_OPEN_NO_TS) & F.col("document_id").isNotNull())
         .groupBy(SID, "document_id")
         .agg(F.count(F.lit(1)).alias("n"))
-        .join(session_dates(records), SID, "inner")
+        .join(first_start_dates(records), SID, "inner")
         .filter(F.col("session_date").isNotNull())
         .select(SID, F.col("session_date").alias("date"), "document_id", "n")
     )

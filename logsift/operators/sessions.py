@@ -15,16 +15,17 @@ ending one row before the current one.  Values are wrapped in a struct so
 that a null date stays visible instead of being skipped.
 
 Scale: a window group is processed by one task, so a session must never
-be one unbounded group.  Rows are ordered by ``(line_number,
-path_rank, source_path)``; sessions with more than ``chunk_rows`` records
-are cut into contiguous chunks of that order, bounded in size whether the
-session is one huge file or many copies of one file name.  Each chunk's
-scan starts from a carry-in computed from per-chunk summaries (a partial
-aggregate, then a window over chunks, which are few).  Small sessions are
-a single chunk and their carry-in is empty.  Only the statistics and the
-summaries of the large sessions are joined back; both are small and are
-broadcast by adaptive execution when their measured size allows, and
-shuffle-joined (with skew splitting) when it does not.
+be one unbounded group.  Rows are ordered by ``(line_number, path_rank,
+source_path)``.  A cheap size count (on the line table when the caller
+has it) lists the sessions with more than ``chunk_rows`` rows; usually
+there is none and the plan is one exchange on the session id and one
+window.  Large sessions are cut into contiguous chunks of the row order,
+bounded in size whether the session is one huge file or many copies of
+one file name, and each chunk's scan starts from a carry-in computed from
+per-chunk summaries (a partial aggregate over the large sessions' rows,
+then a window over the chunks, which are few).  The list of large
+sessions is bounded by total rows / ``chunk_rows``: it is broadcast up to
+a fixed count and shuffle-joined beyond it.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsift.config import DEFAULT_CHUNK_ROWS
+from logsift.config import DEFAULT_CHUNK_ROWS, MAX_LISTED_SESSIONS
 from logsift.functions import fixed
 from logsift.functions.timestamps import extract_date
 
@@ -81,25 +82,52 @@ def relevant_events(records: DataFrame, target: str = fixed.TARGET_DOCUMENT) ->
     )
 
 
-def _chunked(events: DataFrame, chunk_rows: int) -> DataFrame:
-    """Attach ``chunk_line``/``chunk_part``: (0, 0) for sessions of at most
-    ``chunk_rows`` records, contiguous bounded ranges of the row order for
-    larger ones."""
-    stats = events.groupBy(SID).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.greatest(F.approx_count_distinct("source_path"), F.lit(1)).alias("_copies"),
+def session_sizes(rows: DataFrame) -> DataFrame:
+    """Rows and distinct paths per session.  Any upper bound on a session's
+    record count will do, so callers pass the cheap ``log_lines`` (a count
+    per session id, no parsing) when they have it."""
+    df = rows if "source_path" in rows.columns else rows.withColumn("source_path", F.lit(None).cast("string"))
+    return df.groupBy(SID).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.approx_count_distinct("source_path").alias("copies"),
     )
-    large = stats.filter(F.col("_n") > chunk_rows).select(
+
+
+def large_sessions(sizes: DataFrame, chunk_rows: int, max_listed: int = MAX_LISTED_SESSIONS) -> DataFrame | None:
+    """Sessions with more than ``chunk_rows`` rows and how to cut them.
+
+    ``None`` when there is none (the usual case).  Their number is at most
+    total rows / ``chunk_rows``; up to ``max_listed`` of them are collected
+    and broadcast (a proven bound, a few MB); beyond that the lazy table is
+    returned and adaptive execution picks broadcast or shuffle by its
+    measured size.
+    """
+    copies = F.greatest(F.col("copies"), F.lit(1))
+    large = sizes.filter(F.col("rows") > chunk_rows).select(
         SID,
-        F.greatest(F.expr(f"{int(chunk_rows)} div _copies"), F.lit(1)).alias("_lines_per_chunk"),
-        F.greatest(F.ceil(F.col("_copies") / F.lit(chunk_rows)), F.lit(1)).alias("_path_parts"),
+        F.greatest(F.expr(f"{int(chunk_rows)} div greatest(copies, 1)"), F.lit(1))
+        .cast("long")
+        .alias("lines_per_chunk"),
+        F.greatest(F.ceil(copies / F.lit(chunk_rows)), F.lit(1)).cast("long").alias("path_parts"),
     )
+    listed = large.limit(max_listed + 1).collect()
+    if not listed:
+        return None
+    if len(listed) > max_listed:
+        return large
+    spark = sizes.sparkSession
+    return F.broadcast(spark.createDataFrame(listed, large.schema))
+
+
+def _chunked(events: DataFrame, large: DataFrame) -> DataFrame:
+    """Attach ``chunk_line``/``chunk_part``: (0, 0) for ordinary sessions,
+    contiguous bounded ranges of the row order for large ones."""
     joined = events.join(large, SID, "left")
     return joined.select(
         *events.columns,
-        F.coalesce(F.expr("line_number div _lines_per_chunk"), F.lit(0)).cast("long").alias("chunk_line"),
-        F.coalesce(F.expr(f"(path_rank * _path_parts) div {_RANK_SPACE}"), F.lit(0)).cast("long").alias("chunk_part"),
-        F.col("_lines_per_chunk").isNotNull().alias("large_session"),
+        F.coalesce(F.expr("line_number div lines_per_chunk"), F.lit(0)).cast("long").alias("chunk_line"),
+        F.coalesce(F.expr(f"(path_rank * path_parts) div {_RANK_SPACE}"), F.lit(0)).cast("long").alias("chunk_part"),
+        F.col("lines_per_chunk").isNotNull().alias("large_session"),
     )
 
 
@@ -127,13 +155,12 @@ def _qs_struct() -> Column:
     )
 
 
-def _carry_in(shuffled: DataFrame) -> DataFrame:
+def _carry_in(chunked: DataFrame) -> DataFrame:
     """Last control record and last quick search before each chunk of a
-    large session.  ``shuffled`` is already partitioned by chunk, so the
-    summaries need no exchange of their own; only the summaries (one row
-    per chunk) move to be ordered per session."""
+    large session: a partial aggregate per chunk over the large sessions'
+    rows only, then a window over the chunk summaries (few rows)."""
     summaries = (
-        shuffled.filter("large_session")
+        chunked.filter("large_session")
         .groupBy(SID, "chunk_line", "chunk_part")
         .agg(F.max(_control_struct()).alias("_ctl"), F.max(_qs_struct()).alias("_qs"))
     )
@@ -151,56 +178,64 @@ def _carry_in(shuffled: DataFrame) -> DataFrame:
     )
 
 
+_EVENT_COLUMNS = ("line_number", "source_path", "path_rank", "record_type", "event_date", "document_id", "document_ids", "hit")
+
+
 def session_events(
     records: DataFrame,
     target: str = fixed.TARGET_DOCUMENT,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """A1, A3, A5: every relevant record with its session state.
 
-    Output columns: source_file_id, line_number, source_path, record_type,
-    event_date, document_id, document_ids, hit, in_block, block_line,
-    block_path (the card-search start that opened the block) and qs_date
-    (date of the last quick search before the row).
+    Output columns: source_file_id, line_number, source_path, path_rank,
+    record_type, event_date, document_id, document_ids, hit, in_block,
+    block_line, block_path (the card-search start that opened the block)
+    and qs_date (date of the last quick search before the row).
 
-    Plan: one exchange of the rows on (session, chunk), shared by the
-    in-chunk window and the chunk summaries; the carry-in (one row per
-    chunk of a large session) is joined back after the window.
+    ``sizes`` (see :func:`session_sizes`) may come from the line table;
+    without it the sizes are counted on the records.  When no session
+    exceeds ``chunk_rows`` the plan is one exchange on the session id and
+    one window; otherwise the rows are exchanged on (session, chunk) and
+    the large sessions' chunks start from their carry-in.
     """
-    chunks = [SID, "chunk_line", "chunk_part"]
-    shuffled = _chunked(relevant_events(records, target), chunk_rows).repartition(*chunks)
-    before = (
-        Window.partitionBy(*chunks)
-        .orderBy("line_number", "path_rank", "source_path")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    local = shuffled.select(
-        *chunks,
-        "line_number",
-        "source_path",
-        "record_type",
-        "event_date",
-        "document_id",
-        "document_ids",
-        "hit",
-        F.last(_control_struct(), ignorenulls=True).over(before).alias("_local_ctl"),
-        F.last(_qs_struct(), ignorenulls=True).over(before).alias("_local_qs"),
-    )
-    scanned = local.join(_carry_in(shuffled), chunks, "left").select(
-        "*",
-        F.coalesce("_local_ctl", "carry_ctl").alias("_ctl"),
-        F.coalesce("_local_qs", "carry_qs").alias("_qs"),
-    )
+    relevant = relevant_events(records, target)
+    large = large_sessions(sizes if sizes is not None else session_sizes(relevant), chunk_rows)
+    order = ("line_number", "path_rank", "source_path")
+    if large is None:
+        before = Window.partitionBy(SID).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        scanned = relevant.select(
+            SID,
+            *_EVENT_COLUMNS,
+            F.last(_control_struct(), ignorenulls=True).over(before).alias("_ctl"),
+            F.last(_qs_struct(), ignorenulls=True).over(before).alias("_qs"),
+        )
+    else:
+        chunks = [SID, "chunk_line", "chunk_part"]
+        chunked = _chunked(relevant, large)
+        before = Window.partitionBy(*chunks).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        scanned = (
+            chunked.join(_carry_in(chunked), chunks, "left")
+            .select(
+                SID,
+                *_EVENT_COLUMNS,
+                F.last(_control_struct(), ignorenulls=True).over(before).alias("_local_ctl"),
+                F.last(_qs_struct(), ignorenulls=True).over(before).alias("_local_qs"),
+                "carry_ctl",
+                "carry_qs",
+            )
+            .select(
+                SID,
+                *_EVENT_COLUMNS,
+                F.coalesce("_local_ctl", "carry_ctl").alias("_ctl"),
+                F.coalesce("_local_qs", "carry_qs").alias("_qs"),
+            )
+        )
     in_block = F.coalesce(F.col("_ctl.type") == fixed.CARD_SEARCH_START, F.lit(False))
     return scanned.select(
         SID,
-        "line_number",
-        "source_path",
-        "record_type",
-        "event_date",
-        "document_id",
-        "document_ids",
-        "hit",
+        *_EVENT_COLUMNS,
         in_block.alias("in_block"),
         F.when(in_block, F.col("_ctl.line")).alias("block_line"),
         F.when(in_block, F.col("_ctl.path")).alias("block_path"),
@@ -208,29 +243,27 @@ def session_events(
     )
 
 
-def session_dates(records: DataFrame) -> DataFrame:
-    """A2: date of the first ``SESSION_START`` of each session with at least
-    one parsed record; null when that start's date is impossible (no later
-    start is tried) or when there is none.  A partial aggregate: no session
-    is gathered in one place."""
-    rt = F.col("record_type")
-    first_start = F.min(
-        F.when(
-            rt == fixed.SESSION_START,
-            F.struct(
-                F.col("line_number").alias("line"),
-                F.col("path_rank").alias("rank"),
-                F.col("source_path").alias("path"),
-                extract_date(F.col("timestamp")).alias("date"),
-            ),
+def first_start_dates(records: DataFrame) -> DataFrame:
+    """A2 for sessions that have a ``SESSION_START``: the date of the first
+    one (null when impossible; no later start is tried).  A partial
+    aggregate over the start lines only."""
+    starts = with_order_keys(records.filter(F.col("record_type") == fixed.SESSION_START))
+    first = F.min(
+        F.struct(
+            F.col("line_number").alias("line"),
+            F.col("path_rank").alias("rank"),
+            F.col("source_path").alias("path"),
+            extract_date(F.col("timestamp")).alias("date"),
         )
     )
-    return (
-        with_order_keys(records.filter(rt != fixed.UNPARSEABLE))
-        .groupBy(SID)
-        .agg(first_start.alias("_first"))
-        .select(SID, F.col("_first.date").alias("session_date"))
-    )
+    return starts.groupBy(SID).agg(first.alias("_first")).select(SID, F.col("_first.date").alias("session_date"))
+
+
+def session_dates(records: DataFrame) -> DataFrame:
+    """A2: every session with a parsed record and its date (null when its
+    first start has an impossible date or when it has no start)."""
+    sessions = records.filter(F.col("record_type") != fixed.UNPARSEABLE).select(SID).distinct()
+    return sessions.join(first_start_dates(records), SID, "left")
 
 
 def quick_search_attribution(events: DataFrame) -> DataFrame:

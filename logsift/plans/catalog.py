@@ -19,7 +19,7 @@ from logsift.functions.timestamps import extract_date, is_timestamp
 from logsift.operators import metrics, profile
 from logsift.operators.parse import RECORD_COLUMNS, parse_log_lines, tokenize, unparseable_lines
 from logsift.operators.profile_parse import PROFILE_COLUMNS, parse_profile_lines
-from logsift.operators.sessions import quick_search_attribution, session_dates, session_events
+from logsift.operators.sessions import quick_search_attribution, session_dates, session_events, session_sizes
 from logsift.sources.tables import log_lines_from_sf_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,8 +33,12 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_log_lines(_lines(spark, sf_dir))
 
 
-def _events(records: DataFrame) -> DataFrame:
-    return session_events(records)
+def _events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Records and session events; session sizes are counted on the lines
+    (no parsing needed for them)."""
+    lines = _lines(spark, sf_dir)
+    records = parse_log_lines(lines)
+    return records, session_events(records, sizes=session_sizes(lines))
 
 
 def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,19 +105,19 @@ def session_dates_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def card_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.card_blocks(_events(_records(spark, sf_dir))).select("source_file_id", "block_start_line", "hit")
+    return metrics.card_blocks(_events(spark, sf_dir)[1]).select("source_file_id", "block_start_line", "hit")
 
 
 def card_search_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.card_search_count(_events(_records(spark, sf_dir)))
+    return metrics.card_search_count(_events(spark, sf_dir)[1])
 
 
 def quick_search_attribution_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quick_search_attribution(_events(_records(spark, sf_dir))).select("source_file_id", "line_number", "qs_date")
+    return quick_search_attribution(_events(spark, sf_dir)[1]).select("source_file_id", "line_number", "qs_date")
 
 
 def quick_search_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.quick_search_docs(_events(_records(spark, sf_dir)))
+    return metrics.quick_search_docs(_events(spark, sf_dir)[1])
 
 
 def document_opens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,13 +125,11 @@ def document_opens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rec = _records(spark, sf_dir)
-    return metrics.session_summary(rec, _events(rec))
+    return metrics.session_summary(*_events(spark, sf_dir))
 
 
 def quick_search_opens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rec = _records(spark, sf_dir)
-    return metrics.quick_search_opens(rec, _events(rec))
+    return metrics.quick_search_opens(*_events(spark, sf_dir))
 
 
 def profile_records(spark: SparkSession, sf_dir: str) -> DataFrame:
