@@ -21,24 +21,23 @@ def card_blocks(events: DataFrame) -> DataFrame:
     """A3/A4: every card-search block and whether it touched the target.
 
     A block is the card-search start plus the queries after it and the
-    first result line that closes it.  Columns: source_file_id,
-    block_start_line, block_path, hit.
+    first result line that closes it.  One pass: each start and each block
+    member names its block, then a partial aggregate per block.  Columns:
+    source_file_id, block_start_line, block_path, hit.
     """
     rt = F.col("record_type")
-    starts = events.filter(rt == fixed.CARD_SEARCH_START).select(
-        SID,
-        F.col("line_number").alias("block_line"),
-        F.col("source_path").alias("block_path"),
-        F.lit(False).alias("hit"),
-    )
-    members = events.filter(F.col("in_block") & rt.isin(fixed.CARD_SEARCH_QUERY, fixed.SEARCH_RESULTS)).select(
-        *_BLOCK, "hit"
-    )
+    is_start = rt == fixed.CARD_SEARCH_START
+    member = F.col("in_block") & rt.isin(fixed.CARD_SEARCH_QUERY, fixed.SEARCH_RESULTS)
     return (
-        starts.unionByName(members)
-        .groupBy(*_BLOCK)
+        events.filter(is_start | member)
+        .select(
+            SID,
+            F.when(is_start, F.col("line_number")).otherwise(F.col("block_line")).alias("block_start_line"),
+            F.when(is_start, F.col("source_path")).otherwise(F.col("block_path")).alias("block_path"),
+            (~is_start & F.col("hit")).alias("hit"),
+        )
+        .groupBy(SID, "block_start_line", "block_path")
         .agg(F.max("hit").alias("hit"))
-        .select(SID, F.col("block_line").alias("block_start_line"), "block_path", "hit")
     )
 
 
@@ -102,36 +101,81 @@ def document_opens(records: DataFrame) -> DataFrame:
     )
 
 
-def quick_search_opens(records: DataFrame, events: DataFrame) -> DataFrame:
-    """G4 + G5 (Task 2): opens of documents that quick search showed on the
-    same date, in any session; sorted by (date, document_id)."""
+def _shown_and_opened(events: DataFrame) -> DataFrame:
+    """One row per (date, document) fact of a session: ``shown`` for every id
+    of a result line outside a card block (dated by the last quick search),
+    ``opened`` for every dated open (own date, else the session date)."""
+    rt = F.col("record_type")
+    shown = (rt == fixed.SEARCH_RESULTS) & ~F.col("in_block") & F.col("qs_date").isNotNull()
+    open_date = F.when(rt == fixed.DOCUMENT_OPEN, F.col("event_date")).when(
+        rt == fixed.DOCUMENT_OPEN_NO_TS, F.col("session_date")
+    )
+    opened = open_date.isNotNull() & F.col("document_id").isNotNull()
+    facts = F.when(
+        shown,
+        F.transform("document_ids", lambda d: F.struct(F.col("qs_date").alias("date"), d.alias("document_id"), F.lit(False).alias("opened"))),
+    ).when(
+        opened,
+        F.array(F.struct(open_date.alias("date"), F.col("document_id").alias("document_id"), F.lit(True).alias("opened"))),
+    )
+    return events.filter(shown | opened).select(SID, F.inline(facts))
+
+
+def quick_search_opens(events: DataFrame) -> DataFrame:
+    """G4 + G5 + G7 (Task 2): opens of documents that quick search showed on
+    the same date, in any session; sorted by (date, document_id).
+
+    The semi-join of distinct shown pairs with summed opens is one
+    aggregate over (date, document): a pair is kept when it was shown and
+    opened.  Partial aggregation collapses hot pairs before the shuffle."""
     return (
-        document_opens(records)
-        .join(quick_search_docs(events), ["date", "document_id"], "left_semi")
+        _shown_and_opened(events)
+        .groupBy("date", "document_id")
+        .agg(
+            F.count(F.when(F.col("opened"), F.lit(1))).alias("open_count"),
+            F.max(~F.col("opened")).alias("_shown"),
+        )
+        .filter(F.col("_shown") & (F.col("open_count") > 0))
+        .select("date", "document_id", "open_count")
         .orderBy("date", "document_id")
     )
 
 
-def session_summary(records: DataFrame, events: DataFrame) -> DataFrame:
-    """Per session with a parsed record: target hits, distinct quick
-    search (date, document) pairs and counted opens."""
-    sessions = records.filter(F.col("record_type") != fixed.UNPARSEABLE).select(SID).distinct()
-    hits = hit_blocks(events).groupBy(SID).agg(F.count(F.lit(1)).alias("card_hits"))
-    docs = (
-        quick_search_pairs(events)
-        .distinct()
-        .groupBy(SID)
-        .agg(F.count(F.lit(1)).alias("quick_search_docs"))
+def session_summary(events: DataFrame) -> DataFrame:
+    """Per session with a parsed record: target hits (distinct blocks),
+    distinct quick-search (date, document) pairs and counted opens.
+
+    One pass over the session events: every row emits its keys (a hit
+    block, shown pairs, an open, or nothing), and one aggregate per session
+    counts them; Spark aggregates each distinct count per (session, key)
+    first, so no session's keys are gathered in one place."""
+    rt = F.col("record_type")
+    key_type = "struct<block:struct<line:int,path:string>,pair:struct<date:string,document_id:string>,opens:int>"
+
+    def key(block=None, pair=None, opens=0):
+        return F.struct(
+            (block if block is not None else F.lit(None).cast("struct<line:int,path:string>")).alias("block"),
+            (pair if pair is not None else F.lit(None).cast("struct<date:string,document_id:string>")).alias("pair"),
+            F.lit(opens).alias("opens"),
+        )
+
+    shown = (rt == fixed.SEARCH_RESULTS) & ~F.col("in_block") & F.col("qs_date").isNotNull()
+    open_date = F.when(rt == fixed.DOCUMENT_OPEN, F.col("event_date")).when(rt == fixed.DOCUMENT_OPEN_NO_TS, F.col("session_date"))
+    opened = open_date.isNotNull() & F.col("document_id").isNotNull()
+    hit_block = F.col("in_block") & F.col("hit")
+    keys = (
+        F.when(shown, F.transform("document_ids", lambda d: key(pair=F.struct(F.col("qs_date").alias("date"), d.alias("document_id")))))
+        .when(opened, F.array(key(opens=1)))
+        .when(hit_block, F.array(key(block=F.struct(F.col("block_line").alias("line"), F.col("block_path").alias("path")))))
+        .otherwise(F.array(key()))
+        .cast(f"array<{key_type}>")
     )
-    opens = dated_opens(records).groupBy(SID).agg(F.sum("n").alias("opens"))
     return (
-        sessions.join(hits, SID, "left")
-        .join(docs, SID, "left")
-        .join(opens, SID, "left")
-        .select(
-            SID,
-            F.coalesce("card_hits", F.lit(0)).cast("long").alias("card_hits"),
-            F.coalesce("quick_search_docs", F.lit(0)).cast("long").alias("quick_search_docs"),
-            F.coalesce("opens", F.lit(0)).cast("long").alias("opens"),
+        events.select(SID, F.inline(keys))
+        .groupBy(SID)
+        .agg(
+            F.count_distinct("block").alias("card_hits"),
+            F.count_distinct("pair").alias("quick_search_docs"),
+            F.sum("opens").cast("long").alias("opens"),
         )
     )

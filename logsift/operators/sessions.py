@@ -155,26 +155,42 @@ def _qs_struct() -> Column:
     )
 
 
+def _start_struct() -> Column:
+    return F.when(
+        F.col("record_type") == fixed.SESSION_START,
+        F.struct(
+            F.col("line_number").alias("line"),
+            F.col("path_rank").alias("rank"),
+            F.col("source_path").alias("path"),
+            F.col("event_date").alias("date"),
+        ),
+    )
+
+
 def _carry_in(chunked: DataFrame) -> DataFrame:
-    """Last control record and last quick search before each chunk of a
-    large session: a partial aggregate per chunk over the large sessions'
-    rows only, then a window over the chunk summaries (few rows)."""
+    """Per chunk of a large session: the last control record and the last
+    quick search before the chunk, and the session's first start.  A partial
+    aggregate per chunk over the large sessions' rows only, then windows
+    over the chunk summaries (few rows)."""
     summaries = (
         chunked.filter("large_session")
         .groupBy(SID, "chunk_line", "chunk_part")
-        .agg(F.max(_control_struct()).alias("_ctl"), F.max(_qs_struct()).alias("_qs"))
-    )
-    before = (
-        Window.partitionBy(SID)
-        .orderBy("chunk_line", "chunk_part")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        .agg(
+            F.max(_control_struct()).alias("_ctl"),
+            F.max(_qs_struct()).alias("_qs"),
+            F.min(_start_struct()).alias("_start"),
+        )
     )
+    chunks = Window.partitionBy(SID).orderBy("chunk_line", "chunk_part")
+    before = chunks.rowsBetween(Window.unboundedPreceding, -1)
+    whole = chunks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return summaries.select(
         SID,
         "chunk_line",
         "chunk_part",
         F.last("_ctl", ignorenulls=True).over(before).alias("carry_ctl"),
         F.last("_qs", ignorenulls=True).over(before).alias("carry_qs"),
+        F.min("_start").over(whole).alias("session_start"),
     )
 
 
@@ -191,8 +207,9 @@ def session_events(
 
     Output columns: source_file_id, line_number, source_path, path_rank,
     record_type, event_date, document_id, document_ids, hit, in_block,
-    block_line, block_path (the card-search start that opened the block)
-    and qs_date (date of the last quick search before the row).
+    block_line, block_path (the card-search start that opened the block),
+    qs_date (date of the last quick search before the row) and
+    session_date (A2: date of the session's first start).
 
     ``sizes`` (see :func:`session_sizes`) may come from the line table;
     without it the sizes are counted on the records.  When no session
@@ -204,12 +221,15 @@ def session_events(
     large = large_sessions(sizes if sizes is not None else session_sizes(relevant), chunk_rows)
     order = ("line_number", "path_rank", "source_path")
     if large is None:
-        before = Window.partitionBy(SID).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        session = Window.partitionBy(SID).orderBy(*order)
+        before = session.rowsBetween(Window.unboundedPreceding, -1)
+        whole = session.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         scanned = relevant.select(
             SID,
             *_EVENT_COLUMNS,
             F.last(_control_struct(), ignorenulls=True).over(before).alias("_ctl"),
             F.last(_qs_struct(), ignorenulls=True).over(before).alias("_qs"),
+            F.min(_start_struct()).over(whole).alias("_start"),
         )
     else:
         chunks = [SID, "chunk_line", "chunk_part"]
@@ -222,14 +242,17 @@ def session_events(
                 *_EVENT_COLUMNS,
                 F.last(_control_struct(), ignorenulls=True).over(before).alias("_local_ctl"),
                 F.last(_qs_struct(), ignorenulls=True).over(before).alias("_local_qs"),
+                F.min(_start_struct()).over(before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_local_start"),
                 "carry_ctl",
                 "carry_qs",
+                "session_start",
             )
             .select(
                 SID,
                 *_EVENT_COLUMNS,
                 F.coalesce("_local_ctl", "carry_ctl").alias("_ctl"),
                 F.coalesce("_local_qs", "carry_qs").alias("_qs"),
+                F.coalesce("session_start", "_local_start").alias("_start"),
             )
         )
     in_block = F.coalesce(F.col("_ctl.type") == fixed.CARD_SEARCH_START, F.lit(False))
@@ -240,6 +263,7 @@ def session_events(
         F.when(in_block, F.col("_ctl.line")).alias("block_line"),
         F.when(in_block, F.col("_ctl.path")).alias("block_path"),
         F.col("_qs.date").alias("qs_date"),
+        F.col("_start.date").alias("session_date"),
     )
 
 

@@ -125,11 +125,11 @@ def document_opens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.session_summary(*_events(spark, sf_dir))
+    return metrics.session_summary(_events(spark, sf_dir)[1])
 
 
 def quick_search_opens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.quick_search_opens(*_events(spark, sf_dir))
+    return metrics.quick_search_opens(_events(spark, sf_dir)[1])
 
 
 def profile_records(spark: SparkSession, sf_dir: str) -> DataFrame:

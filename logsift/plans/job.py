@@ -63,7 +63,7 @@ def run_metrics_job(
         events = _keep(session_events(records, target, chunk_rows, sizes=session_sizes(records)), keep)
         rejects = unparseable_lines(records)
         task1 = metrics.card_search_count(events, target)
-        task2 = metrics.quick_search_opens(records, events)
+        task2 = metrics.quick_search_opens(events)
         writers.write_unparseable(rejects, output_path, single_file=single_file_rejects)
         writers.write_card_search_count(task1, output_path)
         writers.write_quick_search_opens(task2, output_path)

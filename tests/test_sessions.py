@@ -23,7 +23,7 @@ def run(spark, sessions, chunk_rows=1_000_000):
     rec = parse_log_lines(lines_df(spark, sessions))
     ev = session_events(rec, chunk_rows=chunk_rows)
     task1 = metrics.card_search_count(ev).collect()[0]["card_search_count"]
-    task2 = [tuple(r) for r in metrics.quick_search_opens(rec, ev).collect()]
+    task2 = [tuple(r) for r in metrics.quick_search_opens(ev).collect()]
     return task1, task2
 
 
@@ -101,7 +101,7 @@ def test_copies_of_one_session_are_ordered_by_path(spark):
     for chunk_rows in (1_000_000, 4, 1):
         ev = session_events(rec, chunk_rows=chunk_rows)
         got1 = metrics.card_search_count(ev).collect()[0][1]
-        got2 = [tuple(r) for r in metrics.quick_search_opens(rec, ev).collect()]
+        got2 = [tuple(r) for r in metrics.quick_search_opens(ev).collect()]
         assert (got1, got2) == exp, chunk_rows
 
 
@@ -111,5 +111,5 @@ def test_fixture_task_numbers(spark):
     rec = parse_log_lines(log_lines_from_sf_dir(spark, "/root/testdata/sf0.001"))
     ev = session_events(rec)
     assert metrics.card_search_count(ev).collect()[0][1] == 7
-    agg = metrics.quick_search_opens(rec, ev).agg(F.count("*"), F.sum("open_count")).collect()[0]
+    agg = metrics.quick_search_opens(ev).agg(F.count("*"), F.sum("open_count")).collect()[0]
     assert tuple(agg) == (58, 62)
