@@ -36,9 +36,9 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Records and session events; session sizes are counted on the lines
     (no parsing needed for them)."""
-    lines = _lines(spark, sf_dir)
-    records = parse_log_lines(lines)
-    return records, session_events(records, sizes=session_sizes(lines))
+    records = parse_log_lines(_lines(spark, sf_dir))
+    sizes = session_sizes(log_lines_from_sf_dir(spark, sf_dir, fenced=False))
+    return records, session_events(records, sizes=sizes)
 
 
 def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
