@@ -32,10 +32,13 @@ def _keep(df: DataFrame, how: str) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def read_input(spark: SparkSession, path: str, source: str = "files") -> DataFrame:
-    """``files``: a directory tree of session files; ``table``: a
-    ``log_lines`` Parquet table."""
-    return read_session_files(spark, path) if source == "files" else read_log_lines_table(spark, path)
+def read_input(spark: SparkSession, path: str, source: str = "files", file_mode: str = "whole") -> DataFrame:
+    """``files``: a directory tree of session files (``file_mode`` ``whole``
+    or ``split`` for very large files); ``table``: a ``log_lines`` Parquet
+    table."""
+    if source == "files":
+        return read_session_files(spark, path, mode=file_mode)
+    return read_log_lines_table(spark, path)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -53,10 +56,11 @@ def run_metrics_job(
     keep: str = "persist",
     single_file_rejects: bool = True,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    file_mode: str = "whole",
 ) -> dict[str, int]:
     """Parse, fold sessions and write the four outputs.  Returns small
     counts for logging (rejects, Task 1, Task 2 rows)."""
-    parsed = read_records(spark, input_path) if source == "records" else parse_log_lines(read_input(spark, input_path, source))
+    parsed = read_records(spark, input_path) if source == "records" else parse_log_lines(read_input(spark, input_path, source, file_mode))
     records = _keep(parsed, keep)
     events = None
     try:
@@ -114,13 +118,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source", choices=("files", "table", "records"), default="files")
     ap.add_argument("--target", default=fixed.TARGET_DOCUMENT)
     ap.add_argument("--keep", choices=("persist", "checkpoint"), default="persist")
+    ap.add_argument("--file-mode", choices=("whole", "split"), default="whole", help="split: read huge session files in blocks")
     ap.add_argument("--profile", action="store_true", help="write the format profile instead of the metrics")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("logsift").getOrCreate()
     if args.profile:
         run_profile_job(spark, args.input, args.output, source=args.source, keep=args.keep)
     else:
-        print(run_metrics_job(spark, args.input, args.output, source=args.source, target=args.target, keep=args.keep))
+        print(
+            run_metrics_job(
+                spark, args.input, args.output, source=args.source, target=args.target, keep=args.keep, file_mode=args.file_mode
+            )
+        )
 
 
 if __name__ == "__main__":

@@ -7,13 +7,16 @@ a file is never split across tasks), decoded leniently, cut at LF, CR or
 CRLF and numbered from 1 with blank lines counted.
 
 Scale: listing and reading are distributed; each task holds the files it
-packs (``spark.sql.files.maxPartitionBytes``).  A single file must fit in
-a task's memory and under 2 GB, the limit of one string value.
+packs (``spark.sql.files.maxPartitionBytes``).  In the default ``whole``
+mode a single file must fit in a task's memory and under 2 GB (one string
+value).  The ``split`` mode reads files line by line in blocks, so one
+huge session file is spread over many tasks; see
+:func:`read_session_files_split`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsift.functions import fixed
@@ -25,6 +28,7 @@ def read_session_files(
     *,
     recursive: bool = True,
     name_pattern: str = fixed.NUMERIC_FILE_NAME,
+    mode: str = "whole",
 ) -> DataFrame:
     """``log_lines`` (source_file_id, line_number, line, source_path).
 
@@ -32,7 +36,10 @@ def read_session_files(
     directories form one session; ``source_path`` keeps the full path as
     the tie-breaker for equal line numbers.  A missing root raises
     ``PATH_NOT_FOUND``.  A byte-order mark stays glued to the first token.
+    ``mode="split"`` reads huge files in parallel blocks instead.
     """
+    if mode == "split":
+        return read_session_files_split(spark, root, recursive=recursive, name_pattern=name_pattern)
     files = (
         spark.read.option("recursiveFileLookup", str(recursive).lower())
         .text(root, wholetext=True)
@@ -68,3 +75,53 @@ def split_lines(files: DataFrame) -> DataFrame:
         "line",
         "source_path",
     )
+
+
+def read_session_files_split(
+    spark: SparkSession,
+    root: str,
+    *,
+    recursive: bool = True,
+    name_pattern: str = fixed.NUMERIC_FILE_NAME,
+) -> DataFrame:
+    """``log_lines`` from files read line by line in blocks of
+    ``spark.sql.files.maxPartitionBytes``, for session files too large to
+    hold whole.
+
+    Line numbers are exact: rows of one file block are consecutive in their
+    task, so a row's place in its block is its row id minus the block's
+    first row id, and the lines before the block are the running sum of the
+    line counts of the file's earlier blocks.  Only the block summaries (one
+    row per block) are aggregated and joined back; the lines themselves are
+    not shuffled.  Differences from ``whole`` mode: the line reader drops a
+    leading byte-order mark, and ``\r`` alone ends a line only where the
+    Hadoop line reader treats it so (LF, CRLF and CR all do).
+    """
+    scanned = (
+        spark.read.option("recursiveFileLookup", str(recursive).lower())
+        .text(root)
+        .select(
+            F.col("_metadata.file_name").alias("source_file_id"),
+            F.col("_metadata.file_path").alias("source_path"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+            F.make_valid_utf8("value").alias("line"),
+        )
+        .filter(F.col("source_file_id").rlike(name_pattern))
+    )
+    blocks = scanned.groupBy("source_path", "_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first_row")
+    )
+    earlier = Window.partitionBy("source_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(
+        "source_path",
+        "_block",
+        "_first_row",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_lines_before"),
+    )
+    return scanned.join(offsets, ["source_path", "_block"]).select(
+        "source_file_id",
+        (F.col("_lines_before") + F.col("_row") - F.col("_first_row") + 1).cast("int").alias("line_number"),
+        "line",
+        "source_path",
+    )

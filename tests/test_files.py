@@ -114,3 +114,25 @@ def test_profile_job_writes_json_tables(spark):
     assert summary["files_processed"] == 15
     types = spark.read.json(f"{out}/profile/record_types")
     assert types.agg(F.sum("records")).collect()[0][0] == summary["total_events"]
+
+
+def test_split_mode_numbers_lines_like_whole_mode(spark):
+    root = tempfile.mkdtemp(prefix="logsift-split-")
+    os.makedirs(f"{root}/x")
+    with open(f"{root}/5", "w") as f:
+        for i in range(1, 801):
+            f.write(f"line {i}\n" if i % 7 else "\n")
+    with open(f"{root}/x/5", "w", newline="") as f:
+        f.write("".join(f"copy {i}\r\n" for i in range(1, 300)))
+    with open(f"{root}/6", "wb") as f:
+        f.write(b"a\rb\r\nc\n\nbad\xff end")
+    whole = sorted(tuple(r) for r in read_session_files(spark, root).collect())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        split_df = read_session_files(spark, root, mode="split")
+        assert split_df.rdd.getNumPartitions() > 4
+        split = sorted(tuple(r) for r in split_df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert split == whole
