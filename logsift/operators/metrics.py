@@ -146,16 +146,20 @@ def session_summary(events: DataFrame) -> DataFrame:
     distinct quick-search (date, document) pairs and counted opens.
 
     One pass over the session events: every row emits its keys (a hit
-    block, shown pairs, an open, or nothing), and one aggregate per session
-    counts them; Spark aggregates each distinct count per (session, key)
-    first, so no session's keys are gathered in one place."""
+    block, shown pairs, an open, or nothing), then two plain aggregates,
+    per (session, kind, key) and per session.  Both group by the session
+    id first, so on the window's session partitioning they need no
+    shuffle; with chunked large sessions Spark adds partial-aggregated
+    exchanges."""
     rt = F.col("record_type")
-    key_type = "struct<block:struct<line:int,path:string>,pair:struct<date:string,document_id:string>,opens:int>"
+    key_type = "struct<kind:string,n:int,a:string,b:string,opens:int>"
 
-    def key(block=None, pair=None, opens=0):
+    def key(kind, n=None, a=None, b=None, opens=0):
         return F.struct(
-            (block if block is not None else F.lit(None).cast("struct<line:int,path:string>")).alias("block"),
-            (pair if pair is not None else F.lit(None).cast("struct<date:string,document_id:string>")).alias("pair"),
+            F.lit(kind).alias("kind"),
+            (n if n is not None else F.lit(None).cast("int")).alias("n"),
+            (a if a is not None else F.lit(None).cast("string")).alias("a"),
+            (b if b is not None else F.lit(None).cast("string")).alias("b"),
             F.lit(opens).alias("opens"),
         )
 
@@ -164,18 +168,21 @@ def session_summary(events: DataFrame) -> DataFrame:
     opened = open_date.isNotNull() & F.col("document_id").isNotNull()
     hit_block = F.col("in_block") & F.col("hit")
     keys = (
-        F.when(shown, F.transform("document_ids", lambda d: key(pair=F.struct(F.col("qs_date").alias("date"), d.alias("document_id")))))
-        .when(opened, F.array(key(opens=1)))
-        .when(hit_block, F.array(key(block=F.struct(F.col("block_line").alias("line"), F.col("block_path").alias("path")))))
-        .otherwise(F.array(key()))
+        F.when(shown, F.transform("document_ids", lambda d: key("pair", a=F.col("qs_date"), b=d)))
+        .when(opened, F.array(key("open", opens=1)))
+        .when(hit_block, F.array(key("block", n=F.col("block_line"), a=F.col("block_path"))))
+        .otherwise(F.array(key("none")))
         .cast(f"array<{key_type}>")
     )
+    kind = F.col("kind")
     return (
         events.select(SID, F.inline(keys))
+        .groupBy(SID, "kind", "n", "a", "b")
+        .agg(F.sum("opens").alias("opens"))
         .groupBy(SID)
         .agg(
-            F.count_distinct("block").alias("card_hits"),
-            F.count_distinct("pair").alias("quick_search_docs"),
-            F.sum("opens").cast("long").alias("opens"),
+            F.count(F.when(kind == "block", F.lit(1))).cast("long").alias("card_hits"),
+            F.count(F.when(kind == "pair", F.lit(1))).cast("long").alias("quick_search_docs"),
+            F.coalesce(F.sum(F.when(kind == "open", F.col("opens"))), F.lit(0)).cast("long").alias("opens"),
         )
     )
