@@ -53,3 +53,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     target = configured or tempfile.mkdtemp(prefix="logsift-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir()
+
+
+def cluster_settings(input_bytes: int, *, target_partition_bytes: int = 256 << 20, executors_cores: int = 4000) -> dict[str, str]:
+    """Spark settings a cluster run of the jobs should start from.
+
+    Scan splits and shuffle partitions are sized so one task handles about
+    ``target_partition_bytes``; adaptive execution then coalesces small
+    shuffle partitions, splits skewed join partitions and converts joins to
+    broadcast only below its measured-size threshold."""
+    shuffle = max(executors_cores * 2, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(16 << 20),
+    }

@@ -50,8 +50,12 @@ def profile_summary(precs: DataFrame) -> DataFrame:
 
 
 def _format_table(spark: SparkSession) -> DataFrame:
-    rows = [(t, p, n or None) for t, p, n in fixed.RECORD_FORMATS]
-    return spark.createDataFrame(rows, "record_type string, pattern string, note string")
+    """The fixed format table as a literal relation (built in the JVM)."""
+    rows = [
+        F.struct(F.lit(t).alias("record_type"), F.lit(p).alias("pattern"), F.lit(n or None).cast("string").alias("note"))
+        for t, p, n in fixed.RECORD_FORMATS
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def profile_record_types(precs: DataFrame) -> DataFrame:

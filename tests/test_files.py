@@ -136,3 +136,22 @@ def test_split_mode_numbers_lines_like_whole_mode(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert split == whole
+
+
+def test_job_reads_table_and_streamed_records(spark):
+    from logsift.sinks.writers import write_log_lines_table
+    from logsift.streaming.ingest import start_record_ingest
+
+    table = tempfile.mkdtemp(prefix="logsift-table-") + "/log_lines"
+    write_log_lines_table(log_lines_from_sf_dir(spark, "/root/testdata/sf0.001"), table)
+    out = tempfile.mkdtemp(prefix="logsift-out-")
+    assert run_metrics_job(spark, table, out, source="table") == {"unparseable_lines": 96, "card_search_count": 7, "task2_rows": 58}
+
+    root = _write_sessions(spark, "/root/testdata/sf0.001")
+    ingest = tempfile.mkdtemp(prefix="logsift-ingest-")
+    q = start_record_ingest(spark, root, f"{ingest}/records", checkpoint=f"{ingest}/_ckpt", available_now=True)
+    q.awaitTermination(300)
+    out2 = tempfile.mkdtemp(prefix="logsift-out-")
+    assert run_metrics_job(spark, f"{ingest}/records", out2, source="records") == {
+        "unparseable_lines": 96, "card_search_count": 7, "task2_rows": 58,
+    }
