@@ -113,3 +113,41 @@ def test_fixture_task_numbers(spark):
     assert metrics.card_search_count(ev).collect()[0][1] == 7
     agg = metrics.quick_search_opens(ev).agg(F.count("*"), F.sum("open_count")).collect()[0]
     assert tuple(agg) == (58, 62)
+
+
+def test_hot_session_is_split_into_bounded_chunks(spark):
+    """One session (three copies of one file name) holds a third of all
+    rows; with a small chunk size its rows are spread over bounded window
+    groups and the result equals the plain-Python fold."""
+    from pyspark.sql import Window
+
+    from logsift.operators.sessions import _chunked, large_sessions, relevant_events, session_sizes
+
+    rnd = random.Random(11)
+    rows = []
+    for c in range(3):
+        for i in range(400):
+            rows.append(("1", i + 1, rnd.choice(VOCAB), f"/d{c}/1"))
+    for s in range(2, 122):
+        for i in range(20):
+            rows.append((str(s), i + 1, rnd.choice(VOCAB), f"/d0/{s}"))
+    lines = spark.createDataFrame(rows, "source_file_id string, line_number int, line string, source_path string")
+    rec = parse_log_lines(lines)
+    chunk_rows = 50
+    large = large_sessions(session_sizes(lines), chunk_rows)
+    assert {r[0] for r in large.collect()} == {"1"}
+    groups = _chunked(relevant_events(rec), large).groupBy("source_file_id", "chunk_line", "chunk_part").count()
+    assert groups.agg(F.max("count")).collect()[0][0] <= chunk_rows
+    assert groups.filter(F.col("source_file_id") == "1").count() > 20
+
+    ordered = with_order_keys(rec).withColumn(
+        "_i", F.row_number().over(Window.partitionBy("source_file_id").orderBy("line_number", "path_rank", "source_path"))
+    ).collect()
+    keys = ("record_type", "timestamp", "document_id", "document_ids", "query_text", "parse_error", "raw_line")
+    by_session = {}
+    for r in sorted(ordered, key=lambda r: (r["source_file_id"], r["_i"])):
+        by_session.setdefault(r["source_file_id"], []).append({k: r[k] for k in keys})
+    exp = task_results(by_session)
+    ev = session_events(rec, chunk_rows=chunk_rows, sizes=session_sizes(lines))
+    assert metrics.card_search_count(ev).collect()[0][1] == exp[0]
+    assert [tuple(r) for r in metrics.quick_search_opens(ev).collect()] == exp[1]
