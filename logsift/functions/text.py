@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from logsift.functions import fixed
 
 
-def trim_ascii(col: Column) -> Column:
-    """Strip characters U+0000..U+0020 from both ends (Java ``String.trim``).
+_TRIM_CHARS = "".join(chr(c) for c in range(0x21))  # U+0000..U+0020
 
-    Spark's own ``trim`` removes spaces only, so a regex is used.
-    """
-    return F.regexp_replace(col, fixed.TRIM_EDGES, "")
+
+def trim_ascii(col: Column) -> Column:
+    """Strip characters U+0000..U+0020 from both ends (Java ``String.trim``):
+    Spark's ``trim`` with that character set (no regex)."""
+    return F.trim(col, F.lit(_TRIM_CHARS))
 
 
 def tokens(raw: Column) -> Column:
@@ -56,8 +57,8 @@ def python_quoted(text: Column) -> Column:
     Backslashes are doubled; a token holding a single quote and no double
     quote is shown in double quotes, otherwise single quotes are escaped.
     """
-    escaped = F.regexp_replace(text, r"\\", r"\\\\")
-    use_double = escaped.contains("'") & ~escaped.contains('"')
+    escaped = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    use_double = text.contains("'") & ~text.contains('"')
     return F.when(use_double, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(
-        F.concat(F.lit("'"), F.regexp_replace(escaped, "'", r"\\'"), F.lit("'"))
+        F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'"))
     )

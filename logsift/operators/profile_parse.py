@@ -79,8 +79,11 @@ def parse_profile_lines(lines: DataFrame) -> DataFrame:
         .when(n == 3, _kind(fixed.DOCUMENT_OPEN_NO_TS))
         .otherwise(_bad(F.concat(F.lit(fixed.PERR_DOC_OPEN_TOKENS), n.cast("string"))))
     )
-    typed = tok.withColumn("_kind", kind).withColumn("_tail2", after_two_tokens(F.col("raw")))
+    typed = tok.withColumn("_kind", kind)
     rt = F.col("_kind.record_type")
+    typed = typed.withColumn(
+        "_tail2", F.when(rt.isin(fixed.QUICK_SEARCH, fixed.CARD_SEARCH_START), after_two_tokens(F.col("raw")))
+    ).withColumn("_ids", F.when(rt == fixed.SEARCH_RESULTS, document_ids(F.col("raw"))))
     is_card = rt == fixed.CARD_SEARCH_QUERY
     is_qs = rt == fixed.QUICK_SEARCH
     rest = F.when(is_card, after_first_token(F.col("raw"), t0))
@@ -106,8 +109,8 @@ def parse_profile_lines(lines: DataFrame) -> DataFrame:
         .when(rt == fixed.DOCUMENT_OPEN, F.col("t2"))
         .when(no_ts_open, t1)
         .alias("search_id"),
-        F.when(rt == fixed.SEARCH_RESULTS, document_ids(F.col("raw"))).alias("document_ids"),
-        F.when(rt == fixed.SEARCH_RESULTS, F.size(document_ids(F.col("raw")))).alias("document_count"),
+        F.col("_ids").alias("document_ids"),
+        F.when(rt == fixed.SEARCH_RESULTS, F.size("_ids")).alias("document_count"),
         F.when(is_card, t0).alias("card_param"),
         F.when(is_card, F.when(only_doc, rest_c))
         .when(rt == fixed.DOCUMENT_OPEN, F.col("t3"))
