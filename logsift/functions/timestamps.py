@@ -20,39 +20,29 @@ def is_timestamp(tok: Column) -> Column:
     return F.coalesce(tok.rlike(fixed.TS_STANDARD) | tok.rlike(fixed.TS_HTTP), F.lit(False))
 
 
-def _days_in_month(y: Column, m: Column) -> Column:
-    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
-    return (
-        F.when(m.isin(1, 3, 5, 7, 8, 10, 12), 31)
-        .when(m.isin(4, 6, 9, 11), 30)
-        .when(m == 2, F.when(leap, 29).otherwise(28))
-    )
-
+def extract_date(tok: Column) -> Column:
+    """ISO date string of a timestamp token, null for impossible dates,
+    unknown (case-sensitive) month names or tokens of neither shape.
 
-def _iso_if_valid(y: Column, m: Column, d: Column) -> Column:
-    valid = (m >= 1) & (m <= 12) & (d >= 1) & (d <= _days_in_month(y, m))
-    iso = F.concat_ws(
+    The ISO text is assembled from the matched groups with string
+    functions only, then kept when it is a real calendar date: Spark's
+    date parser rejects impossible days without throwing and accepts year
+    0000, as the log format's date rules do."""
+    std_iso = F.concat_ws(
         "-",
-        F.lpad(y.cast("string"), 4, "0"),
-        F.lpad(m.cast("string"), 2, "0"),
-        F.lpad(d.cast("string"), 2, "0"),
+        F.regexp_extract(tok, fixed.TS_STANDARD, 3),
+        F.regexp_extract(tok, fixed.TS_STANDARD, 2),
+        F.regexp_extract(tok, fixed.TS_STANDARD, 1),
     )
-    return F.when(valid, iso)
-
-
-def extract_date(tok: Column) -> Column:
-    """ISO date string of a timestamp token, null for impossible dates,
-    unknown (case-sensitive) month names or tokens of neither shape."""
-    std_day = F.regexp_extract(tok, fixed.TS_STANDARD, 1).try_cast("int")
-    std_month = F.regexp_extract(tok, fixed.TS_STANDARD, 2).try_cast("int")
-    std_year = F.regexp_extract(tok, fixed.TS_STANDARD, 3).try_cast("int")
-    http_day = F.regexp_extract(tok, fixed.TS_HTTP, 2).try_cast("int")
-    http_month = F.array_position(F.array(*[F.lit(m) for m in fixed.MONTHS]), F.regexp_extract(tok, fixed.TS_HTTP, 3)).cast("int")
-    http_year = F.regexp_extract(tok, fixed.TS_HTTP, 4).try_cast("int")
-    return (
-        F.when(tok.rlike(fixed.TS_STANDARD), _iso_if_valid(std_year, std_month, std_day))
-        .when(tok.rlike(fixed.TS_HTTP), _iso_if_valid(http_year, http_month, http_day))
+    month = F.array_position(F.array(*[F.lit(m) for m in fixed.MONTHS]), F.regexp_extract(tok, fixed.TS_HTTP, 3))
+    http_iso = F.concat_ws(
+        "-",
+        F.regexp_extract(tok, fixed.TS_HTTP, 4),
+        F.lpad(month.cast("string"), 2, "0"),
+        F.lpad(F.regexp_extract(tok, fixed.TS_HTTP, 2), 2, "0"),
     )
+    iso = F.when(tok.rlike(fixed.TS_STANDARD), std_iso).when(tok.rlike(fixed.TS_HTTP), http_iso)
+    return F.when(iso.try_cast("date").isNotNull(), iso)
 
 
 def date_token(tok: Column) -> Column:
