@@ -67,38 +67,31 @@ def quick_search_docs(events: DataFrame) -> DataFrame:
     return quick_search_pairs(events).select("date", "document_id").distinct()
 
 
-def dated_opens(records: DataFrame) -> DataFrame:
-    """A7 before the global sum: (source_file_id, date, document_id, n).
+def document_opens(records: DataFrame) -> DataFrame:
+    """A7 + G3: opens per (date, document_id) over all sessions, straight
+    from the records (no session window needed).
 
-    Timestamped opens carry their own date.  Opens without one take the
-    session date; they are counted per (session, document) first, so only
-    that small table meets the session dates.  Opens with no date are not
-    counted.
-    """
+    Timestamped opens carry their own date and are counted per (date,
+    document).  Opens without one take their session's date: they are
+    counted per (session, document) first, so only that small table meets
+    the session dates.  Opens with no date are not counted."""
     rt = F.col("record_type")
-    with_ts = records.filter(rt == fixed.DOCUMENT_OPEN).select(
-        SID, extract_date(F.col("timestamp")).alias("date"), "document_id"
+    timed = (
+        records.filter((rt == fixed.DOCUMENT_OPEN) & F.col("document_id").isNotNull())
+        .select(extract_date(F.col("timestamp")).alias("date"), "document_id")
+        .filter(F.col("date").isNotNull())
+        .groupBy("date", "document_id")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    with_ts = with_ts.filter(F.col("date").isNotNull() & F.col("document_id").isNotNull())
-    timed = with_ts.groupBy(SID, "date", "document_id").agg(F.count(F.lit(1)).alias("n"))
     untimed = (
         records.filter((rt == fixed.DOCUMENT_OPEN_NO_TS) & F.col("document_id").isNotNull())
         .groupBy(SID, "document_id")
         .agg(F.count(F.lit(1)).alias("n"))
         .join(first_start_dates(records), SID, "inner")
         .filter(F.col("session_date").isNotNull())
-        .select(SID, F.col("session_date").alias("date"), "document_id", "n")
-    )
-    return timed.unionByName(untimed)
-
-
-def document_opens(records: DataFrame) -> DataFrame:
-    """A7 + G3: opens per (date, document_id) over all sessions."""
-    return (
-        dated_opens(records)
-        .groupBy("date", "document_id")
-        .agg(F.sum("n").cast("long").alias("open_count"))
+        .select(F.col("session_date").alias("date"), "document_id", "n")
     )
+    return timed.unionByName(untimed).groupBy("date", "document_id").agg(F.sum("n").cast("long").alias("open_count"))
 
 
 def _shown_and_opened(events: DataFrame) -> DataFrame:
