@@ -52,3 +52,14 @@ def test_large_sessions_take_the_chunked_plan(spark):
     plan = _physical(ev)
     assert "hashpartitioning(source_file_id, chunk_line, chunk_part" in plan
     assert "BroadcastExchange" in plan
+
+
+def test_registered_queries_stay_in_the_jvm_and_avoid_cross_joins(spark):
+    import __spark_entry__ as E
+
+    banned = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF",
+              "CartesianProduct", "BroadcastNestedLoopJoin")
+    for name, fn in E.queries().items():
+        plan = _physical(fn(spark, "/root/testdata/sf0.001"))
+        found = [b for b in banned if b in plan]
+        assert not found, (name, found)
