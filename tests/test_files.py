@@ -155,3 +155,22 @@ def test_job_reads_table_and_streamed_records(spark):
     assert run_metrics_job(spark, f"{ingest}/records", out2, source="records") == {
         "unparseable_lines": 96, "card_search_count": 7, "task2_rows": 58,
     }
+
+
+def test_empty_input_writes_headers_and_zero(spark):
+    root = tempfile.mkdtemp(prefix="logsift-empty-")
+    with open(f"{root}/notes.txt", "w") as f:
+        f.write("not a session\n")
+    out = tempfile.mkdtemp(prefix="logsift-out-")
+    assert run_metrics_job(spark, root, out) == {"unparseable_lines": 0, "card_search_count": 0, "task2_rows": 0}
+    csv = [p for p in os.listdir(f"{out}/task2_quick_search_opens_csv") if p.endswith(".csv")]
+    text = "".join(open(f"{out}/task2_quick_search_opens_csv/{p}").read() for p in csv)
+    assert text.splitlines() == ["date,document_id,open_count"]
+
+
+def test_missing_root_fails(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_session_files(spark, "/tmp/logsift-no-such-dir-" + os.urandom(4).hex()).collect()
