@@ -157,9 +157,19 @@ def first_k_per_type(precs: DataFrame, k: int) -> DataFrame:
     )
 
 
-def profile_type_samples(precs: DataFrame, k: int = 2) -> DataFrame:
-    """The first two records of each type, raw line cut to 160."""
+#: Parsed fields of a profile record, in the order the report lists them.
+SAMPLE_FIELDS = (
+    "timestamp", "search_id", "document_ids", "document_count", "card_param", "document_id",
+    "query_text", "params", "query_raw", "document_ids_inline", "tail_raw",
+)
+
+
+def profile_type_samples(precs: DataFrame, k: int = 2, *, with_fields: bool = False) -> DataFrame:
+    """The first two records of each type, raw line cut to 160; with
+    ``with_fields`` also the record's parsed fields as a JSON object (the
+    fields a record does not have are left out)."""
     firsts = F.broadcast(first_k_per_type(precs, k))  # at most 11 * k rows
-    return firsts.join(precs, ["record_type", "source_file_id", "line_number"], "inner").select(
-        "record_type", "sample_rank", "source_file_id", "line_number", F.substring("raw", 1, 160).alias("raw")
-    )
+    cols = [F.col("record_type"), F.col("sample_rank"), F.col("source_file_id"), F.col("line_number"), F.substring("raw", 1, 160).alias("raw")]
+    if with_fields:
+        cols.append(F.to_json(F.struct(*SAMPLE_FIELDS)).alias("fields"))
+    return firsts.join(precs, ["record_type", "source_file_id", "line_number"], "inner").select(*cols)

@@ -94,7 +94,7 @@ PROFILE_TABLES = {
     "doc_prefixes": profile.profile_doc_prefixes,
     "commands": profile.profile_commands,
     "unparseable_samples": profile.profile_unparseable_samples,
-    "type_samples": profile.profile_type_samples,
+    "type_samples": lambda precs: profile.profile_type_samples(precs, with_fields=True),
 }
 
 

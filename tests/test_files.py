@@ -114,6 +114,12 @@ def test_profile_job_writes_json_tables(spark):
     assert summary["files_processed"] == 15
     types = spark.read.json(f"{out}/profile/record_types")
     assert types.agg(F.sum("records")).collect()[0][0] == summary["total_events"]
+    import json
+
+    samples = {(r["record_type"], r["sample_rank"]): json.loads(r["fields"]) for r in spark.read.json(f"{out}/profile/type_samples").collect()}
+    assert list(samples[("SEARCH_RESULTS", 1)]) == ["search_id", "document_ids", "document_count"]
+    assert samples[("EMPTY", 1)] == {}
+    assert list(samples[("DOCUMENT_OPEN", 1)]) == ["timestamp", "search_id", "document_id"]
 
 
 def test_split_mode_numbers_lines_like_whole_mode(spark):
