@@ -102,13 +102,13 @@ def large_sessions(sizes: DataFrame, chunk_rows: int, max_listed: int = MAX_LIST
     returned and adaptive execution picks broadcast or shuffle by its
     measured size.
     """
-    copies = F.greatest(F.col("copies"), F.lit(1))
-    large = sizes.filter(F.col("rows") > chunk_rows).select(
+    n = int(chunk_rows)
+    # lines_per_chunk * copies <= n rows per chunk; with more copies than n,
+    # one line number per chunk and the copies split into path_parts ranges
+    large = sizes.filter(F.col("rows") > n).selectExpr(
         SID,
-        F.greatest(F.expr(f"{int(chunk_rows)} div greatest(copies, 1)"), F.lit(1))
-        .cast("long")
-        .alias("lines_per_chunk"),
-        F.greatest(F.ceil(copies / F.lit(chunk_rows)), F.lit(1)).cast("long").alias("path_parts"),
+        f"CAST(greatest({n} div greatest(copies, 1), 1) AS BIGINT) AS lines_per_chunk",
+        f"CAST(greatest(ceil(greatest(copies, 1) / {n}), 1) AS BIGINT) AS path_parts",
     )
     listed = large.limit(max_listed + 1).collect()
     if not listed:
