@@ -13,21 +13,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from logsift.functions import fixed
+from logsift.functions.cache import session_cached
 
 
-def is_timestamp(tok: Column) -> Column:
-    """True when the token has either timestamp shape; null token -> false."""
+def is_timestamp(tok: Column | str) -> Column:
+    """True when the token has either timestamp shape; null token -> false.
+    A column name gives an expression reused within the application."""
+    if isinstance(tok, str):
+        return _is_timestamp_named(tok)
     return F.coalesce(tok.rlike(fixed.TS_STANDARD) | tok.rlike(fixed.TS_HTTP), F.lit(False))
 
 
-def extract_date(tok: Column) -> Column:
+@session_cached
+def _is_timestamp_named(name: str) -> Column:
+    return is_timestamp(F.col(name))
+
+
+def extract_date(tok: Column | str) -> Column:
     """ISO date string of a timestamp token, null for impossible dates,
     unknown (case-sensitive) month names or tokens of neither shape.
 
     The ISO text is assembled from the matched groups with string
     functions only, then kept when it is a real calendar date: Spark's
     date parser rejects impossible days without throwing and accepts year
-    0000, as the log format's date rules do."""
+    0000, as the log format's date rules do.  A column name gives an
+    expression reused within the application."""
+    if isinstance(tok, str):
+        return _extract_date_named(tok)
     std_iso = F.concat_ws(
         "-",
         F.regexp_extract(tok, fixed.TS_STANDARD, 3),
@@ -45,6 +57,11 @@ def extract_date(tok: Column) -> Column:
     return F.when(iso.try_cast("date").isNotNull(), iso)
 
 
+@session_cached
+def _extract_date_named(name: str) -> Column:
+    return extract_date(F.col(name))
+
+
 def date_token(tok: Column) -> Column:
     """Part of a timestamp before its first ``_`` (profile date-format key)."""
     return F.substring_index(tok, "_", 1)

@@ -78,7 +78,7 @@ def document_opens(records: DataFrame) -> DataFrame:
     rt = F.col("record_type")
     timed = (
         records.filter((rt == fixed.DOCUMENT_OPEN) & F.col("document_id").isNotNull())
-        .select(extract_date(F.col("timestamp")).alias("date"), "document_id")
+        .select(extract_date("timestamp").alias("date"), "document_id")
         .filter(F.col("date").isNotNull())
         .groupBy("date", "document_id")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsift.functions import fixed
+from logsift.functions.cache import session_cached
 from logsift.functions.fence import fence
 from logsift.functions.text import after_first_token, document_ids, token, tokens, trim_ascii
 from logsift.functions.timestamps import is_timestamp
@@ -47,17 +48,14 @@ def tokenize(lines: DataFrame, *, keep_blank: bool = False) -> DataFrame:
         lines = lines.filter(F.col("line").rlike(r"[^\x00-\x20]"))
     trimmed = lines.withColumn("raw", trim_ascii(F.col("line")))
     split = trimmed.withColumn("_parts", tokens(F.col("raw")))
+    out = split.select(*base, "raw", *_token_exprs())
+    return out.withColumn("t1_is_ts", is_timestamp("t1"))
+
+
+@session_cached
+def _token_exprs() -> list[Column]:
     parts = F.col("_parts")
-    out = split.select(
-        *base,
-        "raw",
-        F.size(parts).alias("n_tokens"),
-        token(parts, 0).alias("t0"),
-        token(parts, 1).alias("t1"),
-        token(parts, 2).alias("t2"),
-        token(parts, 3).alias("t3"),
-    )
-    return out.withColumn("t1_is_ts", is_timestamp(F.col("t1")))
+    return [F.size(parts).alias("n_tokens")] + [token(parts, i).alias(f"t{i}") for i in range(4)]
 
 
 def _unparseable(reason: Column) -> Column:
@@ -74,7 +72,17 @@ def _no_record() -> Column:
 
 def classify(tok: DataFrame) -> DataFrame:
     """P5-P10 on a tokenized frame: adds ``record_type``/``parse_error``
-    (both null for lines that yield no record) and the card-query ``rest``."""
+    (both null for lines that yield no record)."""
+    return tok.withColumn("_kind", _kind_expr()).select(
+        "*",
+        F.col("_kind.record_type").alias("record_type"),
+        F.col("_kind.parse_error").alias("parse_error"),
+    ).drop("_kind")
+
+
+@session_cached
+def _kind_expr() -> Column:
+    """First match wins: results, card query, unknown token, known command."""
     t0, t1, n, t1_ts = F.col("t0"), F.col("t1"), F.col("n_tokens"), F.col("t1_is_ts")
     is_results = t0.rlike(fixed.SEARCH_ID_WHOLE) & ~t1_ts
     is_card_query = t0.rlike(fixed.CARD_PARAM_WHOLE)
@@ -104,11 +112,7 @@ def classify(tok: DataFrame) -> DataFrame:
         )
         .otherwise(_no_record())  # SESSION_END with a timestamp
     )
-    return tok.withColumn("_kind", kind).select(
-        "*",
-        F.col("_kind.record_type").alias("record_type"),
-        F.col("_kind.parse_error").alias("parse_error"),
-    ).drop("_kind")
+    return kind
 
 
 def parse_log_lines(lines: DataFrame) -> DataFrame:
@@ -119,12 +123,23 @@ def parse_log_lines(lines: DataFrame) -> DataFrame:
     """
     keep_columns = tuple(c for c in ("source_path",) if c in lines.columns)
     typed = classify(tokenize(lines))
-    rt = F.col("record_type")
+    with_rest = typed.withColumn("_rest", _rest_expr())
+    records = with_rest.select(*_record_exprs(keep_columns))
+    return fence(records).filter(F.col("record_type").isNotNull())
+
+
+@session_cached
+def _rest_expr() -> Column:
     rest = after_first_token(F.col("raw"), F.col("t0"))
-    with_rest = typed.withColumn("_rest", F.when(rt == fixed.CARD_SEARCH_QUERY, rest))
+    return F.when(F.col("record_type") == fixed.CARD_SEARCH_QUERY, rest)
+
+
+@session_cached
+def _record_exprs(keep_columns: tuple[str, ...]) -> list[Column]:
+    rt = F.col("record_type")
     rest_c = F.col("_rest")
     only_doc = rest_c.rlike(fixed.DOC_ID_WHOLE)
-    records = with_rest.select(
+    return [
         rt,
         "source_file_id",
         F.col("line_number").cast("int").alias("line_number"),
@@ -142,9 +157,8 @@ def parse_log_lines(lines: DataFrame) -> DataFrame:
         F.when((rt == fixed.CARD_SEARCH_QUERY) & ~only_doc & (rest_c != ""), rest_c).alias("query_text"),
         "parse_error",
         F.when(rt == fixed.UNPARSEABLE, F.col("raw")).alias("raw_line"),
-        *keep_columns,
-    )
-    return fence(records).filter(F.col("record_type").isNotNull())
+        *[F.col(c) for c in keep_columns],
+    ]
 
 
 def unparseable_lines(records: DataFrame) -> DataFrame:

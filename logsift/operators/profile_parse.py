@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsift.functions import fixed
+from logsift.functions.cache import session_cached
 from logsift.functions.fence import fence
 from logsift.functions.text import after_first_token, after_two_tokens, document_ids, python_quoted, trim_ascii
 from logsift.operators.parse import tokenize
@@ -51,7 +52,16 @@ def _bad(error: Column) -> Column:
 
 def parse_profile_lines(lines: DataFrame) -> DataFrame:
     """Every line (blank ones as ``EMPTY``) -> one profile record."""
-    tok = tokenize(lines, keep_blank=True)
+    staged = tokenize(lines, keep_blank=True)
+    for name, expr in _stages():
+        staged = staged.withColumn(name, expr)
+    return fence(staged.select(*_profile_exprs()))
+
+
+@session_cached
+def _stages() -> list[tuple[str, Column]]:
+    """Intermediate columns, in order: the record kind, then the pieces of
+    quick-search, card-start and card-query lines (computed on those only)."""
     t0, t1, n, t1_ts = F.col("t0"), F.col("t1"), F.col("n_tokens"), F.col("t1_is_ts")
     kind = (
         F.when(F.col("raw") == "", _kind(fixed.EMPTY))
@@ -79,23 +89,30 @@ def parse_profile_lines(lines: DataFrame) -> DataFrame:
         .when(n == 3, _kind(fixed.DOCUMENT_OPEN_NO_TS))
         .otherwise(_bad(F.concat(F.lit(fixed.PERR_DOC_OPEN_TOKENS), n.cast("string"))))
     )
-    typed = tok.withColumn("_kind", kind)
     rt = F.col("_kind.record_type")
-    typed = typed.withColumn(
-        "_tail2", F.when(rt.isin(fixed.QUICK_SEARCH, fixed.CARD_SEARCH_START), after_two_tokens(F.col("raw")))
-    ).withColumn("_ids", F.when(rt == fixed.SEARCH_RESULTS, document_ids(F.col("raw"))))
+    raw = F.col("raw")
+    return [
+        ("_kind", kind),
+        ("_tail2", F.when(rt.isin(fixed.QUICK_SEARCH, fixed.CARD_SEARCH_START), after_two_tokens(raw))),
+        ("_ids", F.when(rt == fixed.SEARCH_RESULTS, document_ids(raw))),
+        ("_rest", F.when(rt == fixed.CARD_SEARCH_QUERY, after_first_token(raw, t0))),
+        ("_body", F.when(rt == fixed.QUICK_SEARCH, F.col("_tail2"))),
+        ("_braced", F.col("_body").rlike(r"(?s)^\{[^}]*\}")),
+        ("_tail", F.when(F.col("_braced"), trim_ascii(F.regexp_extract("_body", fixed.QS_BRACE_BODY, 2)))),
+    ]
+
+
+@session_cached
+def _profile_exprs() -> list[Column]:
+    t0, t1, n = F.col("t0"), F.col("t1"), F.col("n_tokens")
+    rt = F.col("_kind.record_type")
     is_card = rt == fixed.CARD_SEARCH_QUERY
     is_qs = rt == fixed.QUICK_SEARCH
-    rest = F.when(is_card, after_first_token(F.col("raw"), t0))
-    body = F.when(is_qs, F.col("_tail2"))
-    staged = typed.withColumn("_rest", rest).withColumn("_body", body).withColumn(
-        "_braced", F.col("_body").rlike(r"(?s)^\{[^}]*\}")
-    ).withColumn("_tail", F.when(F.col("_braced"), trim_ascii(F.regexp_extract("_body", fixed.QS_BRACE_BODY, 2))))
     rest_c, tail = F.col("_rest"), F.col("_tail")
     only_doc = rest_c.rlike(fixed.DOC_ID_WHOLE)
     no_ts_open = rt == fixed.DOCUMENT_OPEN_NO_TS
-    return fence(staged.select(
-        "source_file_id",
+    return [
+        F.col("source_file_id"),
         F.col("line_number").cast("int").alias("line_number"),
         rt.alias("record_type"),
         F.col("line").alias("raw"),
@@ -123,4 +140,4 @@ def parse_profile_lines(lines: DataFrame) -> DataFrame:
         F.when(is_qs & ~F.col("_braced"), F.col("_body")).alias("query_raw"),
         F.when(is_qs & (tail != ""), document_ids(tail)).alias("document_ids_inline"),
         F.when(is_qs & (tail != ""), tail).alias("tail_raw"),
-    ))
+    ]

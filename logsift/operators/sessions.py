@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from logsift.config import DEFAULT_CHUNK_ROWS, MAX_LISTED_SESSIONS
 from logsift.functions import fixed
+from logsift.functions.cache import session_cached
 from logsift.functions.timestamps import extract_date
 
 SID = "source_file_id"
@@ -66,20 +67,26 @@ def relevant_events(records: DataFrame, target: str = fixed.TARGET_DOCUMENT) ->
     The target test and the date are computed here, before any exchange,
     and text columns are dropped; result ids ride along only on result rows.
     """
+    relevant = records.filter(F.col("record_type") != fixed.UNPARSEABLE)
+    return with_order_keys(relevant).select(*_relevant_exprs(target))
+
+
+@session_cached
+def _relevant_exprs(target: str) -> list:
     rt = F.col("record_type")
-    return with_order_keys(records.filter(rt != fixed.UNPARSEABLE)).select(
+    return [
         SID,
         "line_number",
         "source_path",
         "path_rank",
         "record_type",
-        F.when(rt.isin(*_DATED_TYPES), extract_date(F.col("timestamp"))).alias("event_date"),
+        F.when(rt.isin(*_DATED_TYPES), extract_date("timestamp")).alias("event_date"),
         "document_id",
         F.when(rt == fixed.SEARCH_RESULTS, F.col("document_ids")).alias("document_ids"),
         F.when(rt.isin(fixed.CARD_SEARCH_QUERY, fixed.SEARCH_RESULTS), target_hit(target))
         .otherwise(F.lit(False))
         .alias("hit"),
-    )
+    ]
 
 
 def session_sizes(rows: DataFrame) -> DataFrame:
@@ -131,6 +138,7 @@ def _chunked(events: DataFrame, large: DataFrame) -> DataFrame:
     )
 
 
+@session_cached
 def _control_struct() -> Column:
     return F.when(
         F.col("record_type").isin(*_CONTROL_TYPES),
@@ -143,6 +151,7 @@ def _control_struct() -> Column:
     )
 
 
+@session_cached
 def _qs_struct() -> Column:
     return F.when(
         F.col("record_type") == fixed.QUICK_SEARCH,
@@ -155,6 +164,7 @@ def _qs_struct() -> Column:
     )
 
 
+@session_cached
 def _start_struct() -> Column:
     return F.when(
         F.col("record_type") == fixed.SESSION_START,
@@ -219,52 +229,49 @@ def session_events(
     """
     relevant = relevant_events(records, target)
     large = large_sessions(sizes if sizes is not None else session_sizes(relevant), chunk_rows)
-    order = ("line_number", "path_rank", "source_path")
     if large is None:
-        session = Window.partitionBy(SID).orderBy(*order)
-        before = session.rowsBetween(Window.unboundedPreceding, -1)
-        whole = session.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        scanned = relevant.select(
-            SID,
-            *_EVENT_COLUMNS,
-            F.last(_control_struct(), ignorenulls=True).over(before).alias("_ctl"),
-            F.last(_qs_struct(), ignorenulls=True).over(before).alias("_qs"),
-            F.min(_start_struct()).over(whole).alias("_start"),
-        )
+        scanned = relevant.select(SID, *_EVENT_COLUMNS, *_scan_exprs(SID))
     else:
         chunks = [SID, "chunk_line", "chunk_part"]
         chunked = _chunked(relevant, large)
-        before = Window.partitionBy(*chunks).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        scanned = (
-            chunked.join(_carry_in(chunked), chunks, "left")
-            .select(
-                SID,
-                *_EVENT_COLUMNS,
-                F.last(_control_struct(), ignorenulls=True).over(before).alias("_local_ctl"),
-                F.last(_qs_struct(), ignorenulls=True).over(before).alias("_local_qs"),
-                F.min(_start_struct()).over(before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_local_start"),
-                "carry_ctl",
-                "carry_qs",
-                "session_start",
-            )
-            .select(
-                SID,
-                *_EVENT_COLUMNS,
-                F.coalesce("_local_ctl", "carry_ctl").alias("_ctl"),
-                F.coalesce("_local_qs", "carry_qs").alias("_qs"),
-                F.coalesce("session_start", "_local_start").alias("_start"),
-            )
+        local = chunked.join(_carry_in(chunked), chunks, "left").select(
+            SID, *_EVENT_COLUMNS, *_scan_exprs(*chunks), "carry_ctl", "carry_qs", "session_start"
         )
+        scanned = local.select(
+            SID,
+            *_EVENT_COLUMNS,
+            F.coalesce("_ctl", "carry_ctl").alias("_ctl"),
+            F.coalesce("_qs", "carry_qs").alias("_qs"),
+            F.coalesce("session_start", "_start").alias("_start"),
+        )
+    return scanned.select(SID, *_EVENT_COLUMNS, *_state_exprs())
+
+
+@session_cached
+def _scan_exprs(*partition: str) -> list[Column]:
+    """The scans over one window group (a session, or a chunk of one):
+    last control record and last quick search before the row, first start
+    of the group."""
+    group = Window.partitionBy(*partition).orderBy("line_number", "path_rank", "source_path")
+    before = group.rowsBetween(Window.unboundedPreceding, -1)
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return [
+        F.last(_control_struct(), ignorenulls=True).over(before).alias("_ctl"),
+        F.last(_qs_struct(), ignorenulls=True).over(before).alias("_qs"),
+        F.min(_start_struct()).over(whole).alias("_start"),
+    ]
+
+
+@session_cached
+def _state_exprs() -> list[Column]:
     in_block = F.coalesce(F.col("_ctl.type") == fixed.CARD_SEARCH_START, F.lit(False))
-    return scanned.select(
-        SID,
-        *_EVENT_COLUMNS,
+    return [
         in_block.alias("in_block"),
         F.when(in_block, F.col("_ctl.line")).alias("block_line"),
         F.when(in_block, F.col("_ctl.path")).alias("block_path"),
         F.col("_qs.date").alias("qs_date"),
         F.col("_start.date").alias("session_date"),
-    )
+    ]
 
 
 def first_start_dates(records: DataFrame) -> DataFrame:
@@ -277,7 +284,7 @@ def first_start_dates(records: DataFrame) -> DataFrame:
             F.col("line_number").alias("line"),
             F.col("path_rank").alias("rank"),
             F.col("source_path").alias("path"),
-            extract_date(F.col("timestamp")).alias("date"),
+            extract_date("timestamp").alias("date"),
         )
     )
     return starts.groupBy(SID).agg(first.alias("_first")).select(SID, F.col("_first.date").alias("session_date"))

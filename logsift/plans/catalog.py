@@ -66,8 +66,8 @@ def timestamps_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_file_id",
         "line_number",
         F.col("t1").alias("token"),
-        is_timestamp(F.col("t1")).alias("is_timestamp"),
-        extract_date(F.col("t1")).alias("event_date"),
+        is_timestamp("t1").alias("is_timestamp"),
+        extract_date("t1").alias("event_date"),
     )
 
 
@@ -92,7 +92,7 @@ def card_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_opens_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = _records(spark, sf_dir).filter(F.col("record_type").isin(fixed.DOCUMENT_OPEN, fixed.DOCUMENT_OPEN_NO_TS))
     return rec.select(
-        "source_file_id", "line_number", "record_type", "timestamp", "document_id", extract_date(F.col("timestamp")).alias("event_date")
+        "source_file_id", "line_number", "record_type", "timestamp", "document_id", extract_date("timestamp").alias("event_date")
     )
 
 
