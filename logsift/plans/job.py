@@ -119,6 +119,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--target", default=fixed.TARGET_DOCUMENT)
     ap.add_argument("--keep", choices=("persist", "checkpoint"), default="persist")
     ap.add_argument("--file-mode", choices=("whole", "split"), default="whole", help="split: read huge session files in blocks")
+    ap.add_argument("--chunk-rows", type=int, default=DEFAULT_CHUNK_ROWS, help="largest window group; bigger sessions are chunked")
     ap.add_argument("--profile", action="store_true", help="write the format profile instead of the metrics")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("logsift").getOrCreate()
@@ -127,7 +128,14 @@ def main(argv: list[str] | None = None) -> None:
     else:
         print(
             run_metrics_job(
-                spark, args.input, args.output, source=args.source, target=args.target, keep=args.keep, file_mode=args.file_mode
+                spark,
+                args.input,
+                args.output,
+                source=args.source,
+                target=args.target,
+                keep=args.keep,
+                file_mode=args.file_mode,
+                chunk_rows=args.chunk_rows,
             )
         )
 
