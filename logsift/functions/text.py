@@ -21,6 +21,16 @@ def trim_ascii(col: Column) -> Column:
     return F.trim(col, F.lit(_TRIM_CHARS))
 
 
+def java_decoded(raw: Column) -> Column:
+    """Text read from files, decoded the way a Java reader with the REPLACE
+    action decodes it: malformed UTF-8 becomes U+FFFD under the JDK's rules
+    (for example an encoded surrogate ``ED A0 80`` is one U+FFFD, where
+    ``make_valid_utf8`` writes three).  A regex replace that never matches
+    routes the bytes through a JVM string, which applies exactly those
+    rules; valid text passes unchanged."""
+    return F.regexp_replace(raw, r"\A\z", "")
+
+
 def tokens(raw: Column) -> Column:
     """Split a trimmed line on runs of ASCII whitespace (Java ``\\s+``)."""
     return F.split(raw, fixed.TOKEN_SPLIT)

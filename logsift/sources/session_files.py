@@ -3,8 +3,9 @@
 A session is a text file whose whole name is ASCII digits; the name is
 the session id.  Files are listed by Spark itself (no driver-side walk),
 read whole (one row per file, so line order and numbering are exact and
-a file is never split across tasks), decoded leniently, cut at LF, CR or
-CRLF and numbered from 1 with blank lines counted.
+a file is never split across tasks), decoded leniently with the JDK's
+replacement rules (:func:`logsift.functions.text.java_decoded`), cut at
+LF, CR or CRLF and numbered from 1 with blank lines counted.
 
 Scale: listing and reading are distributed; each task holds the files it
 packs (``spark.sql.files.maxPartitionBytes``).  In the default ``whole``
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsift.functions import fixed
+from logsift.functions.text import java_decoded
 
 
 def read_session_files(
@@ -46,7 +48,7 @@ def read_session_files(
         .select(
             F.col("_metadata.file_name").alias("source_file_id"),
             F.col("_metadata.file_path").alias("source_path"),
-            F.make_valid_utf8("value").alias("text"),
+            java_decoded(F.col("value")).alias("text"),
         )
         .filter(F.col("source_file_id").rlike(name_pattern))
     )
@@ -105,7 +107,7 @@ def read_session_files_split(
             F.col("_metadata.file_path").alias("source_path"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_row"),
-            F.make_valid_utf8("value").alias("line"),
+            java_decoded(F.col("value")).alias("line"),
         )
         .filter(F.col("source_file_id").rlike(name_pattern))
     )

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from logsift.config import ensure_checkpoint_dir
 from logsift.functions import fixed
 from logsift.operators.parse import parse_log_lines
+from logsift.functions.text import java_decoded
 from logsift.sources.session_files import split_lines
 
 
@@ -33,7 +34,7 @@ def stream_log_lines(spark: SparkSession, root: str, *, recursive: bool = True,
         .select(
             F.col("_metadata.file_name").alias("source_file_id"),
             F.col("_metadata.file_path").alias("source_path"),
-            F.make_valid_utf8("value").alias("text"),
+            java_decoded(F.col("value")).alias("text"),
         )
         .filter(F.col("source_file_id").rlike(fixed.NUMERIC_FILE_NAME))
     )

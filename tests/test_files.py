@@ -180,3 +180,27 @@ def test_missing_root_fails(spark):
 
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_session_files(spark, "/tmp/logsift-no-such-dir-" + os.urandom(4).hex()).collect()
+
+
+def test_malformed_utf8_is_replaced_like_a_java_reader(spark):
+    """Expected strings are what java.io.BufferedReader over a UTF-8 decoder
+    with CodingErrorAction.REPLACE returns for the same bytes (checked with
+    the JDK): one U+FFFD per malformed sequence as the JDK delimits them."""
+    cases = {
+        b"\xf0\x9f\x98x": "A�xZ",
+        b"\xe2\x82": "A�Z",
+        b"\x80\x80": "A��Z",
+        b"\xed\xa0\x80": "A�Z",
+        b"\xf4\x90\x80\x80": "A����Z",
+        b"\xc0\xaf": "A��Z",
+        b"\xe2\x82\xac": "A€Z",
+    }
+    root = tempfile.mkdtemp(prefix="logsift-utf8-")
+    for i, data in enumerate(cases, start=1):
+        with open(f"{root}/{i}", "wb") as f:
+            f.write(b"A" + data + b"Z\nnext\n")
+    for mode in ("whole", "split"):
+        got = {(int(r.source_file_id), r.line_number): r.line for r in read_session_files(spark, root, mode=mode).collect()}
+        for i, expected in enumerate(cases.values(), start=1):
+            assert got[(i, 1)] == expected, (mode, i, got[(i, 1)])
+            assert got[(i, 2)] == "next"
