@@ -54,12 +54,16 @@ def run_metrics_job(
     source: str = "files",
     target: str = fixed.TARGET_DOCUMENT,
     keep: str = "persist",
-    single_file_rejects: bool = True,
+    single_file: bool = False,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     file_mode: str = "whole",
 ) -> dict[str, int]:
     """Parse, fold sessions and write the four outputs.  Returns small
-    counts for logging (rejects, Task 1, Task 2 rows)."""
+    counts for logging (rejects, Task 1, Task 2 rows).
+
+    Rejects and Task 2 grow with the input, so by default many tasks write
+    them (Task 2's part files in name order are sorted); ``single_file``
+    writes one part file per output, the layout of the original job."""
     parsed = read_records(spark, input_path) if source == "records" else parse_log_lines(read_input(spark, input_path, source, file_mode))
     records = _keep(parsed, keep)
     events = None
@@ -68,9 +72,9 @@ def run_metrics_job(
         rejects = unparseable_lines(records)
         task1 = metrics.card_search_count(events, target)
         task2 = metrics.quick_search_opens(events)
-        writers.write_unparseable(rejects, output_path, single_file=single_file_rejects)
+        writers.write_unparseable(rejects, output_path, single_file=single_file)
         writers.write_card_search_count(task1, output_path)
-        writers.write_quick_search_opens(task2, output_path)
+        writers.write_quick_search_opens(task2, output_path, single_file=single_file)
         read = spark.read
         return {
             "unparseable_lines": read.option("header", True).csv(f"{output_path}/unparseable_lines").count(),
@@ -120,6 +124,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--keep", choices=("persist", "checkpoint"), default="persist")
     ap.add_argument("--file-mode", choices=("whole", "split"), default="whole", help="split: read huge session files in blocks")
     ap.add_argument("--chunk-rows", type=int, default=DEFAULT_CHUNK_ROWS, help="largest window group; bigger sessions are chunked")
+    ap.add_argument("--single-file", action="store_true", help="one part file per output (the original layout)")
     ap.add_argument("--profile", action="store_true", help="write the format profile instead of the metrics")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("logsift").getOrCreate()
@@ -136,6 +141,7 @@ def main(argv: list[str] | None = None) -> None:
                 keep=args.keep,
                 file_mode=args.file_mode,
                 chunk_rows=args.chunk_rows,
+                single_file=args.single_file,
             )
         )
 

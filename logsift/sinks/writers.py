@@ -1,9 +1,12 @@
 """Sinks (operators K1-K5): CSV, Parquet and JSON outputs of the job.
 
-Single-file outputs never narrow the heavy stage: unsorted results go
-through ``repartition(1)`` (a shuffle, so everything before it stays
-parallel); sorted results are already range-partitioned by ``orderBy`` and
-``coalesce(1)`` only concatenates the sorted ranges.
+By default outputs that can grow with the input (rejects, Task 2) are
+written by many tasks; a sorted result is range-partitioned, so its part
+files in name order hold the global order.  ``single_file`` gives the
+one-part-file layout instead, without narrowing the heavy stage: unsorted
+results go through ``repartition(1)`` (a shuffle, so everything before it
+stays parallel) and sorted ones through ``coalesce(1)`` after the range
+sort, which only concatenates the sorted ranges.
 """
 
 from __future__ import annotations
@@ -47,10 +50,10 @@ def write_card_search_count(task1: DataFrame, out_dir: str) -> None:
     write_csv(task1, f"{out_dir}/task1_card_search_acc45616")
 
 
-def write_quick_search_opens(task2_sorted: DataFrame, out_dir: str) -> None:
+def write_quick_search_opens(task2_sorted: DataFrame, out_dir: str, *, single_file: bool = True) -> None:
     """K3 + K4: the sorted Task 2 rows as Parquet and as CSV."""
-    write_parquet(task2_sorted, f"{out_dir}/task2_quick_search_opens", sorted_input=True)
-    write_csv(task2_sorted, f"{out_dir}/task2_quick_search_opens_csv", sorted_input=True)
+    write_parquet(task2_sorted, f"{out_dir}/task2_quick_search_opens", single_file=single_file, sorted_input=True)
+    write_csv(task2_sorted, f"{out_dir}/task2_quick_search_opens_csv", single_file=single_file, sorted_input=True)
 
 
 def write_log_lines_table(lines: DataFrame, path: str) -> None:

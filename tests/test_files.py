@@ -72,8 +72,10 @@ def _write_sessions(spark, sf_dir):
 def test_metrics_job_writes_reference_layout(spark):
     root = _write_sessions(spark, "/root/testdata/sf0.001")
     out = tempfile.mkdtemp(prefix="logsift-out-")
-    counts = run_metrics_job(spark, root, out)
+    counts = run_metrics_job(spark, root, out, single_file=True)
     assert counts == {"unparseable_lines": 96, "card_search_count": 7, "task2_rows": 58}
+    for sub in ("unparseable_lines", "task2_quick_search_opens_csv"):
+        assert len([p for p in os.listdir(f"{out}/{sub}") if p.endswith(".csv")]) == 1
     task1 = [p for p in os.listdir(f"{out}/task1_card_search_acc45616") if p.endswith(".csv")]
     assert len(task1) == 1
     with open(f"{out}/task1_card_search_acc45616/{task1[0]}") as f:
@@ -84,9 +86,12 @@ def test_metrics_job_writes_reference_layout(spark):
     assert rows == sorted(rows) and sum(r[2] for r in rows) == 62
     csv = spark.read.option("header", True).csv(f"{out}/task2_quick_search_opens_csv")
     assert csv.count() == 58
-    # checkpointed intermediate gives the same outputs
+    # default: many writers; Task 2 part files in name order are globally sorted
     out2 = tempfile.mkdtemp(prefix="logsift-out-")
     assert run_metrics_job(spark, root, out2, keep="checkpoint") == counts
+    parts = sorted(p for p in os.listdir(f"{out2}/task2_quick_search_opens") if p.endswith(".parquet"))
+    in_order = [tuple(r) for p in parts for r in spark.read.parquet(f"{out2}/task2_quick_search_opens/{p}").collect()]
+    assert in_order == sorted(in_order) and len(in_order) == 58
 
 
 def test_empty_rejects_write_header_only(spark):
@@ -94,7 +99,7 @@ def test_empty_rejects_write_header_only(spark):
     with open(f"{root}/1", "w") as f:
         f.write(f"SESSION_START {TS}\nCARD_SEARCH_START {TS}\n$0 ACC_45616\n5 ACC_1\n")
     out = tempfile.mkdtemp(prefix="logsift-out-")
-    counts = run_metrics_job(spark, root, out)
+    counts = run_metrics_job(spark, root, out, single_file=True)
     assert counts["unparseable_lines"] == 0 and counts["card_search_count"] == 1
     parts = [p for p in os.listdir(f"{out}/unparseable_lines") if p.endswith(".csv")]
     text = "".join(open(f"{out}/unparseable_lines/{p}").read() for p in parts)
