@@ -38,7 +38,6 @@ KNOWN_COMMANDS = (
 
 # --- Fixed values: patterns (Java regex; \z anchors the true end) ---------
 LINE_BREAK = r"\r\n|\r|\n"
-TRIM_EDGES = r"^[\x00-\x20]+|[\x00-\x20]+\z"
 TOKEN_SPLIT = r"\s+"
 TS_STANDARD = r"^(\d{2})\.(\d{2})\.(\d{4})_\d{2}:\d{2}:\d{2}\z"
 TS_HTTP = (
