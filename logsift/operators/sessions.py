@@ -30,6 +30,8 @@ a fixed count and shuffle-joined beyond it.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +40,8 @@ from logsift.functions import fixed
 from logsift.functions.cache import session_cached
 from logsift.functions.timestamps import extract_date
 
+log = logging.getLogger("logsift.sessions")
+
 SID = "source_file_id"
 _CONTROL_TYPES = (fixed.CARD_SEARCH_START, fixed.QUICK_SEARCH, fixed.SEARCH_RESULTS)
 _DATED_TYPES = (fixed.SESSION_START, fixed.QUICK_SEARCH, fixed.DOCUMENT_OPEN)
@@ -119,9 +123,12 @@ def large_sessions(sizes: DataFrame, chunk_rows: int, max_listed: int = MAX_LIST
     )
     listed = large.limit(max_listed + 1).collect()
     if not listed:
+        log.info("no session over %d rows: single-pass session scan", n)
         return None
     if len(listed) > max_listed:
+        log.info("more than %d sessions over %d rows: chunk table joined lazily", max_listed, n)
         return large
+    log.info("%d sessions over %d rows: chunked session scan", len(listed), n)
     spark = sizes.sparkSession
     return F.broadcast(spark.createDataFrame(listed, large.schema))
 
@@ -212,6 +219,7 @@ def session_events(
     target: str = fixed.TARGET_DOCUMENT,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     sizes: DataFrame | None = None,
+    max_listed: int = MAX_LISTED_SESSIONS,
 ) -> DataFrame:
     """A1, A3, A5: every relevant record with its session state.
 
@@ -228,7 +236,7 @@ def session_events(
     the large sessions' chunks start from their carry-in.
     """
     relevant = relevant_events(records, target)
-    large = large_sessions(sizes if sizes is not None else session_sizes(relevant), chunk_rows)
+    large = large_sessions(sizes if sizes is not None else session_sizes(relevant), chunk_rows, max_listed)
     if large is None:
         scanned = relevant.select(SID, *_EVENT_COLUMNS, *_scan_exprs(SID))
     else:

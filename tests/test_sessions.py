@@ -151,3 +151,20 @@ def test_hot_session_is_split_into_bounded_chunks(spark):
     ev = session_events(rec, chunk_rows=chunk_rows, sizes=session_sizes(lines))
     assert metrics.card_search_count(ev).collect()[0][1] == exp[0]
     assert [tuple(r) for r in metrics.quick_search_opens(ev).collect()] == exp[1]
+
+
+def test_many_large_sessions_use_the_lazily_joined_chunk_table(spark):
+    """More large sessions than may be listed: the chunk table stays a
+    DataFrame joined by Spark; results equal the single-pass plan."""
+    from logsift.operators.sessions import large_sessions, session_sizes
+
+    rnd = random.Random(3)
+    sessions = {str(s): [rnd.choice(VOCAB) for _ in range(30)] for s in range(12)}
+    lines = lines_df(spark, sessions)
+    rec = parse_log_lines(lines)
+    large = large_sessions(session_sizes(lines), 10, max_listed=2)
+    assert large is not None and "LocalRelation" not in large._jdf.queryExecution().analyzed().toString()
+    exp = expected(sessions)
+    ev = session_events(rec, chunk_rows=10, sizes=session_sizes(lines), max_listed=2)
+    assert metrics.card_search_count(ev).collect()[0][1] == exp[0]
+    assert [tuple(r) for r in metrics.quick_search_opens(ev).collect()] == exp[1]
