@@ -43,15 +43,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory, setting a scratch one only when the
-    session has none (local runs and tests)."""
+    """Return the checkpoint directory: the session's own, else the
+    ``spark.checkpoint.dir`` setting.  Only a local-mode session without
+    either gets a scratch folder (tests); on a cluster a machine-local
+    folder would be wrong, so the shared folder must be configured."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or tempfile.mkdtemp(prefix="logsift-ckpt-")
-    sc.setCheckpointDir(target)
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        configured = tempfile.mkdtemp(prefix="logsift-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
