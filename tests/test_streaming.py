@@ -19,3 +19,20 @@ def test_stream_ingest_matches_batch_parse(spark):
     streamed = sorted(tuple(r) for r in spark.read.parquet(f"{out}/records").drop("source_path").collect())
     batch = sorted(tuple(r) for r in parse_log_lines(read_session_files(spark, root)).drop("source_path").collect())
     assert streamed == batch and len(batch) == 6
+
+
+def test_stream_ingest_picks_up_files_as_they_arrive(spark):
+    root = tempfile.mkdtemp(prefix="logsift-stream-in-")
+    out = tempfile.mkdtemp(prefix="logsift-stream-out-")
+    q = start_record_ingest(spark, root, f"{out}/records", checkpoint=f"{out}/_checkpoint", processing_time="1 second")
+    try:
+        for batch in range(3):
+            for s in range(batch * 5, batch * 5 + 5):
+                with open(os.path.join(root, str(s)), "w") as f:
+                    f.write(f"SESSION_START {TS}\nQS {TS} {{x}}\n{s} ACC_1\n")
+            q.processAllAvailable()
+        records = spark.read.parquet(f"{out}/records")
+        assert records.count() == 15 * 3
+        assert records.select("source_file_id").distinct().count() == 15
+    finally:
+        q.stop()
