@@ -4,7 +4,7 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1) and
 ``BENCH_CPUS`` (default 8).  Each query runs to completion through the
 ``noop`` sink (every row computed, nothing collected); the first pass
 warms the JVM and is discarded, the reported time is the best of the
-next ``BENCH_REPEAT`` (default 2) passes.  Prints one JSON line.
+next ``BENCH_REPEAT`` (default 3) passes.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def run_once(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="logsift-bench")
     times = {}
     for name in HEADLINE:
