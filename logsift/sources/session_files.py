@@ -17,7 +17,7 @@ huge session file is spread over many tasks; see
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsift.functions import fixed
@@ -31,6 +31,7 @@ def read_session_files(
     recursive: bool = True,
     name_pattern: str = fixed.NUMERIC_FILE_NAME,
     mode: str = "whole",
+    decode: str = "java",
 ) -> DataFrame:
     """``log_lines`` (source_file_id, line_number, line, source_path).
 
@@ -39,25 +40,35 @@ def read_session_files(
     the tie-breaker for equal line numbers.  A missing root raises
     ``PATH_NOT_FOUND``.  A byte-order mark stays glued to the first token.
     ``mode="split"`` reads huge files in parallel blocks instead.
+    ``decode="python"`` replaces malformed UTF-8 the way Python's decoder
+    does (the profile script's reader) instead of the JDK's.
     """
     if mode == "split":
-        return read_session_files_split(spark, root, recursive=recursive, name_pattern=name_pattern)
+        return read_session_files_split(spark, root, recursive=recursive, name_pattern=name_pattern, decode=decode)
     files = (
         spark.read.option("recursiveFileLookup", str(recursive).lower())
         .text(root, wholetext=True)
         .select(
             F.col("_metadata.file_name").alias("source_file_id"),
             F.col("_metadata.file_path").alias("source_path"),
-            java_decoded(F.col("value")).alias("text"),
+            _decoded(F.col("value"), decode).alias("text"),
         )
         .filter(F.col("source_file_id").rlike(name_pattern))
     )
     return split_lines(files)
 
 
+def _decoded(value: Column, decode: str) -> Column:
+    """``java``: the JDK's replacement rules (the job's reader);
+    ``python``: Python's ``errors="replace"`` rules, which are what
+    ``make_valid_utf8`` applies (the profile script's reader)."""
+    return F.make_valid_utf8(value) if decode == "python" else java_decoded(value)
+
+
 def read_profile_files(spark: SparkSession, root: str) -> DataFrame:
-    """The profile reads one flat directory of files named 0..9999."""
-    return read_session_files(spark, root, recursive=False, name_pattern=fixed.PROFILE_FILE_NAME)
+    """The profile reads one flat directory of files named 0..9999,
+    decoded with Python's replacement rules, as the profile script does."""
+    return read_session_files(spark, root, recursive=False, name_pattern=fixed.PROFILE_FILE_NAME, decode="python")
 
 
 def split_lines(files: DataFrame) -> DataFrame:
@@ -85,6 +96,7 @@ def read_session_files_split(
     *,
     recursive: bool = True,
     name_pattern: str = fixed.NUMERIC_FILE_NAME,
+    decode: str = "java",
 ) -> DataFrame:
     """``log_lines`` from files read line by line in blocks of
     ``spark.sql.files.maxPartitionBytes``, for session files too large to
@@ -107,7 +119,7 @@ def read_session_files_split(
             F.col("_metadata.file_path").alias("source_path"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_row"),
-            java_decoded(F.col("value")).alias("line"),
+            _decoded(F.col("value"), decode).alias("line"),
         )
         .filter(F.col("source_file_id").rlike(name_pattern))
     )

@@ -209,3 +209,13 @@ def test_malformed_utf8_is_replaced_like_a_java_reader(spark):
         for i, expected in enumerate(cases.values(), start=1):
             assert got[(i, 1)] == expected, (mode, i, got[(i, 1)])
             assert got[(i, 2)] == "next"
+
+
+def test_profile_reader_replaces_malformed_utf8_like_python(spark):
+    root = tempfile.mkdtemp(prefix="logsift-utf8p-")
+    data = b"A\xed\xa0\x80Z\n"
+    with open(f"{root}/1", "wb") as f:
+        f.write(data)
+    line = read_profile_files(spark, root).collect()[0].line
+    assert line == data.decode("utf-8", "replace").rstrip("\n")  # three U+FFFD, as Python decodes it
+    assert read_session_files(spark, root).collect()[0].line == "A�Z"  # one, as a Java reader decodes it
