@@ -49,10 +49,40 @@ DOC_ID_WHOLE = r"^[A-Z]+_\d+\z"
 SEARCH_ID_WHOLE = r"^-?\d+\z"
 CARD_PARAM_WHOLE = r"^\$\d+\z"  # job dialect: the whole first token
 CARD_PARAM_PREFIX = r"^\$\d+"  # profile dialect: a prefix of the first token
-QS_BRACE_BODY = r"(?s)^\{([^}]*)\}\s*(.*)"
 NUMERIC_FILE_NAME = r"^\d+\z"
 PROFILE_FILE_NAME = r"^(0|[1-9][0-9]{0,3})\z"
 
+# --- Fixed values: profile dialect (a Python reader) ----------------------
+# Whitespace of Python's str.split() / str.strip(), and \d = any Unicode
+# decimal digit (\p{Nd}); the job dialect's JVM grammar uses ASCII.
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def _py_class(negate: bool = False) -> str:
+    body = "".join(f"\\u{ord(c):04x}" for c in PY_WHITESPACE)
+    return f"[{'^' if negate else ''}{body}]"
+
+
+PY_SPACE = _py_class()
+PY_NONSPACE = _py_class(negate=True)
+P_TOKEN_SPLIT = PY_SPACE + "+"
+P_TS_STANDARD = r"^\p{Nd}{2}\.\p{Nd}{2}\.\p{Nd}{4}_\p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2}\z"
+P_TS_HTTP = (
+    r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun),_\p{Nd}{1,2}_[A-Za-z]{3}_\p{Nd}{4}"
+    r"_\p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2}_\+\p{Nd}{4}\z"
+)
+P_DOC_ID = r"[A-Z]+_\p{Nd}+"
+P_DOC_ID_WHOLE = r"^[A-Z]+_\p{Nd}+\z"
+P_SEARCH_ID_WHOLE = r"^-?\p{Nd}+\z"
+P_CARD_PARAM_PREFIX = r"^\$\p{Nd}+"
+P_AFTER_TWO_TOKENS = "(?s)^" + PY_NONSPACE + "+" + PY_SPACE + "+" + PY_NONSPACE + "+" + PY_SPACE + "+(.*)\\z"
+P_QS_BRACE = r"(?s)^\{[^}]*\}"
+P_QS_BRACE_BODY = r"(?s)^\{([^}]*)\}" + PY_SPACE + "*(.*)"
+
 # --- Fixed values: month abbreviations of the HTTP-style timestamp --------
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 

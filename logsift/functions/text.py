@@ -21,6 +21,11 @@ def trim_ascii(col: Column) -> Column:
     return F.trim(col, F.lit(_TRIM_CHARS))
 
 
+def trim_python(col: Column) -> Column:
+    """Strip Python's whitespace (``str.strip()``) from both ends."""
+    return F.trim(col, F.lit(fixed.PY_WHITESPACE))
+
+
 def java_decoded(raw: Column) -> Column:
     """Text read from files, decoded the way a Java reader with the REPLACE
     action decodes it: malformed UTF-8 becomes U+FFFD under the JDK's rules
@@ -31,9 +36,9 @@ def java_decoded(raw: Column) -> Column:
     return F.regexp_replace(raw, r"\A\z", "")
 
 
-def tokens(raw: Column) -> Column:
-    """Split a trimmed line on runs of ASCII whitespace (Java ``\\s+``)."""
-    return F.split(raw, fixed.TOKEN_SPLIT)
+def tokens(raw: Column, pattern: str = fixed.TOKEN_SPLIT) -> Column:
+    """Split a trimmed line on runs of whitespace (Java ``\\s+`` by default)."""
+    return F.split(raw, pattern)
 
 
 def token(parts: Column, i: int) -> Column:
@@ -41,19 +46,19 @@ def token(parts: Column, i: int) -> Column:
     return F.get(parts, i)
 
 
-def after_first_token(raw: Column, first: Column) -> Column:
+def after_first_token(raw: Column, first: Column, trim=trim_ascii) -> Column:
     """The text after the first token, trimmed (used for card queries)."""
-    return trim_ascii(F.substring(raw, F.length(first) + 1, 2147483647))
+    return trim(F.substring(raw, F.length(first) + 1, 2147483647))
 
 
-def after_two_tokens(raw: Column) -> Column:
+def after_two_tokens(raw: Column, pattern: str = r"(?s)^\S+\s+\S+\s+(.*)\z") -> Column:
     """Rest of a line after its first two whitespace-separated tokens."""
-    return F.regexp_extract(raw, r"(?s)^\S+\s+\S+\s+(.*)\z", 1)
+    return F.regexp_extract(raw, pattern, 1)
 
 
-def document_ids(text: Column) -> Column:
+def document_ids(text: Column, pattern: str = fixed.DOC_ID) -> Column:
     """Every ``[A-Z]+_\\d+`` in the text, in order, duplicates kept."""
-    return F.regexp_extract_all(text, F.lit(fixed.DOC_ID), 0)
+    return F.regexp_extract_all(text, F.lit(pattern), 0)
 
 
 def id_prefix(doc_id: Column) -> Column:
@@ -61,14 +66,32 @@ def id_prefix(doc_id: Column) -> Column:
     return F.substring_index(doc_id, "_", 1)
 
 
+_NOT_PRINTABLE = r"^[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Zl}\p{Zp}\p{Zs}]\z"
+
+
 def python_quoted(text: Column) -> Column:
-    """Quote a token the way the profile report shows it: ``'tok'``.
-
-    Backslashes are doubled; a token holding a single quote and no double
-    quote is shown in double quotes, otherwise single quotes are escaped.
-    """
-    escaped = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    use_double = text.contains("'") & ~text.contains('"')
-    return F.when(use_double, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(
-        F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'"))
-    )
+    """Show a token the way the profile report does (Python ``repr``):
+    in single quotes, or double quotes when it holds a single quote and no
+    double quote; backslashes and the quote in use are escaped, and
+    characters that are not printable are written as ``\\xNN``,
+    ``\\uNNNN`` or ``\\UNNNNNNNN``.  Works per code point."""
+    double = text.contains("'") & ~text.contains('"')
+    quote = F.when(double, F.lit('"')).otherwise(F.lit("'"))
+
+    def escape(c: Column) -> Column:
+        code = F.ascii(c)
+        digits = F.lower(F.hex(code))
+        return (
+            F.when(c == "\\", F.lit("\\\\"))
+            .when((c == "'") & ~double, F.lit("\\'"))
+            .when((code < 0x20) | (code == 0x7F), F.concat(F.lit("\\x"), F.lpad(digits, 2, "0")))
+            .when(
+                c.rlike(_NOT_PRINTABLE) & (c != " "),
+                F.when(code < 0x100, F.concat(F.lit("\\x"), F.lpad(digits, 2, "0")))
+                .when(code < 0x10000, F.concat(F.lit("\\u"), F.lpad(digits, 4, "0")))
+                .otherwise(F.concat(F.lit("\\U"), F.lpad(digits, 8, "0"))),
+            )
+            .otherwise(c)
+        )
+
+    return F.concat(quote, F.array_join(F.transform(F.split(text, ""), escape), ""), quote)

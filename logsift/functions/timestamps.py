@@ -62,10 +62,23 @@ def _extract_date_named(name: str) -> Column:
     return extract_date(F.col(name))
 
 
+def is_timestamp_profile(tok: Column | str) -> Column:
+    """Timestamp shape as the profile dialect tests it (Unicode digits)."""
+    if isinstance(tok, str):
+        return _is_timestamp_profile_named(tok)
+    return F.coalesce(tok.rlike(fixed.P_TS_STANDARD) | tok.rlike(fixed.P_TS_HTTP), F.lit(False))
+
+
+@session_cached
+def _is_timestamp_profile_named(name: str) -> Column:
+    return is_timestamp_profile(F.col(name))
+
+
 def date_token(tok: Column) -> Column:
     """Part of a timestamp before its first ``_`` (profile date-format key)."""
     return F.substring_index(tok, "_", 1)
 
 
-def is_http_timestamp(tok: Column) -> Column:
-    return F.coalesce(tok.rlike(fixed.TS_HTTP), F.lit(False))
+def is_http_timestamp_profile(tok: Column) -> Column:
+    """HTTP-style timestamp shape, profile dialect (Unicode digits)."""
+    return F.coalesce(tok.rlike(fixed.P_TS_HTTP), F.lit(False))

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from logsift.functions import fixed
 from logsift.functions.cache import session_cached
 from logsift.functions.fence import fence
-from logsift.functions.text import after_first_token, document_ids, token, tokens, trim_ascii
-from logsift.functions.timestamps import is_timestamp
+from logsift.functions.text import after_first_token, document_ids, token, tokens, trim_ascii, trim_python
+from logsift.functions.timestamps import is_timestamp, is_timestamp_profile
 
 RECORD_COLUMNS = (
     "record_type",
@@ -37,19 +37,23 @@ RECORD_COLUMNS = (
 _TOKEN_COLUMNS = ("raw", "n_tokens", "t0", "t1", "t2", "t3", "t1_is_ts")
 
 
-def tokenize(lines: DataFrame, *, keep_blank: bool = False) -> DataFrame:
+def tokenize(lines: DataFrame, *, keep_blank: bool = False, dialect: str = "job") -> DataFrame:
     """Trim, drop blank lines, split once and expose the first tokens.
 
     Output: the input columns plus ``raw`` (trimmed line), ``n_tokens``,
-    ``t0``..``t3`` (null past the end) and ``t1_is_ts``.
+    ``t0``..``t3`` (null past the end) and ``t1_is_ts``.  The ``profile``
+    dialect trims and splits on Python's whitespace and recognises
+    timestamps with Unicode digits.
     """
+    profile = dialect == "profile"
     base = [c for c in lines.columns]
     if not keep_blank:
         lines = lines.filter(F.col("line").rlike(r"[^\x00-\x20]"))
-    trimmed = lines.withColumn("raw", trim_ascii(F.col("line")))
-    split = trimmed.withColumn("_parts", tokens(F.col("raw")))
+    trim = trim_python if profile else trim_ascii
+    trimmed = lines.withColumn("raw", trim(F.col("line")))
+    split = trimmed.withColumn("_parts", tokens(F.col("raw"), fixed.P_TOKEN_SPLIT if profile else fixed.TOKEN_SPLIT))
     out = split.select(*base, "raw", *_token_exprs())
-    return out.withColumn("t1_is_ts", is_timestamp("t1"))
+    return out.withColumn("t1_is_ts", is_timestamp_profile("t1") if profile else is_timestamp("t1"))
 
 
 @session_cached

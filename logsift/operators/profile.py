@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsift.functions import fixed
-from logsift.functions.text import id_prefix, trim_ascii
-from logsift.functions.timestamps import date_token, is_http_timestamp
+from logsift.functions.text import id_prefix, trim_python
+from logsift.functions.timestamps import date_token, is_http_timestamp_profile
 
 def _rt() -> Column:
     return F.col("record_type")
@@ -39,8 +39,8 @@ def profile_summary(precs: DataFrame) -> DataFrame:
         count_if(event).alias("total_events"),
         count_if(_rt() == fixed.EMPTY).alias("empty_lines"),
         count_if(_rt() == fixed.UNPARSEABLE).alias("unparseable_lines"),
-        count_if(qs & F.col("query_text").isNotNull() & (trim_ascii(F.col("query_text")) == "")).alias("qs_empty_query"),
-        count_if(qs & is_http_timestamp(F.col("timestamp"))).alias("timestamp_http_format_lines"),
+        count_if(qs & F.col("query_text").isNotNull() & (trim_python(F.col("query_text")) == "")).alias("qs_empty_query"),
+        count_if(qs & is_http_timestamp_profile(F.col("timestamp"))).alias("timestamp_http_format_lines"),
         count_if(qs & (F.coalesce(F.size("document_ids_inline"), F.lit(0)) > 0)).alias("qs_inline_doc_ids"),
         count_if(sr & F.col("search_id").startswith("-")).alias("negative_search_id_lines"),
         count_if(_rt() == fixed.DOCUMENT_OPEN).alias("doc_open_with_ts"),

@@ -5,7 +5,9 @@ blank lines, ``SESSION_END`` and ``CARD_SEARCH_END`` are kept as records
 (``EMPTY`` and their own types); the card parameter only has to *start*
 the first token; ``DOC_OPEN <ts> <id>`` is an open without timestamp whose
 search id is the timestamp token; error texts differ; the raw line is kept
-untrimmed.  Whitespace and digits are ASCII in both dialects.
+untrimmed.  Whitespace and digits follow Python (``str.split``,
+``str.strip``, ``\\d`` = any Unicode decimal digit), as the reader of this
+dialect is a Python script; the job dialect's JVM grammar uses ASCII.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from logsift.functions import fixed
 from logsift.functions.cache import session_cached
 from logsift.functions.fence import fence
-from logsift.functions.text import after_first_token, after_two_tokens, document_ids, python_quoted, trim_ascii
+from logsift.functions.text import after_first_token, after_two_tokens, document_ids, python_quoted, trim_python
 from logsift.operators.parse import tokenize
 
 PROFILE_COLUMNS = (
@@ -52,7 +54,7 @@ def _bad(error: Column) -> Column:
 
 def parse_profile_lines(lines: DataFrame) -> DataFrame:
     """Every line (blank ones as ``EMPTY``) -> one profile record."""
-    staged = tokenize(lines, keep_blank=True)
+    staged = tokenize(lines, keep_blank=True, dialect="profile")
     for name, expr in _stages():
         staged = staged.withColumn(name, expr)
     return fence(staged.select(*_profile_exprs()))
@@ -65,8 +67,8 @@ def _stages() -> list[tuple[str, Column]]:
     t0, t1, n, t1_ts = F.col("t0"), F.col("t1"), F.col("n_tokens"), F.col("t1_is_ts")
     kind = (
         F.when(F.col("raw") == "", _kind(fixed.EMPTY))
-        .when(t0.rlike(fixed.SEARCH_ID_WHOLE) & ~t1_ts, _kind(fixed.SEARCH_RESULTS))
-        .when(t0.rlike(fixed.CARD_PARAM_PREFIX), _kind(fixed.CARD_SEARCH_QUERY))
+        .when(t0.rlike(fixed.P_SEARCH_ID_WHOLE) & ~t1_ts, _kind(fixed.SEARCH_RESULTS))
+        .when(t0.rlike(fixed.P_CARD_PARAM_PREFIX), _kind(fixed.CARD_SEARCH_QUERY))
         .when(~t0.isin(*fixed.KNOWN_COMMANDS), _bad(F.concat(F.lit(fixed.PERR_UNKNOWN_COMMAND), python_quoted(t0))))
         .when(
             t0 == fixed.CMD_CARD_SEARCH_END,
@@ -93,12 +95,15 @@ def _stages() -> list[tuple[str, Column]]:
     raw = F.col("raw")
     return [
         ("_kind", kind),
-        ("_tail2", F.when(rt.isin(fixed.QUICK_SEARCH, fixed.CARD_SEARCH_START), after_two_tokens(raw))),
-        ("_ids", F.when(rt == fixed.SEARCH_RESULTS, document_ids(raw))),
-        ("_rest", F.when(rt == fixed.CARD_SEARCH_QUERY, after_first_token(raw, t0))),
+        (
+            "_tail2",
+            F.when(rt.isin(fixed.QUICK_SEARCH, fixed.CARD_SEARCH_START), after_two_tokens(raw, fixed.P_AFTER_TWO_TOKENS)),
+        ),
+        ("_ids", F.when(rt == fixed.SEARCH_RESULTS, document_ids(raw, fixed.P_DOC_ID))),
+        ("_rest", F.when(rt == fixed.CARD_SEARCH_QUERY, after_first_token(raw, t0, trim_python))),
         ("_body", F.when(rt == fixed.QUICK_SEARCH, F.col("_tail2"))),
-        ("_braced", F.col("_body").rlike(r"(?s)^\{[^}]*\}")),
-        ("_tail", F.when(F.col("_braced"), trim_ascii(F.regexp_extract("_body", fixed.QS_BRACE_BODY, 2)))),
+        ("_braced", F.col("_body").rlike(fixed.P_QS_BRACE)),
+        ("_tail", F.when(F.col("_braced"), trim_python(F.regexp_extract("_body", fixed.P_QS_BRACE_BODY, 2)))),
     ]
 
 
@@ -109,7 +114,7 @@ def _profile_exprs() -> list[Column]:
     is_card = rt == fixed.CARD_SEARCH_QUERY
     is_qs = rt == fixed.QUICK_SEARCH
     rest_c, tail = F.col("_rest"), F.col("_tail")
-    only_doc = rest_c.rlike(fixed.DOC_ID_WHOLE)
+    only_doc = rest_c.rlike(fixed.P_DOC_ID_WHOLE)
     no_ts_open = rt == fixed.DOCUMENT_OPEN_NO_TS
     return [
         F.col("source_file_id"),
@@ -134,10 +139,10 @@ def _profile_exprs() -> list[Column]:
         .when(no_ts_open, F.col("t2"))
         .alias("document_id"),
         F.when(is_card & ~only_doc & (rest_c != ""), rest_c)
-        .when(is_qs & F.col("_braced"), F.regexp_extract("_body", fixed.QS_BRACE_BODY, 1))
+        .when(is_qs & F.col("_braced"), F.regexp_extract("_body", fixed.P_QS_BRACE_BODY, 1))
         .alias("query_text"),
         F.when((rt == fixed.CARD_SEARCH_START) & (F.col("_tail2") != ""), F.col("_tail2")).alias("params"),
         F.when(is_qs & ~F.col("_braced"), F.col("_body")).alias("query_raw"),
-        F.when(is_qs & (tail != ""), document_ids(tail)).alias("document_ids_inline"),
+        F.when(is_qs & (tail != ""), document_ids(tail, fixed.P_DOC_ID)).alias("document_ids_inline"),
         F.when(is_qs & (tail != ""), tail).alias("tail_raw"),
     ]

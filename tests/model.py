@@ -139,64 +139,67 @@ def task_results(sessions, target="ACC_45616"):
     return total, task2
 
 
-def _quoted(tok):
-    esc = tok.replace("\\", "\\\\")
-    if "'" in tok and '"' not in tok:
-        return f'"{esc}"'
-    return "'" + esc.replace("'", "\\'") + "'"
+PY_TS_STD = re.compile(r"\d{2}\.\d{2}\.\d{4}_\d{2}:\d{2}:\d{2}")
+PY_TS_HTTP = re.compile(r"(Mon|Tue|Wed|Thu|Fri|Sat|Sun),_\d{1,2}_[A-Za-z]{3}_\d{4}_\d{2}:\d{2}:\d{2}_\+\d{4}")
+PY_DOC = re.compile(r"[A-Z]+_\d+")
+
+
+def _py_is_ts(tok):
+    return tok is not None and bool(PY_TS_STD.fullmatch(tok) or PY_TS_HTTP.fullmatch(tok))
 
 
 def parse_profile(line):
-    """Profile dialect (ASCII whitespace): dict of the profile columns."""
-    raw = trim(line)
+    """Profile dialect with Python's own whitespace, Unicode digits and
+    repr(): dict of the profile columns."""
+    raw = line.strip()
     out = {k: None for k in ("parse_error", "timestamp", "search_id", "document_ids", "document_count", "card_param",
                              "document_id", "query_text", "params", "query_raw", "document_ids_inline", "tail_raw")}
     if not raw:
         return dict(out, record_type="EMPTY")
-    p = WS.split(raw)
+    p = raw.split()
     n, t0 = len(p), p[0]
     t1 = p[1] if n > 1 else None
 
     def bad(err):
         return dict(out, record_type="UNPARSEABLE", parse_error=err)
 
-    if re.fullmatch(r"-?\d+", t0, re.ASCII) and not is_ts(t1):
-        ids = DOC.findall(raw)
+    if re.fullmatch(r"-?\d+", t0) and not _py_is_ts(t1):
+        ids = PY_DOC.findall(raw)
         return dict(out, record_type="SEARCH_RESULTS", search_id=t0, document_ids=ids, document_count=len(ids))
-    if re.match(r"\$\d+", t0, re.ASCII):
-        rest = trim(raw[len(t0):])
+    if re.match(r"\$\d+", t0):
+        rest = raw[len(t0):].strip()
         rec = dict(out, record_type="CARD_SEARCH_QUERY", card_param=t0)
-        if re.fullmatch(r"[A-Z]+_\d+", rest, re.ASCII):
+        if re.fullmatch(r"[A-Z]+_\d+", rest):
             return dict(rec, document_id=rest)
         return dict(rec, query_text=rest or None)
     if t0 not in COMMANDS:
-        return bad(f"unknown command: {_quoted(t0)}")
+        return bad(f"unknown command: {t0!r}")
     if t0 == "CARD_SEARCH_END":
         if n == 1:
             return dict(out, record_type="CARD_SEARCH_END")
-        if n == 2 and is_ts(t1):
+        if n == 2 and _py_is_ts(t1):
             return dict(out, record_type="CARD_SEARCH_END", timestamp=t1)
         return bad("CARD_SEARCH_END with unexpected tokens")
     if n < 2:
         return bad("missing timestamp")
-    if not is_ts(t1):
+    if not _py_is_ts(t1):
         if t0 == "DOC_OPEN" and n >= 3:
             return dict(out, record_type="DOCUMENT_OPEN_NO_TS", search_id=t1, document_id=p[2])
-        return bad(f"invalid timestamp: {_quoted(t1)}")
-    rest2 = WS.split(raw, maxsplit=2)
+        return bad(f"invalid timestamp: {t1!r}")
+    rest2 = raw.split(None, 2)
     tail2 = rest2[2] if len(rest2) > 2 else ""
     if t0 in ("SESSION_START", "SESSION_END"):
         return dict(out, record_type=t0, timestamp=t1)
     if t0 == "CARD_SEARCH_START":
-        return dict(out, record_type=t0, timestamp=t1, params=trim(tail2) or None)
+        return dict(out, record_type=t0, timestamp=t1, params=tail2.strip() or None)
     if t0 == "QS":
-        m = re.match(r"\{([^}]*)\}[ \t\n\x0b\f\r]*(.*)", tail2, re.DOTALL)
+        m = re.match(r"\{([^}]*)\}\s*(.*)", tail2, re.DOTALL)
         rec = dict(out, record_type="QUICK_SEARCH", timestamp=t1)
         if not m:
             return dict(rec, query_raw=tail2)
-        tail = trim(m.group(2))
+        tail = m.group(2).strip()
         rec = dict(rec, query_text=m.group(1))
-        return dict(rec, document_ids_inline=DOC.findall(tail), tail_raw=tail) if tail else rec
+        return dict(rec, document_ids_inline=PY_DOC.findall(tail), tail_raw=tail) if tail else rec
     if n == 4:
         return dict(out, record_type="DOCUMENT_OPEN", timestamp=t1, search_id=p[2], document_id=p[3])
     if n == 3:

@@ -1,4 +1,5 @@
-"""Random lines from an adversarial token vocabulary: both Spark parsers
+"""Random lines from an adversarial token vocabulary (Unicode whitespace,
+non-ASCII digits, non-printable characters, quotes): both Spark parsers
 against plain-Python models of the grammar."""
 
 import random
@@ -16,8 +17,10 @@ TOKENS = [
     "01.02.2024_10:00:00", "31.02.2024_10:00:00", "Mon,_5_Feb_2024_10:00:00_+0300", "Mon,_5_feb_2024_10:00:00_+0300",
     "1.02.2024_10:00:00", "12", "-7", "007", "1x", "$0", "$134", "$12x", "$", "ACC_45616", "ACC_456160", "LAW_1",
     "xACC_1", "acc_1", "{tax}", "{}", "{a", "b}", "{x}ACC_2", "it's", 'say"', "back\\slash", "ФЗ_1",
+    "١٢", "$٣", "ACC_٤٥", "٠١.٠٢.٢٠٢٤_١٠:٠٠:٠٠", "\ufeffSESSION_START", "a\x01b", "\u200bx", "\x7f", "é", "😀x",
+    "it's\x01", "\ud7ff", "\U000e0001",
 ]
-SEPS = [" ", "  ", "\t", " \t "]
+SEPS = [" ", "  ", "\t", " \t ", "\u00a0", "\u3000", "\x1c", " \u2028 "]
 
 
 def _line(rnd):
@@ -25,10 +28,10 @@ def _line(rnd):
         return rnd.choice(["", "   ", "\t"])
     n = rnd.randint(1, 6)
     body = rnd.choice(SEPS).join(rnd.choice(TOKENS) for _ in range(n))
-    return rnd.choice(["", " ", "\x01"]) + body + rnd.choice(["", " ", "\t"])
+    return rnd.choice(["", " ", "\x01", "\u00a0"]) + body + rnd.choice(["", " ", "\t", "\u3000"])
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.integers(min_value=0, max_value=2**32 - 1))
 def test_both_dialects_match_models(spark, seed):
     rnd = random.Random(seed)
@@ -36,6 +39,8 @@ def test_both_dialects_match_models(spark, seed):
     df = lines_df(spark, {"1": lines})
     job = {r["line_number"]: r.asDict() for r in parse_log_lines(df).collect()}
     prof = {r["line_number"]: r.asDict() for r in parse_profile_lines(df).collect()}
+    # job dialect: the JVM grammar (ASCII whitespace and digits); profile
+    # dialect: Python's whitespace, Unicode digits and repr()
     for i, line in enumerate(lines, start=1):
         m = parse(line)
         if m is None:
