@@ -51,7 +51,7 @@ def after_first_token(raw: Column, first: Column, trim=trim_ascii) -> Column:
     return trim(F.substring(raw, F.length(first) + 1, 2147483647))
 
 
-def after_two_tokens(raw: Column, pattern: str = r"(?s)^\S+\s+\S+\s+(.*)\z") -> Column:
+def after_two_tokens(raw: Column, pattern: str = r"(?s)^\S++\s++\S++\s++(.*)\z") -> Column:
     """Rest of a line after its first two whitespace-separated tokens."""
     return F.regexp_extract(raw, pattern, 1)
 
@@ -67,6 +67,7 @@ def id_prefix(doc_id: Column) -> Column:
 
 
 _NOT_PRINTABLE = r"^[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Zl}\p{Zp}\p{Zs}]\z"
+_NEEDS_ESCAPE = r"[\\\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Zl}\p{Zp}\p{Zs}]"
 
 
 def python_quoted(text: Column) -> Column:
@@ -94,4 +95,6 @@ def python_quoted(text: Column) -> Column:
             .otherwise(c)
         )
 
-    return F.concat(quote, F.array_join(F.transform(F.split(text, ""), escape), ""), quote)
+    plain = ~text.rlike(_NEEDS_ESCAPE) & ~(text.contains("'") & text.contains('"'))
+    body = F.when(plain, text).otherwise(F.array_join(F.transform(F.split(text, ""), escape), ""))
+    return F.concat(quote, body, quote)
