@@ -34,9 +34,6 @@ RECORD_COLUMNS = (
     "raw_line",
 )
 
-_TOKEN_COLUMNS = ("raw", "n_tokens", "t0", "t1", "t2", "t3", "t1_is_ts")
-
-
 def tokenize(lines: DataFrame, *, keep_blank: bool = False, dialect: str = "job") -> DataFrame:
     """Trim, drop blank lines, split once and expose the first tokens.
 
@@ -46,7 +43,7 @@ def tokenize(lines: DataFrame, *, keep_blank: bool = False, dialect: str = "job"
     timestamps with Unicode digits.
     """
     profile = dialect == "profile"
-    base = [c for c in lines.columns]
+    base = list(lines.columns)
     if not keep_blank:
         lines = lines.filter(F.col("line").rlike(r"[^\x00-\x20]"))
     trim = trim_python if profile else trim_ascii

@@ -3,7 +3,6 @@ brute-force check of the Spark plans on small generated inputs."""
 
 from __future__ import annotations
 
-import calendar
 import re
 from collections import Counter
 

@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from logsift.functions.timestamps import extract_date, is_timestamp
