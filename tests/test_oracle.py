@@ -51,3 +51,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["date", "document_id", "open_count"]
     assert df.count() == 58
+
+
+@pytest.mark.parametrize("name", ["parsed_records", "timestamps_dates", "quick_search_opens", "session_summary", "profile_records"])
+def test_query_matches_oracle_with_ansi_off(spark, duck, name):
+    """A driver session may run without ANSI mode; results must not change."""
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        got = _rows(E.queries()[name](spark, SF).toPandas())
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert got == _rows(duck.execute(E.oracle_sql()[name]).df())
