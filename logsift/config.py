@@ -18,6 +18,10 @@ from pyspark.sql import SparkSession
 #: :mod:`logsift.operators.sessions`).
 DEFAULT_CHUNK_ROWS = 1_000_000
 
+#: In the default ``auto`` file mode, session files larger than this are
+#: read in blocks (``split``) instead of as one value per file.
+SPLIT_ABOVE_BYTES = 64 << 20
+
 #: At most this many large sessions are listed on the driver and broadcast
 #: (one short row each); more than that stay a lazily joined table.
 MAX_LISTED_SESSIONS = 100_000

@@ -32,10 +32,10 @@ def _keep(df: DataFrame, how: str) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def read_input(spark: SparkSession, path: str, source: str = "files", file_mode: str = "whole") -> DataFrame:
-    """``files``: a directory tree of session files (``file_mode`` ``whole``
-    or ``split`` for very large files); ``table``: a ``log_lines`` Parquet
-    table."""
+def read_input(spark: SparkSession, path: str, source: str = "files", file_mode: str = "auto") -> DataFrame:
+    """``files``: a directory tree of session files (``file_mode``: ``auto``
+    reads large files in blocks and the rest whole, or ``whole`` /
+    ``split`` for all); ``table``: a ``log_lines`` Parquet table."""
     if source == "files":
         return read_session_files(spark, path, mode=file_mode)
     return read_log_lines_table(spark, path)
@@ -56,7 +56,7 @@ def run_metrics_job(
     keep: str = "persist",
     single_file: bool = False,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
-    file_mode: str = "whole",
+    file_mode: str = "auto",
 ) -> dict[str, int]:
     """Parse, fold sessions and write the four outputs.  Returns small
     counts for logging (rejects, Task 1, Task 2 rows).
@@ -122,7 +122,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source", choices=("files", "table", "records"), default="files")
     ap.add_argument("--target", default=fixed.TARGET_DOCUMENT)
     ap.add_argument("--keep", choices=("persist", "checkpoint"), default="persist")
-    ap.add_argument("--file-mode", choices=("whole", "split"), default="whole", help="split: read huge session files in blocks")
+    ap.add_argument(
+        "--file-mode", choices=("auto", "whole", "split"), default="auto", help="auto: files over 64 MB are read in blocks"
+    )
     ap.add_argument("--chunk-rows", type=int, default=DEFAULT_CHUNK_ROWS, help="largest window group; bigger sessions are chunked")
     ap.add_argument("--single-file", action="store_true", help="one part file per output (the original layout)")
     ap.add_argument("--profile", action="store_true", help="write the format profile instead of the metrics")

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logsift.config import SPLIT_ABOVE_BYTES
 from logsift.functions import fixed
 from logsift.functions.text import java_decoded
 
@@ -30,8 +31,9 @@ def read_session_files(
     *,
     recursive: bool = True,
     name_pattern: str = fixed.NUMERIC_FILE_NAME,
-    mode: str = "whole",
+    mode: str = "auto",
     decode: str = "java",
+    split_above_bytes: int = SPLIT_ABOVE_BYTES,
 ) -> DataFrame:
     """``log_lines`` (source_file_id, line_number, line, source_path).
 
@@ -39,16 +41,31 @@ def read_session_files(
     directories form one session; ``source_path`` keeps the full path as
     the tie-breaker for equal line numbers.  A missing root raises
     ``PATH_NOT_FOUND``.  A byte-order mark stays glued to the first token.
-    ``mode="split"`` reads huge files in parallel blocks instead.
+    ``mode``: ``whole`` reads every file whole; ``split`` reads every file
+    in parallel blocks; ``auto`` (default) reads files up to
+    ``split_above_bytes`` whole and larger ones in blocks.  Both parts
+    filter on ``_metadata.file_size``, which Spark applies when listing,
+    so each file is read once, by one of them.
     ``decode="python"`` replaces malformed UTF-8 the way Python's decoder
     does (the profile script's reader) instead of the JDK's.
     """
     if mode == "split":
         return read_session_files_split(spark, root, recursive=recursive, name_pattern=name_pattern, decode=decode)
+    small = F.col("_metadata.file_size") <= split_above_bytes if mode == "auto" else None
+    whole = _read_whole(spark, root, recursive, name_pattern, decode, small)
+    if mode == "whole":
+        return whole
+    large = F.col("_metadata.file_size") > split_above_bytes
+    split = read_session_files_split(spark, root, recursive=recursive, name_pattern=name_pattern, decode=decode, size_filter=large)
+    return whole.unionByName(split)
+
+
+def _read_whole(spark, root, recursive, name_pattern, decode, size_filter) -> DataFrame:
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower()).text(root, wholetext=True)
+    if size_filter is not None:
+        reader = reader.filter(size_filter)
     files = (
-        spark.read.option("recursiveFileLookup", str(recursive).lower())
-        .text(root, wholetext=True)
-        .select(
+        reader.select(
             F.col("_metadata.file_name").alias("source_file_id"),
             F.col("_metadata.file_path").alias("source_path"),
             _decoded(F.col("value"), decode).alias("text"),
@@ -97,6 +114,7 @@ def read_session_files_split(
     recursive: bool = True,
     name_pattern: str = fixed.NUMERIC_FILE_NAME,
     decode: str = "java",
+    size_filter: Column | None = None,
 ) -> DataFrame:
     """``log_lines`` from files read line by line in blocks of
     ``spark.sql.files.maxPartitionBytes``, for session files too large to
@@ -109,19 +127,23 @@ def read_session_files_split(
     row per block) are aggregated and joined back; the lines themselves are
     not shuffled.  Differences from ``whole`` mode: the line reader drops a
     leading byte-order mark, and ``\r`` alone ends a line only where the
-    Hadoop line reader treats it so (LF, CRLF and CR all do).
+    Hadoop line reader treats it so (LF, CRLF and CR all do).  File filters
+    (name, ``size_filter``) are applied on the reader itself, where Spark
+    uses them to skip files; the row-id projection after them is not
+    deterministic, so they could not be pushed through it.
     """
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower()).text(root)
+    reader = reader.filter(F.col("_metadata.file_name").rlike(name_pattern))
+    if size_filter is not None:
+        reader = reader.filter(size_filter)
     scanned = (
-        spark.read.option("recursiveFileLookup", str(recursive).lower())
-        .text(root)
-        .select(
+        reader.select(
             F.col("_metadata.file_name").alias("source_file_id"),
             F.col("_metadata.file_path").alias("source_path"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_row"),
             _decoded(F.col("value"), decode).alias("line"),
         )
-        .filter(F.col("source_file_id").rlike(name_pattern))
     )
     blocks = scanned.groupBy("source_path", "_block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first_row")

@@ -219,3 +219,25 @@ def test_profile_reader_replaces_malformed_utf8_like_python(spark):
     line = read_profile_files(spark, root).collect()[0].line
     assert line == data.decode("utf-8", "replace").rstrip("\n")  # three U+FFFD, as Python decodes it
     assert read_session_files(spark, root).collect()[0].line == "A�Z"  # one, as a Java reader decodes it
+
+
+def test_auto_mode_reads_each_file_once_by_size(spark):
+    """Small files are read whole and large ones in blocks; together they
+    give exactly the whole-mode lines (no byte-order marks here)."""
+    root = tempfile.mkdtemp(prefix="logsift-auto-")
+    os.makedirs(f"{root}/d")
+    with open(f"{root}/1", "w") as f:
+        f.write("SESSION_START 01.02.2024_10:00:00\r\nQS x\n")
+    with open(f"{root}/d/2", "w") as f:
+        f.write("".join(f"line {i}\n" for i in range(1, 2000)))
+    with open(f"{root}/d/1", "w") as f:
+        f.write("copy\n\nlast")
+    whole = sorted(tuple(r) for r in read_session_files(spark, root, mode="whole").collect())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        auto = read_session_files(spark, root, mode="auto", split_above_bytes=100)
+        got = sorted(tuple(r) for r in auto.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == whole and len(got) == 2 + 1999 + 3
