@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from logsift.operators import metrics
 from logsift.operators.parse import parse_log_lines
-from logsift.operators.sessions import session_dates, session_events, with_order_keys
+from logsift.operators.sessions import session_dates, session_events, session_sizes, with_order_keys
 from model import parse as model_parse
 from model import task_results
 
@@ -168,3 +168,15 @@ def test_many_large_sessions_use_the_lazily_joined_chunk_table(spark):
     ev = session_events(rec, chunk_rows=10, sizes=session_sizes(lines), max_listed=2)
     assert metrics.card_search_count(ev).collect()[0][1] == exp[0]
     assert [tuple(r) for r in metrics.quick_search_opens(ev).collect()] == exp[1]
+
+
+def test_fixture_task_numbers_sf001(spark):
+    from logsift.operators.parse import unparseable_lines
+    from logsift.sources.tables import log_lines_from_sf_dir
+
+    lines = log_lines_from_sf_dir(spark, "/root/testdata/sf0.01")
+    rec = parse_log_lines(lines)
+    ev = session_events(rec, sizes=session_sizes(log_lines_from_sf_dir(spark, "/root/testdata/sf0.01", fenced=False)))
+    assert metrics.card_search_count(ev).collect()[0][1] == 73
+    assert tuple(metrics.quick_search_opens(ev).agg(F.count("*"), F.sum("open_count")).collect()[0]) == (336, 1395)
+    assert unparseable_lines(rec).count() == 1183
