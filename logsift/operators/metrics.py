@@ -7,7 +7,7 @@ is collapsed before it is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsift.functions import fixed
@@ -94,24 +94,31 @@ def document_opens(records: DataFrame) -> DataFrame:
     return timed.unionByName(untimed).groupBy("date", "document_id").agg(F.sum("n").cast("long").alias("open_count"))
 
 
-def _shown_and_opened(events: DataFrame) -> DataFrame:
-    """One row per (date, document) fact of a session: ``shown`` for every id
-    of a result line outside a card block (dated by the last quick search),
-    ``opened`` for every dated open (own date, else the session date)."""
+def _fact_flags() -> tuple[Column, Column, Column]:
+    """``shown``: a result line outside a card block with a quick-search
+    date; ``opened``: a dated open (own date, else the session date); and
+    that open's date.  A row is at most one of the two (different types)."""
     rt = F.col("record_type")
     shown = (rt == fixed.SEARCH_RESULTS) & ~F.col("in_block") & F.col("qs_date").isNotNull()
     open_date = F.when(rt == fixed.DOCUMENT_OPEN, F.col("event_date")).when(
         rt == fixed.DOCUMENT_OPEN_NO_TS, F.col("session_date")
     )
     opened = open_date.isNotNull() & F.col("document_id").isNotNull()
-    facts = F.when(
-        shown,
-        F.transform("document_ids", lambda d: F.struct(F.col("qs_date").alias("date"), d.alias("document_id"), F.lit(False).alias("opened"))),
-    ).when(
-        opened,
-        F.array(F.struct(open_date.alias("date"), F.col("document_id").alias("document_id"), F.lit(True).alias("opened"))),
+    return shown, opened, open_date
+
+
+def _shown_and_opened(events: DataFrame) -> DataFrame:
+    """One row per (date, document) fact of a session: every id of a shown
+    result line, dated by its quick search, and every dated open.  A plain
+    ``explode`` (code-generated), with date and flag taken from the row."""
+    shown, opened, open_date = _fact_flags()
+    ids = F.when(shown, F.col("document_ids")).otherwise(F.array("document_id"))
+    return events.filter(shown | opened).select(
+        SID,
+        F.when(shown, F.col("qs_date")).otherwise(open_date).alias("date"),
+        (~shown).alias("opened"),
+        F.explode(ids).alias("document_id"),
     )
-    return events.filter(shown | opened).select(SID, F.inline(facts))
 
 
 def quick_search_opens(events: DataFrame) -> DataFrame:
@@ -144,33 +151,22 @@ def session_summary(events: DataFrame) -> DataFrame:
     id first, so on the window's session partitioning they need no
     shuffle; with chunked large sessions Spark adds partial-aggregated
     exchanges."""
-    rt = F.col("record_type")
-    key_type = "struct<kind:string,n:int,a:string,b:string,opens:int>"
-
-    def key(kind, n=None, a=None, b=None, opens=0):
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            (n if n is not None else F.lit(None).cast("int")).alias("n"),
-            (a if a is not None else F.lit(None).cast("string")).alias("a"),
-            (b if b is not None else F.lit(None).cast("string")).alias("b"),
-            F.lit(opens).alias("opens"),
-        )
-
-    shown = (rt == fixed.SEARCH_RESULTS) & ~F.col("in_block") & F.col("qs_date").isNotNull()
-    open_date = F.when(rt == fixed.DOCUMENT_OPEN, F.col("event_date")).when(rt == fixed.DOCUMENT_OPEN_NO_TS, F.col("session_date"))
-    opened = open_date.isNotNull() & F.col("document_id").isNotNull()
+    shown, opened, _ = _fact_flags()
     hit_block = F.col("in_block") & F.col("hit")
-    keys = (
-        F.when(shown, F.transform("document_ids", lambda d: key("pair", a=F.col("qs_date"), b=d)))
-        .when(opened, F.array(key("open", opens=1)))
-        .when(hit_block, F.array(key("block", n=F.col("block_line"), a=F.col("block_path"))))
-        .otherwise(F.array(key("none")))
-        .cast(f"array<{key_type}>")
+    kind = F.when(shown, "pair").when(opened, "open").when(hit_block, "block").otherwise("none")
+    # shown lines give one key per id; every other row exactly one key
+    elements = F.when(shown, F.col("document_ids")).otherwise(F.array(F.lit(None).cast("string")))
+    keys = events.select(
+        SID,
+        kind.alias("kind"),
+        F.when(kind == "block", F.col("block_line")).alias("n"),
+        F.when(kind == "pair", F.col("qs_date")).when(kind == "block", F.col("block_path")).alias("a"),
+        F.when(kind == "open", 1).otherwise(0).alias("opens"),
+        F.explode(elements).alias("b"),
     )
     kind = F.col("kind")
     return (
-        events.select(SID, F.inline(keys))
-        .groupBy(SID, "kind", "n", "a", "b")
+        keys.groupBy(SID, "kind", "n", "a", "b")
         .agg(F.sum("opens").alias("opens"))
         .groupBy(SID)
         .agg(
