@@ -88,6 +88,14 @@ def run_metrics_job(
                 events.unpersist()
 
 
+def compact_session_files(spark: SparkSession, input_path: str, table_path: str, *, file_mode: str = "auto") -> int:
+    """Write session files once as a ``log_lines`` Parquet table; later runs
+    read it with ``source="table"`` (columns and row groups instead of
+    listing and reading many small files).  Returns the number of lines."""
+    writers.write_log_lines_table(read_session_files(spark, input_path, mode=file_mode), table_path)
+    return spark.read.parquet(table_path).count()
+
+
 PROFILE_TABLES = {
     "summary": profile.profile_summary,
     "record_types": profile.profile_record_types,
@@ -128,9 +136,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--chunk-rows", type=int, default=DEFAULT_CHUNK_ROWS, help="largest window group; bigger sessions are chunked")
     ap.add_argument("--single-file", action="store_true", help="one part file per output (the original layout)")
     ap.add_argument("--profile", action="store_true", help="write the format profile instead of the metrics")
+    ap.add_argument("--compact", action="store_true", help="write the session files as a log_lines table at <output>")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("logsift").getOrCreate()
-    if args.profile:
+    if args.compact:
+        print({"lines": compact_session_files(spark, args.input, args.output, file_mode=args.file_mode)})
+    elif args.profile:
         run_profile_job(spark, args.input, args.output, source=args.source, keep=args.keep)
     else:
         print(

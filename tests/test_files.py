@@ -241,3 +241,13 @@ def test_auto_mode_reads_each_file_once_by_size(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == whole and len(got) == 2 + 1999 + 3
+
+
+def test_compacted_table_gives_the_same_metrics(spark):
+    from logsift.plans.job import compact_session_files
+
+    root = _write_sessions(spark, "/root/testdata/sf0.001")
+    table = tempfile.mkdtemp(prefix="logsift-compact-") + "/log_lines"
+    assert compact_session_files(spark, root, table) == 1000
+    out = tempfile.mkdtemp(prefix="logsift-out-")
+    assert run_metrics_job(spark, table, out, source="table") == {"unparseable_lines": 96, "card_search_count": 7, "task2_rows": 58}
