@@ -58,5 +58,7 @@ def write_quick_search_opens(task2_sorted: DataFrame, out_dir: str, *, single_fi
 
 def write_log_lines_table(lines: DataFrame, path: str) -> None:
     """Compact scanned session files into a ``log_lines`` Parquet table, so
-    later runs read columns instead of re-listing many small files."""
-    lines.write.mode("overwrite").parquet(path)
+    later runs read columns instead of re-listing many small files.  Rows
+    are sorted by (session, line) within each task (no shuffle): better
+    compression, and tight row-group statistics on ``source_file_id``."""
+    lines.sortWithinPartitions("source_file_id", "line_number").write.mode("overwrite").parquet(path)
