@@ -9,9 +9,11 @@ walks a session in line order:
 * the date of the last quick search (an impossible date resets it);
 * the date of the session's first ``SESSION_START`` (whole-session scope).
 
-The first two are "last value before this row" scans; the third is an
-aggregate.  A scan is written as ``last(..., ignorenulls)`` over a frame
-ending one row before the current one.  Values are wrapped in a struct so
+The first two are "last value before this row" scans; the third is a
+minimum over the whole window group (combined across the chunks of a large
+session; :func:`session_dates` gives it as a plain aggregate).  A scan is
+written as ``last(..., ignorenulls)`` over a frame ending one row before
+the current one.  Values are wrapped in a struct so
 that a null date stays visible instead of being skipped.
 
 Scale: a window group is processed by one task, so a session must never
