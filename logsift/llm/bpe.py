@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +49,9 @@ from pyspark.sql import functions as F
 from .common import text_bytes, text_groups, with_columns
 
 #: Entries of a worker's word cache; it starts anew when full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
+#: Bytes of text encoded together: words repeated within are looked up once.
+ENCODE_BYTES = 8 << 20
 #: Entries of the transition table kept by a worker.
 TABLE_ARCS = 1_000_000
 
@@ -158,28 +161,53 @@ class Automaton:
             yield ids[::-1]
 
 
-class ChunkEncoder:
+# Fixed value: the split pattern of the tokenizer files this module reads.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for lower-case text below U+0240 without U+0085 and U+00A0.
+_PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}\t-\r ]+"
+#: Bytes that do not begin characters from U+0240 on.
+_USUAL = bytes(range(0xC9))
+
+
+class WordEncoder:
     """Text handling of one tokenizer file (its JSON text): special tokens,
-    normalization and pre-splitting by runs without white space, which no
-    pattern of the file crosses.  Subclasses turn runs into ids."""
+    normalization and pre-splitting.  Characters below U+0240 need only
+    lower case and the split pattern, done for many texts at once; other
+    texts go through the file's own normalizer and splitter.  Subclasses
+    turn distinct pre-split words into ids."""
 
     def __init__(self, spec: str):
-        self._conf = json.loads(spec)
-        self.special = {t["content"]: t["id"] for t in self._conf["added_tokens"]}
+        from tokenizers import Tokenizer
+
+        conf = json.loads(spec)
+        if PATTERN not in {p.get("pattern", {}).get("Regex") for p in conf["pre_tokenizer"].get("pretokenizers", [])}:
+            raise ValueError("the file's split pattern is not the supported one")
+        self.special = {t["content"]: t["id"] for t in conf["added_tokens"]}
         stops = sorted((re.escape(t.encode()) for t in self.special), key=len, reverse=True)
         self._stop = re.compile(b"(" + b"|".join(stops) + b")") if stops else None
-        self._chunks: dict[bytes, bytes] = {}
+        model = conf["model"] | {"vocab": {}, "merges": []}
+        bare = Tokenizer.from_str(json.dumps(conf | {"model": model, "added_tokens": []}))
+        self._normal, self._split = bare.normalizer, bare.pre_tokenizer
+        self._symbols = byte_symbols()
+        self._words: dict[str, bytes] = {}
 
-    def new_ids(self, chunks: list[bytes]) -> Iterator[bytes]:
+    def word_ids(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of pre-split words (byte stand-ins, in sorted order)."""
         raise NotImplementedError
 
-    def _ids(self, chunks: list[bytes]) -> list[bytes]:
-        have = self._chunks
+    def _ids(self, words: list[str]) -> list[bytes]:
+        have, symbols = self._words, self._symbols
         if len(have) > CACHE_WORDS:
             have.clear()
-        new = [c for c in chunks if c not in have]
-        have.update(zip(new, self.new_ids(new), strict=True))
-        return [have[c] for c in chunks]
+        new = {"".join([symbols[x] for x in w.encode()]): w for w in words if w not in have}
+        missing = sorted(new)
+        have.update(zip([new[m] for m in missing], self.word_ids(missing), strict=True))
+        return [have[w] for w in words]
+
+    def _spaced(self, text: bytes) -> str:
+        """The pre-split words of an unusual text, set apart by blanks."""
+        line = self._normal.normalize_str(text.decode("utf-8"))
+        return " ".join([line[a:b] for _, (a, b) in self._split.pre_tokenize_str(line)])
 
     def _pieces(self, texts: list[bytes]) -> tuple[list[bytes], list[int]]:
         """The texts cut at special tokens, and the text of each piece."""
@@ -194,14 +222,19 @@ class ChunkEncoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         pieces, owner = self._pieces(texts)
         ends = np.array([pieces[i].decode("ascii", "ignore") in self.special if pieces[i][:1] == b"<" else False for i in range(len(pieces))], bool)
-        plain = pa.array([b"" if e else p for p, e in zip(pieces, ends.tolist(), strict=True)], pa.binary())
-        runs = pc.ascii_split_whitespace(plain.cast(pa.string()))
+        unusual = [k for k, p in enumerate(pieces) if not ends[k] and (p.translate(None, _USUAL) or b"\xc4\xb0" in p)]  # U+0130 has a lower case of two characters
+        spaced = {k: self._spaced(pieces[k]) for k in unusual}
+        plain = pa.array([b"" if ends[k] or k in spaced else p.replace(b"\xc2\xa0", b" ").replace(b"\xc2\x85", b" ") for k, p in enumerate(pieces)], pa.binary())
+        marked = pc.replace_substring_regex(pc.utf8_lower(plain.cast(pa.string())), _PLAIN, r"\0 ")
+        if spaced:
+            marked = pa.array([spaced.get(k, m) for k, m in enumerate(marked.to_pylist())], pa.string())
+        runs = pc.ascii_split_whitespace(marked)
         flat = runs.flatten()
         run_piece = np.repeat(np.arange(len(pieces)), pc.list_value_length(runs).to_numpy())
         keep = pc.binary_length(flat).to_numpy() > 0
         coded = flat.filter(pa.array(keep)).dictionary_encode()
         index, run_piece = coded.indices.to_numpy(), run_piece[keep]
-        ids = self._ids([c.encode() for c in coded.dictionary.to_pylist()])
+        ids = self._ids(_strings(coded.dictionary))
         for k in np.flatnonzero(ends).tolist():  # special tokens, in their place
             at = np.searchsorted(run_piece, k, side="right")
             index, run_piece = np.insert(index, at, len(ids)), np.insert(run_piece, at, k)
@@ -217,61 +250,20 @@ class ChunkEncoder:
         return [raw[a:b] for a, b in zip((stop - per_text * 4).tolist(), stop.tolist(), strict=True)]
 
 
-class Codec(ChunkEncoder):
+class Codec(WordEncoder):
     """Encoder and decoder of one tokenizer file by its automaton."""
 
-    _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
-
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-
         super().__init__(spec)
-        conf, model = self._conf, self._conf["model"]
+        model = json.loads(spec)["model"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], pairs, model.get("end_of_word_suffix") or "")
         labels = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         self._labels = pa.array([labels.get(i, "") for i in range(max(labels) + 1)], pa.string())
-        # text normalization and word splitting are the file's own; its model is left out
-        bare = Tokenizer.from_str(json.dumps(conf | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": []}))
-        self._normal, self._split = bare.normalizer, bare.pre_tokenizer
-        self._symbols = byte_symbols()
-        self._words: dict[str, bytes] = {}
-        del self._conf
-
-    def new_ids(self, chunks: list[bytes]) -> Iterator[bytes]:
-        parts = list(self._parts(chunks))
-        words = self._words
-        if len(words) > CACHE_WORDS:
-            words.clear()
-        missing = sorted({w for ws in parts for w in ws if w not in words})
-        for w, ids in zip(missing, self.automaton.encode_sorted(missing), strict=True):
-            words[w] = np.array(ids, "<u4").tobytes()
-        for ws in parts:
-            yield words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
-
-    def _parts(self, chunks: list[bytes]) -> Iterator[list[str]]:
-        """The pre-split words of each chunk, as byte stand-ins."""
-        other = [c.decode("utf-8") for c in chunks if not c.isascii()]
-        split = iter(self._split_many(other))
-        for c in chunks:
-            if c.isascii():
-                parts = self._ASCII.findall(c.decode("ascii").lower())
-                yield [p if p.isalnum() else "".join([self._symbols[ord(x)] for x in p]) for p in parts]
-            else:
-                yield next(split)
-
-    def _split_many(self, chunks: list[str]) -> list[list[str]]:
-        if len(chunks) > 1:
-            line = self._normal.normalize_str(" ".join(chunks))
-            ends = np.cumsum([len(c) + 1 for c in line.split(" ")])
-            if len(ends) == len(chunks):  # no white space within a chunk
-                out: list[list[str]] = [[] for _ in chunks]
-                found = self._split.pre_tokenize_str(line)
-                owner = np.searchsorted(ends, [at for _, (at, _) in found], side="right")
-                for k, (p, _) in zip(owner.tolist(), found, strict=True):
-                    out[k].append(p)
-                return out
-        return [[p for p, _ in self._split.pre_tokenize_str(self._normal.normalize_str(c))] for c in chunks]
+
+    def word_ids(self, words: list[str]) -> Iterator[bytes]:
+        for ids in self.automaton.encode_sorted(words):
+            yield array("I", ids).tobytes()
 
     def decode(self, ids: list[bytes]) -> pa.Array:
         """The arc labels of each id sequence, joined by one blank."""
@@ -280,6 +272,13 @@ class Codec(ChunkEncoder):
         return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), labels), " ")
 
 
+def _strings(words: pa.Array) -> list[str]:
+    """Python strings of an array whose values hold no blank."""
+    if not len(words):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")[0].as_py().split(" ")
+
+
 _codecs: dict[str, Codec] = {}
 
 
@@ -305,7 +304,7 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(spec.value)
-        for part in text_groups(batches):
+        for part in text_groups(batches, ENCODE_BYTES):
             ids = c.encode(text_bytes(part))
             added = [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays([*part.columns, *added], names=[*part.schema.names, "n_tokens", "ids"])

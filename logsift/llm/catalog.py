@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, quality, sharding, token_files
+from . import bpe, decontaminate, html_text, licenses, near_dup, quality, sharding, suffix_dedup, token_files
 from .common import ship, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,19 @@ END_ID = 2
 SHARDS = 40
 
 
+def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_odd_sketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+def op3_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = bpe.digests(bpe.round_trip(docs, TOKENIZER))
@@ -28,6 +41,10 @@ def op6_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op7_host_suffix_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
 def op8_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 16).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"))
@@ -53,8 +70,12 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES = {
     q.__name__: _shipped(q)
     for q in (
+        op1_benchmark_leaks,
+        op2_odd_sketch_near_dup,
+        op3_suffix_family,
         op5_bpe_automaton,
         op6_license_index,
+        op7_host_suffix_text,
         op8_hypergeometric_shards,
         op9_suffix_quality,
         op10_token_files,
@@ -62,6 +83,30 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_odd_sketch_near_dup": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS shingles FROM d
+), sizes AS (
+  SELECT doc_id, len(shingles)::BIGINT AS n FROM s
+), e AS (
+  SELECT doc_id, unnest(shingles) AS h FROM s
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), both_ways AS (
+  SELECT a, b FROM link UNION SELECT b, a FROM link
+), reach AS (
+  SELECT a AS doc_id, a AS r FROM both_ways UNION SELECT reach.doc_id, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a
+), comp AS (
+  SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT sizes.doc_id, n AS n_shingles, coalesce(component_id, sizes.doc_id) AS component_id, coalesce(component_id, sizes.doc_id) = sizes.doc_id AS kept
+FROM sizes LEFT JOIN comp USING (doc_id)
+""",
     # a word is covered by repeats of at least r words exactly if it lies in
     # an r-word window that occurs twice in its document
     "op9_suffix_quality": rf"""

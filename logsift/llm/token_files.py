@@ -34,6 +34,7 @@ from __future__ import annotations
 import os
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import ChunkEncoder, read_spec
+from .bpe import ENCODE_BYTES, WordEncoder, read_spec
 from .common import crc32, shared_folder, text_bytes, text_column, text_groups, written
 
 INDEX_MAGIC, SEEK_SKIP_MAGIC, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -54,21 +55,20 @@ FRAME_BYTES = 64 << 20
 LEVEL = 3
 
 
-class LibraryEncoder(ChunkEncoder):
-    """Ids by the tokenizers library, each distinct run encoded once."""
+class LibraryEncoder(WordEncoder):
+    """Ids by the tokenizers library, each distinct word encoded once."""
 
     def __init__(self, spec: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
 
         super().__init__(spec)
         self._library = Tokenizer.from_str(spec)
         self.largest = self._library.get_vocab_size(with_added_tokens=True) - 1
-        del self._conf
 
-    def new_ids(self, chunks: list[bytes]) -> Iterator[bytes]:
-        for e in self._library.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False):
-            yield np.array(e.ids, "<u4").tobytes()
+    def word_ids(self, words: list[str]) -> Iterator[bytes]:
+        tokenize = self._library.model.tokenize
+        for w in words:
+            yield array("I", [t.id for t in tokenize(w)]).tobytes()
 
 
 _encoders: dict[str, LibraryEncoder] = {}
@@ -178,7 +178,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
         with store.open_output_stream(local) as sink:
             out = TokenFileWriter(sink, 2 if max(encoder.largest, end_id) < 1 << 16 else 4)
             for batch in _chain(first, batches):
-                for piece in text_groups([batch]):
+                for piece in text_groups([batch], ENCODE_BYTES):
                     encoded = encoder.encode(text_bytes(piece))
                     for d, i in zip(piece.column(0).to_pylist(), encoded, strict=True):
                         out.add(d, np.append(np.frombuffer(i, "<u4"), np.uint32(end_id)))
@@ -217,7 +217,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 cols = zip(*found, strict=True) if found else [[]] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
 
-    files = manifest.select("path", "start").repartition("path")
+    files = manifest.select("path", "start").repartition(max(1, manifest.count()), "path")
     return files.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
