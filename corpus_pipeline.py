@@ -1,12 +1,15 @@
-"""Corpus pipeline: quality rules, near and exact duplicates, benchmark
-decontamination, then BPE encoding, each stage on what the one before kept."""
+"""Corpus pipeline: quality rules, near duplicates, repeated passages,
+benchmark decontamination, then BPE encoding, each stage on what the one
+before kept.  All stages but the last return the columns of documents."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logsift.llm import quality
-from logsift.llm.common import ship, written
+from logsift.llm import bpe, decontaminate, near_dup, quality, suffix_dedup
+from logsift.llm.catalog import TOKENIZER
+from logsift.llm.common import ship, table, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,14 +18,51 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-STAGES = [("quality rules", quality_stage)]
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the smallest doc_id."""
+    ship(spark)
+    return near_dup.keep_one(docs, size=5, percent=80)
+
+
+def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 400 bytes or more that repeat; a
+    character cut in two becomes U+FFFD, and n_chars is counted anew."""
+    ship(spark)
+    kept = suffix_dedup.remove_repeats(docs)
+    text = F.when(F.col("n_removed") > 0, F.make_valid_utf8(F.col("kept").cast("string"))).otherwise(F.col("text"))
+    chars = F.when(F.col("n_removed") > 0, F.char_length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    new = {"text": text, "n_chars": chars}
+    return kept.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+
+
+def leaks_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no copy of a benchmark item."""
+    ship(spark)
+    return decontaminate.remove_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, ids, and the digests of ids and of
+    the decoded text."""
+    ship(spark)
+    done = bpe.digests(bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), TOKENIZER))
+    return done.select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("near duplicates", near_dup_stage),
+    ("repeated passages", repeats_stage),
+    ("benchmark leaks", leaks_stage),
+    ("tokens", tokens_stage),
+]
 
 #: Substring removal, alignment and tokenization are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, licenses, near_dup, quality, sharding, suffix_dedup, token_files
+from . import bpe, decontaminate, html_text, licenses, near_dup, pitman_yor, quality, sharding, suffix_dedup, token_files
 from .common import ship, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +31,10 @@ def op3_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = bpe.digests(bpe.round_trip(docs, TOKENIZER))
@@ -73,6 +77,7 @@ QUERIES = {
         op1_benchmark_leaks,
         op2_odd_sketch_near_dup,
         op3_suffix_family,
+        op4_pitman_yor_scores,
         op5_bpe_automaton,
         op6_license_index,
         op7_host_suffix_text,
