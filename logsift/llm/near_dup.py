@@ -15,14 +15,15 @@ Documents with equal sets are folded to their smallest doc_id first.  In
 each band bucket every member is first paired with the bucket's smallest
 member only (hot members are salted), and the links' components are
 found.  Buckets that still hold several components are then searched for
-pairs across components by sketch, in blocks, and those pairs are
-confirmed too.  So every pair of different sets that shares a band and
+pairs across components, in blocks, by a finer odd sketch of their members
+(``FINE`` samples), and those pairs are confirmed too.  So every pair of different sets that shares a band and
 passes the sketch is either confirmed or already in one component, and no
 group is expanded into all its pairs.
 
 A pair with similarity 0.8 shares no band with probability
-(1 - 0.8**4)**32 = 5e-8; the estimate of such a pair falls below 0.55
-(more than five standard deviations) with probability below 1e-6.
+(1 - 0.8**4)**32 = 5e-8; the estimate of such a pair falls below 0.55, or
+its fine estimate below 0.745 (both about five standard deviations), with
+probability near 1e-6.
 
 Null or empty texts and texts without words have an empty set and link
 with nothing.  Rows with one doc_id are one node.  A null doc_id links
@@ -46,14 +47,15 @@ from .components import connected_components
 BANDS, ROWS = 32, 4
 SKETCH_WORDS = 8  # of 64 bits
 MIN_ESTIMATE = 0.55
+FINE, FINE_WORDS, FINE_ESTIMATE = 2048, 128, 0.745
 #: Members confirmed against one smallest member in one group.
 GROUP_MEMBERS = 256
 #: Members of a bucket compared by sketch at once.
 BLOCK = 2048
 
 _rng = np.random.default_rng(20240229)
-_A = _rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_B = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+_A = _rng.integers(0, 1 << 31, FINE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_B = _rng.integers(0, 1 << 32, FINE, dtype=np.uint32)
 _C = _rng.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -100,9 +102,9 @@ def hashed_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     return out
 
 
-def minhashes(sets: list[np.ndarray]) -> np.ndarray:
-    """Samples (BANDS * ROWS, sets) of non-empty sets."""
-    out = np.empty((BANDS * ROWS, len(sets)), np.uint32)
+def minhashes(sets: list[np.ndarray], count: int = BANDS * ROWS) -> np.ndarray:
+    """Samples (count, sets) of non-empty sets."""
+    out = np.empty((count, len(sets)), np.uint32)
     first = 0
     while first < len(sets):
         last, total = first, 0
@@ -112,7 +114,7 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
         part = sets[first:last]
         x = np.concatenate(part).astype(np.uint32)
         starts = np.cumsum([0, *(len(s) for s in part[:-1])])
-        for j in range(BANDS * ROWS):
+        for j in range(count):
             out[j, first:last] = np.minimum.reduceat(x * _A[j] + _B[j], starts)
         first = last
     return out
@@ -129,19 +131,19 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return keys
 
 
-def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """(sets, SKETCH_WORDS) parity bitmaps of the samples."""
-    out = np.zeros((samples.shape[1], SKETCH_WORDS), np.uint64)
+def odd_sketches(samples: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
+    """(sets, words) parity bitmaps of the samples."""
+    out = np.zeros((samples.shape[1], words), np.uint64)
     rows = np.arange(samples.shape[1])
     for j, v in enumerate(samples):
-        bit = _mix(v.astype(np.uint64) + (_C[j % 64 : j % 64 + 1] * np.uint64(j + 1))) % np.uint64(64 * SKETCH_WORDS)
+        bit = _mix(v.astype(np.uint64) + (_C[j % 64 : j % 64 + 1] * np.uint64(j + 1))) % np.uint64(64 * words)
         out[rows, (bit >> np.uint64(6)).astype(np.int64)] ^= np.uint64(1) << (bit & np.uint64(63))
     return out
 
 
-def most_different_bits(estimate: float = MIN_ESTIMATE) -> int:
+def most_different_bits(estimate: float = MIN_ESTIMATE, k: int = BANDS * ROWS, words: int = SKETCH_WORDS) -> int:
     """The largest XOR population count whose estimate reaches ``estimate``."""
-    n, k = 64 * SKETCH_WORDS, BANDS * ROWS
+    n = 64 * words
     return int((1 - np.exp((estimate - 1) * 4 * k / n)) * n / 2)
 
 
@@ -168,6 +170,21 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
 
 
+def fine_sketches(texts: DataFrame, size: int) -> DataFrame:
+    """(id, sketch) of texts (id, text) that have words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_groups(batches, 1 << 20):
+            sets = hashed_sets(text_bytes(part), size)
+            full = [i for i, s in enumerate(sets) if len(s)]
+            if full:
+                sketch = odd_sketches(minhashes([sets[i] for i in full], FINE), FINE_WORDS).view(np.int64)
+                ids = part.column(0).take(pa.array(full, pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(list(sketch), pa.list_(pa.int64()))], names=["id", "sketch"])
+
+    return texts.select("id", "text").mapInArrow(run, "id bigint, sketch array<bigint>")
+
+
 def _close(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sketches allow the threshold."""
     left = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("_x"))
@@ -213,7 +230,7 @@ def _across(members: DataFrame) -> DataFrame:
     """Pairs (a, b) of one bucket but different components whose sketches
     are close; members: (key, part, id, component, head, sketch).  Pairs
     with the bucket's smallest member are known already."""
-    limit = most_different_bits()
+    limit = most_different_bits(FINE_ESTIMATE, FINE, FINE_WORDS)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
@@ -291,7 +308,9 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80) -> Dat
 
     labelled = members.join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), F.count("*").alias("_n")).filter("_a != _b and _n > 2").select("key")
-    open_ = labelled.join(mixed, "key").join(sketches, "id")
+    open_ = written(labelled.join(mixed, "key").select("key", "id", "component", "head"), "mixed")
+    fine = texts.join(open_.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    open_ = open_.join(fine_sketches(fine.withColumnRenamed("doc_id", "id"), size), "id")
     across = written(_across(_in_blocks(open_)), "across")
     more = written(_confirm(across, texts, size, percent), "across-links")
 
