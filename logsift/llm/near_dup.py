@@ -228,16 +228,18 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
 def _across(members: DataFrame) -> DataFrame:
     """Pairs (a, b) of one bucket but different components whose sketches
-    are close; members: (key, part, id, component, head, sketch).  Pairs
-    with the bucket's smallest member are known already."""
+    are close; members: (key, part, id, component, head, sketch, bands,
+    half).  Pairs with the bucket's smallest member are known already; a
+    pair that shares several buckets is given by the first of them."""
     limit = most_different_bits(FINE_ESTIMATE, FINE, FINE_WORDS)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    def pairs(key: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
         ids = np.array([r[0] for r in rows])
         comp = np.array([r[1] for r in rows])
         head = np.array([r[2] for r in rows])
-        half = np.array([r[4] for r in rows])  # 0: compare within; 1 and 2: across
+        bands = np.array([r[4] for r in rows], np.int64)
+        half = np.array([r[5] for r in rows])  # 0: compare within; 1 and 2: across
         bits = np.array([r[3] for r in rows], np.int64).view(np.uint64)
         names, size = np.unique(comp, return_counts=True)
         largest = names[size.argmax()]
@@ -247,14 +249,15 @@ def _across(members: DataFrame) -> DataFrame:
                 other &= half != half[i]
             near = np.flatnonzero(other)
             near = near[np.bitwise_count(bits[near] ^ bits[i]).sum(axis=1) <= limit] if len(near) else near
-            for j in near.tolist():
+            shared = (bands[near] == bands[i]).argmax(axis=1)
+            for j in near[bands[i][shared] == key].tolist():
                 yield max(int(ids[i]), int(ids[j])), min(int(ids[i]), int(ids[j]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rows = None, []
 
         def flush() -> pa.RecordBatch:
-            found = list(set(pairs(rows))) if len(rows) > 1 else []
+            found = list(pairs(group[0], rows))
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], schema=schema)
 
         for batch in batches:
@@ -267,8 +270,8 @@ def _across(members: DataFrame) -> DataFrame:
         if len(rows) > 1:
             yield flush()
 
-    order = members.select("key", "part", "id", "component", "head", "sketch", "half")
-    return order.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(run, "a bigint, b bigint").distinct()
+    order = members.select("key", "part", "id", "component", "head", "sketch", "bands", "half")
+    return order.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(run, "a bigint, b bigint")
 
 
 def _in_blocks(members: DataFrame) -> DataFrame:
@@ -310,7 +313,8 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80) -> Dat
     mixed = labelled.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), F.count("*").alias("_n")).filter("_a != _b and _n > 2").select("key")
     open_ = written(labelled.join(mixed, "key").select("key", "id", "component", "head"), "mixed")
     fine = texts.join(open_.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    open_ = open_.join(fine_sketches(fine.withColumnRenamed("doc_id", "id"), size), "id")
+    fine = written(fine_sketches(fine.withColumnRenamed("doc_id", "id"), size), "fine")
+    open_ = open_.join(fine, "id").join(heads.select("id", "bands"), "id")
     across = written(_across(_in_blocks(open_)), "across")
     more = written(_confirm(across, texts, size, percent), "across-links")
 
