@@ -135,28 +135,6 @@ def profile_unparseable_samples(precs: DataFrame, k: int = 20) -> DataFrame:
     )
 
 
-def first_k_per_type(precs: DataFrame, k: int) -> DataFrame:
-    """The first ``k`` records of every type in file order, found by ``k``
-    rounds of a partial ``min`` aggregate per type.  A type may hold most
-    of the rows, so no window over a whole type is used; the per-type
-    minima (one row per record type, at most eleven) are broadcast."""
-    key = F.struct(F.length("source_file_id").alias("_len"), "source_file_id", "line_number")
-    keyed = precs.select("record_type", key.alias("_key"))
-    found = None
-    for rank in range(1, k + 1):
-        rest = keyed
-        if found is not None:
-            taken = F.broadcast(found.groupBy("record_type").agg(F.max("_key").alias("_last")))
-            rest = keyed.join(taken, "record_type", "left").filter(
-                F.col("_last").isNull() | (F.col("_key") > F.col("_last"))
-            ).select("record_type", "_key")
-        nxt = rest.groupBy("record_type").agg(F.min("_key").alias("_key")).withColumn("sample_rank", F.lit(rank))
-        found = nxt if found is None else found.unionByName(nxt)
-    return found.select(
-        "record_type", "sample_rank", F.col("_key.source_file_id").alias("source_file_id"), F.col("_key.line_number").alias("line_number")
-    )
-
-
 #: Parsed fields of a profile record, in the order the report lists them.
 SAMPLE_FIELDS = (
     "timestamp", "search_id", "document_ids", "document_count", "card_param", "document_id",
@@ -165,11 +143,14 @@ SAMPLE_FIELDS = (
 
 
 def profile_type_samples(precs: DataFrame, k: int = 2, *, with_fields: bool = False) -> DataFrame:
-    """The first two records of each type, raw line cut to 160; with
-    ``with_fields`` also the record's parsed fields as a JSON object (the
-    fields a record does not have are left out)."""
-    firsts = F.broadcast(first_k_per_type(precs, k))  # at most 11 * k rows
-    cols = [F.col("record_type"), F.col("sample_rank"), F.col("source_file_id"), F.col("line_number"), F.substring("raw", 1, 160).alias("raw")]
+    """The first two records of each type but EMPTY, raw line cut to
+    160; with ``with_fields`` also the record's parsed fields as a JSON
+    object (the fields a record does not have are left out).  The rank limit
+    is applied in each task before rows of a type meet."""
+    cols = ["record_type", "sample_rank", "source_file_id", "line_number", F.substring("raw", 1, 160).alias("raw")]
     if with_fields:
         cols.append(F.to_json(F.struct(*SAMPLE_FIELDS)).alias("fields"))
-    return firsts.join(precs, ["record_type", "source_file_id", "line_number"], "inner").select(*cols)
+    ties = [F.col("source_path")] if "source_path" in precs.columns else []
+    rank = F.row_number().over(Window.partitionBy("record_type").orderBy(*file_order(), *ties))
+    typed = precs.filter(_rt() != fixed.EMPTY).withColumn("sample_rank", rank)
+    return typed.filter(F.col("sample_rank") <= k).select(*cols)

@@ -301,6 +301,6 @@ SELECT source_file_id, line_number, substr(raw, 1, 200) AS line, parse_error AS
 FROM prec WHERE record_type = 'UNPARSEABLE' ORDER BY {_FILE_ORDER} LIMIT 20""",
     "profile_type_samples": _PROFILE + f"""
 SELECT record_type, sample_rank, source_file_id, line_number, substr(raw, 1, 160) AS raw FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY record_type ORDER BY {_FILE_ORDER}) AS INTEGER) AS sample_rank FROM prec)
+  SELECT *, CAST(row_number() OVER (PARTITION BY record_type ORDER BY {_FILE_ORDER}) AS INTEGER) AS sample_rank FROM prec WHERE record_type <> 'EMPTY')
 WHERE sample_rank <= 2""",
 }

@@ -3,21 +3,18 @@
 New session files are picked up as they land, read whole (one row per
 file), cut into numbered lines and parsed with the same row-wise
 expressions as the batch job; records are appended to a Parquet table
-(with ``source_path`` kept as the ordering tie-breaker) and rejects to a
-CSV table.  The session metrics stay batch jobs over that records table
+(with ``source_path`` kept as the ordering tie-breaker), rejects among
+them.  The session metrics stay batch jobs over that records table
 (``source="records"``): a session's date and card blocks depend on the
 whole session, which a file stream cannot promise to have seen.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logsift.config import ensure_checkpoint_dir
 from logsift.functions import fixed
 from logsift.operators.parse import parse_log_lines
 from logsift.functions.text import java_decoded
@@ -46,16 +43,15 @@ def start_record_ingest(
     root: str,
     records_path: str,
     *,
-    checkpoint: str | None = None,
+    checkpoint: str,
+    max_files_per_trigger: int | None = None,
     available_now: bool = False,
     processing_time: str = "1 minute",
 ) -> StreamingQuery:
     """Append parsed records of newly arrived session files to
-    ``records_path`` (Parquet).  The checkpoint defaults to a folder under
-    the session's ``spark.checkpoint.dir``."""
-    if checkpoint is None:
-        checkpoint = os.path.join(ensure_checkpoint_dir(spark), "logsift-ingest")
-    records = parse_log_lines(stream_log_lines(spark, root))
+    ``records_path`` (Parquet).  ``checkpoint`` is a folder of this ingest
+    alone that outlives the application: a restart goes on from it."""
+    records = parse_log_lines(stream_log_lines(spark, root, max_files_per_trigger=max_files_per_trigger))
     writer = records.writeStream.format("parquet").option("path", records_path).option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

@@ -36,3 +36,14 @@ def test_stream_ingest_picks_up_files_as_they_arrive(spark):
         assert records.select("source_file_id").distinct().count() == 15
     finally:
         q.stop()
+
+
+def test_restarted_ingest_goes_on_from_its_checkpoint(spark):
+    root = tempfile.mkdtemp(prefix="logsift-stream-in-")
+    out = tempfile.mkdtemp(prefix="logsift-stream-out-")
+    for sid in ("1", "2"):
+        with open(os.path.join(root, sid), "w") as f:
+            f.write(f"SESSION_START {TS}\n")
+        q = start_record_ingest(spark, root, f"{out}/records", checkpoint=f"{out}/_checkpoint", max_files_per_trigger=1, available_now=True)
+        q.awaitTermination(120)
+    assert sorted(r[0] for r in spark.read.parquet(f"{out}/records").select("source_file_id").collect()) == ["1", "2"]
