@@ -49,11 +49,11 @@ from pyspark.sql import functions as F
 from .common import text_bytes, text_groups, with_columns
 
 #: Entries of a worker's word cache; it starts anew when full.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 #: Bytes of text encoded together: words repeated within are looked up once.
 ENCODE_BYTES = 8 << 20
 #: Entries of the transition table kept by a worker.
-TABLE_ARCS = 1_000_000
+TABLE_ARCS = 400_000
 
 
 def byte_symbols() -> list[str]:
@@ -86,7 +86,7 @@ class Automaton:
             known.add(t)
             self._gadget(u, v, t, when)
         self.longest = max(map(len, vocab), default=0)
-        self._table: dict[tuple[int, int], bool] = {}
+        self._table: dict[int, bool] = {}
 
     def _gadget(self, u: int, v: int, t: int, when: int) -> None:
         s = self.target[u]
@@ -123,6 +123,7 @@ class Automaton:
         it alone, so words in sorted order share the walk of their common
         beginnings."""
         get, table, target, longest, end = self.vocab.get, self._table, self.target, self.longest, self.end_mark
+        size = len(self.left)
         if len(table) > TABLE_ARCS:
             table.clear()
         state, start, label = [0], [0], [-1]
@@ -143,10 +144,10 @@ class Automaton:
                     token = get(word[i:j] + mark)
                     if token is None:
                         continue
-                    arc = (state[i], token)
+                    arc = state[i] * size + token
                     ok = table.get(arc)
                     if ok is None:
-                        ok = table[arc] = self.has(*arc)
+                        ok = table[arc] = self.has(state[i], token)
                     if ok:
                         state.append(target[token])
                         start.append(i)
@@ -326,8 +327,19 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """``docs`` with ``n_tokens``, ``ids`` and ``decoded``."""
-    return decode(encode(docs, tokenizer_path), tokenizer_path)
+    """``docs`` with ``n_tokens``, ``ids`` and ``decoded``, by one worker a
+    task that holds one vocabulary."""
+    spec = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer_path))
+    docs = docs.drop("n_tokens", "ids", "decoded")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(spec.value)
+        for part in text_groups(batches):
+            ids = c.encode(text_bytes(part))
+            added = [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()), c.decode(ids)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *added], names=[*part.schema.names, "n_tokens", "ids", "decoded"])
+
+    return docs.mapInArrow(run, with_columns(docs, "n_tokens bigint, ids binary, decoded string"))
 
 
 def digests(df: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ class _Vocabulary(dict):
     """Word numbers of the items' words, by raw word of a text; other words
     are 0 and pure punctuation -1.  Bounded: it forgets when large."""
 
-    LIMIT = 500_000
+    LIMIT = 300_000
 
     def __init__(self, items: list[list[bytes]]):
         super().__init__()
@@ -65,9 +66,14 @@ class _Vocabulary(dict):
             self[raw] = value
         return value
 
-    def numbers(self, text: bytes) -> np.ndarray:
-        out = np.array([self[w] for w in text.lower().split()], np.int64)
-        return out[out >= 0]
+    def numbers(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Word numbers of each text; distinct words are looked up once."""
+        runs = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.binary()).cast(pa.string()))
+        coded = runs.flatten().dictionary_encode()
+        table = np.array([self[w] for w in coded.dictionary.cast(pa.binary()).to_pylist()], np.int64)
+        found = table[coded.indices.to_numpy()] if len(table) else table
+        ends = np.cumsum(pc.list_value_length(runs).to_numpy())
+        return [x[x >= 0] for x in np.split(found, ends[:-1])]
 
 
 class Seeds:
@@ -177,8 +183,8 @@ def gram_frequencies(docs: DataFrame, seeds) -> np.ndarray:
         s = seeds.value
         counts = np.zeros(len(s.grams), np.int64)
         for part in text_groups(batches):
-            for t in text_bytes(part):
-                counts[np.unique(s.find(s.vocabulary.numbers(t))[0])] += 1
+            for t in s.vocabulary.numbers(text_bytes(part)):
+                counts[np.unique(s.find(t)[0])] += 1
         have = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(have, pa.int64()), pa.array(counts[have], pa.int64())], schema=schema)
 
@@ -238,8 +244,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, n: int = N, share: float =
             for part in text_groups(batches):
                 found = [
                     (doc_id, s.ids[k], *rest)
-                    for doc_id, t in zip(part.column(0).to_pylist(), text_bytes(part), strict=True)
-                    for k, *rest in align_document(s, keep.value, s.vocabulary.numbers(t), min_score)
+                    for doc_id, t in zip(part.column(0).to_pylist(), s.vocabulary.numbers(text_bytes(part)), strict=True)
+                    for k, *rest in align_document(s, keep.value, t, min_score)
                 ]
                 cols = zip(*found, strict=True) if found else [[]] * len(schema)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
