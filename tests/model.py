@@ -1,206 +1,172 @@
-"""Plain-Python model of the log grammar and the session fold, used as a
-brute-force check of the Spark plans on small generated inputs."""
+"""Plain-Python model of the log grammar and of the session metrics, used as
+a brute-force check of the Spark plans on small generated inputs.
+
+A dialect is a table of whole-line patterns: the first pattern that matches
+the whole trimmed line names the record type (or the error text), and its
+named groups are the record's columns.  Session facts are looked up per row
+from the last earlier record of a kind; nothing is carried along a loop.
+"""
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-
-TS_STD = re.compile(r"(\d{2})\.(\d{2})\.(\d{4})_\d{2}:\d{2}:\d{2}", re.ASCII)
-TS_HTTP = re.compile(r"(Mon|Tue|Wed|Thu|Fri|Sat|Sun),_(\d{1,2})_([A-Za-z]{3})_(\d{4})_\d{2}:\d{2}:\d{2}_\+\d{4}", re.ASCII)
-DOC = re.compile(r"[A-Z]+_\d+", re.ASCII)
-MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
-COMMANDS = {"SESSION_START", "SESSION_END", "QS", "DOC_OPEN", "CARD_SEARCH_START", "CARD_SEARCH_END"}
-WS = re.compile(r"[ \t\n\x0b\f\r]+")
-
-
-def is_ts(tok):
-    return tok is not None and bool(TS_STD.fullmatch(tok) or TS_HTTP.fullmatch(tok))
-
-
-def _valid(y, m, d):
-    if not 1 <= m <= 12:
-        return None
-    leap = (y % 4 == 0 and y % 100 != 0) or y % 400 == 0
-    days = [31, 29 if leap else 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31][m - 1]
-    return f"{y:04d}-{m:02d}-{d:02d}" if 1 <= d <= days else None
+from datetime import date
+from itertools import accumulate
+
+CLOCK = r"\d{2}:\d{2}:\d{2}"
+STD = rf"(\d{{2}})\.(\d{{2}})\.(\d{{4}})_{CLOCK}"
+HTTP = rf"(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),_(\d{{1,2}})_([A-Za-z]{{3}})_(\d{{4}})_{CLOCK}_\+\d{{4}}"
+END = r"(?!\S)"  # the token ends here
+TS = "(?:" + re.sub(r"\((?!\?)", "(?:", f"{STD}|{HTTP}") + ")" + END
+DOC = r"[A-Z]+_\d+"
+MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+DROPPED, BAD = None, "UNPARSEABLE"
+
+# (record type, whole-line pattern, error text); {0}, {1}: tokens, {n}: their number
+JOB = [
+    ("SEARCH_RESULTS", rf"-?\d+{END}(?!\s+{TS}).*", None),
+    ("CARD_SEARCH_QUERY", rf"\$\d+{END}[\x00-\x20]*(?P<document_id>{DOC})", None),
+    ("CARD_SEARCH_QUERY", rf"\$\d+{END}[\x00-\x20]*(?P<query_text>.*)", None),
+    (DROPPED, rf"CARD_SEARCH_END(\s+{TS})?", None),
+    (BAD, rf"CARD_SEARCH_END{END}.*", "CARD_SEARCH_END: unexpected tokens"),
+    (BAD, rf"(?!(SESSION_START|SESSION_END|QS|DOC_OPEN|CARD_SEARCH_START){END}).*", "unknown token: {0}"),
+    (BAD, r"\S+", "missing timestamp"),
+    ("SESSION_START", rf"SESSION_START\s+(?P<timestamp>{TS}).*", None),
+    ("CARD_SEARCH_START", rf"CARD_SEARCH_START\s+(?P<timestamp>{TS}).*", None),
+    ("QUICK_SEARCH", rf"QS\s+(?P<timestamp>{TS}).*", None),
+    (DROPPED, rf"SESSION_END\s+{TS}.*", None),
+    ("DOCUMENT_OPEN", rf"DOC_OPEN\s+(?P<timestamp>{TS})\s+\S+\s+(?P<document_id>\S+)", None),
+    (BAD, rf"DOC_OPEN\s+{TS}.*", "DOC_OPEN: expected 4 tokens, got {n}"),
+    ("DOCUMENT_OPEN_NO_TS", r"DOC_OPEN\s+\S+\s+(?P<document_id>\S+).*", None),
+    (BAD, r".*", "invalid timestamp: {1}"),
+]
+PROFILE = [
+    ("EMPTY", r"", None),
+    ("SEARCH_RESULTS", rf"(?P<search_id>-?\d+){END}(?!\s+{TS}).*", None),
+    ("CARD_SEARCH_QUERY", rf"(?P<card_param>\$\d\S*){END}\s*(?P<document_id>{DOC})", None),
+    ("CARD_SEARCH_QUERY", rf"(?P<card_param>\$\d\S*){END}\s*(?P<query_text>.*)", None),
+    ("CARD_SEARCH_END", rf"CARD_SEARCH_END(\s+(?P<timestamp>{TS}))?", None),
+    (BAD, rf"CARD_SEARCH_END{END}.*", "CARD_SEARCH_END with unexpected tokens"),
+    (BAD, rf"(?!(SESSION_START|SESSION_END|QS|DOC_OPEN|CARD_SEARCH_START){END}).*", "unknown command: {0!r}"),
+    (BAD, r"\S+", "missing timestamp"),
+    ("SESSION_START", rf"SESSION_START\s+(?P<timestamp>{TS}).*", None),
+    ("SESSION_END", rf"SESSION_END\s+(?P<timestamp>{TS}).*", None),
+    ("CARD_SEARCH_START", rf"CARD_SEARCH_START\s+(?P<timestamp>{TS})\s*(?P<params>.*)", None),
+    ("QUICK_SEARCH", rf"QS\s+(?P<timestamp>{TS})\s*\{{(?P<query_text>[^}}]*)\}}\s*(?P<tail_raw>.*)", None),
+    ("QUICK_SEARCH", rf"QS\s+(?P<timestamp>{TS})\s*(?P<query_raw>.*)", None),
+    ("DOCUMENT_OPEN", rf"DOC_OPEN\s+(?P<timestamp>{TS})\s+(?P<search_id>\S+)\s+(?P<document_id>\S+)", None),
+    ("DOCUMENT_OPEN_NO_TS", rf"DOC_OPEN\s+(?P<search_id>{TS})\s+(?P<document_id>\S+)", None),
+    (BAD, rf"DOC_OPEN\s+{TS}.*", "DOC_OPEN token count={n}"),
+    ("DOCUMENT_OPEN_NO_TS", r"DOC_OPEN\s+(?P<search_id>\S+)\s+(?P<document_id>\S+).*", None),
+    (BAD, r".*", "invalid timestamp: {1!r}"),
+]
+
+
+def _compiled(table, flags):
+    return [(kind, re.compile(pattern, flags | re.DOTALL), error) for kind, pattern, error in table]
+
+
+JOB = _compiled(JOB, re.ASCII)  # ASCII digits and whitespace
+PROFILE = _compiled(PROFILE, 0)  # Python's own
+
+
+def _first_match(table, raw):
+    return next((kind, m.groupdict(), error) for kind, rx, error in table if (m := rx.fullmatch(raw)))
 
 
-def date_of(tok):
-    if tok is None:
+def parse(line):
+    """Job dialect: dict, or None where the job keeps no record."""
+    raw = line.strip("".join(map(chr, range(0x21))))
+    kind, fields, error = _first_match(JOB, raw) if raw else (DROPPED, {}, None)
+    if kind is DROPPED:
         return None
-    m = TS_STD.fullmatch(tok)
-    if m:
-        return _valid(int(m.group(3)), int(m.group(2)), int(m.group(1)))
-    m = TS_HTTP.fullmatch(tok)
-    if m and m.group(3) in MONTHS:
-        return _valid(int(m.group(4)), MONTHS.index(m.group(3)) + 1, int(m.group(2)))
-    return None
+    parts = re.split(r"\s+", raw, flags=re.ASCII)
+    rec = dict.fromkeys(("timestamp", "document_id", "query_text"))
+    rec |= {name: value or None for name, value in fields.items()}
+    return rec | {
+        "record_type": kind,
+        "document_ids": re.findall(DOC, raw, re.ASCII) if kind == "SEARCH_RESULTS" else [],
+        "parse_error": error and error.format(*parts, n=len(parts)),
+        "raw_line": raw if kind == BAD else None,
+    }
 
 
-def trim(s):
-    return re.sub(r"^[\x00-\x20]+|[\x00-\x20]+$", "", s)
+PROFILE_TEXTS = ("timestamp", "search_id", "card_param", "document_id", "query_text", "params", "query_raw", "tail_raw")
+NULL_IF_EMPTY = {("CARD_SEARCH_QUERY", "query_text"), ("CARD_SEARCH_START", "params"), ("QUICK_SEARCH", "tail_raw")}
 
 
-def parse(line):
-    """Job dialect: dict or None."""
-    raw = trim(line)
-    if not raw:
+def parse_profile(line):
+    """Profile dialect: dict of the profile columns."""
+    raw = line.strip()
+    kind, fields, error = _first_match(PROFILE, raw)
+    parts = raw.split()
+    rec = dict.fromkeys(PROFILE_TEXTS)
+    rec |= {name: None if value == "" and (kind, name) in NULL_IF_EMPTY else value for name, value in fields.items()}
+    ids = re.findall(DOC, raw) if kind == "SEARCH_RESULTS" else None
+    return rec | {
+        "record_type": kind,
+        "parse_error": error and error.format(*parts, n=len(parts)),
+        "document_ids": ids,
+        "document_count": ids if ids is None else len(ids),
+        "document_ids_inline": None if rec["tail_raw"] is None else re.findall(DOC, rec["tail_raw"]),
+    }
+
+
+def date_of(token):
+    """ISO date of a time stamp token; None for another token or an
+    impossible date.  The calendar repeats every 400 years."""
+    if m := re.fullmatch(STD, token or "", re.ASCII):
+        day, month, year = (int(x) for x in m.groups())
+    elif (m := re.fullmatch(HTTP, token or "", re.ASCII)) and m[2] in MONTHS:
+        day, month, year = int(m[1]), MONTHS.index(m[2]) + 1, int(m[3])
+    else:
         return None
-    p = WS.split(raw)
-    n, t0 = len(p), p[0]
-    t1 = p[1] if n > 1 else None
-    rec = {"timestamp": None, "document_id": None, "document_ids": [], "query_text": None, "parse_error": None, "raw_line": None}
-
-    def bad(err):
-        return dict(rec, record_type="UNPARSEABLE", parse_error=err, raw_line=raw)
-
-    if re.fullmatch(r"-?\d+", t0, re.ASCII) and not is_ts(t1):
-        return dict(rec, record_type="SEARCH_RESULTS", document_ids=DOC.findall(raw))
-    if re.fullmatch(r"\$\d+", t0, re.ASCII):
-        rest = trim(raw[len(t0):])
-        if re.fullmatch(r"[A-Z]+_\d+", rest, re.ASCII):
-            return dict(rec, record_type="CARD_SEARCH_QUERY", document_id=rest)
-        return dict(rec, record_type="CARD_SEARCH_QUERY", query_text=rest or None)
-    if t0 not in COMMANDS:
-        return bad(f"unknown token: {t0}")
-    if t0 == "CARD_SEARCH_END":
-        return None if n == 1 or (n == 2 and is_ts(t1)) else bad("CARD_SEARCH_END: unexpected tokens")
-    if n < 2:
-        return bad("missing timestamp")
-    if not is_ts(t1):
-        if t0 == "DOC_OPEN" and n >= 3:
-            return dict(rec, record_type="DOCUMENT_OPEN_NO_TS", document_id=p[2])
-        return bad(f"invalid timestamp: {t1}")
-    kinds = {"SESSION_START": "SESSION_START", "CARD_SEARCH_START": "CARD_SEARCH_START", "QS": "QUICK_SEARCH"}
-    if t0 in kinds:
-        return dict(rec, record_type=kinds[t0], timestamp=t1)
-    if t0 == "SESSION_END":
+    try:
+        date(2000 + year % 400, month, day)
+    except ValueError:
         return None
-    if n == 4:
-        return dict(rec, record_type="DOCUMENT_OPEN", timestamp=t1, document_id=p[3])
-    return bad(f"DOC_OPEN: expected 4 tokens, got {n}")
-
-
-def fold(records, target="ACC_45616"):
-    """One session's records in order -> (hits, qs_docs set, opens Counter)."""
-    rel = [r for r in records if r["record_type"] != "UNPARSEABLE"]
-    first = next((r for r in rel if r["record_type"] == "SESSION_START"), None)
-    session_date = date_of(first["timestamp"]) if first else None
-    hits, in_block, acc, last_qs = 0, False, False, None
-    docs, opens = set(), Counter()
-
-    def match(r):
-        return r["document_id"] == target or (r["query_text"] is not None and target in r["query_text"]) or target in r["document_ids"]
-
-    def close():
-        nonlocal hits, in_block, acc
-        if in_block and acc:
-            hits += 1
-        in_block, acc = False, False
-
-    for r in rel:
-        t = r["record_type"]
-        if t == "CARD_SEARCH_START":
-            close()
-            in_block = True
-        elif t == "CARD_SEARCH_QUERY":
-            acc = acc or (in_block and match(r))
-        elif t == "SEARCH_RESULTS":
-            if in_block:
-                acc = acc or match(r)
-                close()
-            elif last_qs is not None:
-                docs.update((last_qs, d) for d in r["document_ids"])
-        elif t == "QUICK_SEARCH":
-            close()
-            last_qs = date_of(r["timestamp"])
-        elif t == "DOCUMENT_OPEN":
-            d = date_of(r["timestamp"])
-            if d and r["document_id"] is not None:
-                opens[(d, r["document_id"])] += 1
-        elif t == "DOCUMENT_OPEN_NO_TS":
-            if session_date and r["document_id"] is not None:
-                opens[(session_date, r["document_id"])] += 1
-    close()
-    return hits, docs, opens
+    return f"{year:04d}-{month:02d}-{day:02d}"
+
+
+def _last_before(rows, kinds):
+    """Per row, the index of the last earlier row of one of the kinds, or -1."""
+    return list(accumulate(range(len(rows)), lambda at, i: i if rows[i]["record_type"] in kinds else at, initial=-1))
+
+
+def session_facts(records, target="ACC_45616"):
+    """One session's records in order -> (number of card blocks hit, set of
+    (date, document) shown, Counter of (date, document) opened)."""
+    rows = [r for r in records if r["record_type"] != BAD]
+    of = {kind: [i for i, r in enumerate(rows) if r["record_type"] == kind] for kind in {r["record_type"] for r in rows}}
+    control = _last_before(rows, {"CARD_SEARCH_START", "QUICK_SEARCH", "SEARCH_RESULTS"})
+    quick = _last_before(rows, {"QUICK_SEARCH"})
+    starts = set(of.get("CARD_SEARCH_START", ()))
+    results = of.get("SEARCH_RESULTS", [])
+
+    def mentions(r):
+        return target in (r["document_id"], *r["document_ids"]) or target in (r["query_text"] or "")
+
+    hit = {control[i] for i in of.get("CARD_SEARCH_QUERY", []) + results if mentions(rows[i])} & starts
+    shown = {
+        (date_of(rows[quick[i]]["timestamp"]), d)
+        for i in results
+        if control[i] not in starts and quick[i] >= 0
+        for d in rows[i]["document_ids"]
+    }
+    own = next((date_of(rows[i]["timestamp"]) for i in of.get("SESSION_START", ())), None)
+    opens = Counter((date_of(rows[i]["timestamp"]), rows[i]["document_id"]) for i in of.get("DOCUMENT_OPEN", ()))
+    opens += Counter((own, rows[i]["document_id"]) for i in of.get("DOCUMENT_OPEN_NO_TS", ()))
+    return (
+        len(hit),
+        {key for key in shown if key[0]},
+        Counter({key: n for key, n in opens.items() if key[0] and key[1] is not None}),
+    )
 
 
 def task_results(sessions, target="ACC_45616"):
     """sessions: {sid: [records in order]} -> (task1, task2 rows sorted)."""
-    total, docs, opens = 0, set(), Counter()
-    for recs in sessions.values():
-        h, d, o = fold(recs, target)
-        total += h
-        docs |= d
-        opens.update(o)
-    task2 = sorted((date, doc, n) for (date, doc), n in opens.items() if (date, doc) in docs)
-    return total, task2
-
-
-PY_TS_STD = re.compile(r"\d{2}\.\d{2}\.\d{4}_\d{2}:\d{2}:\d{2}")
-PY_TS_HTTP = re.compile(r"(Mon|Tue|Wed|Thu|Fri|Sat|Sun),_\d{1,2}_[A-Za-z]{3}_\d{4}_\d{2}:\d{2}:\d{2}_\+\d{4}")
-PY_DOC = re.compile(r"[A-Z]+_\d+")
-
-
-def _py_is_ts(tok):
-    return tok is not None and bool(PY_TS_STD.fullmatch(tok) or PY_TS_HTTP.fullmatch(tok))
-
-
-def parse_profile(line):
-    """Profile dialect with Python's own whitespace, Unicode digits and
-    repr(): dict of the profile columns."""
-    raw = line.strip()
-    out = {k: None for k in ("parse_error", "timestamp", "search_id", "document_ids", "document_count", "card_param",
-                             "document_id", "query_text", "params", "query_raw", "document_ids_inline", "tail_raw")}
-    if not raw:
-        return dict(out, record_type="EMPTY")
-    p = raw.split()
-    n, t0 = len(p), p[0]
-    t1 = p[1] if n > 1 else None
-
-    def bad(err):
-        return dict(out, record_type="UNPARSEABLE", parse_error=err)
-
-    if re.fullmatch(r"-?\d+", t0) and not _py_is_ts(t1):
-        ids = PY_DOC.findall(raw)
-        return dict(out, record_type="SEARCH_RESULTS", search_id=t0, document_ids=ids, document_count=len(ids))
-    if re.match(r"\$\d+", t0):
-        rest = raw[len(t0):].strip()
-        rec = dict(out, record_type="CARD_SEARCH_QUERY", card_param=t0)
-        if re.fullmatch(r"[A-Z]+_\d+", rest):
-            return dict(rec, document_id=rest)
-        return dict(rec, query_text=rest or None)
-    if t0 not in COMMANDS:
-        return bad(f"unknown command: {t0!r}")
-    if t0 == "CARD_SEARCH_END":
-        if n == 1:
-            return dict(out, record_type="CARD_SEARCH_END")
-        if n == 2 and _py_is_ts(t1):
-            return dict(out, record_type="CARD_SEARCH_END", timestamp=t1)
-        return bad("CARD_SEARCH_END with unexpected tokens")
-    if n < 2:
-        return bad("missing timestamp")
-    if not _py_is_ts(t1):
-        if t0 == "DOC_OPEN" and n >= 3:
-            return dict(out, record_type="DOCUMENT_OPEN_NO_TS", search_id=t1, document_id=p[2])
-        return bad(f"invalid timestamp: {t1!r}")
-    rest2 = raw.split(None, 2)
-    tail2 = rest2[2] if len(rest2) > 2 else ""
-    if t0 in ("SESSION_START", "SESSION_END"):
-        return dict(out, record_type=t0, timestamp=t1)
-    if t0 == "CARD_SEARCH_START":
-        return dict(out, record_type=t0, timestamp=t1, params=tail2.strip() or None)
-    if t0 == "QS":
-        m = re.match(r"\{([^}]*)\}\s*(.*)", tail2, re.DOTALL)
-        rec = dict(out, record_type="QUICK_SEARCH", timestamp=t1)
-        if not m:
-            return dict(rec, query_raw=tail2)
-        tail = m.group(2).strip()
-        rec = dict(rec, query_text=m.group(1))
-        return dict(rec, document_ids_inline=PY_DOC.findall(tail), tail_raw=tail) if tail else rec
-    if n == 4:
-        return dict(out, record_type="DOCUMENT_OPEN", timestamp=t1, search_id=p[2], document_id=p[3])
-    if n == 3:
-        return dict(out, record_type="DOCUMENT_OPEN_NO_TS", search_id=t1, document_id=p[2])
-    return bad(f"DOC_OPEN token count={n}")
+    facts = [session_facts(records, target) for records in sessions.values()]
+    shown = set().union(*(s for _, s, _ in facts))
+    opened = sum((o for _, _, o in facts), Counter())
+    return sum(h for h, _, _ in facts), sorted((*key, n) for key, n in opened.items() if key in shown)
