@@ -8,11 +8,10 @@ replacement rules (:func:`logsift.functions.text.java_decoded`), cut at
 LF, CR or CRLF and numbered from 1 with blank lines counted.
 
 Scale: listing and reading are distributed; each task holds the files it
-packs (``spark.sql.files.maxPartitionBytes``).  In the default ``whole``
-mode a single file must fit in a task's memory and under 2 GB (one string
-value).  The ``split`` mode reads files line by line in blocks, so one
-huge session file is spread over many tasks; see
-:func:`read_session_files_split`.
+packs (``spark.sql.files.maxPartitionBytes``).  Read whole, a single file
+must fit in a task's memory and under 2 GB (one string value).  Larger
+files are read in blocks, so one huge session file is spread over many
+tasks, and give the same rows; see :func:`_read_blocks`.
 """
 
 from __future__ import annotations
@@ -24,6 +23,8 @@ from logsift.config import SPLIT_ABOVE_BYTES
 from logsift.functions import fixed
 from logsift.functions.text import java_decoded
 
+_BOM_BYTES = 3  # the UTF-8 byte-order mark
+
 
 def read_session_files(
     spark: SparkSession,
@@ -43,21 +44,19 @@ def read_session_files(
     ``PATH_NOT_FOUND``.  A byte-order mark stays glued to the first token.
     ``mode``: ``whole`` reads every file whole; ``split`` reads every file
     in parallel blocks; ``auto`` (default) reads files up to
-    ``split_above_bytes`` whole and larger ones in blocks.  Both parts
-    filter on ``_metadata.file_size``, which Spark applies when listing,
-    so each file is read once, by one of them.
+    ``split_above_bytes`` whole and larger ones in blocks.  All three give
+    the same rows.  Both parts filter on ``_metadata.file_size``, which
+    Spark applies when listing, so each file is read once, by one of them.
     ``decode="python"`` replaces malformed UTF-8 the way Python's decoder
     does (the profile script's reader) instead of the JDK's.
     """
-    if mode == "split":
-        return read_session_files_split(spark, root, recursive=recursive, name_pattern=name_pattern, decode=decode)
-    small = F.col("_metadata.file_size") <= split_above_bytes if mode == "auto" else None
-    whole = _read_whole(spark, root, recursive, name_pattern, decode, small)
     if mode == "whole":
-        return whole
-    large = F.col("_metadata.file_size") > split_above_bytes
-    split = read_session_files_split(spark, root, recursive=recursive, name_pattern=name_pattern, decode=decode, size_filter=large)
-    return whole.unionByName(split)
+        return _read_whole(spark, root, recursive, name_pattern, decode, None)
+    # the line reader gives no row for a file that is only a byte-order mark
+    above = max(split_above_bytes, _BOM_BYTES) if mode == "auto" else _BOM_BYTES
+    size = F.col("_metadata.file_size")
+    whole = _read_whole(spark, root, recursive, name_pattern, decode, size <= above)
+    return whole.unionByName(_read_blocks(spark, root, recursive, name_pattern, decode, size > above))
 
 
 def _read_whole(spark, root, recursive, name_pattern, decode, size_filter) -> DataFrame:
@@ -82,10 +81,12 @@ def _decoded(value: Column, decode: str) -> Column:
     return F.make_valid_utf8(value) if decode == "python" else java_decoded(value)
 
 
-def read_profile_files(spark: SparkSession, root: str) -> DataFrame:
-    """The profile reads one flat directory of files named 0..9999,
-    decoded with Python's replacement rules, as the profile script does."""
-    return read_session_files(spark, root, recursive=False, name_pattern=fixed.PROFILE_FILE_NAME, decode="python")
+def read_profile_files(spark: SparkSession, root: str, name_pattern: str = fixed.NUMERIC_FILE_NAME) -> DataFrame:
+    """The profile reads one flat directory of files with all-digit
+    names, decoded with Python's replacement rules, as the profile script
+    does.  ``name_pattern=fixed.PROFILE_FILE_NAME`` keeps the script's own
+    bound, names 0..9999."""
+    return read_session_files(spark, root, recursive=False, name_pattern=name_pattern, decode="python")
 
 
 def split_lines(files: DataFrame) -> DataFrame:
@@ -107,57 +108,84 @@ def split_lines(files: DataFrame) -> DataFrame:
     )
 
 
-def read_session_files_split(
-    spark: SparkSession,
-    root: str,
-    *,
-    recursive: bool = True,
-    name_pattern: str = fixed.NUMERIC_FILE_NAME,
-    decode: str = "java",
-    size_filter: Column | None = None,
-) -> DataFrame:
-    """``log_lines`` from files read line by line in blocks of
+def _read_blocks(spark, root, recursive, name_pattern, decode, size_filter) -> DataFrame:
+    """``log_lines`` from files read in blocks of
     ``spark.sql.files.maxPartitionBytes``, for session files too large to
-    hold whole.
-
-    Line numbers are exact: rows of one file block are consecutive in their
-    task, so a row's place in its block is its row id minus the block's
-    first row id, and the lines before the block are the running sum of the
-    line counts of the file's earlier blocks.  Only the block summaries (one
-    row per block) are aggregated and joined back; the lines themselves are
-    not shuffled.  Differences from ``whole`` mode: the line reader drops a
-    leading byte-order mark, and ``\r`` alone ends a line only where the
-    Hadoop line reader treats it so (LF, CRLF and CR all do).  File filters
-    (name, ``size_filter``) are applied on the reader itself, where Spark
-    uses them to skip files; the row-id projection after them is not
+    hold whole; the rows equal those of a whole read.
+
+    The line reader cuts at LF alone, so a row is a *piece*: the text up to
+    one LF, in which CR may end further lines.  Pieces are exchanged once,
+    on (file, block), so a group holds one block's text at most.  Within a
+    block a piece's lines follow those of the earlier pieces; before the
+    block come the lines of the file's earlier blocks, from one summary row
+    per block, which is taken from the same exchange and joined back (a
+    block without its summary is an error, never a lost line).
+
+    The reader drops a leading byte-order mark.  It did so exactly where
+    the file has two or three bytes more than its pieces and their line
+    feeds (the last line feed may be missing), and then the mark is put
+    back in front of line 1.  File filters sit on the reader itself, where
+    Spark uses them to skip files; the row id after them is not
     deterministic, so they could not be pushed through it.
     """
-    reader = spark.read.option("recursiveFileLookup", str(recursive).lower()).text(root)
-    reader = reader.filter(F.col("_metadata.file_name").rlike(name_pattern))
-    if size_filter is not None:
-        reader = reader.filter(size_filter)
-    scanned = (
-        reader.select(
-            F.col("_metadata.file_name").alias("source_file_id"),
-            F.col("_metadata.file_path").alias("source_path"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_row"),
-            _decoded(F.col("value"), decode).alias("line"),
-        )
-    )
-    blocks = scanned.groupBy("source_path", "_block").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first_row")
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower()).option("lineSep", "\n").text(root)
+    reader = reader.filter(F.col("_metadata.file_name").rlike(name_pattern)).filter(size_filter)
+    pieces = reader.select(
+        F.col("_metadata.file_name").alias("source_file_id"),
+        F.col("_metadata.file_path").alias("source_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.col("_metadata.file_size").alias("_size"),
+        F.monotonically_increasing_id().alias("_row"),
+        F.concat(F.col("value"), F.lit("\n")).alias("_piece"),
+    ).repartition("source_path", "_block")
+    # every column is used, so that both uses read one and the same exchange
+    blocks = pieces.groupBy("source_path", "_block").agg(
+        F.sum(_breaks("_piece")).alias("_n"),
+        F.sum(F.octet_length("_piece")).alias("_bytes"),
+        F.max("_size").alias("_size"),
+        F.min("_row").alias("_first_row"),
+        F.max(F.length("source_file_id")).alias("_name_length"),
     )
-    earlier = Window.partitionBy("source_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    file = Window.partitionBy("source_path")
     offsets = blocks.select(
+        F.col("source_path").alias("_path"),
+        F.col("_block").alias("_start"),
+        F.coalesce(
+            F.sum("_n").over(file.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("_lines_before"),
+        (F.col("_size") - F.sum("_bytes").over(file) >= _BOM_BYTES - 1).alias("_marked"),
+        (F.col("_first_row") + F.col("_name_length")).alias("_used"),
+    )
+    earlier = Window.partitionBy("source_path", "_block").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    placed = pieces.withColumn("_in_block", F.coalesce(F.sum(_breaks("_piece")).over(earlier), F.lit(0)))
+    joined = placed.join(offsets, (F.col("source_path") == F.col("_path")) & (F.col("_block") == F.col("_start")), "left")
+    before = F.coalesce(
+        F.col("_lines_before") + F.col("_in_block") + F.col("_used") * 0,
+        F.raise_error(F.concat(F.lit("file block read without its line count: "), F.col("source_path"))).cast("long"),
+    )
+    numbered = joined.select(
+        "source_file_id",
         "source_path",
-        "_block",
-        "_first_row",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_lines_before"),
+        before.alias("_before"),
+        F.when(F.col("_marked") & (before == 0), F.lit("\ufeff")).otherwise(F.lit("")).alias("_mark"),
+        F.split(_decoded(F.col("_piece"), decode), fixed.LINE_BREAK).alias("_lines"),
     )
-    return scanned.join(offsets, ["source_path", "_block"]).select(
+    # the piece's own line feed leaves one empty string at the end
+    lines = numbered.select(
         "source_file_id",
-        (F.col("_lines_before") + F.col("_row") - F.col("_first_row") + 1).cast("int").alias("line_number"),
-        "line",
+        "source_path",
+        "_before",
+        "_mark",
+        F.posexplode(F.slice("_lines", 1, F.size("_lines") - 1)).alias("_pos", "_line"),
+    )
+    return lines.select(
+        "source_file_id",
+        (F.col("_before") + F.col("_pos") + 1).cast("int").alias("line_number"),
+        F.when(F.col("_pos") == 0, F.concat("_mark", "_line")).otherwise(F.col("_line")).alias("line"),
         "source_path",
     )
+
+
+def _breaks(piece: str) -> Column:
+    """Lines of a piece: its line breaks (CR LF is one)."""
+    return (F.size(F.split(F.col(piece), fixed.LINE_BREAK)) - 1).cast("long")

@@ -3,8 +3,10 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from logsift.functions import fixed
 from logsift.plans.job import run_metrics_job, run_profile_job
 from logsift.sources.session_files import read_profile_files, read_session_files
 from logsift.sources.tables import log_lines_from_sf_dir
@@ -51,10 +53,14 @@ def test_scan_lines_breaks_bytes_and_names(spark):
     ]
 
 
-def test_profile_scan_is_flat_and_bounded(spark):
+def test_profile_scan_is_flat_and_its_bound_an_option(spark):
     root = _tree()
-    ids = {r[0] for r in read_profile_files(spark, f"{root}/c").select("source_file_id").distinct().collect()}
-    assert ids == {"7", "8"}
+
+    def names(**options):
+        return {r[0] for r in read_profile_files(spark, f"{root}/c", **options).select("source_file_id").distinct().collect()}
+
+    assert names() == {"7", "8", "99999"}
+    assert names(name_pattern=fixed.PROFILE_FILE_NAME) == {"7", "8"}
 
 
 def _write_sessions(spark, sf_dir):
@@ -141,9 +147,7 @@ def test_split_mode_numbers_lines_like_whole_mode(spark):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
     try:
-        split_df = read_session_files(spark, root, mode="split")
-        assert split_df.rdd.getNumPartitions() > 4
-        split = sorted(tuple(r) for r in split_df.collect())
+        split = sorted(tuple(r) for r in read_session_files(spark, root, mode="split").collect())
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert split == whole
@@ -180,13 +184,62 @@ def test_empty_input_writes_headers_and_zero(spark):
 
 
 def test_missing_root_fails(spark):
-    import pytest
     from pyspark.errors import AnalysisException
 
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_session_files(spark, "/tmp/logsift-no-such-dir-" + os.urandom(4).hex()).collect()
 
 
+BOM = b"\xef\xbb\xbf"
+
+
+@pytest.mark.parametrize("block_bytes", ["3", "7", "64", "1048576"])
+@pytest.mark.parametrize("decode", ["java", "python"])
+def test_whole_split_and_auto_give_the_same_rows(spark, block_bytes, decode):
+    """Byte-order marks, every line break, bad bytes and a missing last
+    break, whatever the blocks; the size limit changes nothing."""
+    texts = [
+        b"SESSION_START 01.02.2024_10:00:00\nDOC_OPEN 5 ACC_1\n",
+        b"a\rb\r\nc\n\nd\r\r\ne\r",
+        b"\r\r\n\r",
+        b"\n",
+        b"bad\xff\xc3 end\n\xe2\x82\nx\xf0\x9f\x98",
+        b"no break",
+        b"",
+        "ключ\r\nслово".encode() * 9,
+    ]
+    root = tempfile.mkdtemp(prefix="logsift-modes-")
+    for i, text in enumerate(texts):
+        for mark in (0, 1, 2):
+            with open(f"{root}/{i}{mark}", "wb") as f:
+                f.write(BOM * mark + text)
+
+    def rows(**options):
+        return sorted(tuple(r) for r in read_session_files(spark, root, decode=decode, **options).collect())
+
+    whole = rows(mode="whole")
+    assert ("01", 1, "\ufeffSESSION_START 01.02.2024_10:00:00") in {r[:3] for r in whole}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block_bytes)
+    try:
+        assert rows(mode="split") == whole
+        assert rows(mode="auto", split_above_bytes=20) == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_blocks_are_scanned_once(spark):
+    root = tempfile.mkdtemp(prefix="logsift-once-")
+    with open(f"{root}/1", "w") as f:
+        f.write("line\n" * 500)
+    lines = read_session_files(spark, root, mode="split").filter("line_number > 0")
+    lines.collect()
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    plan = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert plan.count("ReusedExchange") == 1
+    assert plan.count("FileScan text") == 2  # one of whole files, one of blocks
+
+
 def test_malformed_utf8_is_replaced_like_a_java_reader(spark):
     """Expected strings are what java.io.BufferedReader over a UTF-8 decoder
     with CodingErrorAction.REPLACE returns for the same bytes (checked with
@@ -223,7 +276,7 @@ def test_profile_reader_replaces_malformed_utf8_like_python(spark):
 
 def test_auto_mode_reads_each_file_once_by_size(spark):
     """Small files are read whole and large ones in blocks; together they
-    give exactly the whole-mode lines (no byte-order marks here)."""
+    give exactly the whole-mode lines."""
     root = tempfile.mkdtemp(prefix="logsift-auto-")
     os.makedirs(f"{root}/d")
     with open(f"{root}/1", "w") as f:
