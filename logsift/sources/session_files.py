@@ -142,7 +142,7 @@ def _read_blocks(spark, root, recursive, name_pattern, decode, size_filter) -> D
     blocks = pieces.groupBy("source_path", "_block").agg(
         F.sum(_breaks("_piece")).alias("_n"),
         F.sum(F.octet_length("_piece")).alias("_bytes"),
-        F.max("_size").alias("_size"),
+        F.max("_size").alias("_max_size"),
         F.min("_row").alias("_first_row"),
         F.max(F.length("source_file_id")).alias("_name_length"),
     )
@@ -153,8 +153,8 @@ def _read_blocks(spark, root, recursive, name_pattern, decode, size_filter) -> D
         F.coalesce(
             F.sum("_n").over(file.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_lines_before"),
-        (F.col("_size") - F.sum("_bytes").over(file) >= _BOM_BYTES - 1).alias("_marked"),
-        (F.col("_first_row") + F.col("_name_length")).alias("_used"),
+        F.sum("_bytes").over(file).alias("_read_bytes"),
+        (F.col("_max_size") + F.col("_first_row") + F.col("_name_length")).alias("_used"),
     )
     earlier = Window.partitionBy("source_path", "_block").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     placed = pieces.withColumn("_in_block", F.coalesce(F.sum(_breaks("_piece")).over(earlier), F.lit(0)))
@@ -163,11 +163,12 @@ def _read_blocks(spark, root, recursive, name_pattern, decode, size_filter) -> D
         F.col("_lines_before") + F.col("_in_block") + F.col("_used") * 0,
         F.raise_error(F.concat(F.lit("file block read without its line count: "), F.col("source_path"))).cast("long"),
     )
+    marked = F.col("_size") - F.col("_read_bytes") >= _BOM_BYTES - 1
     numbered = joined.select(
         "source_file_id",
         "source_path",
         before.alias("_before"),
-        F.when(F.col("_marked") & (before == 0), F.lit("\ufeff")).otherwise(F.lit("")).alias("_mark"),
+        F.when(marked & (before == 0), F.lit("\ufeff")).otherwise(F.lit("")).alias("_mark"),
         F.split(_decoded(F.col("_piece"), decode), fixed.LINE_BREAK).alias("_lines"),
     )
     # the piece's own line feed leaves one empty string at the end
