@@ -118,6 +118,26 @@ RECORD_FORMATS = (
     ("UNPARSEABLE", "?", ""),
 )
 
+# --- Fixed values: profile report, fields of each record type -------------
+# (record_type, field, description); types without fields have no entry.
+RECORD_FIELDS = (
+    ("SESSION_START", "timestamp", "dd.MM.yyyy_HH:mm:ss | Mon,_d_Mon_yyyy_HH:mm:ss_+ZZZZ"),
+    ("SESSION_END", "timestamp", "dd.MM.yyyy_HH:mm:ss | Mon,_d_Mon_yyyy_HH:mm:ss_+ZZZZ"),
+    ("QUICK_SEARCH", "timestamp", "dd.MM.yyyy_HH:mm:ss | Mon,_d_Mon_yyyy_HH:mm:ss_+ZZZZ"),
+    ("QUICK_SEARCH", "query_text", "текст в фигурных скобках (может быть пустым)"),
+    ("SEARCH_RESULTS", "search_id", "целое, может быть отрицательным"),
+    ("SEARCH_RESULTS", "document_ids", "список PREFIX_number через пробел"),
+    ("DOCUMENT_OPEN", "timestamp", "dd.MM.yyyy_HH:mm:ss | HTTP-вариант"),
+    ("DOCUMENT_OPEN", "search_id", "целое"),
+    ("DOCUMENT_OPEN", "document_id", "PREFIX_number"),
+    ("DOCUMENT_OPEN_NO_TS", "search_id", "целое"),
+    ("DOCUMENT_OPEN_NO_TS", "document_id", "PREFIX_number"),
+    ("CARD_SEARCH_START", "timestamp", "dd.MM.yyyy_HH:mm:ss"),
+    ("CARD_SEARCH_QUERY", "card_param", "например $134 или $0"),
+    ("CARD_SEARCH_QUERY", "query_text", "остаток строки (опционально)"),
+    ("CARD_SEARCH_QUERY", "document_id", "редко: doc_id сразу после $0"),
+)
+
 # --- Fixed values: profile report, legacy command name per record type ----
 LEGACY_COMMANDS = (
     ("SESSION_START", "SESSION_START"),

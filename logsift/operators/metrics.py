@@ -7,12 +7,12 @@ is collapsed before it is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logsift.functions import fixed
 from logsift.functions.timestamps import extract_date
-from logsift.operators.sessions import SID, first_start_dates
+from logsift.operators.sessions import SID, start_date, start_key, with_order_keys
 
 _BLOCK = [SID, "block_line", "block_path"]
 
@@ -71,27 +71,41 @@ def document_opens(records: DataFrame) -> DataFrame:
     """A7 + G3: opens per (date, document_id) over all sessions, straight
     from the records (no session window needed).
 
-    Timestamped opens carry their own date and are counted per (date,
-    document).  Opens without one take their session's date: they are
-    counted per (session, document) first, so only that small table meets
-    the session dates.  Opens with no date are not counted."""
+    One scan and one partial aggregate: timestamped opens per (date,
+    document); opens without a date per (session, document), since they
+    take their session's date; and each session's first start.  A window
+    over those aggregated rows hands the session's date to its opens; rows
+    that need none are spread over hashed groups.  Opens with no date are
+    not counted."""
     rt = F.col("record_type")
-    timed = (
-        records.filter((rt == fixed.DOCUMENT_OPEN) & F.col("document_id").isNotNull())
-        .select(extract_date("timestamp").alias("date"), "document_id")
+    opened = F.col("document_id").isNotNull()
+    own = F.when(rt.isin(fixed.DOCUMENT_OPEN, fixed.SESSION_START), extract_date("timestamp"))
+    timed = (rt == fixed.DOCUMENT_OPEN) & opened
+    untimed = (rt == fixed.DOCUMENT_OPEN_NO_TS) & opened
+    start = rt == fixed.SESSION_START
+    facts = with_order_keys(records.filter(timed | untimed | start)).withColumn("_own", own)
+    grouped = (
+        facts.select(
+            F.when(rt != fixed.DOCUMENT_OPEN, F.col(SID)).alias("_session"),
+            F.when(rt == fixed.DOCUMENT_OPEN, F.col("_own")).alias("_date"),
+            F.when(~start, F.col("document_id")).alias("document_id"),
+            F.when(start, start_key(F.col("_own"))).alias("_key"),
+            F.when(start, 0).otherwise(1).alias("_open"),
+        )
+        .filter(F.col("_session").isNotNull() | F.col("_date").isNotNull())
+        .groupBy("_session", "_date", "document_id")
+        .agg(F.sum("_open").alias("n"), F.min("_key").alias("_key"))
+    )
+    spread = F.when(F.col("_session").isNull(), F.xxhash64("_date", "document_id"))
+    session = Window.partitionBy("_session", "_spread")
+    dated = grouped.withColumn("_spread", spread).withColumn("_key", F.min("_key").over(session))
+    return (
+        dated.filter("n > 0")
+        .select(F.coalesce("_date", start_date(F.col("_key"))).alias("date"), "document_id", "n")
         .filter(F.col("date").isNotNull())
         .groupBy("date", "document_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    untimed = (
-        records.filter((rt == fixed.DOCUMENT_OPEN_NO_TS) & F.col("document_id").isNotNull())
-        .groupBy(SID, "document_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(first_start_dates(records), SID, "inner")
-        .filter(F.col("session_date").isNotNull())
-        .select(F.col("session_date").alias("date"), "document_id", "n")
+        .agg(F.sum("n").cast("long").alias("open_count"))
     )
-    return timed.unionByName(untimed).groupBy("date", "document_id").agg(F.sum("n").cast("long").alias("open_count"))
 
 
 def _fact_flags() -> tuple[Column, Column, Column]:

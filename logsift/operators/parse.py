@@ -122,11 +122,11 @@ def parse_log_lines(lines: DataFrame) -> DataFrame:
     A ``source_path`` input column (the tie-breaker for equal line numbers
     of one session) is carried along when present.
     """
-    keep_columns = tuple(c for c in ("source_path",) if c in lines.columns)
-    typed = classify(tokenize(lines))
-    with_rest = typed.withColumn("_rest", _rest_expr())
-    records = with_rest.select(*_record_exprs(keep_columns))
-    return fence(records).filter(F.col("record_type").isNotNull())
+    keys = tuple(c for c in ("source_file_id", "line_number", "source_path") if c in lines.columns)
+    typed = classify(tokenize(lines.select(*keys, "line"))).drop("line", "n_tokens", "t1_is_ts")
+    # tokens and type are fenced; the other columns are computed where used
+    kept = fence(typed, *keys).filter(F.col("record_type").isNotNull())
+    return kept.withColumn("_rest", _rest_expr()).select(*_record_exprs(keys[2:]))
 
 
 @session_cached

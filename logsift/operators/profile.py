@@ -52,14 +52,19 @@ def profile_summary(precs: DataFrame) -> DataFrame:
 def _format_table(spark: SparkSession) -> DataFrame:
     """The fixed format table as a literal relation (built in the JVM)."""
     rows = [
-        F.struct(F.lit(t).alias("record_type"), F.lit(p).alias("pattern"), F.lit(n or None).cast("string").alias("note"))
+        F.struct(
+            F.lit(t).alias("record_type"),
+            F.lit(p).alias("pattern"),
+            F.lit("; ".join(f"{name}: {text}" for of, name, text in fixed.RECORD_FIELDS if of == t)).alias("fields"),
+            F.lit(n or None).cast("string").alias("note"),
+        )
         for t, p, n in fixed.RECORD_FORMATS
     ]
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def profile_record_types(precs: DataFrame) -> DataFrame:
-    """D04 + D05: records per type, percent of events, format and note.
+    """D04 + D05: records per type, percent of events, format, fields and note.
 
     The format table is a fixed list of eleven rows, so broadcasting it is
     bounded by construction; the percentage window runs over at most that
@@ -70,7 +75,7 @@ def profile_record_types(precs: DataFrame) -> DataFrame:
     return (
         counts.select("record_type", "records", (F.lit(100.0) * F.col("records") / total).alias("percent"))
         .join(formats, "record_type", "left")
-        .select("record_type", "records", "percent", F.coalesce("pattern", F.lit("—")).alias("pattern"), "note")
+        .select("record_type", "records", "percent", F.coalesce("pattern", F.lit("—")).alias("pattern"), "fields", "note")
         .orderBy(F.desc("records"), "record_type")
     )
 

@@ -55,9 +55,12 @@ def _bad(error: Column) -> Column:
 def parse_profile_lines(lines: DataFrame) -> DataFrame:
     """Every line (blank ones as ``EMPTY``) -> one profile record."""
     staged = tokenize(lines, keep_blank=True, dialect="profile")
-    for name, expr in _stages():
+    kind, *pieces = _stages()
+    # tokens and kind are fenced; the other columns are computed where used
+    staged = fence(staged.withColumn(*kind).drop("t1_is_ts"), *lines.columns)
+    for name, expr in pieces:
         staged = staged.withColumn(name, expr)
-    return fence(staged.select(*_profile_exprs()))
+    return staged.select(*_profile_exprs())
 
 
 @session_cached

@@ -47,14 +47,14 @@ log = logging.getLogger("logsift.sessions")
 SID = "source_file_id"
 _CONTROL_TYPES = (fixed.CARD_SEARCH_START, fixed.QUICK_SEARCH, fixed.SEARCH_RESULTS)
 _DATED_TYPES = (fixed.SESSION_START, fixed.QUICK_SEARCH, fixed.DOCUMENT_OPEN)
-_RANK_SPACE = 2147483648  # path_rank lies in [0, 2^31)
+_RANK_MAX = (1 << 63) - 1  # path_rank lies in [0, 2^63)
 
 
 def with_order_keys(records: DataFrame) -> DataFrame:
     """Add ``source_path`` (null for table input) and ``path_rank``, the
     hash of the path that orders copies sharing a line number."""
     df = records if "source_path" in records.columns else records.withColumn("source_path", F.lit(None).cast("string"))
-    return df.withColumn("path_rank", F.pmod(F.xxhash64("source_path"), F.lit(_RANK_SPACE)))
+    return df.withColumn("path_rank", F.xxhash64("source_path").bitwiseAND(F.lit(_RANK_MAX)))
 
 
 def target_hit(target: str) -> Column:
@@ -142,7 +142,7 @@ def _chunked(events: DataFrame, large: DataFrame) -> DataFrame:
     return joined.select(
         *events.columns,
         F.coalesce(F.expr("line_number div lines_per_chunk"), F.lit(0)).cast("long").alias("chunk_line"),
-        F.coalesce(F.expr(f"(path_rank * path_parts) div {_RANK_SPACE}"), F.lit(0)).cast("long").alias("chunk_part"),
+        F.coalesce(F.expr(f"shiftright(shiftright(path_rank, 32) * path_parts, 31)"), F.lit(0)).cast("long").alias("chunk_part"),
         F.col("lines_per_chunk").isNotNull().alias("large_session"),
     )
 
@@ -284,27 +284,30 @@ def _state_exprs() -> list[Column]:
     ]
 
 
-def first_start_dates(records: DataFrame) -> DataFrame:
-    """A2 for sessions that have a ``SESSION_START``: the date of the first
-    one (null when impossible; no later start is tried).  A partial
-    aggregate over the start lines only."""
-    starts = with_order_keys(records.filter(F.col("record_type") == fixed.SESSION_START))
-    first = F.min(
-        F.struct(
-            F.col("line_number").alias("line"),
-            F.col("path_rank").alias("rank"),
-            F.col("source_path").alias("path"),
-            extract_date("timestamp").alias("date"),
-        )
-    )
-    return starts.groupBy(SID).agg(first.alias("_first")).select(SID, F.col("_first.date").alias("session_date"))
+def start_key(date: Column) -> Column:
+    """Line number, path rank and date (yyyymmdd, 0 for an impossible one) of
+    a record in one decimal, so that the first start of a session is a plain
+    minimum, which Spark aggregates by hash."""
+    code = F.coalesce(F.regexp_replace(date, "-", "").cast("int"), F.lit(0))
+    place = F.expr(f"CAST(line_number AS DECIMAL(10, 0)) * {_RANK_MAX + 1}BD + CAST(path_rank AS DECIMAL(19, 0))")
+    return (place.cast("decimal(29,0)") * F.lit(10**8).cast("decimal(9,0)") + code.cast("decimal(10,0)")).cast("decimal(38,0)")
+
+
+def start_date(key: Column) -> Column:
+    """The date of a :func:`start_key`; null for an impossible one."""
+    code = F.lpad((key % F.lit(10**8).cast("decimal(9,0)")).cast("int").cast("string"), 8, "0")
+    iso = F.concat_ws("-", F.substring(code, 1, 4), F.substring(code, 5, 2), F.substring(code, 7, 2))
+    return F.when(code != "00000000", iso)
 
 
 def session_dates(records: DataFrame) -> DataFrame:
-    """A2: every session with a parsed record and its date (null when its
-    first start has an impossible date or when it has no start)."""
-    sessions = records.filter(F.col("record_type") != fixed.UNPARSEABLE).select(SID).distinct()
-    return sessions.join(first_start_dates(records), SID, "left")
+    """A2: every session with a parsed record and the date of its first
+    ``SESSION_START`` (null when that date is impossible, no later start is
+    tried, or when there is no start).  One scan, one aggregate."""
+    rt = F.col("record_type")
+    key = F.when(rt == fixed.SESSION_START, start_key(extract_date("timestamp")))
+    relevant = with_order_keys(records.filter(rt != fixed.UNPARSEABLE)).select(SID, key.alias("_key"))
+    return relevant.groupBy(SID).agg(F.min("_key").alias("_key")).select(SID, start_date(F.col("_key")).alias("session_date"))
 
 
 def quick_search_attribution(events: DataFrame) -> DataFrame:

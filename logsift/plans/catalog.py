@@ -20,6 +20,7 @@ from logsift.operators import metrics, profile
 from logsift.operators.parse import RECORD_COLUMNS, parse_log_lines, tokenize, unparseable_lines
 from logsift.operators.profile_parse import PROFILE_COLUMNS, parse_profile_lines
 from logsift.operators.sessions import quick_search_attribution, session_dates, session_events, session_sizes
+from logsift.sources.session_files import split_lines
 from logsift.sources.tables import log_lines_from_sf_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +55,13 @@ def parsed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(spark, sf_dir).select(*cols)
 
 
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole texts of ``documents`` as numbered lines."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = documents.select(F.col("doc_id").cast("string").alias("source_file_id"), F.lit(None).alias("source_path"), "text")
+    return split_lines(texts).drop("source_path")
+
+
 def line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize(_lines(spark, sf_dir)).select(
         "source_file_id", "line_number", "raw", F.col("n_tokens").cast("int").alias("n_tokens"), F.col("t0").alias("first_token")
@@ -156,6 +164,7 @@ def _profile_query(fn: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "parsed_records": parsed_records,
+    "document_lines": document_lines,
     "line_tokens": line_tokens,
     "timestamps_dates": timestamps_dates,
     "document_mentions": document_mentions,

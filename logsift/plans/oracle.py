@@ -9,16 +9,17 @@ same ``log_lines`` rendering of ``events`` that the Spark side uses.
 
 from __future__ import annotations
 
+from logsift.functions import fixed
 from logsift.sources.fixture_sql import log_lines_sql_for_duckdb
 
-TARGET = "ACC_45616"
+TARGET = fixed.TARGET_DOCUMENT
 WS = r"[\t\n\x0B\f\r ]"
 TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 TS_STD = r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}_[0-9]{2}:[0-9]{2}:[0-9]{2}"
 TS_HTTP = r"(Mon|Tue|Wed|Thu|Fri|Sat|Sun),_([0-9]{1,2})_([A-Za-z]{3})_([0-9]{4})_[0-9]{2}:[0-9]{2}:[0-9]{2}_\+[0-9]{4}"
 DOC = r"[A-Z]+_[0-9]+"
-MONTHS = "('Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec')"
-COMMANDS = "('SESSION_START','SESSION_END','QS','DOC_OPEN','CARD_SEARCH_START','CARD_SEARCH_END')"
+MONTHS = "(" + ", ".join(f"'{m}'" for m in fixed.MONTHS) + ")"
+COMMANDS = "(" + ", ".join(f"'{c}'" for c in fixed.KNOWN_COMMANDS) + ")"
 
 
 def _is_ts(c: str) -> str:
@@ -188,18 +189,17 @@ prec AS (
     CASE WHEN record_type = 'QUICK_SEARCH' AND braced AND qtail <> '' THEN qtail END AS tail_raw
   FROM pq)"""
 
-_FORMATS = """(VALUES
-  ('SESSION_START', 'SESSION_START <timestamp>', 'Начало сессии; один файл = одна сессия.'),
-  ('SESSION_END', 'SESSION_END <timestamp>', NULL),
-  ('QUICK_SEARCH', 'QS <timestamp> {<query_text>}', 'Следующая строка — SEARCH_RESULTS с search_id и doc_id.'),
-  ('SEARCH_RESULTS', '<search_id> <doc_id> [<doc_id> ...]', 'Строка без явной команды; привязана к предыдущему QS или CARD_SEARCH.'),
-  ('DOCUMENT_OPEN', 'DOC_OPEN <timestamp> <search_id> <document_id>', NULL),
-  ('DOCUMENT_OPEN_NO_TS', 'DOC_OPEN <search_id> <document_id>', '~6% DOC_OPEN: timestamp отсутствует (двойной пробел после DOC_OPEN в сыром логе).'),
-  ('CARD_SEARCH_START', 'CARD_SEARCH_START <timestamp>', 'Далее CARD_SEARCH_QUERY, затем CARD_SEARCH_END, затем SEARCH_RESULTS.'),
-  ('CARD_SEARCH_QUERY', '$<n> [<free text>] | $<n> <document_id>', NULL),
-  ('CARD_SEARCH_END', 'CARD_SEARCH_END', 'Без timestamp; часто строка только из команды.'),
-  ('EMPTY', '(пустая строка)', NULL),
-  ('UNPARSEABLE', '?', NULL)) AS f(record_type, pattern, note)"""
+def _sql_row(*values: str) -> str:
+    return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
+
+
+_FORMATS = f"""(
+  SELECT f.record_type, f.pattern, nullif(f.note, '') AS note,
+         coalesce(string_agg(d.name || ': ' || d.text, '; ' ORDER BY d.place), '') AS fields
+  FROM (VALUES {", ".join(_sql_row(*r) for r in fixed.RECORD_FORMATS)}) AS f(record_type, pattern, note)
+  LEFT JOIN (SELECT *, row_number() OVER () AS place
+             FROM (VALUES {", ".join(_sql_row(*r) for r in fixed.RECORD_FIELDS)}) AS v(record_type, name, text)) AS d
+  ON d.record_type = f.record_type GROUP BY 1, 2, 3) AS f"""
 
 _FILE_ORDER = "length(source_file_id), source_file_id, line_number"
 
@@ -207,6 +207,12 @@ ORACLE_SQL: dict[str, str] = {
     "parsed_records": _BASE + """
 SELECT record_type, source_file_id, line_number, timestamp, document_id, array_to_string(document_ids, ' ') AS document_ids,
        query_text, parse_error, raw_line FROM rec""",
+    "document_lines": r"""
+SELECT source_file_id, CAST(pos AS INTEGER) AS line_number, line FROM (
+  SELECT CAST(doc_id AS VARCHAR) AS source_file_id, len(pieces) AS n,
+         unnest(pieces) AS line, generate_subscripts(pieces, 1) AS pos
+  FROM (SELECT doc_id, string_split_regex(text, '\r\n|\r|\n') AS pieces FROM documents))
+WHERE NOT (pos = n AND line = '')""",
     "line_tokens": _BASE + """
 SELECT source_file_id, line_number, raw, n AS n_tokens, t0 AS first_token FROM tk WHERE raw <> ''""",
     "timestamps_dates": _BASE + f"""
@@ -273,7 +279,7 @@ SELECT
 FROM prec""",
     "profile_record_types": _PROFILE + f"""
 SELECT c.record_type, c.records, 100.0::DOUBLE * c.records / sum(c.records) OVER () AS percent,
-       coalesce(f.pattern, '—') AS pattern, f.note
+       coalesce(f.pattern, '—') AS pattern, f.fields, f.note
 FROM (SELECT record_type, count(*) AS records FROM prec WHERE record_type <> 'EMPTY' GROUP BY 1) c
 LEFT JOIN {_FORMATS} ON f.record_type = c.record_type""",
     "profile_parse_errors": _PROFILE + """

@@ -8,6 +8,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from logsift.plans.catalog import QUERIES
+from logsift.plans.oracle import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -35,13 +37,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    got = _rows(E.queries()[name](spark, SF).toPandas())
-    exp = _rows(duck.execute(E.oracle_sql()[name]).df())
+    got = _rows(QUERIES[name](spark, SF).toPandas())
+    exp = _rows(duck.execute(ORACLE_SQL[name]).df())
     assert got[0] == exp[0]
     assert len(got[1]) == len(exp[1])
     assert got[1] == exp[1]
@@ -59,7 +61,7 @@ def test_query_matches_oracle_with_ansi_off(spark, duck, name):
     old = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        got = _rows(E.queries()[name](spark, SF).toPandas())
+        got = _rows(QUERIES[name](spark, SF).toPandas())
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
-    assert got == _rows(duck.execute(E.oracle_sql()[name]).df())
+    assert got == _rows(duck.execute(ORACLE_SQL[name]).df())

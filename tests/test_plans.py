@@ -6,7 +6,9 @@ import tempfile
 from pyspark.sql import functions as F
 
 from logsift.operators.parse import parse_log_lines
-from logsift.operators.sessions import session_events, session_sizes
+from logsift.operators.metrics import document_opens
+from logsift.operators.sessions import session_dates, session_events, session_sizes
+from logsift.plans.catalog import QUERIES
 from logsift.sinks.writers import write_log_lines_table
 from logsift.sources.tables import log_lines_from_sf_dir, read_log_lines_table
 
@@ -55,11 +57,23 @@ def test_large_sessions_take_the_chunked_plan(spark):
 
 
 def test_registered_queries_stay_in_the_jvm_and_avoid_cross_joins(spark):
-    import __spark_entry__ as E
-
     banned = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF",
               "CartesianProduct", "BroadcastNestedLoopJoin")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = _physical(fn(spark, "/root/testdata/sf0.001"))
         found = [b for b in banned if b in plan]
         assert not found, (name, found)
+
+
+def test_a_session_filter_after_the_parser_reaches_the_scan(spark):
+    records = parse_log_lines(_table(spark)).filter(F.col("source_file_id") == "3")
+    assert "EqualTo(source_file_id,3)" in _physical(records)
+
+
+def test_session_dates_and_opens_read_once_and_aggregate_by_hash(spark):
+    records = parse_log_lines(_table(spark))
+    for result in (session_dates(records), document_opens(records)):
+        plan = _physical(result)
+        assert plan.count("FileScan parquet") == 1
+        assert "SortAggregate" not in plan
+        assert "regexp_extract_all" not in plan  # the id lists are not computed
