@@ -1,15 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
 Words are runs without ASCII white space, A-Z lower-cased, stripped of
-ASCII punctuation at both ends.  A first job counts in how many documents
-each n-gram of the test items occurs.  Each item's seeds are its rarest
-n-grams (at least ``SEED_SHARE`` of them, ranked within the item, ties in
-order of place), so an item that has leaked into much of the corpus keeps
-seeds like any other.  A document and an item that share a seed are
-aligned: Smith-Waterman over words (match +2, mismatch -1, gap -1) between
-the item and the stretch of the document around the seeds' diagonals.  The
-score is the best local alignment over that of the item with itself, so
-inserted, dropped and replaced words cost little.
+ASCII punctuation at both ends.  Every n-gram of a test item is a seed: an
+edit breaks up to ``n`` of them, and in a corpus that also holds an exact
+copy the broken ones are the rarer ones, so a choice by rarity would lose
+edited copies.  A document and an item that share a seed are aligned:
+Smith-Waterman over words (match +2, mismatch -1, gap -1) between the item
+and the stretch of the document around the seeds' diagonals, as wide as an
+alignment of the least score can drift.  The score is the best local
+alignment over that of the item with itself, so inserted, dropped and
+replaced words cost little.  A stretch that has too few of the item's
+words for the least score, in any order, is not aligned.  A copy without
+``n`` words in a row that match is not found.
 
 Items are taken in blocks of at most ``BLOCK_ITEMS`` items and
 ``BLOCK_BYTES`` bytes; each block's seeds go to all executors and the
@@ -36,7 +38,6 @@ from pyspark.sql import functions as F
 from .common import text_bytes, text_groups, written
 
 N = 3
-SEED_SHARE = 0.5
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_ITEMS = 20_000
@@ -84,6 +85,7 @@ class Seeds:
         texts = [words(t) for _, t in items]
         self.vocabulary = _Vocabulary(texts)
         self.texts = [np.array([self.vocabulary.known[w] for w in t], np.int64) for t in texts]
+        self.counts = [np.unique(t, return_counts=True) for t in self.texts]
         self.base = len(self.vocabulary.known) + 1
         places: dict[tuple[int, ...], list[tuple[int, int]]] = defaultdict(list)
         for k, t in enumerate(self.texts):
@@ -128,17 +130,12 @@ class Seeds:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(grams), np.concatenate(at)
 
-    def rarest(self, found: np.ndarray, share: float) -> np.ndarray:
-        """Mask of the grams that are a seed of some item."""
-        per: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        for g, places in enumerate(self.places):
-            for k, q in places:
-                per[k].append((int(found[g]), q, g))
-        keep = np.zeros(len(self.grams), bool)
-        for grams in per.values():
-            grams.sort()
-            keep[[g for _, _, g in grams[: max(1, math.ceil(len(grams) * share))]]] = True
-        return keep
+    def common(self, k: int, stretch: np.ndarray) -> int:
+        """Words of an item that a stretch has too, each as often as in both."""
+        known, times = self.counts[k]
+        found, n = np.unique(stretch, return_counts=True)
+        at = np.minimum(np.searchsorted(found, known), len(found) - 1)
+        return int(np.minimum(times, n[at])[found[at] == known].sum())
 
 
 def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -175,41 +172,22 @@ def _blocks(items: DataFrame, limit: int, size: int) -> Iterator[list[tuple[int,
         yield block
 
 
-def gram_frequencies(docs: DataFrame, seeds) -> np.ndarray:
-    """Documents holding each n-gram of the block (one number per gram)."""
-    schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = seeds.value
-        counts = np.zeros(len(s.grams), np.int64)
-        for part in text_groups(batches):
-            for t in s.vocabulary.numbers(text_bytes(part)):
-                counts[np.unique(s.find(t)[0])] += 1
-        have = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(have, pa.int64()), pa.array(counts[have], pa.int64())], schema=schema)
-
-    out = np.zeros(len(seeds.value.grams), np.int64)
-    for gram, n in docs.select("text").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").sum("n").toLocalIterator():
-        out[gram] = n
-    return out
-
-
 RESULT = "doc_id bigint, item_id bigint, score double, start bigint, stop bigint, n_seeds bigint"
 
 
-def align_document(s: Seeds, keep: np.ndarray, text: np.ndarray, min_score: float) -> Iterator[tuple[int, float, int, int, int]]:
+def align_document(s: Seeds, text: np.ndarray, min_score: float) -> Iterator[tuple[int, float, int, int, int]]:
     """(item number, score, first and last-plus-one word of the aligned
     stretch searched, seeds) for each item that reaches the score."""
     grams, at = s.find(text)
-    seed = keep[grams] if len(grams) else np.zeros(0, bool)
     anchors: dict[int, list[int]] = defaultdict(list)
-    for g, p in zip(grams[seed].tolist(), at[seed].tolist(), strict=True):
+    for g, p in zip(grams.tolist(), at.tolist(), strict=True):
         for k, q in s.places[g]:
             anchors[k].append(p - q)
     for k, starts in sorted(anchors.items()):
         item = s.texts[k]
         m, best = len(item), (0.0, 0, 0)
-        slack = m // 2 + 2
+        least = min_score * m  # matching words that the score takes
+        slack = max(math.ceil(2 * (m - least)), 0) + 1  # gaps that it allows
         starts.sort()
         low = high = starts[0]
         stretches = []
@@ -221,15 +199,17 @@ def align_document(s: Seeds, keep: np.ndarray, text: np.ndarray, min_score: floa
         stretches.append((low, high))
         for low, high in stretches:
             a, b = max(0, low - slack), min(len(text), high + m + slack)
+            if s.common(k, text[a:b]) < least:
+                continue
             for c in range(a, b, 8192):  # long runs in overlapping pieces
-                score, end = smith_waterman(item, text[c : min(b, c + 8192 + 2 * m)])
+                score, end = smith_waterman(item, text[c : min(b, c + 8192 + m + slack)])
                 if score / (MATCH * m) > best[0]:
                     best = (score / (MATCH * m), max(a, c + end - m - slack), c + end)
         if best[0] >= min_score:
             yield k, *best, len(starts)
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, *, n: int = N, share: float = SEED_SHARE, min_score: float = MIN_SCORE) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, *, n: int = N, min_score: float = MIN_SCORE) -> DataFrame:
     """Rows (doc_id, item_id, score, start, stop, n_seeds) of documents
     (doc_id, text) that hold an exact or edited copy of a test item."""
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
@@ -237,15 +217,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, n: int = N, share: float =
     out = None
     for block in _blocks(items.select(F.col("item_id"), F.col("text")), BLOCK_ITEMS, BLOCK_BYTES):
         seeds = spark.sparkContext.broadcast(Seeds(block, n))
-        keep = spark.sparkContext.broadcast(seeds.value.rarest(gram_frequencies(docs, seeds), share))
 
-        def run(batches: Iterator[pa.RecordBatch], seeds=seeds, keep=keep) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
             s = seeds.value
             for part in text_groups(batches):
                 found = [
                     (doc_id, s.ids[k], *rest)
                     for doc_id, t in zip(part.column(0).to_pylist(), s.vocabulary.numbers(text_bytes(part)), strict=True)
-                    for k, *rest in align_document(s, keep.value, t, min_score)
+                    for k, *rest in align_document(s, t, min_score)
                 ]
                 cols = zip(*found, strict=True) if found else [[]] * len(schema)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)

@@ -371,3 +371,28 @@ def test_smith_waterman_against_the_plain_recurrence():
         for i, j in itertools.product(range(1, len(a) + 1), range(1, len(b) + 1)):
             h[i][j] = max(0, h[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
         assert decontaminate.smith_waterman(np.array(a), np.array(b))[0] == max(map(max, h))
+
+
+def test_leaks_with_many_edits_against_all_pairs(spark, llm):
+    """Copies with every 4th to 6th word changed, beside exact copies of
+    some of the items, against Smith-Waterman over all pairs."""
+    rng = random.Random(12)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.sample(vocabulary, 40))) for i in range(9)]
+    rows = []
+    for i, text in items:
+        w = text.split()
+        every = 4 + i % 3
+        edited = [f"new{k}" if k % every == every - 1 else x for k, x in enumerate(w)]
+        rows.append((10 + i, " ".join([*rng.choices(vocabulary, k=30), *edited, *rng.choices(vocabulary, k=30)])))
+        rows.append((30 + i, " ".join([*w[:20], *(f"gap{k}" for k in range(30)), *w[20:]])))
+        rows.append((50 + i, " ".join(w[:12])))
+        if i >= 5:
+            rows.append((70 + i, text))
+    s = decontaminate.Seeds([(i, t.encode()) for i, t in items], 3)
+    texts = s.vocabulary.numbers([t.encode() for _, t in rows])
+    want = [(d, i, decontaminate.smith_waterman(s.texts[i], t)[0] / (2 * 40)) for (d, _), t in zip(rows, texts, strict=True) for i, _ in items]
+    want = [x for x in want if x[2] >= decontaminate.MIN_SCORE]
+    assert {d for d, _, _ in want} == {d for d, _ in rows if not 50 <= d < 70}
+    got = decontaminate.find_leaks(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert keyed([(r.doc_id, r.item_id, r.score) for r in got]) == keyed(want)
