@@ -1,25 +1,27 @@
-"""Main text of web pages: element roles, then the host's suffix array.
+"""Main text of web pages: element roles and the host's repeated stretches.
 
 A page is read into blocks (runs of text between block-level tags) with
 the role their elements give them: *chrome* (menus, headers, footers,
 asides, forms, adverts, notices, reader comments), *article* (inside
-``article`` or else ``main``), or *open*.  Scripts, styles, comments and
-the head are no text.
-
-Each host's pages are concatenated into a token stream, blocks set apart
-by a mark, articles left out.  A stretch of ``WINDOW`` tokens that occurs
-in two pages of different content is a longest-common-prefix interval of
-the host's suffix array of at least that depth.  The array is kept in
-parts: suffixes that share their first ``WINDOW`` tokens fall together and
-are counted by (host, prefix) with partial sums, so no task holds a host.
-Tokens covered by such stretches are boilerplate.
-
-Where a page has an article element, its text is the article's blocks:
-there an element says what is main text, and copies of one article on two
-pages of a host are not boilerplate, although the array covers them.
-Elsewhere the open blocks less the covered tokens are the text: unique
-runs stay.  Pages with equal streams count once, so copies of a page do
-not remove each other.
+``article``), *main* (inside ``main``), or *open*.  Scripts, styles,
+comments and the head are no text.
+
+Every page's blocks, whatever their role, form its token stream, blocks
+set apart by a mark.  A stretch of the host's streams is boilerplate if it
+is a whole block or has at least ``LONG`` tokens, and occurs on enough
+pages: ``SHARES`` of the host's pages, more for stretches inside an
+article or main element.  Pages with equal main text count once, so copies
+of an article do not remove each other; and where more than half of a
+page's article or main text would go, it is a near copy and stays.  The
+text is all blocks that are not chrome, less the boilerplate.
+
+No suffix array is built.  The tokens under LCP intervals of depth
+``LONG`` or more that reach the page count are those under ``LONG``-token
+windows that reach it, so windows are counted by (host, digest).  Only
+windows whose minimiser (the ``GRAM``-token run of least digest in it) is
+on enough pages itself are counted: a frequent window has a frequent
+minimiser, so none is lost.  Sets of frequent keys go to the executors as
+bits, which let some others through; counts and joins are exact.
 
 White space inside a block becomes one blank, blocks are joined by a line
 break, character references are decoded.  Null or empty html gives an
@@ -32,19 +34,27 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, text_groups, with_columns
+from .common import text_bytes, text_groups, with_columns, written
 
-#: Tokens that must repeat for a stretch to count as boilerplate.
-WINDOW = 6
+#: Tokens that must repeat for a part of a block to count as boilerplate.
+LONG = 24
+#: Tokens of the runs that stand for a window.
+GRAM = 8
+#: (least pages, share of the host's pages) of boilerplate outside, and
+#: inside, an article or main element.
+SHARES = ((2, 0.1), (3, 0.25))
 MARK = "\n"
+_MARK = np.uint64(xxhash.xxh3_64_intdigest(MARK))
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 # HTML element names by what they mean for text.
 RAW = frozenset("script style noscript template iframe textarea title svg math object".split())
@@ -83,13 +93,12 @@ class Page:
         return next((r for r in ("article", "main") if r in roles), "open")
 
     def stream(self) -> list[str]:
-        """Tokens outside the main article, a mark before each block."""
-        main = self.main_role()
-        out = []
-        for role, t in self.blocks:
-            if role != main or main == "open":
-                out += [MARK, *t.split(" ")]
-        return out
+        """Tokens of all blocks, a mark before each block."""
+        return [w for _, t in self.blocks for w in (MARK, *t.split(" "))]
+
+    def is_text(self) -> np.ndarray:
+        """Mask of the stream's tokens that are not chrome."""
+        return np.repeat([r != "chrome" for r, _ in self.blocks], [t.count(" ") + 2 for _, t in self.blocks]).astype(bool)
 
 
 def _is_chrome(tag: str, attrs: str, in_article: bool) -> bool:
@@ -178,101 +187,218 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def _digest(tokens: list[str]) -> int:
-    return xxhash.xxh3_64_intdigest(" ".join(tokens).encode()) - (1 << 63)
+def _digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
+
+
+class _Words(dict):
+    """Digests of words.  Bounded: it keeps no more when large."""
+
+    LIMIT = 300_000
+
+    def __missing__(self, word: str) -> int:
+        value = xxhash.xxh3_64_intdigest(word.encode())
+        if len(self) < self.LIMIT:
+            self[word] = value
+        return value
+
+
+_words = _Words()
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(31)) * _MIX
+    return x ^ x >> np.uint64(29)
+
+
+def _runs(x: np.ndarray, size: int, step: int = 1) -> np.ndarray:
+    """Digest of ``size`` values, ``step`` apart, from each place."""
+    n = len(x) - (size - 1) * step
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out = np.zeros(n, np.uint64)
+    for k in range(size):
+        out = out * _BASE + x[k * step : k * step + n]
+    return _mixed(out)
+
+
+def _least(x: np.ndarray, size: int) -> np.ndarray:
+    """The least of ``size`` values from each place."""
+    wide = 1
+    while wide < size:
+        more = min(wide, size - wide)
+        x = np.minimum(x[:-more], x[more:])
+        wide += more
+    return x
+
 
+class Stream:
+    """Keys of a page's token stream on its host: of each block, of the
+    window from each place, and of each window's minimiser."""
 
-def windows(stream: list[str], size: int) -> list[int]:
-    """Digest of the ``size`` tokens from each place; a shorter stream is
-    one window."""
-    if not stream:
-        return []
-    return [_digest(stream[i : i + size]) for i in range(max(len(stream) - size, 0) + 1)]
+    def __init__(self, host: int, stream: list[str]):
+        tokens = np.array([_words[w] for w in stream], np.uint64)
+        host = np.uint64(host & 0xFFFFFFFFFFFFFFFF)
+        self.size = len(tokens)
+        self.starts = np.flatnonzero(tokens == _MARK)  # the blocks' marks
+        self.stops = np.r_[self.starts[1:], self.size].astype(np.int64)
+        whole = [xxhash.xxh3_64_intdigest(" ".join(stream[a:b]).encode()) for a, b in zip(self.starts.tolist(), self.stops.tolist(), strict=False)]
+        self.blocks = _mixed(np.array(whole, np.uint64) ^ host).view(np.int64)
+        grams = _runs(tokens, GRAM)
+        self.windows = _mixed(_runs(grams, LONG // GRAM, GRAM) ^ host).view(np.int64)
+        if len(self.windows):
+            grams = _least(grams, LONG - GRAM + 1)
+        self.minimisers = _mixed((grams + np.uint64(1)) ^ host).view(np.int64) if len(self.windows) else self.windows
+
+    def covered(self, keys: np.ndarray) -> np.ndarray:
+        """Mask of the tokens in blocks or windows with one of the keys."""
+        edge = np.zeros(self.size + 1, np.int64)
+        hit = np.isin(self.blocks, keys)
+        np.add.at(edge, self.starts[hit], 1)
+        np.add.at(edge, self.stops[hit], -1)
+        at = np.flatnonzero(np.isin(self.windows, keys))
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + LONG, -1)
+        return np.cumsum(edge)[:-1] > 0
+
+    def of_text(self, text: np.ndarray) -> np.ndarray:
+        """Keys of the blocks and windows that hold a place of ``text``."""
+        before = np.r_[0, np.cumsum(text)]
+        at = np.arange(len(self.windows))
+        return np.r_[self.blocks[before[self.stops] > before[self.starts]], self.windows[before[at + LONG] > before[at]]]
+
+
+class _Filter:
+    """Bits of a set of keys: a key without its bit is not in the set."""
+
+    def __init__(self, keys: DataFrame, column: str):
+        n = keys.count()
+        self.bits = np.zeros(1 << min(max(16, (16 * n).bit_length()), 29), bool)
+        if n:
+            place = F.pmod(F.col(column), F.lit(len(self.bits))).cast("int").alias("at")
+            for (block,) in keys.select(place).groupBy(F.spark_partition_id()).agg(F.collect_set("at")).select("collect_set(at)").toLocalIterator():
+                self.bits[block] = True
+        self.bits = np.packbits(self.bits)
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        at = keys & (8 * len(self.bits) - 1)
+        return (self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
 def _pages(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("_html", F.coalesce(F.col("html").cast("string"), F.lit("")))
+    """``_page`` stands for the host's pages of one content."""
+    return pages.withColumn("_html", F.coalesce(F.col("html").cast("string"), F.lit(""))).withColumn("_page", F.xxhash64(F.coalesce("url", F.lit("")), "_html"))
 
 
-def repeated_windows(pages: DataFrame, size: int) -> DataFrame:
-    """(host, window): stretches found in two pages of different content."""
-    schema = pa.schema([("host", pa.string()), ("window", pa.int64()), ("page", pa.int64())])
+def streams(pages: DataFrame) -> DataFrame:
+    """(host, page, main, stream, text): of each page, digests of host and
+    main text, the token stream, and the places of it that are text."""
+    schema = pa.schema([("host", pa.int64()), ("page", pa.int64()), ("main", pa.int64()), ("stream", pa.string()), ("text", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_groups(batches, column="_html"):
-            cols: tuple[list, list, list] = ([], [], [])
-            for url, raw in zip(part.column(0).to_pylist(), text_bytes(part, "_html"), strict=True):
-                stream = read_page(raw.decode()).stream()
-                found = set(windows(stream, size))
-                cols[0].extend([host_of(url)] * len(found))
-                cols[1].extend(found)
-                cols[2].extend([_digest(stream)] * len(found))
+            found = []
+            for url, raw, key in zip(part.column(0).to_pylist(), text_bytes(part, "_html"), part.column(2).to_pylist(), strict=True):
+                page = read_page(raw.decode())
+                main = _digest(page.text(page.main_role()))
+                found.append((_digest(host_of(url)), key, main, " ".join(page.stream()), np.packbits(page.is_text()).tobytes()))
+            cols = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-    found = _pages(pages).select("url", "_html").mapInArrow(run, "host string, window bigint, page bigint")
-    both = found.groupBy("host", "window").agg(F.min("page").alias("a"), F.max("page").alias("b"))
-    return both.filter("a != b").select("host", "window")
+    return _pages(pages).select("url", "_html", "_page").mapInArrow(run, "host bigint, page bigint, main bigint, stream string, text binary")
 
 
-def extract(pages: DataFrame, size: int = WINDOW) -> DataFrame:
+def _keys(read: DataFrame, keys: Callable[[Stream, np.ndarray], np.ndarray]) -> DataFrame:
+    """(host, page, main, key): distinct keys of each stream."""
+    names = ["host", "page", "main"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_groups(batches, column="stream"):
+            found = []
+            for host, stream, text in zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in ("host", "stream", "text")), strict=True):
+                tokens = stream.split(" ") if stream else []
+                found.append(np.unique(keys(Stream(host, tokens), np.unpackbits(np.frombuffer(text, np.uint8), count=len(tokens)))))
+            at = pa.array(np.repeat(np.arange(len(found)), [len(k) for k in found]))
+            cols = [part.column(part.schema.get_field_index(c)).take(at) for c in names]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(found), pa.int64())], names=[*names, "key"])
+
+    return read.mapInArrow(run, "host bigint, page bigint, main bigint, key bigint")
+
+
+def _frequent(found: DataFrame, limits: DataFrame) -> DataFrame:
+    """(key, inner): keys on enough pages of their host, and whether these
+    are enough inside an article or main element too."""
+    counted = found.groupBy("host", "key").agg(F.countDistinct("main").alias("n")).filter(F.col("n") >= SHARES[0][0])
+    return written(counted.join(limits, "host").filter("n >= outside").select("key", (F.col("n") >= F.col("inside")).alias("inner")), "keys")
+
+
+def boilerplate(pages: DataFrame) -> DataFrame:
+    """(_page, keys, inner): the keys of the repeated blocks and windows in
+    the text of each page that has any, and those that count inside an
+    article or main element."""
+    share = pages.sparkSession.sparkContext.broadcast
+    read = written(streams(pages), "pages")
+    enough = [F.greatest(F.lit(n), F.ceil(F.col("pages") * part)).alias(name) for name, (n, part) in zip(("outside", "inside"), SHARES, strict=True)]
+    limits = read.groupBy("host").agg(F.countDistinct("main").alias("pages")).select("host", *enough)
+    first = _frequent(_keys(read, lambda s, _: np.r_[s.blocks, s.minimisers]), limits)
+    near = share(_Filter(first, "key"))
+    second = _frequent(_keys(read, lambda s, _: s.windows[near.value[s.minimisers]]), limits)
+    often = first.unionByName(second)
+    known = share(_Filter(often, "key"))
+
+    def own(s: Stream, text: np.ndarray) -> np.ndarray:
+        keys = s.of_text(text)
+        return keys[known.value[keys]]
+
+    hits = _keys(read, own).select("page", "key").distinct().join(often, "key")
+    return hits.groupBy(F.col("page").alias("_page")).agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("inner"), F.col("key"))).alias("inner"))
+
+
+def extract(pages: DataFrame) -> DataFrame:
     """``pages`` (url, html, ...) with ``text`` and ``n_chars``."""
     pages = pages.drop("text", "n_chars")
     names = pages.columns
-    added = "_text string, _host string, _page bigint, _windows array<bigint>"
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64())]
-    at_url = names.index("url")
+    hits = written(boilerplate(pages), "hits")
+    known = pages.sparkSession.sparkContext.broadcast(_Filter(hits, "_page"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch], hit: bool = False) -> Iterator[pa.RecordBatch]:
         for part in text_groups(batches, column="_html"):
-            rows = []
-            for url, raw in zip(part.column(at_url).to_pylist(), text_bytes(part, "_html"), strict=True):
-                page = read_page(raw.decode())
-                main = page.main_role()
-                if main != "open" or not any(r == "open" for r, _ in page.blocks):
-                    rows.append((page.text(main), None, None, None))
-                else:
-                    stream = page.stream()
-                    rows.append((None, host_of(url), _digest(stream), windows(stream, size)))
-            cols = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=[*part.schema.names, *(x.split()[0] for x in added.split(", "))])
-
-    read = _pages(pages)
-    read = read.mapInArrow(run, with_columns(read, added))
-    own = [F.col(f"`{c}`") for c in names]
-    done = read.filter(F.col("_text").isNotNull()).select(*own, F.col("_text").alias("text"))
-    rest = read.filter(F.col("_text").isNull())
-    places = rest.select("_host", "_page", F.posexplode("_windows").alias("_at", "window")).distinct()
-    covers = (
-        places.join(repeated_windows(pages, size).withColumnRenamed("host", "_host"), ["_host", "window"])
-        .groupBy("_host", "_page")
-        .agg(F.collect_set("_at").alias("_starts"))
-    )
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_groups(batches, column="_html"):
-            starts = part.column(part.schema.get_field_index("_starts")).to_pylist()
-            texts = []
-            for raw, s in zip(text_bytes(part, "_html"), starts, strict=True):
-                page = read_page(raw.decode())
-                texts.append(open_text(page, set(s or ()), size))
+            if not hit:
+                at = part.column(part.schema.get_field_index("_page")).to_numpy()
+                part = part.filter(pa.array(~known.value[at]))
+            column = lambda c, part=part: part.column(part.schema.get_field_index(c)).to_pylist()
+            keys = zip(column("keys"), column("inner"), strict=True) if hit else [(None, None)] * part.num_rows
+            texts = [main_text(read_page(raw.decode()), host_of(url), *k) for raw, url, k in zip(text_bytes(part, "_html"), column("url"), keys, strict=True)]
             keep = [part.column(part.schema.get_field_index(c)) for c in names]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(texts, pa.string())], names=[*names, "text"])
 
-    joined = rest.select(*own, "_html", "_host", "_page").join(covers, ["_host", "_page"], "left")
-    opened = joined.mapInArrow(cut, with_columns(pages, "text string"))
-    return done.unionByName(opened).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            yield part.filter(pa.array(known.value[part.column(part.schema.get_field_index("_page")).to_numpy()]))
+
+    read, out = _pages(pages), with_columns(pages, "text string")
+    joined = read.mapInArrow(some, read.schema).join(hits, "_page", "left").mapInArrow(lambda b: cut(b, True), out)
+    return read.mapInArrow(cut, out).unionByName(joined).withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
-def open_text(page: Page, starts: set[int], size: int) -> str:
-    """Unique runs of the open blocks of a page without an article."""
-    hidden = set()
-    for s in starts:
-        hidden.update(range(s, s + size))
-    blocks, i = [], 0
+def main_text(page: Page, host: str, keys: list[int] | None = None, inner: list[int] | None = None) -> str:
+    """The blocks that are not chrome less the boilerplate; ``inner`` is
+    what counts inside an article or main element."""
+    if not keys:
+        return "\n".join([t for role, t in page.blocks if role != "chrome"])
+    s = Stream(_digest(host), page.stream())
+    hidden, strong = (s.covered(np.array(k or [], np.int64)) for k in (keys, inner))
+    blocks, at, inside, lost = [], 0, 0, 0
     for role, t in page.blocks:
-        i += 1  # the mark
-        tokens = t.split(" ")
-        if role == "open":
-            blocks.append(" ".join([w for k, w in enumerate(tokens, i) if k not in hidden]))
-        i += len(tokens)
-    return "\n".join([b for b in blocks if b])
+        words = t.split(" ")
+        at += 1  # the mark
+        cover = (hidden if role == "open" else strong)[at : at + len(words)]
+        at += len(words)
+        if role in ("article", "main"):
+            inside += len(words)
+            lost += int(cover.sum())
+        if role != "chrome":
+            blocks.append((role, words, cover.tolist()))
+    whole = 2 * lost > inside  # a near copy
+    out = [" ".join([w for w, x in zip(words, cover, strict=True) if not x or whole and role != "open"]) for role, words, cover in blocks]
+    return "\n".join([b for b in out if b])

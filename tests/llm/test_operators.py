@@ -396,3 +396,24 @@ def test_leaks_with_many_edits_against_all_pairs(spark, llm):
     assert {d for d, _, _ in want} == {d for d, _ in rows if not 50 <= d < 70}
     got = decontaminate.find_leaks(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert keyed([(r.doc_id, r.item_id, r.score) for r in got]) == keyed(want)
+
+
+def test_host_repeats_inside_main_and_unique_text_outside(spark, llm):
+    rng = random.Random(21)
+    words = lambda n: " ".join(f"z{rng.randrange(10**6)}" for _ in range(n))
+    notice = words(30)
+    bodies = [words(60) for _ in range(8)]
+    rows = []
+    for i, body in enumerate(bodies):
+        rows.append((i, f"http://h.com/{i}", f"<main><h1>Head {i}</h1><article><p>{body}</p><p>Read our other stories</p><p>own{i} {notice} end{i}</p></article></main>"))
+    rows += [(20 + k, f"http://h.com/copy{k}", rows[0][2].replace("<main>", f"<nav>n{k}</nav><main>")) for k in range(6)]
+    cards = "<article><p>teaser {0}</p></article>"
+    rows.append((40, "http://h.com/front", f"<div>{words(20)} front</div>" + cards.format(1)))
+    rows += [(50 + k, f"http://i.com/{k}", f"<article><p>{bodies[0]} v{k}</p></article>") for k in range(5)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    for i, body in enumerate(bodies):
+        assert got[i] == f"Head {i}\n{body}\nown{i} end{i}"
+    assert all(got[20 + k] == got[0] for k in range(6))
+    assert got[40].endswith("front\nteaser 1")
+    assert all(got[50 + k] == f"{bodies[0]} v{k}" for k in range(5))
