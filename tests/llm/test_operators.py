@@ -417,3 +417,15 @@ def test_host_repeats_inside_main_and_unique_text_outside(spark, llm):
     assert all(got[20 + k] == got[0] for k in range(6))
     assert got[40].endswith("front\nteaser 1")
     assert all(got[50 + k] == f"{bodies[0]} v{k}" for k in range(5))
+
+
+def test_short_sentences_on_some_pages_of_a_large_host_stay(spark, llm):
+    rng = random.Random(22)
+    words = lambda n: " ".join(f"z{rng.randrange(10**6)}" for _ in range(n))
+    rows = []
+    for i in range(60):
+        extra = "<div>And there it was again for all</div>" if i % 15 == 0 else ""
+        rows.append((i, f"http://big.com/{i}", f"<div>Home About Contact</div>{extra}<div>{words(9)} as it was said by them before then {words(9)}</div>" if i % 20 == 0 else f"<div>Home About Contact</div>{extra}<div>{words(30)}</div>"))
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, _, source in rows:
+        assert got[i] == "\n".join(html_text.read_page(source).text("open").split("\n")[1:])
