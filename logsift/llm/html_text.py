@@ -4,7 +4,10 @@ A page is read into blocks (runs of text between block-level tags) with
 the role their elements give them: *chrome* (menus, headers, footers,
 asides, forms, adverts, notices, reader comments), *article* (inside
 ``article``), *main* (inside ``main``), or *open*.  Scripts, styles,
-comments and the head are no text.
+comments and the head are no text.  A class or id makes an element chrome
+if its last word that says more than a place or a box is a listed one and
+no word negates it.  On a page whose article and main elements all lie in
+elements that are chrome by class or id only, those elements are not.
 
 Every page's blocks, whatever their role, form its token stream, blocks
 set apart by a mark.  A stretch of the host's streams is boilerplate if it
@@ -71,6 +74,14 @@ CHROME_NAMES = frozenset(
     "modal newsletter subscribe sidebar menu nav navbar navigation breadcrumb breadcrumbs header masthead footer comment comments disqus "
     "replies share sharing social login signup".split()
 )
+# Words of a class that say where or what kind of box an element is.
+BOX_NAMES = frozenset(
+    "container wrapper wrap inner outer box area block section list widget bar left right top bottom item items link links button buttons form slot unit icons body content main primary secondary".split()
+)
+NEGATING = frozenset("no not non without with has".split())
+# A header of the site, not of a text.
+SITE_NAMES = frozenset("site global top".split())
+COMMENT_NAMES = frozenset("comment comments disqus replies".split())
 ENDS_P = BLOCK - {"option", "optgroup", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "legend", "summary", "dd", "dt", "li", "head", "body", "html"}
 SAME_ENDS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
 
@@ -101,23 +112,46 @@ class Page:
         return np.repeat([r != "chrome" for r, _ in self.blocks], [t.count(" ") + 2 for _, t in self.blocks]).astype(bool)
 
 
-def _is_chrome(tag: str, attrs: str, in_article: bool) -> bool:
+def _names_chrome(value: str) -> set[str]:
+    """The listed words that the names of a class or id stand for."""
+    found = set()
+    for name in value.split():
+        said = [w.lower() for w in _NAME.findall(name)]
+        while len(said) > 1 and (said[-1] in BOX_NAMES or said[-1].isdigit()):
+            said.pop()
+        if not said or said[-1] not in CHROME_NAMES or NEGATING.intersection(said):
+            continue
+        if said[-1] != "header" or SITE_NAMES.issuperset(said[:-1]):
+            found.add(said[-1])
+    return found
+
+
+def _is_chrome(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is chrome by tag or role, and by class or id."""
     if tag in CHROME or (tag == "header" and not in_article):
-        return True
-    if not attrs or tag in ("html", "body", "article", "main") and "comment" not in attrs:
-        return False
+        return True, False
+    if not attrs or tag in ("html", "body"):
+        return False, False
+    listed = set()
     for name, value in _ATTR.findall(attrs):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "role" and value.lower() in CHROME_ROLES:
-            return True
-        if name in ("class", "id") and CHROME_NAMES.intersection(w.lower() for w in _NAME.findall(value)):
-            return True
-    return False
+        name, value = name.lower(), entities.unescape(value.strip("\"'"))
+        if name == "role" and value.lower() in CHROME_ROLES and tag not in ("article", "main"):
+            return True, False
+        if name in ("class", "id"):
+            listed |= _names_chrome(value)
+    if tag in ("article", "main"):
+        listed &= COMMENT_NAMES
+    elif in_article:
+        listed -= {"header", "masthead"}
+    return False, bool(listed)
 
 
 def read_page(source: str) -> Page:
-    page = Page()
-    stack: list[tuple[str, bool, str]] = []  # element, inside chrome, role of text
+    # element, inside chrome by tag, elements around that are chrome by name, role of text
+    stack: list[tuple[str, bool, tuple[int, ...], str]] = []
+    blocks: list[tuple[bool, tuple[int, ...], str, str]] = []
+    mains: list[tuple[int, ...]] = []  # elements around each article or main that are chrome by name
+    outside = (False, (), "open")
     run: list[str] = []
     place, n = 0, len(source)
 
@@ -126,8 +160,7 @@ def read_page(source: str) -> Page:
             text = " ".join(entities.unescape("".join(run)).split())
             run.clear()
             if text:
-                chrome, role = (stack[-1][1], stack[-1][2]) if stack else (False, "open")
-                page.blocks.append(("chrome" if chrome else role, text))
+                blocks.append((*(stack[-1][1:] if stack else outside), text))
 
     while place < n:
         m = _TAG.search(source, place)
@@ -146,7 +179,7 @@ def read_page(source: str) -> Page:
                 close()
             at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
             if at is not None:
-                after = stack[at - 1][1:] if at else (False, "open")
+                after = stack[at - 1][1:] if at else outside
                 if stack[-1][1:] != after:
                     close()
                 del stack[at:]
@@ -169,17 +202,22 @@ def read_page(source: str) -> Page:
                 break
             if stack[k][0] in BLOCK:
                 break
-        chrome, role = (stack[-1][1], stack[-1][2]) if stack else (False, "open")
-        own = _is_chrome(tag, m[3], role == "article")
-        if own and not chrome:
+        chrome, named, role = stack[-1][1:] if stack else outside
+        own, by_name = _is_chrome(tag, m[3], role in ("article", "main"))
+        if own and not chrome or by_name:
             close()
+        if by_name:
+            named = (*named, place)
         if tag == "article":
             role = "article"
         elif role == "open" and (tag == "main" or "role" in m[3] and re.search(r"""role\s*=\s*["']?main""", m[3])):
             role = "main"
-        stack.append((tag, chrome or own, role))
+        if not (chrome or own) and not by_name and role != (stack[-1][3] if stack else "open"):
+            mains.append(named)
+        stack.append((tag, chrome or own, named, role))
     close()
-    return page
+    freed = set() if () in mains else {k for around in mains for k in around}
+    return Page([("chrome" if chrome or not freed.issuperset(named) else role, text) for chrome, named, role, text in blocks])
 
 
 def host_of(url: str | None) -> str:

@@ -429,3 +429,18 @@ def test_short_sentences_on_some_pages_of_a_large_host_stay(spark, llm):
     got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for i, _, source in rows:
         assert got[i] == "\n".join(html_text.read_page(source).text("open").split("\n")[1:])
+
+
+@pytest.mark.parametrize("name", ["layout no-sidebar", "has-sidebar", "ad-free", "social-science", "content-with-menu", "sidebar", "pageMenu"])
+def test_wrappers_do_not_hide_the_article(name):
+    page = html_text.read_page(f"<div class='{name}'><p>Lead</p><article><h1>T</h1><p>Body</p></article></div><nav>n</nav>")
+    assert page.blocks == [("open", "Lead"), ("article", "T"), ("article", "Body"), ("chrome", "n")]
+
+
+def test_class_names_of_chrome():
+    page = html_text.read_page(
+        "<div class='site-header'>s</div><main><div class='entry-header'><h1>T</h1></div><article>x<div class='ad-slot'>a</div>y</article>"
+        "<div id='comments'><article>c</article></div><article class='comment'>d</article></main><div class='sidebar-left'><article>card</article></div>"
+    )
+    assert page.blocks == [("chrome", "s"), ("main", "T"), ("article", "x"), ("chrome", "a"), ("article", "y"), ("chrome", "c"), ("chrome", "d"), ("chrome", "card")]
+    assert html_text.read_page("<div class='entry-header'><h1>T</h1></div><p>x").blocks == [("open", "T"), ("open", "x")]
