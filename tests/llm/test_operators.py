@@ -444,3 +444,26 @@ def test_class_names_of_chrome():
     )
     assert page.blocks == [("chrome", "s"), ("main", "T"), ("article", "x"), ("chrome", "a"), ("article", "y"), ("chrome", "c"), ("chrome", "d"), ("chrome", "card")]
     assert html_text.read_page("<div class='entry-header'><h1>T</h1></div><p>x").blocks == [("open", "T"), ("open", "x")]
+
+
+@pytest.mark.parametrize("d", [0.3, 0.5, 0.8, 0.93])
+@pytest.mark.parametrize("c", [65, 1000, 3000])
+def test_tables_of_many_customers_against_the_recursion(d, c):
+    """Means and variances of the tables of c customers."""
+    width = min(c, 900) + 1
+    log = np.full(width, -np.inf)
+    log[0] = 0.0
+    t = np.arange(width)
+    for n in range(c):
+        with np.errstate(divide="ignore"):
+            stay = log + np.log(np.maximum(n - d * t, 0))
+        log = np.logaddexp(stay, np.r_[-np.inf, log[:-1]])
+    rng, stirling = np.random.default_rng(3), pitman_yor.log_stirling(d)
+    for a in (0.001, 0.3, 1.0, 10.0, 80.0):
+        w = np.exp(log + t * np.log(a) - (log + t * np.log(a)).max())
+        w /= w.sum()
+        mean = float(w @ t)
+        sd = float(np.sqrt(w @ (t - mean) ** 2))
+        got = pitman_yor.draw_tables(np.full(4000, c), np.full(4000, a), d, rng, stirling)
+        assert abs(got.mean() - mean) < 5 * sd / 4000**0.5 + 0.01 * mean, (a, got.mean(), mean)
+        assert abs(got.std() - sd) < 0.1 * sd + 0.02, (a, got.std(), sd)
