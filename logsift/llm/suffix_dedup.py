@@ -4,19 +4,20 @@ Every byte covered by a ``length``-byte string that also starts anywhere
 else (same document included) is removed.  Texts are their UTF-8 bytes;
 matches never cross documents.
 
-*Sparse suffix arrays.*  Each ``length``-byte window names one of the
+*Anchors in place of suffix arrays.*  Each ``length``-byte window names one of the
 ``ANCHOR``-byte strings in it as its anchor: the one with the smallest
 hash, the leftmost of equals.  Equal windows name equal anchors at equal
 offsets, so only suffixes at anchors are indexed, about one in 140 places.
 An anchor stands for the run of consecutive windows that name it; its
 context is all bytes of these windows.  An index entry is (anchor, context
-class, number of occurrences), in order.
+class, number of occurrences), hashed and not sorted: no suffix array is
+built, and equal anchors meet in joins.
 
-*Index family.*  Documents come in batches.  A batch's entries are merged
-by a scan with each level of the family for equal anchors; then the batch
+*Index family.*  Documents come in batches.  A batch's entries are joined
+with each level of the family on equal anchors; then the batch
 becomes a level, and levels of equal size are merged, so the family keeps
 at most log2(batches) + 1 levels and an entry is rewritten that often.  The
-scans yield the classes that occur twice, whose whole contexts are
+joins yield the classes that occur twice, whose whole contexts are
 repeated, and the anchors with several classes, where contexts match in
 part.
 
