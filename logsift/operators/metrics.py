@@ -14,6 +14,9 @@ from logsift.functions import fixed
 from logsift.functions.timestamps import extract_date
 from logsift.operators.sessions import SID, start_date, start_key, with_order_keys
 
+#: Groups of one session's opens without a date of their own.
+OPEN_PARTS = 16
+
 _BLOCK = [SID, "block_line", "block_path"]
 
 
@@ -74,9 +77,9 @@ def document_opens(records: DataFrame) -> DataFrame:
     One scan and one partial aggregate: timestamped opens per (date,
     document); opens without a date per (session, document), since they
     take their session's date; and each session's first start.  A window
-    over those aggregated rows hands the session's date to its opens; rows
-    that need none are spread over hashed groups.  Opens with no date are
-    not counted."""
+    over those aggregated rows hands the session's date to its opens, each
+    session's in ``OPEN_PARTS`` groups; rows that need none are spread over
+    hashed groups.  Opens with no date are not counted."""
     rt = F.col("record_type")
     opened = F.col("document_id").isNotNull()
     own = F.when(rt.isin(fixed.DOCUMENT_OPEN, fixed.SESSION_START), extract_date("timestamp"))
@@ -96,9 +99,8 @@ def document_opens(records: DataFrame) -> DataFrame:
         .groupBy("_session", "_date", "document_id")
         .agg(F.sum("_open").alias("n"), F.min("_key").alias("_key"))
     )
-    spread = F.when(F.col("_session").isNull(), F.xxhash64("_date", "document_id"))
     session = Window.partitionBy("_session", "_spread")
-    dated = grouped.withColumn("_spread", spread).withColumn("_key", F.min("_key").over(session))
+    dated = _spread_opens(grouped).withColumn("_key", F.min("_key").over(session))
     return (
         dated.filter("n > 0")
         .select(F.coalesce("_date", start_date(F.col("_key"))).alias("date"), "document_id", "n")
@@ -108,6 +110,15 @@ def document_opens(records: DataFrame) -> DataFrame:
     )
 
 
+def _spread_opens(grouped: DataFrame) -> DataFrame:
+    """The aggregated rows with their group ``_spread``: a session's opens
+    are dealt by document, and its start goes to each of the groups."""
+    dealt = F.array(F.pmod(F.xxhash64("document_id"), F.lit(OPEN_PARTS)).cast("long"))
+    start = F.sequence(F.lit(0).cast("long"), F.lit(OPEN_PARTS - 1).cast("long"))
+    spread = F.when(F.col("_session").isNull(), F.array(F.xxhash64("_date", "document_id")))
+    return grouped.withColumn("_spread", F.explode(spread.when(F.col("document_id").isNull(), start).otherwise(dealt)))
+
+
 def _fact_flags() -> tuple[Column, Column, Column]:
     """``shown``: a result line outside a card block with a quick-search
     date; ``opened``: a dated open (own date, else the session date); and

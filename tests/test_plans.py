@@ -77,3 +77,14 @@ def test_session_dates_and_opens_read_once_and_aggregate_by_hash(spark):
         assert plan.count("FileScan parquet") == 1
         assert "SortAggregate" not in plan
         assert "regexp_extract_all" not in plan  # the id lists are not computed
+
+
+def test_undated_opens_of_one_session_are_spread(spark):
+    from logsift.operators.metrics import OPEN_PARTS, _spread_opens
+
+    rows = [("s", None, None, 0, 7)] + [("s", None, f"d{i}", 1, None) for i in range(1600)] + [(None, "2020-01-01", "d1", 3, None)]
+    grouped = spark.createDataFrame(rows, "_session string, _date string, document_id string, n long, _key long")
+    spread = _spread_opens(grouped).collect()
+    opens = [r._spread for r in spread if r._session and r.document_id]
+    assert len(opens) == 1600 and max(opens.count(k) for k in set(opens)) < 1600 / OPEN_PARTS * 2
+    assert set(opens) == {r._spread for r in spread if r._session and not r.document_id}
