@@ -10,10 +10,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, licenses, near_dup, pitman_yor, quality, sharding, suffix_dedup, token_files
-from .common import ship, table
+from . import alignment, bpe, byte_bpe, decontaminate, fim, html_text, licenses, near_dup, pitman_yor, quality, sharding, suffix_dedup, token_files
+from .common import ship, table, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 SHARDS = 40
 
@@ -67,6 +70,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(token_files.write_token_files(docs, TOKENIZER, END_ID))
 
 
+def op11_tiktoken_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN, ("n_tokens", "ids_sha256", "decoded_sha256"))
+    return done.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op12_text_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = alignment.align_documents(docs, BYTE_TOKENIZER, PIECES)
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_framed_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = written(fim.store_frames(table(spark, sf_dir, "documents").select("doc_id", "text")), "frames")
+    digests = ("form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+    return fim.transform(stored, digests).select("doc_id", "n", *digests)
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
@@ -84,6 +105,9 @@ QUERIES = {
         op8_hypergeometric_shards,
         op9_suffix_quality,
         op10_token_files,
+        op11_tiktoken_bytes,
+        op12_text_alignment,
+        op13_framed_fim,
     )
 }
 
@@ -158,5 +182,28 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered_words, base_failed,
        NOT base_failed AND 100 * n_covered_words <= {quality.MAX_COVERED_PERCENT} * n_words AND NOT long_repeat AS kept
 FROM f
+""",
+    "op13_framed_fim": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), u AS (
+  SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+         ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM d
+), c AS (
+  SELECT *, len(units)::BIGINT AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), p AS (
+  SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS prefix, coalesce(array_to_string(units[a + 1:b], ''), '') AS middle,
+         coalesce(array_to_string(units[b + 1:n], ''), '') AS suffix
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
 """,
 }
