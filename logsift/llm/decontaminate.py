@@ -234,7 +234,19 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, n: int = N, min_score: floa
     return spark.createDataFrame([], RESULT) if out is None else out
 
 
-def remove_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id holds no copy of a test item."""
-    leaks = written(find_leaks(docs, items, **options).select("doc_id").distinct(), "leaks")
-    return docs.join(leaks.withColumnRenamed("doc_id", "_leak"), F.col("doc_id") == F.col("_leak"), "left_anti")
+def remove_leaks(docs: DataFrame, items: DataFrame, *, n: int = N, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose own text holds no copy of a test item, in
+    one narrow pass per block of items: no join on doc_id, so rows that share
+    one, or have none, are judged each by its text."""
+    spark, schema = docs.sparkSession, docs.schema
+    for block in _blocks(items.select(F.col("item_id"), F.col("text")), BLOCK_ITEMS, BLOCK_BYTES):
+        seeds = spark.sparkContext.broadcast(Seeds(block, n))
+
+        def run(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
+            s = seeds.value
+            for part in text_groups(batches):
+                clean = [next(align_document(s, t, min_score), None) is None for t in s.vocabulary.numbers(text_bytes(part))]
+                yield part.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, schema)
+    return docs

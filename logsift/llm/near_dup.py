@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, text_groups, written
+from .common import text_bytes, text_column, text_groups, written
 from .components import connected_components
 
 BANDS, ROWS = 32, 4
@@ -324,7 +324,27 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80) -> Dat
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def _row_ids(docs: DataFrame) -> DataFrame:
+    """(doc_id, _text, _id): a number for every distinct doc_id and text, in
+    the order of the doc_ids (null first); ``_text`` is the text's SHA-256."""
+    rows = docs.select(F.col("doc_id"), F.sha2(text_column().cast("binary"), 256).alias("_text")).distinct()
+    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), "_text").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_text")
+    return written(ordered.withColumn("_near_dup_id", F.monotonically_increasing_id()), "row-ids")
+
+
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id stands for its group."""
-    gone = near_duplicates(docs, **options).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """``docs`` with one document of each group of near duplicates, that of
+    the smallest doc_id.  A document is a doc_id and a text: rows equal in
+    both stay or go together.  Where doc_ids are null or name several texts,
+    documents are numbered first, so that each text has its own fate."""
+    text = text_column().cast("binary")
+    named = docs.groupBy("doc_id").agg(F.min(F.xxhash64(text)).alias("_a"), F.max(F.xxhash64(text)).alias("_b"))
+    if named.filter("doc_id is null or _a != _b").isEmpty():
+        gone = near_duplicates(docs, **options).filter("not kept").select(F.col("doc_id").alias("_near_dup_gone")).distinct()
+        return docs.join(gone, F.col("doc_id") == F.col("_near_dup_gone"), "left_anti")
+    ids = _row_ids(docs)
+    own = ids.select(F.col("doc_id").alias("_near_dup_doc"), F.col("_text").alias("_near_dup_own"), "_near_dup_id")
+    numbered = docs.join(own, F.col("doc_id").eqNullSafe(F.col("_near_dup_doc")) & (F.sha2(text, 256) == F.col("_near_dup_own")))
+    numbered = written(numbered.drop("_near_dup_doc", "_near_dup_own"), "numbered")
+    gone = near_duplicates(numbered.select(F.col("_near_dup_id").alias("doc_id"), "text"), **options).filter("not kept").select(F.col("doc_id").alias("_near_dup_gone"))
+    return numbered.join(gone, F.col("_near_dup_id") == F.col("_near_dup_gone"), "left_anti").drop("_near_dup_id")

@@ -164,4 +164,6 @@ def quality_measures(
 
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns only."""
-    return quality_measures(docs, **limits).filter("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = {c: "text" if c == "text" else f"_own{k}" for k, c in enumerate(docs.columns)}
+    plain = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in own.items()])
+    return quality_measures(plain, **limits).filter("kept").select(*[F.col(o).alias(c) for c, o in own.items()])

@@ -27,12 +27,20 @@ window at equal offsets by 128-bit rolling hashes.  An anchor with more
 than ``GROUP_CLASSES`` classes is compared by a distributed count of its
 windows instead, with the same result.
 
+*Words.*  With ``unit="words"`` the same is done on words
+(``[^\\x20\\x09-\\x0D]+``): a text is read as a string of 6-byte word codes, and
+the spans found are carried back to the text's bytes, from the first byte of
+a run's first word to the last of its last; what stands between words does
+not matter.  Two different words share a code with probability 2**-48, which
+matters only where all other words of a passage agree.
+
 Null or empty texts have nothing to remove.  Rows equal in doc_id and text
 are repeats of each other.  A null doc_id is a value like any other.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -49,6 +57,10 @@ ANCHOR_SHARE = 0.32
 BATCHES = 4
 GROUP_CLASSES = 50_000
 TILE = 1 << 16
+PASSAGE_WORDS = 50
+WORD_CODE = 6
+
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 _rng = np.random.default_rng(400)
 _BYTE = _rng.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -127,7 +139,25 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def occurrences(docs: DataFrame, length: int, anchor: int) -> DataFrame:
+def word_codes(text: bytes) -> bytes:
+    """The text's words, each as ``WORD_CODE`` bytes."""
+    digest = xxhash.xxh3_64_digest
+    return b"".join([digest(w)[:WORD_CODE] for w in text.split()])
+
+
+_READ = {"bytes": bytes, "words": word_codes}
+
+
+def _word_spans(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of word codes as spans of the text's bytes."""
+    if not spans:
+        return []
+    at = [m.span() for m in _WORD.finditer(text)]
+    whole = ((-(-a // WORD_CODE), b // WORD_CODE) for a, b in spans)
+    return [(at[a][0], at[b - 1][1]) for a, b in whole if a < b]
+
+
+def occurrences(docs: DataFrame, length: int, anchor: int, unit: str = "bytes") -> DataFrame:
     """doc, place, low, high (window starts), anchor h, class c; ``docs``:
     (doc, text)."""
     names = ["doc", "place", "low", "high", "h", "c"]
@@ -136,7 +166,7 @@ def occurrences(docs: DataFrame, length: int, anchor: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for part in text_groups(batches, 2 << 20):
-            texts, ids = text_bytes(part), part.column(0).to_pylist()
+            texts, ids = [_READ[unit](t) for t in text_bytes(part)], part.column(0).to_pylist()
             cols: tuple[list, ...] = ([], [], [], [], [], [])
             add = [c.append for c in cols]
             for i, place, low, high in anchors(texts, length, anchor):
@@ -298,15 +328,18 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def remove_repeats(docs: DataFrame, *, length: int = LENGTH, batches: int = BATCHES, group_classes: int = GROUP_CLASSES) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, length: int = LENGTH, unit: str = "bytes", batches: int = BATCHES, group_classes: int = GROUP_CLASSES) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ``kept`` (binary, the remaining
     bytes), ``n_bytes``, ``n_removed``, ``n_spans`` and ``spans`` (array of
-    start and stop); input columns of these names are replaced."""
+    start and stop, in bytes); input columns of these names are replaced.
+    ``length`` counts ``unit``: "bytes" or "words"."""
     names = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_removed", "n_spans", "spans")]
     own = [F.col(f"`{c}`") for c in names]
+    length = length * WORD_CODE if unit == "words" else length
+    read = _READ[unit]
     anchor = max(1, int(length * ANCHOR_SHARE))
     keyed = docs.select(*own, F.xxhash64(F.col("doc_id"), F.col("text")).alias("_doc"))
-    found = written(occurrences(keyed.select(F.col("_doc").alias("doc"), "text"), length, anchor), "anchors")
+    found = written(occurrences(keyed.select(F.col("_doc").alias("doc"), "text"), length, anchor, unit), "anchors")
     classes = repeated_classes(found, batches)
     wide = classes.groupBy("h").agg(F.count("*").alias("classes")).filter("classes > 1")
     marked = found.join(classes, ["h", "c"]).join(wide, "h", "left")
@@ -326,6 +359,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, batches: int = BATC
         for part in text_groups(batches_):
             rows = []
             for t, asks_ in zip(text_bytes(part), part.column(at["_asks"]).to_pylist(), strict=True):
+                t = read(t) if asks_ else b""
                 rows.append([{k: a[k] for k in ("h", "place", "low", "single", "large")} | {"context": t[a["low"] : a["high"] + length]} for a in asks_ or ()] or None)
             keep = [part.column(at[c]) for c in (*names, "_doc", "_whole")]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(rows, pa.list_(context))], names=[*names, "_doc", "_whole", "_contexts"])
@@ -350,6 +384,8 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, batches: int = BATC
             lists = zip(part.column(where["_whole"]).to_pylist(), part.column(where["_parts"]).to_pylist(), strict=True)
             for t, (whole_, parts_) in zip(text_bytes(part), lists, strict=True):
                 spans_ = _union([(s["low"], s["stop"]) for s in (whole_ or []) + (parts_ or [])])
+                if unit == "words":
+                    spans_ = _word_spans(t, spans_)
                 kept = _cut(t, spans_)
                 row = (kept, len(t), len(t) - len(kept), len(spans_), [{"start": a, "stop": b} for a, b in spans_])
                 for c, v in zip(cols, row, strict=True):

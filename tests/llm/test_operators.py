@@ -4,6 +4,7 @@ nulls, empty and long texts, ties, repeated rows and clashing columns."""
 import hashlib
 import itertools
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -117,6 +118,18 @@ def test_near_duplicates_against_all_pairs(spark, llm, size, percent):
     assert all(r.kept == (r.component_id == r.doc_id) for r in got if r.doc_id is not None)
 
 
+def test_keep_one_judges_rows_that_share_a_doc_id_by_their_texts(spark, llm):
+    text = " ".join(f"w{k}" for k in range(60))
+    other = " ".join(f"z{k}" for k in range(60))
+    rows = [(1, text), (2, text), (2, other), (None, text), (None, "null alone here"), (3, other + " end"), (4, None), (4, ""), (5, "x"), (5, "x")]
+    got = near_dup.keep_one(frame(spark, rows, ("kept", "component_id")))
+    assert got.columns == ["doc_id", "text", "kept", "component_id"]
+    # null comes first, so it stands for its group; (2, other) for that of 3
+    assert keyed((r.doc_id, r.text) for r in got.collect()) == keyed([(2, other), (None, text), (None, "null alone here"), (4, None), (4, ""), (5, "x"), (5, "x")])
+    unique = [(1, text), (2, text), (3, other), (3, other)]
+    assert keyed((r.doc_id, r.text) for r in near_dup.keep_one(frame(spark, unique)).collect()) == keyed([(1, text), (3, other), (3, other)])
+
+
 def test_near_duplicates_of_nothing(spark, llm):
     assert near_dup.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
@@ -155,6 +168,42 @@ def test_removed_repeats_against_counting_all_windows(spark, llm, options):
     assert keyed(mine) == keyed([(i, *x) for (i, _), x in zip(rows, passages(rows, 20), strict=True)])
 
 
+def word_passages(text, counts, n):
+    """What is left of a text without its repeated n-word windows."""
+    spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)]
+    words = [text[a:b] for a, b in spans]
+    hit = [False] * len(words)
+    for i in range(len(words) - n + 1):
+        if counts[tuple(words[i : i + n])] > 1:
+            hit[i : i + n] = [True] * n
+    kept, at, i = b"", 0, 0
+    while i < len(words):
+        if not hit[i]:
+            i += 1
+            continue
+        j = i
+        while j < len(words) and hit[j]:
+            j += 1
+        kept, at, i = kept + text[at : spans[i][0]], spans[j - 1][1], j
+    return kept + text[at:], sum(hit)
+
+
+@pytest.mark.parametrize("options", [{}, {"group_classes": 1, "batches": 2}])
+def test_removed_word_passages_against_counting_all_windows(spark, llm, options):
+    rng = random.Random(11)
+    shared = [[f"s{p}x{k}" for k in range(14)] for p in range(4)]
+    rows = [(i, " ".join([f"u{i}", *rng.choice(shared)[rng.randint(0, 3) :], "\n\t", *rng.choices("abc", k=9), *rng.choice(shared)])) for i in range(40)]
+    rows += [(90, "a " * 40), (91, None), (92, ""), (93, " \n"), (None, " ".join(shared[0])), (94, "é ü " * 9), (95, rows[0][1]), (95, rows[0][1])]
+    counts = Counter()
+    for _, t in rows:
+        w = (t or "").encode().split()
+        counts.update(tuple(w[i : i + 10]) for i in range(len(w) - 9))
+    got = suffix_dedup.remove_repeats(frame(spark, rows, ("kept",)), length=10, unit="words", **options).collect()
+    want = [(i, word_passages((t or "").encode(), counts, 10)[0]) for i, t in rows]
+    assert keyed((r.doc_id, bytes(r.kept)) for r in got) == keyed(want)
+    assert all(r.n_bytes == len((r.text or "").encode()) and r.n_removed == r.n_bytes - len(r.kept) for r in got)
+
+
 def test_removed_repeats_of_nothing(spark, llm):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], DOCS)).count() == 0
 
@@ -358,7 +407,10 @@ def test_leaks_copied_and_edited(spark, llm):
     got = decontaminate.find_leaks(frame(spark, rows, ("item_id",)), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert keyed([(r.doc_id, r.item_id) for r in got]) == keyed([(0, 0), (1, 1), (5, 2), (5, 2), (None, 3)])
     kept = decontaminate.remove_leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [2, 3, 4]
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4]  # the row without a doc_id holds an item too
+    twins = [(7, items[0][1]), (7, "clean words"), (None, "clean too"), (None, items[0][1])]
+    left = decontaminate.remove_leaks(frame(spark, twins, ("score", "item_id")), spark.createDataFrame(items, "item_id long, text string"))
+    assert keyed((r.doc_id, r.text) for r in left.collect()) == keyed([(7, "clean words"), (None, "clean too")]) and left.columns[2:] == ["score", "item_id"]
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_leaks(frame(spark, rows), none).count() == 0
 

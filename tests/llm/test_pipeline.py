@@ -1,15 +1,17 @@
 """The pipeline against a plain version of its stages on sf0.001."""
 
+from collections import Counter
+
 import duckdb
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from logsift.llm import decontaminate
+from logsift.llm import decontaminate, suffix_dedup
 from logsift.llm.catalog import ORACLE_SQL
 
-from .test_operators import components_of, passages, repeats
+from .test_operators import ODD, components_of, frame, repeats, word_passages
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,8 +33,10 @@ def test_pipeline_on_documents(spark, llm):
     assert ids[0] == sorted(i for i, _ in good)
     assert ids[1] == sorted(i for i, _ in one)
     cut = {r.doc_id: r.text for r in frames[3].select("doc_id", "text").collect()}
-    removed = {i: x[1] for (i, _), x in zip(one, passages(one, 400), strict=True)}
-    assert all((cut[i] == t) == (removed[i] == 0) for i, t in one)
+    n = suffix_dedup.PASSAGE_WORDS
+    counts = Counter(tuple(w[k : k + n]) for _, t in one for w in [t.encode().split()] for k in range(len(w) - n + 1))
+    assert {i: t.encode() for i, t in cut.items()} == {i: word_passages(t.encode(), counts, n)[0] for i, t in one}
+    assert any(cut[i] != t for i, t in one)
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     plain = lambda t: b" ".join(decontaminate.words(t.encode()))
     leaking = {i for i, t in cut.items() if any(plain(x) in plain(t) for x in items)}
@@ -44,6 +48,29 @@ def test_pipeline_on_documents(spark, llm):
         assert np.frombuffer(r.ids, "<u4").tolist() == tokenizer.encode(cut[r.doc_id], add_special_tokens=False).ids
 
 
+def test_stages_on_odd_rows(spark, llm):
+    """Nulls, empty and long texts, repeated and null ids, clashing and
+    missing columns, and no rows at all."""
+    clash = ("_doc", "kept", "spans", "n_tokens", "ids", "form")
+    for docs in (frame(spark, ODD), frame(spark, ODD, clash), frame(spark, [], clash).limit(0)):
+        n = docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            done = stage(spark, docs, SF)
+            rows = done.collect()
+            assert len(rows) <= n
+            if name == "tokens":
+                assert len(rows) == n and "doc_id" in done.columns
+                continue
+            assert done.columns == docs.columns
+            assert all(r[c] == "clash" for r in rows for c in docs.columns[2:])
+            if name == "near duplicates":  # 5 and 6 are copies, 7 and 8 near copies
+                assert {r.doc_id for r in rows} == ({i for i, _ in ODD} - {6, 8} if n else set())
+            elif name != "quality rules":
+                assert len(rows) == n
+        twice = frame(spark, [(1, "x y " * 40), (None, None)]).select("doc_id", "text")
+        assert corpus_pipeline.repeats_stage(spark, twice, SF).count() == 2
+
+
 def test_sql_of_the_queries_runs(spark, llm):
     from logsift.llm.catalog import QUERIES
 
