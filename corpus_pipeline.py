@@ -25,14 +25,19 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of 400 bytes or more that repeat; a
-    character cut in two becomes U+FFFD, and n_chars is counted anew."""
+    """Texts without the passages of 50 words or more that repeat, whole
+    words only; n_chars, if there is one, is counted anew where text goes."""
     ship(spark)
-    kept = suffix_dedup.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.make_valid_utf8(F.col("kept").cast("string"))).otherwise(F.col("text"))
-    chars = F.when(F.col("n_removed") > 0, F.char_length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    new = {"text": text, "n_chars": chars}
-    return kept.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    # other columns go under names that no result of the operator bears
+    own = {c: f"_own{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    plain = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(o) for c, o in own.items()])
+    kept = suffix_dedup.remove_repeats(plain, length=suffix_dedup.PASSAGE_WORDS, unit="words")
+    text = F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).otherwise(F.col("text"))
+    new = {"text": text}
+    if "n_chars" in docs.columns:
+        chars = F.when(F.col("n_removed") > 0, F.char_length(text)).otherwise(F.col(own["n_chars"]))
+        new["n_chars"] = chars.cast(docs.schema["n_chars"].dataType)
+    return kept.select(*[new.get(c, F.col(own.get(c, c))).alias(c) for c in docs.columns])
 
 
 def leaks_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +47,12 @@ def leaks_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, ids, and the digests of ids and of
-    the decoded text."""
+    """doc_id, lang and source where there are any, n_tokens, ids, and the
+    digests of ids and of the decoded text."""
     ship(spark)
-    done = bpe.digests(bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), TOKENIZER))
-    return done.select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    own = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
+    done = bpe.digests(bpe.round_trip(docs.select(*own, "text"), TOKENIZER))
+    return done.select(*own, "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [
