@@ -22,8 +22,8 @@ DEFAULT_CHUNK_ROWS = 1_000_000
 #: read in blocks (``split``) instead of as one value per file.
 SPLIT_ABOVE_BYTES = 64 << 20
 
-#: At most this many large sessions are listed on the driver and broadcast
-#: (one short row each); more than that stay a lazily joined table.
+#: This many of the largest sessions are cut into segments (one short row each
+#: is broadcast); any other holds less than the total rows over this number.
 MAX_LISTED_SESSIONS = 100_000
 
 

@@ -7,16 +7,14 @@ is collapsed before it is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsift.functions import fixed
+from logsift.functions.fence import fence
 from logsift.functions.timestamps import extract_date
 from logsift.operators.sessions import SID, start_date, start_key, with_order_keys
 
-#: Groups of one session's opens without a date of their own.
-OPEN_PARTS = 16
-
 _BLOCK = [SID, "block_line", "block_path"]
 
 
@@ -74,12 +72,12 @@ def document_opens(records: DataFrame) -> DataFrame:
     """A7 + G3: opens per (date, document_id) over all sessions, straight
     from the records (no session window needed).
 
-    One scan and one partial aggregate: timestamped opens per (date,
-    document); opens without a date per (session, document), since they
-    take their session's date; and each session's first start.  A window
-    over those aggregated rows hands the session's date to its opens, each
-    session's in ``OPEN_PARTS`` groups; rows that need none are spread over
-    hashed groups.  Opens with no date are not counted."""
+    One scan and one aggregate: timestamped opens per (date, document);
+    opens without a date per (session, document), since they take their
+    session's date; and each session's first start.  All three are read off
+    the exchange of that aggregate.  A session's one start row is then
+    joined to its opens, where adaptive execution splits a session that
+    holds too many.  Opens with no date are not counted."""
     rt = F.col("record_type")
     opened = F.col("document_id").isNotNull()
     own = F.when(rt.isin(fixed.DOCUMENT_OPEN, fixed.SESSION_START), extract_date("timestamp"))
@@ -99,26 +97,20 @@ def document_opens(records: DataFrame) -> DataFrame:
         .groupBy("_session", "_date", "document_id")
         .agg(F.sum("_open").alias("n"), F.min("_key").alias("_key"))
     )
-    session = Window.partitionBy("_session", "_spread")
-    dated = _spread_opens(grouped).withColumn("_key", F.min("_key").over(session))
+    grouped = fence(grouped)  # the filters below stay above the aggregate, so its exchange is shared
+    dated = grouped.filter("_session is null").select(F.col("_date").alias("date"), "document_id", "n")
+    starts = grouped.filter("_session is not null and document_id is null").select(
+        F.col("_session").alias("_started"), start_date(F.col("_key")).alias("date")
+    )
+    undated = grouped.filter("_session is not null and document_id is not null")
+    taken = undated.join(starts.filter("date is not null"), F.col("_session") == F.col("_started"))
     return (
-        dated.filter("n > 0")
-        .select(F.coalesce("_date", start_date(F.col("_key"))).alias("date"), "document_id", "n")
-        .filter(F.col("date").isNotNull())
+        dated.unionByName(taken.select("date", "document_id", "n"))
         .groupBy("date", "document_id")
         .agg(F.sum("n").cast("long").alias("open_count"))
     )
 
 
-def _spread_opens(grouped: DataFrame) -> DataFrame:
-    """The aggregated rows with their group ``_spread``: a session's opens
-    are dealt by document, and its start goes to each of the groups."""
-    dealt = F.array(F.pmod(F.xxhash64("document_id"), F.lit(OPEN_PARTS)).cast("long"))
-    start = F.sequence(F.lit(0).cast("long"), F.lit(OPEN_PARTS - 1).cast("long"))
-    spread = F.when(F.col("_session").isNull(), F.array(F.xxhash64("_date", "document_id")))
-    return grouped.withColumn("_spread", F.explode(spread.when(F.col("document_id").isNull(), start).otherwise(dealt)))
-
-
 def _fact_flags() -> tuple[Column, Column, Column]:
     """``shown``: a result line outside a card block with a quick-search
     date; ``opened``: a dated open (own date, else the session date); and

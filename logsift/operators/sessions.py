@@ -18,22 +18,24 @@ that a null date stays visible instead of being skipped.
 
 Scale: a window group is processed by one task, so a session must never
 be one unbounded group.  Rows are ordered by ``(line_number, path_rank,
-source_path)``.  A cheap size count (on the line table when the caller
-has it) lists the sessions with more than ``chunk_rows`` rows; usually
-there is none and the plan is one exchange on the session id and one
-window.  Large sessions are cut into contiguous chunks of the row order,
-bounded in size whether the session is one huge file or many copies of
-one file name, and each chunk's scan starts from a carry-in computed from
-per-chunk summaries (a partial aggregate over the large sessions' rows,
-then a window over the chunks, which are few).  The list of large
-sessions is bounded by total rows / ``chunk_rows``: it is broadcast up to
-a fixed count and shuffle-joined beyond it.
+source_path)``, and every row belongs to a *segment* of its session, a
+contiguous range of that order.  Sessions of up to ``chunk_rows`` rows are
+one segment; larger ones are cut into segments bounded in size whether the
+session is one huge file or many copies of one file name.  The state before
+a segment is its *carry-in*: one summary row per segment of the large
+sessions, and a window over these summaries.
+
+All of this is one lazy plan for every size, and building it runs no job.
+The list of large sessions is part of the plan: an aggregate of the session
+sizes, joined by broadcast.  It is bounded: the ``max_listed`` largest sessions are
+cut, and any other one holds less than the total rows over ``max_listed``.
+When the list turns out empty (the usual case), adaptive execution
+drops both joins and the whole summary branch, and what runs is one exchange
+on the session id and one window.
 """
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,8 +44,6 @@ from logsift.functions import fixed
 from logsift.functions.cache import session_cached
 from logsift.functions.timestamps import extract_date
 
-log = logging.getLogger("logsift.sessions")
-
 SID = "source_file_id"
 _CONTROL_TYPES = (fixed.CARD_SEARCH_START, fixed.QUICK_SEARCH, fixed.SEARCH_RESULTS)
 _DATED_TYPES = (fixed.SESSION_START, fixed.QUICK_SEARCH, fixed.DOCUMENT_OPEN)
@@ -106,43 +106,33 @@ def session_sizes(rows: DataFrame) -> DataFrame:
     )
 
 
-def large_sessions(sizes: DataFrame, chunk_rows: int, max_listed: int = MAX_LISTED_SESSIONS) -> DataFrame | None:
-    """Sessions with more than ``chunk_rows`` rows and how to cut them.
+def large_sessions(sizes: DataFrame, chunk_rows: int, max_listed: int = MAX_LISTED_SESSIONS) -> DataFrame:
+    """Sessions to cut (source_file_id, lines_per_chunk, path_parts), lazily.
 
-    ``None`` when there is none (the usual case).  Their number is at most
-    total rows / ``chunk_rows``; up to ``max_listed`` of them are collected
-    and broadcast (a proven bound, a few MB); beyond that the lazy table is
-    returned and adaptive execution picks broadcast or shuffle by its
-    measured size.
-    """
+    They are the ``max_listed`` largest of those with more than
+    ``chunk_rows`` rows (a few MB, safe to broadcast at any size).  Which
+    sessions are cut never changes a result, and one that is not listed
+    holds at most the total rows over ``max_listed``, so segments stay a
+    vanishing share of the input."""
     n = int(chunk_rows)
-    # lines_per_chunk * copies <= n rows per chunk; with more copies than n,
-    # one line number per chunk and the copies split into path_parts ranges
-    large = sizes.filter(F.col("rows") > n).selectExpr(
+    listed = sizes.filter(F.col("rows") > n).orderBy(F.col("rows").desc(), SID).limit(max_listed)
+    # lines_per_chunk * copies <= n rows per segment; with more copies than n,
+    # one line number per segment and the copies split into path_parts ranges
+    return listed.selectExpr(
         SID,
         f"CAST(greatest({n} div greatest(copies, 1), 1) AS BIGINT) AS lines_per_chunk",
         f"CAST(greatest(ceil(greatest(copies, 1) / {n}), 1) AS BIGINT) AS path_parts",
     )
-    listed = large.limit(max_listed + 1).collect()
-    if not listed:
-        log.info("no session over %d rows: single-pass session scan", n)
-        return None
-    if len(listed) > max_listed:
-        log.info("more than %d sessions over %d rows: chunk table joined lazily", max_listed, n)
-        return large
-    log.info("%d sessions over %d rows: chunked session scan", len(listed), n)
-    spark = sizes.sparkSession
-    return F.broadcast(spark.createDataFrame(listed, large.schema))
 
 
 def _chunked(events: DataFrame, large: DataFrame) -> DataFrame:
     """Attach ``chunk_line``/``chunk_part``: (0, 0) for ordinary sessions,
     contiguous bounded ranges of the row order for large ones."""
-    joined = events.join(large, SID, "left")
+    joined = events.join(F.broadcast(large), SID, "left")
     return joined.select(
         *events.columns,
         F.coalesce(F.expr("line_number div lines_per_chunk"), F.lit(0)).cast("long").alias("chunk_line"),
-        F.coalesce(F.expr(f"shiftright(shiftright(path_rank, 32) * path_parts, 31)"), F.lit(0)).cast("long").alias("chunk_part"),
+        F.coalesce(F.expr("shiftright(shiftright(path_rank, 32) * path_parts, 31)"), F.lit(0)).cast("long").alias("chunk_part"),
         F.col("lines_per_chunk").isNotNull().alias("large_session"),
     )
 
@@ -232,29 +222,17 @@ def session_events(
     session_date (A2: date of the session's first start).
 
     ``sizes`` (see :func:`session_sizes`) may come from the line table;
-    without it the sizes are counted on the records.  When no session
-    exceeds ``chunk_rows`` the plan is one exchange on the session id and
-    one window; otherwise the rows are exchanged on (session, chunk) and
-    the large sessions' chunks start from their carry-in.
+    without it the sizes are counted on the records.  One plan: rows are
+    exchanged once on (session, segment), a window scans each segment, and
+    segments of large sessions start from their carry-in (see the module's
+    notes on scale).
     """
     relevant = relevant_events(records, target)
     large = large_sessions(sizes if sizes is not None else session_sizes(relevant), chunk_rows, max_listed)
-    if large is None:
-        scanned = relevant.select(SID, *_EVENT_COLUMNS, *_scan_exprs(SID))
-    else:
-        chunks = [SID, "chunk_line", "chunk_part"]
-        chunked = _chunked(relevant, large)
-        local = chunked.join(_carry_in(chunked), chunks, "left").select(
-            SID, *_EVENT_COLUMNS, *_scan_exprs(*chunks), "carry_ctl", "carry_qs", "session_start"
-        )
-        scanned = local.select(
-            SID,
-            *_EVENT_COLUMNS,
-            F.coalesce("_ctl", "carry_ctl").alias("_ctl"),
-            F.coalesce("_qs", "carry_qs").alias("_qs"),
-            F.coalesce("session_start", "_start").alias("_start"),
-        )
-    return scanned.select(SID, *_EVENT_COLUMNS, *_state_exprs())
+    segment = [SID, "chunk_line", "chunk_part"]
+    chunked = _chunked(relevant, large)
+    local = chunked.select(SID, *segment[1:], *_EVENT_COLUMNS, *_scan_exprs(*segment))
+    return local.join(_carry_in(chunked), segment, "left").select(SID, *_EVENT_COLUMNS, *_state_exprs())
 
 
 @session_cached
@@ -274,13 +252,14 @@ def _scan_exprs(*partition: str) -> list[Column]:
 
 @session_cached
 def _state_exprs() -> list[Column]:
-    in_block = F.coalesce(F.col("_ctl.type") == fixed.CARD_SEARCH_START, F.lit(False))
+    control = F.coalesce("_ctl", "carry_ctl")
+    in_block = F.coalesce(control["type"] == fixed.CARD_SEARCH_START, F.lit(False))
     return [
         in_block.alias("in_block"),
-        F.when(in_block, F.col("_ctl.line")).alias("block_line"),
-        F.when(in_block, F.col("_ctl.path")).alias("block_path"),
-        F.col("_qs.date").alias("qs_date"),
-        F.col("_start.date").alias("session_date"),
+        F.when(in_block, control["line"]).alias("block_line"),
+        F.when(in_block, control["path"]).alias("block_path"),
+        F.coalesce("_qs", "carry_qs")["date"].alias("qs_date"),
+        F.coalesce("session_start", "_start")["date"].alias("session_date"),
     ]
 
 

@@ -30,17 +30,43 @@ def test_parse_splits_each_line_once(spark):
     assert optimized.count("split(") == 1
 
 
+def _final(df):
+    """The plan that ran, after adaptive execution."""
+    df.collect()
+    plan = _physical(df)
+    return plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+
+
 def test_session_scan_is_one_exchange_and_narrow(spark):
     lines = _table(spark)
-    ev = session_events(parse_log_lines(lines), sizes=session_sizes(lines))
-    plan = _physical(ev)
-    assert plan.count("Exchange hashpartitioning") == 1
+    plan = _final(session_events(parse_log_lines(lines), sizes=session_sizes(lines)))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     assert "hashpartitioning(source_file_id" in plan
     # only the narrow columns cross the shuffle: no raw text, no query text
     exchange_line = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln][0]
     assert "raw" not in exchange_line and "query_text" not in exchange_line
 
 
+def _jobs_of(spark, build):
+    """Jobs that run while ``build`` is called."""
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "plan building")
+    try:
+        built = build()
+        return built, list(sc.statusTracker().getJobIdsForGroup("building"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_the_session_plans_runs_no_job(spark):
+    lines = _table(spark)
+    for chunk_rows in (1_000_000, 10, 1):
+        _, jobs = _jobs_of(spark, lambda n=chunk_rows: session_events(parse_log_lines(lines), sizes=session_sizes(lines), chunk_rows=n))
+        assert jobs == []
+    _, jobs = _jobs_of(spark, lambda: session_events(parse_log_lines(lines)).count())
+    assert jobs  # the tracker sees jobs of this group
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     lines = _table(spark)
     plan = _physical(lines.filter(F.col("source_file_id") == "3").select("line"))
@@ -48,10 +74,19 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<source_file_id:string,line:string>" in plan
 
 
-def test_large_sessions_take_the_chunked_plan(spark):
+def test_one_logical_plan_for_all_session_sizes(spark):
     lines = _table(spark)
-    ev = session_events(parse_log_lines(lines), sizes=session_sizes(lines), chunk_rows=10)
-    plan = _physical(ev)
+
+    def shape(chunk_rows):
+        plan = session_events(parse_log_lines(lines), sizes=session_sizes(lines), chunk_rows=chunk_rows)._jdf.queryExecution()
+        return re.sub(r"#\d+L?|\b\d+\b", "", plan.optimizedPlan().toString())
+
+    assert shape(1_000_000) == shape(10)
+
+
+def test_large_sessions_are_exchanged_by_segment(spark):
+    lines = _table(spark)
+    plan = _final(session_events(parse_log_lines(lines), sizes=session_sizes(lines), chunk_rows=10))
     assert "hashpartitioning(source_file_id, chunk_line, chunk_part" in plan
     assert "BroadcastExchange" in plan
 
@@ -72,19 +107,36 @@ def test_a_session_filter_after_the_parser_reaches_the_scan(spark):
 
 def test_session_dates_and_opens_read_once_and_aggregate_by_hash(spark):
     records = parse_log_lines(_table(spark))
-    for result in (session_dates(records), document_opens(records)):
-        plan = _physical(result)
-        assert plan.count("FileScan parquet") == 1
+    for result, reads in ((session_dates(records), 1), (document_opens(records), 3)):
+        plan = _final(result)
+        # the opens' three uses read one exchange
+        assert plan.count("FileScan parquet") == 1 and plan.count("ReusedExchange") == reads - 1
         assert "SortAggregate" not in plan
         assert "regexp_extract_all" not in plan  # the id lists are not computed
 
 
-def test_undated_opens_of_one_session_are_spread(spark):
-    from logsift.operators.metrics import OPEN_PARTS, _spread_opens
-
-    rows = [("s", None, None, 0, 7)] + [("s", None, f"d{i}", 1, None) for i in range(1600)] + [(None, "2020-01-01", "d1", 3, None)]
-    grouped = spark.createDataFrame(rows, "_session string, _date string, document_id string, n long, _key long")
-    spread = _spread_opens(grouped).collect()
-    opens = [r._spread for r in spread if r._session and r.document_id]
-    assert len(opens) == 1600 and max(opens.count(k) for k in set(opens)) < 1600 / OPEN_PARTS * 2
-    assert set(opens) == {r._spread for r in spread if r._session and not r.document_id}
+def test_a_hot_sessions_undated_opens_are_split(spark):
+    """A third of all rows are undated opens of one session: adaptive
+    execution cuts its side of the join with the one start row."""
+    rows = [("hot", 1, "SESSION_START 01.02.2024_10:00:00")]
+    rows += [("hot", 2 + k, f"DOC_OPEN  1 ACC_{k}") for k in range(30_000)]
+    rows += [(f"s{k % 3000}", 1 + k // 3000, "SESSION_START 02.02.2024_10:00:00" if k < 3000 else f"DOC_OPEN  1 ACC_{k}") for k in range(60_000)]
+    lines = spark.createDataFrame(rows, "source_file_id string, line_number int, line string")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        opens = document_opens(parse_log_lines(lines))
+        assert opens.agg(F.sum("open_count")).first()[0] == 30_000 + 57_000
+        assert "skewed" in _final(opens)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -153,21 +153,23 @@ def test_hot_session_is_split_into_bounded_chunks(spark):
     assert [tuple(r) for r in metrics.quick_search_opens(ev).collect()] == exp[1]
 
 
-def test_many_large_sessions_use_the_lazily_joined_chunk_table(spark):
-    """More large sessions than may be listed: the chunk table stays a
-    DataFrame joined by Spark; results equal the single-pass plan."""
+def test_the_largest_sessions_are_cut_when_too_many_are_large(spark):
+    """More large sessions than may be listed: the largest are cut, any other
+    is small against the input; results equal the plain fold either way."""
     from logsift.operators.sessions import large_sessions, session_sizes
 
     rnd = random.Random(3)
-    sessions = {str(s): [rnd.choice(VOCAB) for _ in range(30)] for s in range(12)}
+    sessions = {str(s): [rnd.choice(VOCAB) for _ in range(30 + 20 * (s in (4, 7)))] for s in range(12)}
     lines = lines_df(spark, sessions)
     rec = parse_log_lines(lines)
-    large = large_sessions(session_sizes(lines), 10, max_listed=2)
-    assert large is not None and "LocalRelation" not in large._jdf.queryExecution().analyzed().toString()
+    assert large_sessions(session_sizes(lines), 10).count() == 12
     exp = expected(sessions)
-    ev = session_events(rec, chunk_rows=10, sizes=session_sizes(lines), max_listed=2)
-    assert metrics.card_search_count(ev).collect()[0][1] == exp[0]
-    assert [tuple(r) for r in metrics.quick_search_opens(ev).collect()] == exp[1]
+    for listed in (1, 2, 5):
+        large = {r.source_file_id for r in large_sessions(session_sizes(lines), 10, max_listed=listed).collect()}
+        assert len(large) == listed and large <= {"4", "7"} if listed < 3 else large >= {"4", "7"}
+        ev = session_events(rec, chunk_rows=10, sizes=session_sizes(lines), max_listed=listed)
+        assert metrics.card_search_count(ev).collect()[0][1] == exp[0]
+        assert [tuple(r) for r in metrics.quick_search_opens(ev).collect()] == exp[1]
 
 
 def test_fixture_task_numbers_sf001(spark):
