@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from logsift.functions import fixed
 from logsift.functions.text import document_ids
 from logsift.functions.timestamps import extract_date, is_timestamp
-from logsift.operators import metrics, profile
+from logsift.operators import metrics, profile, profile_report
 from logsift.operators.parse import RECORD_COLUMNS, parse_log_lines, tokenize, unparseable_lines
 from logsift.operators.profile_parse import PROFILE_COLUMNS, parse_profile_lines
 from logsift.operators.sessions import quick_search_attribution, session_dates, session_events, session_sizes
@@ -191,4 +191,5 @@ QUERIES: dict[str, Query] = {
     "profile_commands": _profile_query(profile.profile_commands),
     "profile_unparseable_samples": _profile_query(profile.profile_unparseable_samples),
     "profile_type_samples": _profile_query(profile.profile_type_samples),
+    "profile_counts": _profile_query(profile_report.profile_counts),
 }

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logsift.config import DEFAULT_CHUNK_ROWS, ensure_checkpoint_dir
 from logsift.functions import fixed
-from logsift.operators import metrics, profile
+from logsift.operators import metrics, profile, profile_report
 from logsift.operators.parse import parse_log_lines, unparseable_lines
 from logsift.operators.profile_parse import parse_profile_lines
 from logsift.operators.sessions import session_events, session_sizes
@@ -114,14 +114,22 @@ PROFILE_TABLES = {
 GROWING_TABLES = {"parse_errors"}
 
 
-def run_profile_job(spark: SparkSession, input_path: str, output_path: str, *, source: str = "files", keep: str = "persist") -> None:
-    """K5: the format profile, one JSON table per section under
-    ``<output>/profile/<section>``."""
+def run_profile_job(
+    spark: SparkSession, input_path: str, output_path: str, *, source: str = "files", keep: str = "persist", report: str = "document", single_file: bool = False
+) -> None:
+    """K5: the format profile.  ``report="document"``: one JSON document
+    (``log_analysis_stats.json``), from two reads of the parsed records, the
+    counts' and the samples'; ``"tables"``: one JSON table per section under
+    ``<output>/profile/<section>``, one read each."""
     lines = read_profile_files(spark, input_path) if source == "files" else read_log_lines_table(spark, input_path)
     precs = _keep(parse_profile_lines(lines), keep)
     try:
-        for name, fn in PROFILE_TABLES.items():
-            writers.write_json(fn(precs), f"{output_path}/profile/{name}", sorted_input=name not in GROWING_TABLES)
+        if report == "document":
+            document = profile_report.profile_document(profile_report.profile_counts(precs), profile_report.profile_samples(precs))
+            writers.write_profile_document(document, output_path, single_file=single_file)
+        else:
+            for name, fn in PROFILE_TABLES.items():
+                writers.write_json(fn(precs), f"{output_path}/profile/{name}", sorted_input=name not in GROWING_TABLES)
     finally:
         if keep == "persist":
             precs.unpersist()
@@ -140,13 +148,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--chunk-rows", type=int, default=DEFAULT_CHUNK_ROWS, help="largest window group; bigger sessions are chunked")
     ap.add_argument("--single-file", action="store_true", help="one part file per output (the original layout)")
     ap.add_argument("--profile", action="store_true", help="write the format profile instead of the metrics")
+    ap.add_argument("--report", choices=("document", "tables"), default="document", help="the profile as one JSON document, or a table per section")
     ap.add_argument("--compact", action="store_true", help="write the session files as a log_lines table at <output>")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("logsift").getOrCreate()
     if args.compact:
         print({"lines": compact_session_files(spark, args.input, args.output, file_mode=args.file_mode)})
     elif args.profile:
-        run_profile_job(spark, args.input, args.output, source=args.source, keep=args.keep)
+        run_profile_job(spark, args.input, args.output, source=args.source, keep=args.keep, report=args.report, single_file=args.single_file)
     else:
         print(
             run_metrics_job(

@@ -309,4 +309,20 @@ FROM prec WHERE record_type = 'UNPARSEABLE' ORDER BY {_FILE_ORDER} LIMIT 20""",
 SELECT record_type, sample_rank, source_file_id, line_number, substr(raw, 1, 160) AS raw FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY record_type ORDER BY {_FILE_ORDER}) AS INTEGER) AS sample_rank FROM prec WHERE record_type <> 'EMPTY')
 WHERE sample_rank <= 2""",
+    "profile_counts": _PROFILE + f"""
+SELECT section, key, count(*) AS count FROM (
+  SELECT 'record_type' AS section, record_type AS key FROM prec
+  UNION ALL SELECT 'parse_error', parse_error FROM prec WHERE parse_error IS NOT NULL
+  UNION ALL SELECT 'card_param', card_param FROM prec WHERE record_type = 'CARD_SEARCH_QUERY'
+  UNION ALL SELECT 'document_count', CAST(document_count AS VARCHAR) FROM prec WHERE record_type = 'SEARCH_RESULTS'
+  UNION ALL SELECT 'date_token', split_part(timestamp, '_', 1) FROM prec WHERE timestamp IS NOT NULL
+  UNION ALL SELECT 'doc_prefix', split_part(doc_id, '_', 1) FROM (SELECT unnest(document_ids) AS doc_id FROM prec)
+  UNION ALL SELECT 'doc_prefix', split_part(document_id, '_', 1) FROM prec WHERE document_id IS NOT NULL
+  UNION ALL SELECT 'file', source_file_id FROM prec WHERE record_type <> 'EMPTY'
+  UNION ALL SELECT 'flag', 'qs_empty_query' FROM prec WHERE record_type = 'QUICK_SEARCH' AND query_text IS NOT NULL AND {_trim('query_text')} = ''
+  UNION ALL SELECT 'flag', 'timestamp_http_format_lines' FROM prec WHERE record_type = 'QUICK_SEARCH' AND coalesce(regexp_full_match(timestamp, '{TS_HTTP}'), false)
+  UNION ALL SELECT 'flag', 'qs_inline_doc_ids' FROM prec WHERE record_type = 'QUICK_SEARCH' AND coalesce(len(document_ids_inline), 0) > 0
+  UNION ALL SELECT 'flag', 'negative_search_id_lines' FROM prec WHERE record_type = 'SEARCH_RESULTS' AND starts_with(search_id, '-')
+  UNION ALL SELECT 'flag', 'card_query_with_doc_id' FROM prec WHERE record_type = 'CARD_SEARCH_QUERY' AND document_id IS NOT NULL)
+GROUP BY 1, 2""",
 }

@@ -56,6 +56,14 @@ def write_quick_search_opens(task2_sorted: DataFrame, out_dir: str, *, single_fi
     write_csv(task2_sorted, f"{out_dir}/task2_quick_search_opens_csv", single_file=single_file, sorted_input=True)
 
 
+def write_profile_document(lines: DataFrame, out_dir: str, *, single_file: bool = True) -> None:
+    """K5: the profile as one JSON document, ``log_analysis_stats.json``: a
+    folder whose part files in name order hold the document's lines."""
+    ordered = lines.orderBy("place", "part", "rank", "key").select("value")
+    out = _one_file(ordered, sorted_input=True) if single_file else ordered
+    out.write.mode("overwrite").text(f"{out_dir}/log_analysis_stats.json")
+
+
 def write_log_lines_table(lines: DataFrame, path: str) -> None:
     """Compact scanned session files into a ``log_lines`` Parquet table, so
     later runs read columns instead of re-listing many small files.  Rows

@@ -119,7 +119,7 @@ def test_profile_job_writes_json_tables(spark):
         for name in os.listdir(f"{root}/{sub}"):
             os.link(f"{root}/{sub}/{name}", f"{flat}/{name}")
     out = tempfile.mkdtemp(prefix="logsift-out-")
-    run_profile_job(spark, flat, out)
+    run_profile_job(spark, flat, out, report="tables")
     summary = spark.read.json(f"{out}/profile/summary").collect()[0]
     assert summary["total_events"] + summary["empty_lines"] == 1000  # every rendered line is profiled
     assert summary["files_processed"] == 15
