@@ -8,11 +8,13 @@ strings and id lists are joined with single spaces.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logsift.config import ensure_checkpoint_dir
 from logsift.functions import fixed
 from logsift.functions.text import document_ids
 from logsift.functions.timestamps import extract_date, is_timestamp
@@ -20,7 +22,8 @@ from logsift.operators import metrics, profile, profile_report
 from logsift.operators.parse import RECORD_COLUMNS, parse_log_lines, tokenize, unparseable_lines
 from logsift.operators.profile_parse import PROFILE_COLUMNS, parse_profile_lines
 from logsift.operators.sessions import quick_search_attribution, session_dates, session_events, session_sizes
-from logsift.sources.session_files import split_lines
+from logsift.sinks.session_files import write_session_files
+from logsift.sources.session_files import read_session_files, split_lines
 from logsift.sources.tables import log_lines_from_sf_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +65,14 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_lines(texts).drop("source_path")
 
 
+def file_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines written as session files to the cluster's shared
+    folder and scanned again."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/session-files-{uuid.uuid4().hex}"
+    write_session_files(_lines(spark, sf_dir), folder)
+    return read_session_files(spark, folder).drop("source_path")
+
+
 def line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize(_lines(spark, sf_dir)).select(
         "source_file_id", "line_number", "raw", F.col("n_tokens").cast("int").alias("n_tokens"), F.col("t0").alias("first_token")
@@ -165,6 +176,7 @@ def _profile_query(fn: Callable[[DataFrame], DataFrame]) -> Query:
 QUERIES: dict[str, Query] = {
     "parsed_records": parsed_records,
     "document_lines": document_lines,
+    "file_scan_roundtrip": file_scan_roundtrip,
     "line_tokens": line_tokens,
     "timestamps_dates": timestamps_dates,
     "document_mentions": document_mentions,

@@ -32,12 +32,12 @@ def _keep(df: DataFrame, how: str) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def read_input(spark: SparkSession, path: str, source: str = "files", file_mode: str = "auto") -> DataFrame:
+def read_input(spark: SparkSession, path: str, source: str = "files", file_mode: str = "auto", session_key: str = "name") -> DataFrame:
     """``files``: a directory tree of session files (``file_mode``: ``auto``
     reads large files in blocks and the rest whole, or ``whole`` /
     ``split`` for all); ``table``: a ``log_lines`` Parquet table."""
     if source == "files":
-        return read_session_files(spark, path, mode=file_mode)
+        return read_session_files(spark, path, mode=file_mode, session_key=session_key)
     return read_log_lines_table(spark, path)
 
 
@@ -57,14 +57,16 @@ def run_metrics_job(
     single_file: bool = False,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     file_mode: str = "auto",
+    session_key: str = "name",
 ) -> dict[str, int]:
     """Parse, fold sessions and write the four outputs.  Returns small
-    counts for logging (rejects, Task 1, Task 2 rows).
+    counts for logging (rejects, Task 1, Task 2 rows), observed by the
+    writes: no output is read again.
 
     Rejects and Task 2 grow with the input, so by default many tasks write
     them (Task 2's part files in name order are sorted); ``single_file``
     writes one part file per output, the layout of the original job."""
-    parsed = read_records(spark, input_path) if source == "records" else parse_log_lines(read_input(spark, input_path, source, file_mode))
+    parsed = read_records(spark, input_path) if source == "records" else parse_log_lines(read_input(spark, input_path, source, file_mode, session_key))
     records = _keep(parsed, keep)
     events = None
     try:
@@ -72,14 +74,10 @@ def run_metrics_job(
         rejects = unparseable_lines(records)
         task1 = metrics.card_search_count(events, target)
         task2 = metrics.quick_search_opens(events)
-        writers.write_unparseable(rejects, output_path, single_file=single_file)
-        writers.write_card_search_count(task1, output_path)
-        writers.write_quick_search_opens(task2, output_path, single_file=single_file)
-        read = spark.read
         return {
-            "unparseable_lines": read.option("header", True).csv(f"{output_path}/unparseable_lines").count(),
-            "card_search_count": int(read.option("header", True).csv(f"{output_path}/task1_card_search_acc45616").first()[1]),
-            "task2_rows": read.parquet(f"{output_path}/task2_quick_search_opens").count(),
+            "unparseable_lines": writers.write_unparseable(rejects, output_path, single_file=single_file),
+            "card_search_count": writers.write_card_search_count(task1, output_path, target),
+            "task2_rows": writers.write_quick_search_opens(task2, output_path, single_file=single_file),
         }
     finally:
         if keep == "persist":
@@ -88,12 +86,11 @@ def run_metrics_job(
                 events.unpersist()
 
 
-def compact_session_files(spark: SparkSession, input_path: str, table_path: str, *, file_mode: str = "auto") -> int:
+def compact_session_files(spark: SparkSession, input_path: str, table_path: str, *, file_mode: str = "auto", session_key: str = "name") -> int:
     """Write session files once as a ``log_lines`` Parquet table; later runs
     read it with ``source="table"`` (columns and row groups instead of
     listing and reading many small files).  Returns the number of lines."""
-    writers.write_log_lines_table(read_session_files(spark, input_path, mode=file_mode), table_path)
-    return spark.read.parquet(table_path).count()
+    return writers.write_log_lines_table(read_session_files(spark, input_path, mode=file_mode, session_key=session_key), table_path)
 
 
 PROFILE_TABLES = {
@@ -145,6 +142,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument(
         "--file-mode", choices=("auto", "whole", "split"), default="auto", help="auto: files over 64 MB are read in blocks"
     )
+    ap.add_argument("--session-key", choices=("name", "path"), default="name", help="path: equal file names in two folders are two sessions")
     ap.add_argument("--chunk-rows", type=int, default=DEFAULT_CHUNK_ROWS, help="largest window group; bigger sessions are chunked")
     ap.add_argument("--single-file", action="store_true", help="one part file per output (the original layout)")
     ap.add_argument("--profile", action="store_true", help="write the format profile instead of the metrics")
@@ -153,7 +151,7 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("logsift").getOrCreate()
     if args.compact:
-        print({"lines": compact_session_files(spark, args.input, args.output, file_mode=args.file_mode)})
+        print({"lines": compact_session_files(spark, args.input, args.output, file_mode=args.file_mode, session_key=args.session_key)})
     elif args.profile:
         run_profile_job(spark, args.input, args.output, source=args.source, keep=args.keep, report=args.report, single_file=args.single_file)
     else:
@@ -166,6 +164,7 @@ def main(argv: list[str] | None = None) -> None:
                 target=args.target,
                 keep=args.keep,
                 file_mode=args.file_mode,
+                session_key=args.session_key,
                 chunk_rows=args.chunk_rows,
                 single_file=args.single_file,
             )

@@ -325,4 +325,6 @@ SELECT section, key, count(*) AS count FROM (
   UNION ALL SELECT 'flag', 'negative_search_id_lines' FROM prec WHERE record_type = 'SEARCH_RESULTS' AND starts_with(search_id, '-')
   UNION ALL SELECT 'flag', 'card_query_with_doc_id' FROM prec WHERE record_type = 'CARD_SEARCH_QUERY' AND document_id IS NOT NULL)
 GROUP BY 1, 2""",
+    "file_scan_roundtrip": _BASE + """
+SELECT source_file_id, line_number, line FROM log_lines""",
 }

@@ -11,9 +11,11 @@ sort, which only concatenates the sorted ranges.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from logsift.functions import fixed
+
 
 def _one_file(df: DataFrame, sorted_input: bool) -> DataFrame:
     return df.coalesce(1) if sorted_input else df.repartition(1)
@@ -34,26 +36,45 @@ def write_json(df: DataFrame, path: str, *, single_file: bool = True, sorted_inp
     out.write.mode("overwrite").json(path)
 
 
-def write_unparseable(unparseable: DataFrame, out_dir: str, *, single_file: bool = True) -> None:
-    """K1: ``unparseable_lines`` CSV; missing texts are written as ``""``."""
+def _observed(df: DataFrame, value: Column) -> tuple[DataFrame, Observation]:
+    """``df``, and what its write will have seen of ``value`` as ``n``."""
+    seen = Observation()
+    return df.observe(seen, value.alias("n")), seen
+
+
+def write_unparseable(unparseable: DataFrame, out_dir: str, *, single_file: bool = True) -> int:
+    """K1: ``unparseable_lines`` CSV; missing texts are written as ``""``.
+    Returns the rows written, counted by the write itself."""
     rows = unparseable.select(
         "source_file_id",
         "line_number",
         F.coalesce("parse_error", F.lit("")).alias("parse_error"),
         F.coalesce("raw_line", F.lit("")).alias("raw_line"),
     )
+    rows, seen = _observed(rows, F.count(F.lit(1)))
     write_csv(rows, f"{out_dir}/unparseable_lines", single_file=single_file)
+    return seen.get["n"]
+
+
+def card_search_folder(target: str) -> str:
+    """The Task 1 folder of a target: ``ACC_45616`` -> ``task1_card_search_acc45616``."""
+    return "task1_card_search_" + "".join(c for c in target.lower() if c.isalnum())
 
 
-def write_card_search_count(task1: DataFrame, out_dir: str) -> None:
-    """K2: one row ``document_id, card_search_count``."""
-    write_csv(task1, f"{out_dir}/task1_card_search_acc45616")
+def write_card_search_count(task1: DataFrame, out_dir: str, target: str = fixed.TARGET_DOCUMENT) -> int:
+    """K2: one row ``document_id, card_search_count``; returns the count."""
+    rows, seen = _observed(task1, F.max("card_search_count"))
+    write_csv(rows, f"{out_dir}/{card_search_folder(target)}")
+    return seen.get["n"]
 
 
-def write_quick_search_opens(task2_sorted: DataFrame, out_dir: str, *, single_file: bool = True) -> None:
-    """K3 + K4: the sorted Task 2 rows as Parquet and as CSV."""
-    write_parquet(task2_sorted, f"{out_dir}/task2_quick_search_opens", single_file=single_file, sorted_input=True)
+def write_quick_search_opens(task2_sorted: DataFrame, out_dir: str, *, single_file: bool = True) -> int:
+    """K3 + K4: the sorted Task 2 rows as Parquet and as CSV; returns the
+    rows written."""
+    rows, seen = _observed(task2_sorted, F.count(F.lit(1)))
+    write_parquet(rows, f"{out_dir}/task2_quick_search_opens", single_file=single_file, sorted_input=True)
     write_csv(task2_sorted, f"{out_dir}/task2_quick_search_opens_csv", single_file=single_file, sorted_input=True)
+    return seen.get["n"]
 
 
 def write_profile_document(lines: DataFrame, out_dir: str, *, single_file: bool = True) -> None:
@@ -64,9 +85,12 @@ def write_profile_document(lines: DataFrame, out_dir: str, *, single_file: bool
     out.write.mode("overwrite").text(f"{out_dir}/log_analysis_stats.json")
 
 
-def write_log_lines_table(lines: DataFrame, path: str) -> None:
+def write_log_lines_table(lines: DataFrame, path: str) -> int:
     """Compact scanned session files into a ``log_lines`` Parquet table, so
     later runs read columns instead of re-listing many small files.  Rows
     are sorted by (session, line) within each task (no shuffle): better
-    compression, and tight row-group statistics on ``source_file_id``."""
-    lines.sortWithinPartitions("source_file_id", "line_number").write.mode("overwrite").parquet(path)
+    compression, and tight row-group statistics on ``source_file_id``.
+    Returns the lines written."""
+    rows, seen = _observed(lines, F.count(F.lit(1)))
+    rows.sortWithinPartitions("source_file_id", "line_number").write.mode("overwrite").parquet(path)
+    return seen.get["n"]

@@ -35,12 +35,14 @@ def read_session_files(
     mode: str = "auto",
     decode: str = "java",
     split_above_bytes: int = SPLIT_ABOVE_BYTES,
+    session_key: str = "name",
 ) -> DataFrame:
     """``log_lines`` (source_file_id, line_number, line, source_path).
 
     ``source_file_id`` is the base name only, so equal names in two
-    directories form one session; ``source_path`` keeps the full path as
-    the tie-breaker for equal line numbers.  A missing root raises
+    directories form one session; with ``session_key="path"`` it is the full
+    path, and every file is a session of its own.  ``source_path`` keeps the
+    full path as the tie-breaker for equal line numbers.  A missing root raises
     ``PATH_NOT_FOUND``.  A byte-order mark stays glued to the first token.
     ``mode``: ``whole`` reads every file whole; ``split`` reads every file
     in parallel blocks; ``auto`` (default) reads files up to
@@ -50,6 +52,13 @@ def read_session_files(
     ``decode="python"`` replaces malformed UTF-8 the way Python's decoder
     does (the profile script's reader) instead of the JDK's.
     """
+    if session_key not in ("name", "path"):
+        raise ValueError(f"session_key is name or path, not {session_key}")
+    lines = _read(spark, root, recursive, name_pattern, mode, decode, split_above_bytes)
+    return lines.withColumn("source_file_id", F.col("source_path")) if session_key == "path" else lines
+
+
+def _read(spark, root, recursive, name_pattern, mode, decode, split_above_bytes) -> DataFrame:
     if mode == "whole":
         return _read_whole(spark, root, recursive, name_pattern, decode, None)
     # the line reader gives no row for a file that is only a byte-order mark
