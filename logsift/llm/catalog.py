@@ -30,8 +30,11 @@ def op2_odd_sketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
-    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    key = F.xxhash64("doc_id", "text").alias("doc")
+    done = suffix_dedup.remove_repeats(docs, length=400).select(key, "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    shared = suffix_dedup.shared_seeds(docs.select(key, "text"))
+    return done.join(shared, "doc").drop("doc")
 
 
 def op4_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,17 +49,27 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: later
     jobs start from the files, whatever executors are lost."""
     path = shared_folder(df.sparkSession, name)
-    w = df.write
+    w = df.write.option("compression", codec) if codec else df.write
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written` that nothing will read again:
+    all that came of them has been written itself."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_groups(batches: Iterator[pa.RecordBatch], limit: int = GROUP_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Re-slice batches so that one slice holds about ``limit`` bytes of the
     text column (at least one row): bounded memory for any text length."""

@@ -27,6 +27,11 @@ window at equal offsets by 128-bit rolling hashes.  An anchor with more
 than ``GROUP_CLASSES`` classes is compared by a distributed count of its
 windows instead, with the same result.
 
+*Shared passages.*  :func:`shared_seeds` counts, far more cheaply, how many
+sampled passages of ``SEED_WORDS`` words of a document occur elsewhere.  One
+is sampled from every ``PASSAGE_WORDS`` words in a row, the one of smallest
+hash, so equal passages of that length share at least one sample.
+
 *Words.*  With ``unit="words"`` the same is done on words
 (``[^\\x20\\x09-\\x0D]+``): a text is read as a string of 6-byte word codes, and
 the spans found are carried back to the text's bytes, from the first byte of
@@ -50,7 +55,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, text_groups, with_columns, written
+from .common import discard, text_bytes, text_groups, with_columns, written
 
 LENGTH = 400
 ANCHOR_SHARE = 0.32
@@ -59,6 +64,8 @@ GROUP_CLASSES = 50_000
 TILE = 1 << 16
 PASSAGE_WORDS = 50
 WORD_CODE = 6
+SEED_WORDS = 25
+HOT_PARTS = 10_000
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -184,12 +191,14 @@ class IndexFamily:
     """Levels of entries (h, c, n); level sizes are powers of two batches."""
 
     levels: list[tuple[int, DataFrame]] = field(default_factory=list)
+    #: every table the family wrote, for :meth:`close`
+    tables: list[DataFrame] = field(default_factory=list)
 
     def add(self, entries: DataFrame) -> DataFrame:
         """Index a batch's entries; returns (h, c, twice): the classes that
         share their anchor with another class or occurrence, found within
         the batch and against each level."""
-        entries = written(entries, "index-level")
+        entries = self._keep(entries, "index-level")
         found = [self._scan(entries, None)]
         found += [self._scan(entries, level) for _, level in self.levels]
         out = found[0]
@@ -201,11 +210,19 @@ class IndexFamily:
             level = other.unionByName(level).groupBy("h", "c").agg(F.sum("n").alias("n"))
             size *= 2
         if size > 1:
-            out = written(out, "index-scan")  # before the merged levels are replaced
-            level = written(level, "index-level")
+            out = self._keep(out, "index-scan")  # before the merged levels are replaced
+            level = self._keep(level, "index-level")
         self.levels.append((size, level))
         return out
 
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(written(df, name))
+        return self.tables[-1]
+
+    def close(self) -> None:
+        """Delete the family, once what its scans found has been written."""
+        discard(*self.tables)
+
     @staticmethod
     def _scan(batch: DataFrame, level: DataFrame | None) -> DataFrame:
         """Merge scan of a batch with one level (or itself) by anchor."""
@@ -230,7 +247,9 @@ def repeated_classes(found: DataFrame, batches: int = BATCHES) -> DataFrame:
         new = family.add(batch.groupBy("h", "c").agg(F.count("*").alias("n")))
         out = new if out is None else out.unionByName(new)
     classes = out.groupBy("h", "c").agg(F.max("twice").alias("twice"))
-    return written(classes, "classes")
+    classes = written(classes, "classes")
+    family.close()
+    return classes
 
 
 def _context_hashes(context: bytes, low: int, place: int, length: int) -> list[np.ndarray]:
@@ -344,6 +363,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, unit: str = "bytes"
     wide = classes.groupBy("h").agg(F.count("*").alias("classes")).filter("classes > 1")
     marked = found.join(classes, ["h", "c"]).join(wide, "h", "left")
     marked = written(marked, "marked")
+    discard(found, classes)
     whole = marked.filter("twice").groupBy("doc").agg(F.collect_set(F.struct("low", (F.col("high") + length).alias("stop"))).alias("_whole"))
     asked = marked.filter("classes > 1")
     one = asked.groupBy("h", "c").agg(F.min(F.struct("doc", "place", "low", "high")).alias("o"), F.first("twice").alias("twice"), F.first("classes").alias("classes"))
@@ -367,6 +387,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, unit: str = "bytes"
     gathered = written(
         joined.mapInArrow(gather, with_columns(joined.select(*own, "_doc", "_whole"), "_contexts array<struct<h:bigint,place:int,low:int,single:boolean,large:boolean,context:binary>>")),
         "gathered",
+        codec="zstd",
     )
     contexts = gathered.filter("_contexts is not null").select(F.col("_doc").alias("doc"), F.explode("_contexts").alias("x")).select("doc", "x.*")
     spans = _compare(contexts.filter("not large"), length).unionByName(_compare_large(contexts.filter("large"), length))
@@ -396,3 +417,58 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, unit: str = "bytes"
 
     return both.mapInArrow(finish, with_columns(docs.select(*own), "kept binary, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:int,stop:int>>"))
 
+
+def seeds(words: np.ndarray, passage: int = PASSAGE_WORDS, size: int = SEED_WORDS) -> np.ndarray:
+    """Hashes of the sampled ``size``-word passages of a text given by its
+    words' hashes: of every ``passage`` words in a row, the passage of
+    smallest hash (the leftmost of equals); each hash once."""
+    grams = len(words) - size + 1
+    if len(words) < passage:
+        return np.zeros(0, np.uint64)
+    up, down = _power(0, len(words))
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * up, out=total[1:])
+    h = (total[size:] - total[:grams]) * down[:grams]
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return np.unique(_window_minimum(h, passage - size + 1))
+
+
+def _seed_rows(docs: DataFrame) -> DataFrame:
+    """(doc, h) of every row's seeds, and one row with h null for each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for part in text_groups(batches, 2 << 20):
+            found = [seeds(np.array([digest(w) for w in t.split()], np.uint64)) for t in text_bytes(part)]
+            n = np.array([len(f) + 1 for f in found])
+            doc = np.repeat(part.column(0).to_numpy(zero_copy_only=False), n)
+            h = np.zeros(int(n.sum()), np.int64)
+            ends = np.cumsum(n) - 1
+            inner = np.ones(len(h), bool)
+            inner[ends] = False
+            h[inner] = np.concatenate(found).view(np.int64) if found else h[inner]
+            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(h, pa.int64(), mask=~inner)], names=["doc", "h"])
+
+    return docs.select("doc", "text").mapInArrow(run, "doc bigint, h bigint")
+
+
+def shared_seeds(docs: DataFrame) -> DataFrame:
+    """(doc, n_shared_seeds) for ``docs`` (doc, text): how many of a text's
+    seeds another text, or another row of the same doc and text, has too.
+
+    Seeds in more than ``1 / HOT_PARTS`` of all seed rows, fewer than
+    ``HOT_PARTS`` of them, are broadcast; other seeds meet their rows by a
+    shuffle in which no key holds more than that share."""
+    rows = written(_seed_rows(docs), "seeds")
+    total = rows.count()
+    counts = written(rows.filter("h is not null").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated-seeds")
+    hot = counts.filter(F.col("n") * HOT_PARTS > total).select("h", F.lit(1).alias("_hot"))
+    marked = rows.join(F.broadcast(hot), "h", "left")
+    settled = F.col("_hot").isNotNull() | F.col("h").isNull()
+    # a rare seed is looked for under (0, h); what is settled meets nothing
+    keyed = marked.select("doc", "_hot", F.col("h").isNull().alias("_row"), F.when(settled, F.lit(1)).otherwise(F.lit(0)).alias("_side"), F.when(settled, F.col("doc")).otherwise(F.col("h")).alias("_key"))
+    rare = counts.filter(F.col("n") * HOT_PARTS <= total).select(F.lit(0).alias("_side"), F.col("h").alias("_key"), F.lit(1).alias("_rare"))
+    met = keyed.join(rare, ["_side", "_key"], "left")
+    shared = F.count(F.coalesce("_hot", "_rare"))
+    return met.groupBy("doc").agg((shared / F.count(F.when(F.col("_row"), 1))).cast("bigint").alias("n_shared_seeds"))

@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from logsift.llm import bpe, decontaminate, html_text, licenses, near_dup, pitman_yor, quality, sharding, suffix_dedup, token_files
@@ -204,6 +205,32 @@ def test_removed_word_passages_against_counting_all_windows(spark, llm, options)
     assert all(r.n_bytes == len((r.text or "").encode()) and r.n_removed == r.n_bytes - len(r.kept) for r in got)
 
 
+def test_shared_seeds_find_every_repeated_passage(spark, llm):
+    rng = random.Random(21)
+    fresh = lambda n: [f"f{rng.randint(0, 10**9)}" for _ in range(n)]
+    passage = fresh(50)
+    rows, shared, clean = [], set(), set()
+    for i in range(60):
+        words = fresh(rng.randint(0, 120))
+        if i % 3 == 0:
+            words += passage
+            shared.add(i)
+        elif i % 3 == 1:  # 24 words in common are not enough for a seed
+            words += passage[:24]
+            clean.add(i)
+        rows.append((i, " ".join(words + fresh(rng.randint(0, 60)))))
+    rows += [(90, None), (91, ""), (92, " ".join(passage[:49])), (93, "same " * 60), (94, " ".join(map(str, range(70)))), (94, " ".join(map(str, range(70))))]
+    docs = frame(spark, rows).selectExpr("doc_id as doc", "text").repartition(4)
+    got = {r.doc: r.n_shared_seeds for r in suffix_dedup.shared_seeds(docs).collect()}
+    assert set(got) == {i for i, _ in rows}
+    assert all(got[i] >= 1 for i in shared) and not any(got[i] for i in clean | {90, 91, 92, 93})
+    hashes = {i: set(suffix_dedup.seeds(np.array([xxhash.xxh3_64_intdigest(w) for w in (t or "").encode().split()], np.uint64)).tolist()) for i, t in rows}
+    n = Counter(h for i, t in rows for h in hashes[i])
+    assert got == {i: sum(n[h] > 1 for h in hashes[i]) for i, _ in rows}
+    assert got[94] == len(hashes[94]) > 0
+    assert suffix_dedup.shared_seeds(docs.limit(0)).count() == 0
+
+
 def test_removed_repeats_of_nothing(spark, llm):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], DOCS)).count() == 0
 
