@@ -20,6 +20,7 @@ from logsift.operators import metrics, profile, profile_report
 from logsift.operators.parse import parse_log_lines, unparseable_lines
 from logsift.operators.profile_parse import parse_profile_lines
 from logsift.operators.sessions import session_events, session_sizes
+from logsift.plans.compaction import compact_new_files, read_compacted
 from logsift.sinks import writers
 from logsift.sources.session_files import read_profile_files, read_session_files
 from logsift.sources.tables import read_log_lines_table
@@ -35,9 +36,12 @@ def _keep(df: DataFrame, how: str) -> DataFrame:
 def read_input(spark: SparkSession, path: str, source: str = "files", file_mode: str = "auto", session_key: str = "name") -> DataFrame:
     """``files``: a directory tree of session files (``file_mode``: ``auto``
     reads large files in blocks and the rest whole, or ``whole`` /
-    ``split`` for all); ``table``: a ``log_lines`` Parquet table."""
+    ``split`` for all); ``table``: a ``log_lines`` Parquet table;
+    ``compacted``: the table that ``compact_new_files`` appends to."""
     if source == "files":
         return read_session_files(spark, path, mode=file_mode, session_key=session_key)
+    if source == "compacted":
+        return read_compacted(spark, path)
     return read_log_lines_table(spark, path)
 
 
@@ -136,7 +140,7 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description="Session log metrics on Spark")
     ap.add_argument("input")
     ap.add_argument("output")
-    ap.add_argument("--source", choices=("files", "table", "records"), default="files")
+    ap.add_argument("--source", choices=("files", "table", "records", "compacted"), default="files")
     ap.add_argument("--target", default=fixed.TARGET_DOCUMENT)
     ap.add_argument("--keep", choices=("persist", "checkpoint"), default="persist")
     ap.add_argument(
@@ -148,9 +152,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--profile", action="store_true", help="write the format profile instead of the metrics")
     ap.add_argument("--report", choices=("document", "tables"), default="document", help="the profile as one JSON document, or a table per section")
     ap.add_argument("--compact", action="store_true", help="write the session files as a log_lines table at <output>")
+    ap.add_argument("--compact-new", action="store_true", help="append the session files that are new to the table at <output>; read it with --source compacted")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("logsift").getOrCreate()
-    if args.compact:
+    if args.compact_new:
+        print(compact_new_files(spark, args.input, args.output, file_mode=args.file_mode, session_key=args.session_key))
+    elif args.compact:
         print({"lines": compact_session_files(spark, args.input, args.output, file_mode=args.file_mode, session_key=args.session_key)})
     elif args.profile:
         run_profile_job(spark, args.input, args.output, source=args.source, keep=args.keep, report=args.report, single_file=args.single_file)

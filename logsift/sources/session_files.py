@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from logsift.config import SPLIT_ABOVE_BYTES
 from logsift.functions import fixed
+from logsift.functions.fence import fence
 from logsift.functions.text import java_decoded
 
 _BOM_BYTES = 3  # the UTF-8 byte-order mark
@@ -28,7 +29,7 @@ _BOM_BYTES = 3  # the UTF-8 byte-order mark
 
 def read_session_files(
     spark: SparkSession,
-    root: str,
+    root: str | list[str],
     *,
     recursive: bool = True,
     name_pattern: str = fixed.NUMERIC_FILE_NAME,
@@ -44,6 +45,7 @@ def read_session_files(
     path, and every file is a session of its own.  ``source_path`` keeps the
     full path as the tie-breaker for equal line numbers.  A missing root raises
     ``PATH_NOT_FOUND``.  A byte-order mark stays glued to the first token.
+    ``root`` is a folder, or a list of folders and files.
     ``mode``: ``whole`` reads every file whole; ``split`` reads every file
     in parallel blocks; ``auto`` (default) reads files up to
     ``split_above_bytes`` whole and larger ones in blocks.  All three give
@@ -122,80 +124,73 @@ def _read_blocks(spark, root, recursive, name_pattern, decode, size_filter) -> D
     ``spark.sql.files.maxPartitionBytes``, for session files too large to
     hold whole; the rows equal those of a whole read.
 
-    The line reader cuts at LF alone, so a row is a *piece*: the text up to
-    one LF, in which CR may end further lines.  Pieces are exchanged once,
-    on (file, block), so a group holds one block's text at most.  Within a
-    block a piece's lines follow those of the earlier pieces; before the
-    block come the lines of the file's earlier blocks, from one summary row
-    per block, which is taken from the same exchange and joined back (a
-    block without its summary is an error, never a lost line).
-
-    The reader drops a leading byte-order mark.  It did so exactly where
-    the file has two or three bytes more than its pieces and their line
-    feeds (the last line feed may be missing), and then the mark is put
-    back in front of line 1.  File filters sit on the reader itself, where
+    Spark's line reader cuts at LF, CR and CR LF alike and hands a line that
+    crosses into the next block to the block it starts in, a CR LF cut in two
+    included.  So every row is one line, whatever ends it, and no file has to
+    fit in a task.  Lines are exchanged once, on (file, block): a line's
+    number is its place in its block after the lines of the file's earlier
+    blocks, which come from one summary row per block, taken from the same
+    exchange and joined back (a block without its summary is an error, never
+    a lost line).
+
+    The reader drops a leading byte-order mark, which the whole read keeps.
+    It is put back in front of line 1 of the files that start with one, see
+    :func:`_byte_order_marks`.  File filters sit on the reader itself, where
     Spark uses them to skip files; the row id after them is not
     deterministic, so they could not be pushed through it.
     """
-    reader = spark.read.option("recursiveFileLookup", str(recursive).lower()).option("lineSep", "\n").text(root)
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower()).text(root)
     reader = reader.filter(F.col("_metadata.file_name").rlike(name_pattern)).filter(size_filter)
-    pieces = reader.select(
+    read = reader.select(
         F.col("_metadata.file_name").alias("source_file_id"),
         F.col("_metadata.file_path").alias("source_path"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.col("_metadata.file_size").alias("_size"),
         F.monotonically_increasing_id().alias("_row"),
-        F.concat(F.col("value"), F.lit("\n")).alias("_piece"),
-    ).repartition("source_path", "_block")
-    # every column is used, so that both uses read one and the same exchange
-    blocks = pieces.groupBy("source_path", "_block").agg(
-        F.sum(_breaks("_piece")).alias("_n"),
-        F.sum(F.octet_length("_piece")).alias("_bytes"),
-        F.max("_size").alias("_max_size"),
-        F.min("_row").alias("_first_row"),
-        F.max(F.length("source_file_id")).alias("_name_length"),
+        F.col("value").alias("_value"),
     )
-    file = Window.partitionBy("source_path")
-    offsets = blocks.select(
-        F.col("source_path").alias("_path"),
-        F.col("_block").alias("_start"),
-        F.coalesce(
-            F.sum("_n").over(file.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_lines_before"),
-        F.sum("_bytes").over(file).alias("_read_bytes"),
-        (F.col("_max_size") + F.col("_first_row") + F.col("_name_length")).alias("_used"),
-    )
-    earlier = Window.partitionBy("source_path", "_block").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-    placed = pieces.withColumn("_in_block", F.coalesce(F.sum(_breaks("_piece")).over(earlier), F.lit(0)))
+    # both uses take all columns, so they read one and the same exchange
+    lines = fence(read.repartition("source_path", "_block"))
+    blocks = lines.groupBy("source_path", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("source_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("source_path", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    offsets = _byte_order_marks(offsets)
+    in_block = F.row_number().over(Window.partitionBy("source_path", "_block").orderBy("_row"))
+    placed = lines.withColumn("_in_block", in_block)
     joined = placed.join(offsets, (F.col("source_path") == F.col("_path")) & (F.col("_block") == F.col("_start")), "left")
     before = F.coalesce(
-        F.col("_lines_before") + F.col("_in_block") + F.col("_used") * 0,
+        F.col("_before"),
         F.raise_error(F.concat(F.lit("file block read without its line count: "), F.col("source_path"))).cast("long"),
     )
-    marked = F.col("_size") - F.col("_read_bytes") >= _BOM_BYTES - 1
-    numbered = joined.select(
-        "source_file_id",
-        "source_path",
-        before.alias("_before"),
-        F.when(marked & (before == 0), F.lit("\ufeff")).otherwise(F.lit("")).alias("_mark"),
-        F.split(_decoded(F.col("_piece"), decode), fixed.LINE_BREAK).alias("_lines"),
-    )
-    # the piece's own line feed leaves one empty string at the end
-    lines = numbered.select(
+    # bad bytes at the end of a line are replaced as those before a line feed
+    text = _decoded(F.concat(F.col("_value"), F.lit("\n")), decode)
+    line = F.substring(text, F.lit(1), F.char_length(text) - 1)
+    return joined.select(
         "source_file_id",
-        "source_path",
-        "_before",
-        "_mark",
-        F.posexplode(F.slice("_lines", 1, F.size("_lines") - 1)).alias("_pos", "_line"),
-    )
-    return lines.select(
-        "source_file_id",
-        (F.col("_before") + F.col("_pos") + 1).cast("int").alias("line_number"),
-        F.when(F.col("_pos") == 0, F.concat("_mark", "_line")).otherwise(F.col("_line")).alias("line"),
+        (before + F.col("_in_block")).cast("int").alias("line_number"),
+        F.when(F.col("_marked") & (F.col("_in_block") == 1), F.concat(F.lit("\ufeff"), line)).otherwise(line).alias("line"),
         "source_path",
     )
 
 
-def _breaks(piece: str) -> Column:
-    """Lines of a piece: its line breaks (CR LF is one)."""
-    return (F.size(F.split(F.col(piece), fixed.LINE_BREAK)) - 1).cast("long")
+def _byte_order_marks(offsets: DataFrame) -> DataFrame:
+    """(_path, _start, _before, _marked): whether a block starts with a
+    byte-order mark.  The first blocks' three bytes are read in the tasks, by
+    path: one small read per large file, none for other blocks."""
+
+    def look(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def marked(path: str) -> bool:
+            if path.startswith("file:") and not path.startswith("file://"):
+                path = "file://" + path[len("file:") :]
+            store, name = fs.FileSystem.from_uri(path)
+            with store.open_input_stream(name) as f:
+                return f.read(3) == b"\xef\xbb\xbf"
+
+        for batch in batches:
+            columns = batch.to_pydict()
+            found = [start == 0 and marked(path) for path, start in zip(columns["source_path"], columns["_block"], strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.bool_())], names=["_path", "_start", "_before", "_marked"])
+
+    return offsets.mapInArrow(look, "_path string, _start long, _before long, _marked boolean")

@@ -228,6 +228,24 @@ def test_whole_split_and_auto_give_the_same_rows(spark, block_bytes, decode):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+@pytest.mark.parametrize("line_break", ["\r", "\n", "\r\n"])
+def test_a_large_file_of_any_line_break_is_read_by_many_tasks(spark, line_break):
+    root = tempfile.mkdtemp(prefix="logsift-cr-")
+    n = 60_000
+    with open(f"{root}/1", "w", newline="") as f:
+        f.write("".join(f"line {i}{line_break}" for i in range(1, n + 1)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        lines = read_session_files(spark, root, mode="auto", split_above_bytes=65536)
+        wrong = lines.filter(F.col("line") != F.concat(F.lit("line "), F.col("line_number")))
+        assert lines.count() == n and wrong.count() == 0
+        blocks = spark.read.text(root).groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count")).first()
+        assert blocks[0] >= 10 and blocks[1] < n / 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_blocks_are_scanned_once(spark):
     root = tempfile.mkdtemp(prefix="logsift-once-")
     with open(f"{root}/1", "w") as f:
