@@ -94,3 +94,16 @@ def write_log_lines_table(lines: DataFrame, path: str) -> int:
     rows, seen = _observed(lines, F.count(F.lit(1)))
     rows.sortWithinPartitions("source_file_id", "line_number").write.mode("overwrite").parquet(path)
     return seen.get["n"]
+
+
+def write_events_table(events: DataFrame, name: str, path: str, *, buckets: int = 200) -> None:
+    """Session events (:func:`logsift.operators.sessions.session_events`) as
+    the catalog table ``name`` at ``path``, bucketed on the session and sorted
+    by line: jobs on it group by session, or join on it, without an exchange.
+    One exchange on the session beforehand gives each bucket one file.  A
+    bucket's rows are streamed to their file; a hot session fills one bucket,
+    whose readers can split the file again by row group where they need no
+    grouping."""
+    spread = events.repartition(buckets, "source_file_id")
+    ordered = spread.write.bucketBy(buckets, "source_file_id").sortBy("source_file_id", "line_number")
+    ordered.option("path", path).mode("overwrite").format("parquet").saveAsTable(name)

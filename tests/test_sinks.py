@@ -108,3 +108,27 @@ def test_session_key_path_keeps_equal_names_apart(spark):
     assert compact_session_files(spark, root, table, session_key="path") == 4 == spark.read.parquet(table).count()
     with pytest.raises(ValueError, match="session_key"):
         read_session_files(spark, root, session_key="folder")
+
+
+def test_a_bucketed_events_table_needs_no_session_exchange(spark):
+    from logsift.operators import metrics
+    from logsift.operators.parse import parse_log_lines
+    from logsift.operators.sessions import session_events
+    from logsift.sinks.writers import write_events_table
+    from logsift.sources.tables import log_lines_from_sf_dir
+
+    events = session_events(parse_log_lines(log_lines_from_sf_dir(spark, "/root/testdata/sf0.001")))
+    name = "session_events_" + os.urandom(4).hex()
+    write_events_table(events, name, new_folder("events"), buckets=8)
+    try:
+        table = spark.table(name)
+        summary = metrics.session_summary(table)
+        got = rows_of(summary, *summary.columns)
+        plan = summary._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+        assert got == rows_of(metrics.session_summary(events), *summary.columns)
+        joined = table.join(spark.table(name).filter("hit").select("source_file_id").distinct(), "source_file_id", "left_semi")
+        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert metrics.card_search_count(table).first()["card_search_count"] == 7
+    finally:
+        spark.sql(f"DROP TABLE {name}")
