@@ -52,7 +52,7 @@ def op6_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_host_suffix_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+    return html_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
 def op8_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,33 +20,42 @@ text is all blocks that are not chrome, less the boilerplate.
 
 No suffix array is built.  The tokens under LCP intervals of depth
 ``LONG`` or more that reach the page count are those under ``LONG``-token
-windows that reach it, so windows are counted by (host, digest).  Only
-windows whose minimiser (the ``GRAM``-token run of least digest in it) is
-on enough pages itself are counted: a frequent window has a frequent
-minimiser, so none is lost.  Sets of frequent keys go to the executors as
-bits, which let some others through; counts and joins are exact.
+windows that reach it, so windows are counted by a digest of host and
+tokens.  Only windows whose minimiser (the ``GRAM``-token run of least
+digest in it) is on enough pages itself, and holds text on one, are
+counted: a frequent window of text has such a minimiser, so none is lost.
+Sets of keys go to the executors as bits, which let some others through;
+counts and joins are exact.
+
+A page is parsed once, into a table of its blocks, roles and keys.  Keys
+of pages whose main text no other page has are summed at once, without a
+distinct count; the others are made distinct by main text first.
 
 White space inside a block becomes one blank, blocks are joined by a line
 break, character references are decoded.  Null or empty html gives an
 empty text, a null url the host "".  Rows are handled one by one; repeated
 rows give repeated results; other columns pass through, and input columns
-named ``text`` or ``n_chars`` are replaced.
+named ``text`` or ``n_chars`` are replaced.  Executors need this package on
+their path (:func:`logsift.llm.common.ship`).
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import text_bytes, text_groups, with_columns, written
+from .common import discard, text_bytes, text_groups, written
 
 #: Tokens that must repeat for a part of a block to count as boilerplate.
 LONG = 24
@@ -299,132 +308,197 @@ class Stream:
         np.add.at(edge, at + LONG, -1)
         return np.cumsum(edge)[:-1] > 0
 
-    def of_text(self, text: np.ndarray) -> np.ndarray:
-        """Keys of the blocks and windows that hold a place of ``text``."""
+    def of_text(self, text: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Masks of the blocks, and of ``windows``, that hold a place of ``text``."""
         before = np.r_[0, np.cumsum(text)]
-        at = np.arange(len(self.windows))
-        return np.r_[self.blocks[before[self.stops] > before[self.starts]], self.windows[before[at + LONG] > before[at]]]
+        at = np.arange(len(windows))
+        return before[self.stops] > before[self.starts], before[at + LONG] > before[at]
 
 
 class _Filter:
-    """Bits of a set of keys: a key without its bit is not in the set."""
+    """Bits of a set of keys: a key without its bit is not in the set.  At
+    most 64 MB; the executors put the bits of a word together."""
 
     def __init__(self, keys: DataFrame, column: str):
         n = keys.count()
-        self.bits = np.zeros(1 << min(max(16, (16 * n).bit_length()), 29), bool)
+        self.words = np.zeros(1 << min(max(10, (16 * n).bit_length() - 6), 23), np.int64)
         if n:
-            place = F.pmod(F.col(column), F.lit(len(self.bits))).cast("int").alias("at")
-            for (block,) in keys.select(place).groupBy(F.spark_partition_id()).agg(F.collect_set("at")).select("collect_set(at)").toLocalIterator():
-                self.bits[block] = True
-        self.bits = np.packbits(self.bits)
+            word = F.shiftright(F.pmod(F.col(column), F.lit(64 * len(self.words))), 6)
+            words = keys.groupBy(word.cast("int").alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod({column}, 64) as int)))").alias("bits"))
+            lists = [F.collect_list(c).alias(c) for c in ("word", "bits")]
+            for at, bits in words.groupBy(F.spark_partition_id().alias("part")).agg(*lists).select("word", "bits").toLocalIterator():
+                self.words[at] |= np.array(bits, np.int64)
 
     def __getitem__(self, keys: np.ndarray) -> np.ndarray:
-        at = keys & (8 * len(self.bits) - 1)
-        return (self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-
+        at = keys & (64 * len(self.words) - 1)
+        return (self.words[at >> 6] >> (at & 63) & 1).astype(bool)
 
-def _pages(pages: DataFrame) -> DataFrame:
-    """``_page`` stands for the host's pages of one content."""
-    return pages.withColumn("_html", F.coalesce(F.col("html").cast("string"), F.lit(""))).withColumn("_page", F.xxhash64(F.coalesce("url", F.lit("")), "_html"))
 
+def _column(part: pa.RecordBatch, name: str) -> pa.Array:
+    return part.column(part.schema.get_field_index(name))
 
-def streams(pages: DataFrame) -> DataFrame:
-    """(host, page, main, stream, text): of each page, digests of host and
-    main text, the token stream, and the places of it that are text."""
-    schema = pa.schema([("host", pa.int64()), ("page", pa.int64()), ("main", pa.int64()), ("stream", pa.string()), ("text", pa.binary())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_groups(batches, column="_html"):
-            found = []
-            for url, raw, key in zip(part.column(0).to_pylist(), text_bytes(part, "_html"), part.column(2).to_pylist(), strict=True):
-                page = read_page(raw.decode())
-                main = _digest(page.text(page.main_role()))
-                found.append((_digest(host_of(url)), key, main, " ".join(page.stream()), np.packbits(page.is_text()).tobytes()))
-            cols = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+READ = "page bigint, host bigint, main bigint, roles string, blocks string, keys array<bigint>, n_text int"
 
-    return _pages(pages).select("url", "_html", "_page").mapInArrow(run, "host bigint, page bigint, main bigint, stream string, text binary")
 
+def read_pages(pages: DataFrame, keep: list[str]) -> DataFrame:
+    """Each page read once, as (row, page, host, main, roles, blocks, keys,
+    n_text): the columns to keep, a number of its own, digests of host and
+    main text, the blocks (one a line) with the first letters of their
+    roles, and the distinct keys of its blocks and minimisers, of which the
+    first ``n_text`` hold text."""
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in keep]
+    html = F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
+    source = pages.select(F.struct(*quoted).alias("row"), F.col("url").cast("string").alias("url"), html)
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.int32()]
+    names = ["row", "page", "host", "main", "roles", "blocks", "keys", "n_text"]
 
-def _keys(read: DataFrame, keys: Callable[[Stream, np.ndarray], np.ndarray]) -> DataFrame:
-    """(host, page, main, key): distinct keys of each stream."""
-    names = ["host", "page", "main"]
+    def read(url: str | None, raw: bytes) -> tuple:
+        page, host = read_page(raw.decode()), _digest(host_of(url))
+        s = Stream(host, page.stream())
+        block, window = s.of_text(page.is_text(), s.minimisers)
+        text = np.unique(np.r_[s.blocks[block], s.minimisers[window]])
+        rest = np.setdiff1d(np.r_[s.blocks[~block], s.minimisers[~window]], text)
+        roles = "".join([r[0] for r, _ in page.blocks])
+        return host, _digest(page.text(page.main_role())), roles, "\n".join([t for _, t in page.blocks]), np.r_[text, rest], len(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_groups(batches, column="stream"):
-            found = []
-            for host, stream, text in zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in ("host", "stream", "text")), strict=True):
-                tokens = stream.split(" ") if stream else []
-                found.append(np.unique(keys(Stream(host, tokens), np.unpackbits(np.frombuffer(text, np.uint8), count=len(tokens)))))
-            at = pa.array(np.repeat(np.arange(len(found)), [len(k) for k in found]))
-            cols = [part.column(part.schema.get_field_index(c)).take(at) for c in names]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(found), pa.int64())], names=[*names, "key"])
+        number = TaskContext.get().partitionId() << 40
+        for part in text_groups(batches, column="html"):
+            found = [read(*p) for p in zip(_column(part, "url").to_pylist(), text_bytes(part, "html"), strict=True)]
+            page = _mixed(np.arange(number, number + len(found), dtype=np.uint64)).view(np.int64)
+            number += len(found)
+            cols = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([_column(part, "row"), pa.array(page), *cols], names=names)
+
+    row = T.StructType([source.schema["row"], *T.StructType.fromDDL(READ).fields])
+    return source.mapInArrow(run, row)
 
-    return read.mapInArrow(run, "host bigint, page bigint, main bigint, key bigint")
 
+def stored_page(roles: str, blocks: str) -> Page:
+    names = {r[0]: r for r in ("chrome", "article", "main", "open")}
+    return Page([(names[r], t) for r, t in zip(roles, blocks.split("\n"), strict=True)] if roles else [])
 
-def _frequent(found: DataFrame, limits: DataFrame) -> DataFrame:
-    """(key, inner): keys on enough pages of their host, and whether these
-    are enough inside an article or main element too."""
-    counted = found.groupBy("host", "key").agg(F.countDistinct("main").alias("n")).filter(F.col("n") >= SHARES[0][0])
-    return written(counted.join(limits, "host").filter("n >= outside").select("key", (F.col("n") >= F.col("inside")).alias("inner")), "keys")
 
+def _keys(read: DataFrame, twins: Broadcast, twin: bool) -> DataFrame:
+    """(host, main, key, text): the stored keys of the pages whose main text
+    has, or has not, a bit in ``twins``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            part = part.filter(pa.array(twins.value[_column(part, "main").to_numpy()] == twin))
+            if part.num_rows:
+                keys = _column(part, "keys")
+                sizes = keys.value_lengths().to_numpy()
+                at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+                place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                text = place < np.repeat(_column(part, "n_text").to_numpy(), sizes)
+                cols = [_column(part, "host").take(at), _column(part, "main").take(at), keys.flatten(), pa.array(text)]
+                yield pa.RecordBatch.from_arrays(cols, names=["host", "main", "key", "text"])
+
+    return read.select("host", "main", "keys", "n_text").mapInArrow(run, "host bigint, main bigint, key bigint, text boolean")
+
+
+def _windows(read: DataFrame, near: Broadcast, twins: Broadcast) -> DataFrame:
+    """(page, host, main, key, text, window, twin): distinct windows with a
+    minimiser in ``near``, and the blocks of text in it, of every page."""
+    schema = "page bigint, host bigint, main bigint, key bigint, text boolean, window boolean, twin boolean"
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def of_page(host: int, page: Page) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        s = Stream(host, page.stream())
+        block, window = s.of_text(page.is_text(), s.windows)
+        blocks = np.unique(s.blocks[block])
+        blocks = blocks[near.value[blocks]]
+        hit = near.value[s.minimisers]
+        text = np.unique(s.windows[hit & window])
+        rest = np.setdiff1d(s.windows[hit & ~window], text)
+        place = np.arange(len(blocks) + len(text) + len(rest))
+        return np.r_[blocks, text, rest], place < len(blocks) + len(text), place >= len(blocks)
 
-def boilerplate(pages: DataFrame) -> DataFrame:
-    """(_page, keys, inner): the keys of the repeated blocks and windows in
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_groups(batches, column="blocks"):
+            keys = _column(part, "keys")
+            sizes = keys.value_lengths().to_numpy()
+            hits = np.r_[0, np.cumsum(near.value[keys.flatten().to_numpy()])]
+            ends = np.cumsum(sizes)
+            part = part.filter(pa.array(hits[ends] > hits[ends - sizes]))
+            if not part.num_rows:
+                continue
+            pages = zip(*(_column(part, c).to_pylist() for c in ("host", "roles", "blocks")), strict=True)
+            found = [of_page(host, stored_page(roles, blocks)) for host, roles, blocks in pages]
+            at = pa.array(np.repeat(np.arange(len(found)), [len(k) for k, _, _ in found]))
+            cols = [_column(part, c).take(at) for c in ("page", "host", "main")]
+            flat = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
+            yield pa.RecordBatch.from_arrays([*cols, *flat, pa.array(twins.value[cols[2].to_numpy()])], names=names)
+
+    return read.select("page", "host", "main", "roles", "blocks", "keys").mapInArrow(run, schema)
+
+
+def _frequent(single: DataFrame, several: DataFrame, limits: DataFrame) -> DataFrame:
+    """(key, inner): keys of text on enough pages of their host, and whether
+    these are enough inside an article or main element too.  Rows of
+    ``single`` count one by one, those of ``several`` once per main text."""
+    names = ["host", "key", "text"]
+    once = several.groupBy("key", "main").agg(F.min("host").alias("host"), F.bool_or("text").alias("text"))
+    found = single.select(names).unionByName(once.select(names))
+    counted = found.groupBy("key").agg(F.count("*").alias("n"), F.min("host").alias("host"), F.bool_or("text").alias("text"))
+    enough = counted.filter((F.col("n") >= SHARES[0][0]) & F.col("text")).join(limits, "host").filter("n >= outside")
+    return written(enough.select("key", (F.col("n") >= F.col("inside")).alias("inner")), "keys")
+
+
+def boilerplate(read: DataFrame) -> DataFrame:
+    """(page, keys, inner): the keys of the repeated blocks and windows in
     the text of each page that has any, and those that count inside an
     article or main element."""
-    share = pages.sparkSession.sparkContext.broadcast
-    read = written(streams(pages), "pages")
+    share = read.sparkSession.sparkContext.broadcast
+    mains = written(read.groupBy("host", "main").count(), "mains")
     enough = [F.greatest(F.lit(n), F.ceil(F.col("pages") * part)).alias(name) for name, (n, part) in zip(("outside", "inside"), SHARES, strict=True)]
-    limits = read.groupBy("host").agg(F.countDistinct("main").alias("pages")).select("host", *enough)
-    first = _frequent(_keys(read, lambda s, _: np.r_[s.blocks, s.minimisers]), limits)
-    near = share(_Filter(first, "key"))
-    second = _frequent(_keys(read, lambda s, _: s.windows[near.value[s.minimisers]]), limits)
-    often = first.unionByName(second)
-    known = share(_Filter(often, "key"))
-
-    def own(s: Stream, text: np.ndarray) -> np.ndarray:
-        keys = s.of_text(text)
-        return keys[known.value[keys]]
-
-    hits = _keys(read, own).select("page", "key").distinct().join(often, "key")
-    return hits.groupBy(F.col("page").alias("_page")).agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("inner"), F.col("key"))).alias("inner"))
-
-
-def extract(pages: DataFrame) -> DataFrame:
-    """``pages`` (url, html, ...) with ``text`` and ``n_chars``."""
+    limits = mains.groupBy("host").agg(F.count("*").alias("pages")).select("host", *enough)
+    twins = share(_Filter(mains.filter("count > 1"), "main"))
+    first = _frequent(_keys(read, twins, False), _keys(read, twins, True), limits)
+    near = written(_windows(read, share(_Filter(first, "key")), twins), "windows")
+    windows = near.filter("window")
+    second = _frequent(windows.filter("not twin"), windows.filter("twin"), limits)
+    hits = near.filter("text").select("page", "key").join(first.unionByName(second), "key")
+    hits = hits.groupBy("page").agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("inner"), F.col("key"))).alias("inner"))
+    hits = written(hits, "hits")
+    discard(mains, first, near, second)
+    return hits
+
+
+def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``pages`` (url, html, ...) with ``text`` and ``n_chars``; ``keep``
+    names the columns to pass through, all by default.  They are written
+    beside the blocks, so without html the written table is small."""
     pages = pages.drop("text", "n_chars")
-    names = pages.columns
-    hits = written(boilerplate(pages), "hits")
-    known = pages.sparkSession.sparkContext.broadcast(_Filter(hits, "_page"))
-
-    def cut(batches: Iterator[pa.RecordBatch], hit: bool = False) -> Iterator[pa.RecordBatch]:
-        for part in text_groups(batches, column="_html"):
-            if not hit:
-                at = part.column(part.schema.get_field_index("_page")).to_numpy()
-                part = part.filter(pa.array(~known.value[at]))
-            column = lambda c, part=part: part.column(part.schema.get_field_index(c)).to_pylist()
-            keys = zip(column("keys"), column("inner"), strict=True) if hit else [(None, None)] * part.num_rows
-            texts = [main_text(read_page(raw.decode()), host_of(url), *k) for raw, url, k in zip(text_bytes(part, "_html"), column("url"), keys, strict=True)]
-            keep = [part.column(part.schema.get_field_index(c)) for c in names]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(texts, pa.string())], names=[*names, "text"])
-
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    read = written(read_pages(pages, pages.columns if keep is None else keep), "pages", codec="zstd")
+    hits = boilerplate(read)
+    known = pages.sparkSession.sparkContext.broadcast(_Filter(hits, "page"))
+    stored = read.select("row", "page", "host", "roles", "blocks")
+    out = T.StructType([read.schema["row"], T.StructField("text", T.StringType())])
+
+    def some(batches: Iterator[pa.RecordBatch], hit: bool) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            yield part.filter(pa.array(known.value[part.column(part.schema.get_field_index("_page")).to_numpy()]))
+            yield part.filter(pa.array(known.value[_column(part, "page").to_numpy()] == hit))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_groups(batches, column="blocks"):
+            names = [c for c in ("roles", "blocks", "host", "keys", "inner") if c in part.schema.names]
+            texts = [main_text(stored_page(*p[:2]), *p[2:]) for p in zip(*(_column(part, c).to_pylist() for c in names), strict=True)]
+            yield pa.RecordBatch.from_arrays([_column(part, "row"), pa.array(texts, pa.string())], names=["row", "text"])
 
-    read, out = _pages(pages), with_columns(pages, "text string")
-    joined = read.mapInArrow(some, read.schema).join(hits, "_page", "left").mapInArrow(lambda b: cut(b, True), out)
-    return read.mapInArrow(cut, out).unionByName(joined).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    clean = stored.mapInArrow(lambda batches: cut(some(batches, False)), out)
+    joined = stored.mapInArrow(lambda batches: some(batches, True), stored.schema).join(hits, "page", "left").mapInArrow(cut, out)
+    return clean.unionByName(joined).select("row.*", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
-def main_text(page: Page, host: str, keys: list[int] | None = None, inner: list[int] | None = None) -> str:
-    """The blocks that are not chrome less the boilerplate; ``inner`` is
-    what counts inside an article or main element."""
+def main_text(page: Page, host: int, keys: list[int] | None = None, inner: list[int] | None = None) -> str:
+    """The blocks that are not chrome less the boilerplate; ``host`` is the
+    digest of the host, ``inner`` what counts inside an article or main element."""
     if not keys:
         return "\n".join([t for role, t in page.blocks if role != "chrome"])
-    s = Stream(_digest(host), page.stream())
+    s = Stream(host, page.stream())
     hidden, strong = (s.covered(np.array(k or [], np.int64)) for k in (keys, inner))
     blocks, at, inside, lost = [], 0, 0, 0
     for role, t in page.blocks:
