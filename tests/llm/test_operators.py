@@ -546,3 +546,111 @@ def test_tables_of_many_customers_against_the_recursion(d, c):
         got = pitman_yor.draw_tables(np.full(4000, c), np.full(4000, a), d, rng, stirling)
         assert abs(got.mean() - mean) < 5 * sd / 4000**0.5 + 0.01 * mean, (a, got.mean(), mean)
         assert abs(got.std() - sd) < 0.1 * sd + 0.02, (a, got.std(), sd)
+
+
+def test_scores_against_plain_predictive_probabilities(spark, llm):
+    """Each token's probability from the sampled seats, by the recursion
+    over word, context and parents in plain dictionaries."""
+    rng = random.Random(31)
+    words = ["alpha", "beta", "béta", "a", "of", "Of", "x" * 300, "한국어"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(40)))) for i in range(60)] + [(3, "unseen word of alpha"), (None, None), (70, "")]
+    df = frame(spark, rows)
+    model, totals = pitman_yor.train(df, pitman_yor.MIN_SLICES)
+    seats = [({}, {}, {}) for _ in totals]
+    for (state,) in model.select("state").collect():
+        s, samples = pitman_yor.Slice.unpack(bytes(state))
+        for k, found in enumerate(seats):
+            t2, c1, t1, c0, t0 = samples[5 * k : 5 * k + 5]
+            for j, up in enumerate(s.up):
+                found[2][int(s.word[s.up1[up]]), int(s.context[j])] = (int(s.c2[j]), int(t2[j]))
+            for j, up in enumerate(s.up1):
+                found[1][int(s.word[up]), int(s.context1[j])] = (int(c1[j]), int(t1[j]))
+            for j, w in enumerate(s.word):
+                found[0][int(w)] = (int(c0[j]), int(t0[j]))
+
+    def restaurant(total, found, level, own):
+        inside = [v for key, v in found[level].items() if level == 0 or key[1] == own]
+        return sum(c for c, _ in inside), sum(t for _, t in inside), total.discount[level]
+
+    def probability(total, found, word, context):
+        p = 1 / (len(found[0]) + 1)
+        for level, key, own in ((0, word, None), (1, (word, context & 255), context & 255), (2, (word, context), context)):
+            customers, tables, d = restaurant(total, found, level, own)
+            c, t = found[level].get(key, (0, 0))
+            p = (max(c - d * t, 0) + (1.0 + d * tables) * p) / (1.0 + customers)
+        return p
+
+    def score(text):
+        out, context = 0.0, 0xFFFF
+        for w in [*[x for x in re.split("[ \t-\r]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")) if x], ""]:
+            raw = w.encode()
+            word = xxhash.xxh3_64_intdigest(raw)
+            out += np.log10(np.mean([probability(t, f, word, context) for t, f in zip(totals, seats, strict=True)]))
+            context = int.from_bytes(raw[-2:], "big")
+        return out
+
+    got = pitman_yor.score_documents(df).collect()
+    want = sorted([(str(i), round(score(t), 6)) for i, t in rows])
+    assert sorted([(str(r.doc_id), round(r.score, 6)) for r in got]) == want
+
+
+def test_repeated_stretches_against_all_windows(spark, llm):
+    """Boilerplate by plain sets of blocks and windows of every page."""
+    rng = random.Random(41)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    runs = [" ".join(rng.choices(vocabulary, k=n)) for n in (20, 24, 25, 60)]
+    rows = []
+    for i in range(80):
+        host = "hot.com" if i % 3 else f"h{i % 2}.com"
+        blocks = []
+        for _ in range(rng.randrange(1, 6)):
+            words = rng.choices(vocabulary, k=rng.randrange(1, 50))
+            if rng.random() < 0.5:
+                words.insert(rng.randrange(len(words) + 1), rng.choice(runs))
+            blocks.append(f"<p>{' '.join(words)}</p>" if rng.random() < 0.7 else "<p>Read more here</p>")
+        tag = rng.choice(["article", "main", "div"])
+        rows.append((i, f"http://{host}/{i}", f"<nav>Home {rng.randrange(3)} {runs[3]}</nav><{tag}>{''.join(blocks)}</{tag}><footer>f{i % 4}</footer>"))
+    rows += [(80 + k, f"http://hot.com/copy{k}", rows[1][2] + f"<p>tail {k} {runs[1]}") for k in range(5)]
+    rows.append((90, "http://hot.com/long", "<article><p>" + " ".join(rng.choices(vocabulary, k=60_000)) + f" {runs[2]} " + " ".join(rng.choices(vocabulary, k=60_000))))
+    pages = [(i, html_text.host_of(u), html_text.read_page(h)) for i, u, h in rows]
+
+    def parts(page):
+        stream, at = page.stream(), 0
+        for _, text in page.blocks:
+            size = text.count(" ") + 2
+            yield at, at + size, tuple(stream[at : at + size])
+            at += size
+        for at in range(len(stream) - html_text.LONG + 1):
+            yield at, at + html_text.LONG, ("window", *stream[at : at + html_text.LONG])
+
+    mains, having = {}, {}
+    for _, host, page in pages:
+        main = page.text(page.main_role())
+        mains.setdefault(host, set()).add(main)
+        for _, _, part in parts(page):
+            having.setdefault((host, part), set()).add(main)
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), ["page_id"]).collect()}
+    assert len(got) == len(rows)
+    changed = 0
+    for i, host, page in pages:
+        size = len(page.stream())
+        hidden, strong = [False] * size, [False] * size
+        for a, b, part in parts(page):
+            n = len(having[host, part])
+            for mask, (least, share) in zip((hidden, strong), html_text.SHARES, strict=True):
+                if n >= max(least, share * len(mains[host])):
+                    mask[a:b] = [True] * (b - a)
+        kept, place, inside, lost = [], 0, 0, 0
+        for role, text in page.blocks:
+            words, place = text.split(" "), place + 1
+            cover = (hidden if role == "open" else strong)[place : place + len(words)]
+            place += len(words)
+            if role in ("article", "main"):
+                inside, lost = inside + len(words), lost + sum(cover)
+            kept.append((role, words, cover))
+        whole = 2 * lost > inside
+        want = [" ".join(w for w, x in zip(words, cover, strict=True) if not x or (whole and role != "open")) for role, words, cover in kept if role != "chrome"]
+        want = "\n".join(b for b in want if b)
+        changed += want != "\n".join(t for r, t in page.blocks if r != "chrome")
+        assert got[i] == want, i
+    assert changed > 10
