@@ -654,3 +654,16 @@ def test_repeated_stretches_against_all_windows(spark, llm):
         changed += want != "\n".join(t for r, t in page.blocks if r != "chrome")
         assert got[i] == want, i
     assert changed > 10
+
+
+def test_pages_keep_columns_with_clashing_names(spark, llm):
+    foot = " ".join(f"f{k}" for k in range(30))
+    rows = [(i, f"http://c.com/{i}", f"<div>own {i}</div><div>{foot}</div>", i, "r", [1], "b", None) for i in range(6)]
+    rows += [(9, None, None, 9, None, None, None, 2.0)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, page int, `row` string, keys array<int>, `a.b` string, text double")
+    got = {r.page_id: r for r in html_text.extract(df).collect()}
+    assert len(got) == len(rows)
+    for i, url, html, *extra in rows:
+        r = got[i]
+        assert (r.url, r.html, r.page, r["row"], r["keys"], r["a.b"]) == (url, html, *extra[:4])
+        assert r.text == ("" if html is None else f"own {i}") and r.n_chars == len(r.text)
