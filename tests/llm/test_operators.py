@@ -477,6 +477,71 @@ def test_leaks_with_many_edits_against_all_pairs(spark, llm):
     assert keyed([(r.doc_id, r.item_id, r.score) for r in got]) == keyed(want)
 
 
+def test_seeds_are_the_rare_grams(spark, llm, monkeypatch):
+    """The chosen places against the definition, by sets of each document's grams."""
+    rng = random.Random(31)
+    pick = lambda n: [f"c{min(int(rng.paretovariate(0.7)), 60)}" for _ in range(n)]
+    items = [(i, " ".join(pick(rng.randint(1, 30))).encode()) for i in range(12)] + [(20, b"only"), (21, b"unseen words here"), (22, b""), (23, b"c1 c2")]
+    rows = [(i, " ".join(pick(80))) for i in range(60)] + [(99, None), (None, items[0][1].decode())]
+    monkeypatch.setattr(decontaminate, "RARE_DOCS", 3)
+    monkeypatch.setattr(decontaminate, "RARE_SHARE", 0.05)
+    s = decontaminate.seeds_of(spark.createDataFrame(rows, DOCS), items)
+    bound = 3 + 0.05 * len(rows)
+    texts = [decontaminate.words((t or "").encode()) for _, t in rows]
+    held = Counter(g for t in texts for g in {tuple(t[q : q + n]) for n in (1, 2, 3) for q in range(len(t) - n + 1)})
+    want = set()
+    for k, (_, text) in enumerate(items):
+        w = decontaminate.words(text)
+        n = min(2, len(w))
+        counts = [held[tuple(w[q : q + n])] for q in range(len(w) - n + 1)] if w else []
+        mine = set()
+        for a in range(0, len(counts), decontaminate.STRETCH):
+            part = [c for c in counts[a : a + decontaminate.STRETCH] if c]
+            mine |= {q for q in range(a, min(a + decontaminate.STRETCH, len(counts))) if counts[q] and counts[q] <= max(bound, 2 * min(part))}
+        want |= {(k, q, n) for q in mine}
+        want |= {(k, q, 3) for q in range(len(w) - 2) if 0 < held[tuple(w[q : q + 3])] <= bound and not {q, q + 1} & mine}
+    size = np.zeros(s.size, int)
+    for n, (codes, start) in s.codes.items():
+        size[start : start + len(codes)] = n
+    assert set(zip(s.item.tolist(), s.at.tolist(), size[s.gram].tolist(), strict=True)) == want
+    assert {n for _, _, n in want} == {1, 2, 3}
+
+
+def test_recall_of_edited_copies_among_frequent_words(spark, llm):
+    """Every 3rd to 6th word changed, some items also copied exactly many
+    times, words by rank 1/r: at least 0.9 of the pairs that reach the score by
+    Smith-Waterman over all pairs are found, and with their scores."""
+    rng = random.Random(5)
+    weights = [1 / r for r in range(1, 4001)]
+    pick = lambda n: [f"v{x}" for x in rng.choices(range(4000), weights, k=n)]
+    items = [(i, " ".join(pick(rng.randint(20, 60)))) for i in range(40)]
+    rows = [(1000 + i, " ".join(pick(120))) for i in range(500)]
+    for i, text in items:
+        w = text.split()
+        for every in (3, 4, 5, 6):
+            first = rng.randrange(every)
+            edited = [rng.choice(pick(1) + [f"new{k}"]) if k % every == first else x for k, x in enumerate(w)]
+            rows.append((10 * i + every, " ".join([*pick(40), *edited, *pick(40)])))
+        rows += [(5000 + 100 * i + k, text) for k in range(40 if i % 4 == 0 else i % 2)]
+    s = decontaminate.Seeds([(i, t.encode()) for i, t in items])
+    texts = s.vocabulary.numbers([t.encode() for _, t in rows])
+    want = {}
+    for (d, _), t in zip(rows, texts, strict=True):
+        for i, _ in items:
+            if s.common(i, t) * 2 >= len(s.texts[i]):  # else the score is out of reach
+                score = decontaminate.smith_waterman(s.texts[i], t)[0] / (2 * len(s.texts[i]))
+                if score >= decontaminate.MIN_SCORE:
+                    want[d, i] = score
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_leaks(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) <= set(want)
+    for every in (3, 4, 5, 6):
+        mine = {x for x in want if x[0] < 1000 and x[0] % 10 == every}
+        assert len(mine) > (5 if every == 3 else 30)
+        print(every, len(mine), len(mine & set(got)))
+        assert len(mine & set(got)) >= 0.9 * len(mine)
+    assert all(got[x] == want[x] for x in got)
+
+
 def test_host_repeats_inside_main_and_unique_text_outside(spark, llm):
     rng = random.Random(21)
     words = lambda n: " ".join(f"z{rng.randrange(10**6)}" for _ in range(n))
