@@ -199,8 +199,7 @@ class IndexFamily:
         share their anchor with another class or occurrence, found within
         the batch and against each level."""
         entries = self._keep(entries, "index-level")
-        found = [self._scan(entries, None)]
-        found += [self._scan(entries, level) for _, level in self.levels]
+        found = [self._scan(entries, level) for level in (None, *(level for _, level in self.levels))]
         out = found[0]
         for f in found[1:]:
             out = out.unionByName(f)
@@ -223,9 +222,12 @@ class IndexFamily:
         """Delete the family, once what its scans found has been written."""
         discard(*self.tables)
 
-    @staticmethod
-    def _scan(batch: DataFrame, level: DataFrame | None) -> DataFrame:
-        """Merge scan of a batch with one level (or itself) by anchor."""
+    def _scan(self, batch: DataFrame, level: DataFrame | None) -> DataFrame:
+        """Merge scan of a batch with one level (or itself) by anchor.
+
+        An anchor may hold a third of all entries: the anchors sought are a
+        table of their own and what they find is dealt anew by class, so both
+        sides of the join are plain exchanges and adaptive execution splits it."""
         if level is None:
             rows = batch.select("h", "c", "n")
             few = rows.groupBy("h").agg(F.min("c").alias("_a"), F.max("c").alias("_b"), F.sum("n").alias("_n"))
@@ -234,8 +236,8 @@ class IndexFamily:
             rows = batch.select("h", "c", "n").unionByName(level.select("h", "c", "n"))
             sides = batch.select("h", "c", "n", F.lit(1).alias("_s")).unionByName(level.select("h", "c", "n", F.lit(2).alias("_s")))
             few = sides.groupBy("h").agg(F.min("_s").alias("_x"), F.max("_s").alias("_y")).filter("_x != _y")
-        both = rows.join(few.select("h"), "h")
-        return both.groupBy("h", "c").agg((F.sum("n") > 1).alias("twice"))
+        both = rows.join(self._keep(few.select("h"), "index-anchors"), "h")
+        return both.repartition("h", "c").groupBy("h", "c").agg((F.sum("n") > 1).alias("twice"))
 
 
 def repeated_classes(found: DataFrame, batches: int = BATCHES) -> DataFrame:
