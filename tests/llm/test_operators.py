@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -231,6 +232,39 @@ def test_shared_seeds_find_every_repeated_passage(spark, llm):
     assert suffix_dedup.shared_seeds(docs.limit(0)).count() == 0
 
 
+def test_windows_of_a_hot_anchor_in_bounded_memory(spark, llm):
+    """20,000 contexts of one anchor, four million windows, and two of another."""
+
+    rng = np.random.default_rng(6)
+    length, passage = 300, rng.bytes(400)
+    rows = []
+    for i in range(20_000):
+        left, right = rng.bytes(50), rng.bytes(50)
+        rows.append((7, i, 250, 0, True, left + passage + right))
+    rows += [(8, 1, 9, 9 - k, True, rows[k][5]) for k in (0, 1)]
+    tracemalloc.start()
+    hits = suffix_dedup._repeated_windows(rows, length)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(h[50:151].all() and not h[:40].any() and not h[161:].any() for h in hits[:-2])
+    assert not any(h.any() for h in hits[-2:])  # other offsets
+    assert peak < 160 << 20, peak
+
+
+def test_windows_in_bands_against_plain_sets(monkeypatch, spark, llm):
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        place = rng.randrange(40)
+        low = rng.randrange(place + 1)
+        rows.append((rng.randrange(5), i, place, low, True, bytes(rng.choice(b"ab") for _ in range(rng.randrange(6, 30)))))
+    keys = [[(h, low - place + k, c[k : k + 6]) for k in range(len(c) - 5)] for h, _, place, low, _, c in rows]
+    n = Counter(k for own in keys for k in own)
+    for band in (1, 50, 1 << 19):
+        monkeypatch.setattr(suffix_dedup, "BAND_WINDOWS", band)
+        assert [h.tolist() for h in suffix_dedup._repeated_windows(rows, 6)] == [[n[k] > 1 for k in own] for own in keys]
+
+
 def test_removed_repeats_of_nothing(spark, llm):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], DOCS)).count() == 0
 
