@@ -38,7 +38,7 @@ def op3_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pitman_yor.score_documents(table(spark, sf_dir, "documents"))
+    return pitman_yor.score_documents(table(spark, sf_dir, "documents"), words=True)
 
 
 def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, text_column, text_groups, written
+from .common import discard, text_bytes, text_column, text_groups, written
 
 HELD_MOD, HELD_REST = 7, 2
 STRENGTH = 1.0
@@ -71,6 +71,8 @@ MIN_SLICES = 24
 #: Bytes of text per slice of the model.  A text's partial sums come from as
 #: many slices as its words fall in, so smaller slices mean more of them.
 SLICE_BYTES = 128 << 20
+#: The same with the level of words, whose dishes are far more.
+WORD_SLICE_BYTES = 32 << 20
 #: Training tokens of a slice per copy of it when scoring.
 COPY_TOKENS = 2_000_000
 GROUP = 6 << 20
@@ -111,6 +113,7 @@ class Tokens:
     word: np.ndarray
     context: np.ndarray
     text: np.ndarray
+    before: np.ndarray  # the preceding word; END before a first token
 
     @classmethod
     def of(cls, texts: list[bytes]) -> Tokens:
@@ -132,7 +135,7 @@ class Tokens:
         number = np.full(total, len(names), np.int64)
         number[~is_end] = index
         before = np.r_[len(names), number[:-1]]  # an end's tail is START, which the next text's first token sees
-        return cls(digest[number], tail[before], np.repeat(np.arange(len(texts)), counts + 1))
+        return cls(digest[number], tail[before], np.repeat(np.arange(len(texts)), counts + 1), digest[before])
 
 
 def _dealt(word: np.ndarray, slices: int) -> np.ndarray:
@@ -145,29 +148,67 @@ def _by_slice(key: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(key[a]), a, b
 
 
-def training_counts(docs: DataFrame, slices: int) -> DataFrame:
-    """(part, body): per group of texts and slice the counts of dishes."""
+def _named(before: np.ndarray, context: np.ndarray) -> list[np.ndarray]:
+    """Preceding words once each, their ends, and each token's index."""
+    names, first, index = np.unique(before, return_index=True, return_inverse=True)
+    return [names, context[first], index.astype(np.uint32)]
+
+
+def training_counts(docs: DataFrame, slices: int, words: bool = False) -> DataFrame:
+    """(part, body): per group of texts and slice the counts of dishes, by
+    (word, context), or with ``words`` by (word, preceding word).  The latter
+    has a dish of no customers for each pair that only held-out texts hold,
+    so a slice comes to know the totals of all restaurants it will score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_groups(batches, GROUP):
             ids = part.column(0).to_pylist()
-            train = [t for i, t in zip(ids, text_bytes(part), strict=True) if not held_out(i)]
-            if not train:
+            learnt = np.array([not held_out(i) for i in ids], bool)
+            texts = [t for t, own in zip(text_bytes(part), learnt.tolist(), strict=True) if own or words]
+            if not texts:
                 continue
-            tokens = Tokens.of(train)
-            order = np.lexsort((tokens.context, tokens.word))
-            word, context = tokens.word[order], tokens.context[order]
-            first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])])
-            count = np.diff(np.r_[first, len(word)]).astype(np.uint32)
-            word, context = word[first], context[first]
+            tokens = Tokens.of(texts)
+            key = tokens.before if words else tokens.context
+            order = np.lexsort((key, tokens.word))
+            word, context, key = tokens.word[order], tokens.context[order], key[order]
+            weight = learnt[tokens.text[order]].astype(np.uint32) if words else np.ones(len(word), np.uint32)
+            first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (key[1:] != key[:-1])])
+            count = np.add.reduceat(weight, first).astype(np.uint32)
+            word, context, key = word[first], context[first], key[first]
             order = np.argsort(_dealt(word, slices), kind="stable")
-            word, context, count = word[order], context[order], count[order]
-            found = [(s, _pack(word[a:b], context[a:b], count[a:b])) for s, a, b in _by_slice(_dealt(word, slices))]
+            word, context, key, count = word[order], context[order], key[order], count[order]
+            found = []
+            for s, a, b in _by_slice(_dealt(word, slices)):
+                own = _named(key[a:b], context[a:b]) if words else [context[a:b]]
+                found.append((s, _pack(word[a:b], count[a:b], *own)))
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary())], names=["part", "body"])
 
     return docs.mapInArrow(run, "part int, body binary")
 
 
+@dataclass
+class Words:
+    """Level 3 of a slice: dishes whose restaurant is the preceding word,
+    and these restaurants' totals over all slices."""
+
+    name: np.ndarray  # distinct preceding words, by bucket and digest
+    at: np.ndarray  # dish to name
+    up: np.ndarray  # dish to level 2 dish
+    c: np.ndarray
+    t: np.ndarray
+    customers: np.ndarray  # of each name
+    tables: np.ndarray
+    weight: np.ndarray  # Gamma(strength / discount + tables)
+
+    def fields(self) -> list[np.ndarray]:
+        return [self.name, *(x.astype(np.uint32) for x in (self.at, self.up, self.c, self.t, self.customers, self.tables)), self.weight.astype(np.float32)]
+
+    def partial(self) -> tuple[np.ndarray, np.ndarray]:
+        """Customers and tables of each name in this slice."""
+        sums = (np.bincount(self.at, weights=x, minlength=len(self.name)) for x in (self.c, self.t))
+        return tuple(x.astype(np.uint32) for x in sums)
+
+
 @dataclass
 class Slice:
     """Dishes of a slice's words, ordered by word and context: customers
@@ -184,6 +225,7 @@ class Slice:
     t1: np.ndarray
     c0: np.ndarray
     t0: np.ndarray
+    words: Words | None = None
 
     @classmethod
     def of(cls, word: np.ndarray, context: np.ndarray, count: np.ndarray) -> Slice:
@@ -201,16 +243,48 @@ class Slice:
         one = np.ones
         return cls(word1[new0], context, up, context1, up1, count.astype(np.int64), one(len(count), np.int64), c1, one(len(c1), np.int64), c0, one(len(c0), np.int64))
 
+    @classmethod
+    def of_words(cls, word: np.ndarray, name: np.ndarray, tail: np.ndarray, count: np.ndarray, slices: int) -> Slice:
+        """From distinct (word, name); a dish with customers starts with one table."""
+        names, first, at = np.unique(name, return_index=True, return_inverse=True)
+        tails = tail[first]
+        bucket = _dealt(names, slices)
+        order = np.lexsort((names, bucket))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        names, at = names[order], place[at]
+        context = tails[order][at]
+        order = np.lexsort((at, context, context & 0xFF, word))
+        word, context, at, count = word[order], context[order], at[order], count[order].astype(np.int64)
+        new = np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])][: len(word)]
+        up, seats = np.cumsum(new) - 1, np.minimum(count, 1)
+        out = cls.of(word[new], context[new], np.bincount(up, weights=seats, minlength=int(new.sum())).astype(np.int64))
+        none = np.zeros(len(names), np.int64)
+        out.words = Words(names, at, up, count, seats, none, none, none.astype(float))
+        out.t2 = np.minimum(out.c2, 1)
+        out.c1 = np.bincount(out.up, weights=out.t2, minlength=len(out.c1)).astype(np.int64)
+        out.t1 = np.minimum(out.c1, 1)
+        out.c0 = np.bincount(out.up1, weights=out.t1, minlength=len(out.c0)).astype(np.int64)
+        out.t0 = np.minimum(out.c0, 1)
+        return out
+
     def pack(self, samples: list[np.ndarray]) -> bytes:
-        return _pack(self.word, self.context, self.up.astype(np.uint32), self.context1.astype(np.uint8), self.up1.astype(np.uint32), *(x.astype(np.uint32) for x in (self.c2, self.t2, self.c1, self.t1, self.c0, self.t0)), *(x.astype(np.uint32) for x in samples))
+        above = self.words.fields() if self.words else []
+        own = [self.context, self.up.astype(np.uint32), self.context1.astype(np.uint8), self.up1.astype(np.uint32), *(x.astype(np.uint32) for x in (self.c2, self.t2, self.c1, self.t1, self.c0, self.t0))]
+        return _pack(np.array([len(above)], np.uint8), self.word, *own, *above, *(x.astype(np.uint32) for x in samples))
 
     @classmethod
     def unpack(cls, data: bytes) -> tuple[Slice, list[np.ndarray]]:
-        a = _unpack(data)
-        return cls(a[0], *(x.astype(np.int64) for x in a[1:11])), [x.astype(np.int64) for x in a[11:]]
+        head, *a = _unpack(data)
+        n = 11 + int(head[0])
+        above = Words(a[11], *(x.astype(np.int64) for x in a[12 : n - 1]), a[n - 1]) if n > 11 else None
+        return cls(a[0], *(x.astype(np.int64) for x in a[1:11]), above), [x.astype(np.int64) for x in a[n:]]
 
     def tables(self) -> list[np.ndarray]:
-        return [self.t2, self.c1, self.t1, self.c0, self.t0]
+        """A sample: five arrays, or eight with the level of words, of which
+        the last is what is known of the names' tables so far."""
+        below = [self.t2, self.c1, self.t1, self.c0, self.t0]
+        return [*below, self.c2, self.words.t, self.words.tables] if self.words else below
 
     def totals(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Codes with customers and tables of the slice's restaurants, and
@@ -223,30 +297,34 @@ class Slice:
         c[L0], t[L0] = self.c0.sum(), self.t0.sum()
         for k, x in enumerate((self.c2, self.c1, self.c0)):
             c[STATS + k], t[STATS + k] = (x == 1).sum(), (x == 2).sum()
-        c[STATS + 3], t[STATS + 3] = len(self.word), self.c2.sum()
+        c[STATS + 3], t[STATS + 3] = (self.c0 > 0).sum(), (self.words.c if self.words else self.c2).sum()
+        if self.words:
+            c[STATS + 4], t[STATS + 4] = (self.words.c == 1).sum(), (self.words.c == 2).sum()
         codes = np.flatnonzero(c + t)
         return codes, c[codes], t[codes]
 
 
 @dataclass
 class Totals:
-    """Sums over all slices; ``discount`` per level 0, 1, 2."""
+    """Sums over all slices; ``discount`` per level 0, 1, 2, 3."""
 
     c: np.ndarray
     t: np.ndarray
-    discount: tuple[float, float, float]
+    discount: tuple[float, ...]
+    x: np.ndarray  # per restaurant Gamma(strength / discount + tables)
 
     @classmethod
-    def of(cls, table: DataFrame, discount: tuple[float, float, float] | None = None) -> Totals:
+    def of(cls, table: DataFrame, seed: list[int], discount: tuple[float, ...] | None = None) -> Totals:
         rows = table.select(F.explode(F.arrays_zip("code", "c", "t")).alias("x")).groupBy("x.code").agg(F.sum("x.c").alias("c"), F.sum("x.t").alias("t")).collect()
         c, t = np.zeros(STATS + 8, np.int64), np.zeros(STATS + 8, np.int64)
         for code, n, m in rows:
             c[code], t[code] = n, m
         if discount is None:
-            one, two = c[STATS : STATS + 3], t[STATS : STATS + 3]
+            one, two = (x[[STATS, STATS + 1, STATS + 2, STATS + 4]] for x in (c, t))
             rate = [min(max(float(a / (a + 2 * b)) if a else 0.5, 0.05), 0.95) for a, b in zip(one, two, strict=True)]
-            discount = (rate[2], rate[1], rate[0])
-        return cls(c, t, discount)
+            discount = (rate[2], rate[1], rate[0], rate[3])
+        level = np.repeat([2, 1, 0], [L1, L0 - L1, len(c) - L0])
+        return cls(c, t, discount, np.random.default_rng(seed).gamma(STRENGTH / np.array(discount)[level] + t))
 
     @property
     def types(self) -> int:
@@ -263,7 +341,12 @@ class Totals:
         return (np.maximum(c - d * t, 0.0) + (STRENGTH + d * self.t[codes]) * parent) / total
 
     def weight(self, codes: np.ndarray | int, parent, level: int):
-        return (STRENGTH + self.discount[level] * self.t[codes]) * parent
+        return self.discount[level] * self.x[codes] * parent
+
+    def share_words(self, customers, tables, c, t, parent):
+        """``share`` in restaurants of level 3."""
+        d = self.discount[3]
+        return (np.maximum(c - d * t, 0.0) + (STRENGTH + d * tables) * parent) / (STRENGTH + customers)
 
 
 def log_stirling(d: float, size: int = EXACT) -> np.ndarray:
@@ -282,7 +365,8 @@ def draw_tables(c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator
     """Tables of dishes with ``c`` customers and new-table weight ``a``."""
     t = np.minimum(c, 1)
     first = np.minimum(c, EXACT)
-    order = np.argsort(first, kind="stable")
+    order = np.flatnonzero(first > 1)
+    order = order[np.argsort(first[order], kind="stable")]
     cuts = np.searchsorted(first[order], np.arange(2, EXACT + 2))
     for n in range(2, EXACT + 1):
         rows = order[cuts[n - 2] : cuts[n - 1]]
@@ -344,9 +428,14 @@ def _log_factorial(n: np.ndarray) -> np.ndarray:
 
 def sweep(s: Slice, totals: Totals, rng: np.random.Generator, stirling: list[np.ndarray], base: float) -> None:
     """Re-seat the dishes of all levels, children first."""
-    d0, d1, d2 = totals.discount
+    d0, d1, d2, d3 = totals.discount
     p0 = totals.share(L0, s.c0, s.t0, base, 0)
     p1 = totals.share(L1 + s.context1, s.c1, s.t1, p0[s.up1], 1)
+    if s.words:
+        w = s.words
+        p2 = totals.share(s.context, s.c2, s.t2, p1[s.up], 2)
+        w.t = draw_tables(w.c, d3 * w.weight[w.at] * p2[w.up], d3, rng, stirling[3])
+        s.c2 = np.bincount(w.up, weights=w.t, minlength=len(s.c2)).astype(np.int64)
     s.t2 = draw_tables(s.c2, totals.weight(s.context, p1[s.up], 2), d2, rng, stirling[2])
     s.c1 = np.bincount(s.up, weights=s.t2, minlength=len(s.c1)).astype(np.int64)
     s.t1 = draw_tables(s.c1, totals.weight(L1 + s.context1, p0[s.up1], 1), d1, rng, stirling[1])
@@ -354,22 +443,39 @@ def sweep(s: Slice, totals: Totals, rng: np.random.Generator, stirling: list[np.
     s.t0 = draw_tables(s.c0, np.broadcast_to(totals.weight(L0, base, 0), s.c0.shape), d0, rng, stirling[0])
 
 
-STATE = "part int, state binary, code array<int>, c array<bigint>, t array<bigint>"
+STATE = "part int, bucket int, body binary, state binary, code array<int>, c array<bigint>, t array<bigint>, kind int"
+STATE_TYPES = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32()]
+STATE_NAMES = ["part", "bucket", "body", "state", "code", "c", "t", "kind"]
 
 
-def _state_row(part: int, s: Slice, samples: list[np.ndarray]) -> pa.RecordBatch:
-    codes, c, t = s.totals()
-    cols = [pa.array([part], pa.int32()), pa.array([s.pack(samples)], pa.binary()), pa.array([codes], pa.list_(pa.int32())), pa.array([c], pa.list_(pa.int64())), pa.array([t], pa.list_(pa.int64()))]
-    return pa.RecordBatch.from_arrays(cols, names=["part", "state", "code", "c", "t"])
+def _state_rows(part: int, s: Slice, samples: list[np.ndarray], slices: int) -> pa.RecordBatch:
+    """The state (kind 0), and the names' customers and tables (kind 1) in a
+    row for each bucket of names."""
+    rows = [(part, None, None, s.pack(samples), *s.totals(), 0)]
+    if s.words:
+        c, t = s.words.partial()
+        rows += [(part, k, _pack(s.words.name[a:b], c[a:b], t[a:b]), None, None, None, None, 1) for k, a, b in _by_slice(_dealt(s.words.name, slices))]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), STATE_TYPES, strict=True)], names=STATE_NAMES)
 
 
-def _first_state(counts: DataFrame, slices: int) -> DataFrame:
+def _states(df: DataFrame) -> DataFrame:
+    return written(df, "py-state", partition_by="kind")
+
+
+def _first_state(counts: DataFrame, slices: int, words: bool = False) -> DataFrame:
     def build(part: int, bodies: list[list[np.ndarray]]) -> pa.RecordBatch:
-        word, context, count = (np.concatenate([b[k] for b in bodies]) for k in range(3))
-        order = np.lexsort((context, word))
-        word, context, count = word[order], context[order], count[order].astype(np.int64)
-        first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])])
-        return _state_row(part, Slice.of(word[first], context[first], np.add.reduceat(count, first)), [])
+        word, count = (np.concatenate([b[k] for b in bodies]) for k in range(2))
+        if words:
+            key, context = (np.concatenate([b[k][b[4]] for b in bodies]) for k in (2, 3))
+        else:
+            key = context = np.concatenate([b[2] for b in bodies])
+        bodies.clear()
+        order = np.lexsort((key, word))
+        word, key, context, count = word[order], key[order], context[order], count[order].astype(np.int64)
+        first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (key[1:] != key[:-1])])
+        count = np.add.reduceat(count, first)
+        s = Slice.of_words(word[first], key[first], context[first], count, slices) if words else Slice.of(word[first], context[first], count)
+        return _state_rows(part, s, [], slices)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, bodies = None, []
@@ -386,78 +492,169 @@ def _first_state(counts: DataFrame, slices: int) -> DataFrame:
     return counts.repartition(slices * 2, "part").sortWithinPartitions("part").mapInArrow(run, STATE)
 
 
-def _swept(state: DataFrame, totals, number: int, rounds: int, seed: int) -> DataFrame:
-    """States after ``rounds`` sweeps, the last one kept as a sample."""
+def _with_totals(state: DataFrame, discount: float, number: int, slices: int, seed: int) -> DataFrame:
+    """(part, bucket, body): each state, followed by the totals of its names
+    and their weights, bucket by bucket."""
+
+    def answer(bucket: int, rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        parts = [(p, *_unpack(body)) for p, body in sorted(rows)]
+        names, at = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
+        c, t = (np.bincount(at, weights=np.concatenate([p[k] for p in parts])) for k in (2, 3))
+        weight = np.random.default_rng([seed, number, 1, bucket]).gamma(STRENGTH / discount + t).astype(np.float32)
+        c, t = c.astype(np.uint32), t.astype(np.uint32)
+        ends = np.cumsum([len(p[1]) for p in parts])
+        own = [at[a:b] for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=True)]
+        bodies = [_pack(c[i], t[i], weight[i]) for i in own]
+        return pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int32()), pa.array([bucket] * len(parts), pa.int32()), pa.array(bodies, pa.binary())], names=["part", "bucket", "body"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, rows = None, []
+        for batch in batches:
+            for part, bucket, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != place and rows:
+                    yield answer(place, rows)
+                    rows = []
+                place = bucket
+                rows.append((part, body))
+        if rows:
+            yield answer(place, rows)
+
+    asked = state.filter("kind = 1").select("part", "bucket", "body").repartition(slices * 2, "bucket").sortWithinPartitions("bucket")
+    totals = asked.mapInArrow(run, "part int, bucket int, body binary")
+    own = state.filter("kind = 0").select("part", F.lit(-1).alias("bucket"), F.col("state").alias("body"))
+    return own.unionByName(totals).repartition(slices * 2, "part").sortWithinPartitions("part", "bucket")
+
+
+def _swept(state: DataFrame, totals, number: int, rounds: int, seed: int, keep: bool, slices: int) -> DataFrame:
+    """States after ``rounds`` sweeps, the last one kept as a sample if asked.
+    ``state``: (part, bucket, body); a sample's tables of the names, known
+    only once the slices have met, are entered first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Totals = totals.value
         stirling = [log_stirling(d) for d in known.discount]
+        part, s, samples, met = None, None, [], []
+
+        def finish() -> pa.RecordBatch:
+            kept = samples
+            if s.words:
+                s.words.customers, s.words.tables = (np.concatenate([m[k] for m in met]).astype(np.int64) for k in (0, 1))
+                s.words.weight = np.concatenate([m[2] for m in met])
+                kept = [*samples[:-1], s.words.tables] if samples and not len(samples[-1]) else samples
+            rng = np.random.default_rng([seed, number, part])
+            for _ in range(rounds):
+                sweep(s, known, rng, stirling, 1.0 / (known.types + 1))
+            if keep and s.words:
+                s.words.tables = s.words.tables[:0]  # not known yet
+            return _state_rows(part, s, kept + s.tables() if keep else kept, slices)
+
         for batch in batches:
-            for part, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                s, samples = Slice.unpack(data)
-                rng = np.random.default_rng([seed, number, part])
-                for _ in range(rounds):
-                    sweep(s, known, rng, stirling, 1.0 / (known.types + 1))
-                yield _state_row(part, s, samples + s.tables())
+            for p, bucket, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket < 0:
+                    if s is not None:
+                        yield finish()
+                    part, (s, samples), met = p, Slice.unpack(body), []
+                else:
+                    met.append(_unpack(body))
+        if s is not None:
+            yield finish()
 
-    return state.select("part", "state").mapInArrow(run, STATE)
+    return state.mapInArrow(run, STATE)
 
 
-def train(docs: DataFrame, slices: int, seed: int = 0) -> tuple[DataFrame, list[Totals]]:
+def train(docs: DataFrame, slices: int, seed: int = 0, words: bool = False) -> tuple[DataFrame, list[Totals]]:
     """Model slices (part, state, ...) and the totals of each sample."""
     spark = docs.sparkSession
-    state = written(_first_state(training_counts(docs, slices), slices), "py-state")
-    totals = [Totals.of(state)]
-    for k in range(SAMPLES):
+    state = _states(_first_state(training_counts(docs, slices, words), slices, words))
+    totals = [Totals.of(state, [seed, 0])]
+    # the slices meet after each sweep; without words after those that are kept
+    plan = [1] * (BURN_IN + SAMPLES) if words else [1 + BURN_IN] + [1] * (SAMPLES - 1)
+    for k, rounds in enumerate([*plan, 0] if words else plan):
         shared = spark.sparkContext.broadcast(totals[-1])  # at most 65,801 numbers a column
-        state = written(_swept(state, shared, k, 1 + (BURN_IN if k == 0 else 0), seed), "py-state")
-        totals.append(Totals.of(state, totals[0].discount))
-    return state, totals[1:]
+        rows = _with_totals(state, totals[0].discount[3], k, slices, seed) if words else state.select("part", F.lit(-1).alias("bucket"), F.col("state").alias("body"))
+        keep = rounds > 0 and k >= len(plan) - SAMPLES
+        swept = _states(_swept(rows, shared, k, rounds, seed, keep, slices))
+        discard(state)
+        state = swept
+        if rounds:
+            totals.append(Totals.of(state, [seed, k + 1], totals[0].discount))
+    return state.filter("kind = 0"), totals[-SAMPLES:]
 
 
 class Scorer:
     """Averaged predictive probabilities of one slice."""
 
-    def __init__(self, data: bytes | None, totals: list[Totals]):
+    def __init__(self, data: bytes | None, totals: list[Totals], words: bool = False):
         self.totals, self.base = totals, 1.0 / (totals[0].types + 1)
         self.smooth = math.log10(totals[0].tokens + totals[0].types + 1)
         if data is None:
             empty = np.zeros(0, np.int64)
-            s, samples = Slice(np.zeros(0, np.uint64), *[empty] * 10), [empty] * (5 * len(totals))
+            none = Words(np.zeros(0, np.uint64), *[empty] * 7) if words else None
+            s, samples = Slice(np.zeros(0, np.uint64), *[empty] * 10, none), [empty] * (8 * len(totals))
         else:
             s, samples = Slice.unpack(data)
-        self.word, self.count = s.word, np.bincount(s.up1[s.up], weights=s.c2, minlength=len(s.word)) if len(s.word) else np.zeros(0)
+        own = s.words
+        dishes = (own.c, own.up) if own else (s.c2, np.arange(len(s.c2)))
+        self.word, self.count = s.word, np.bincount(s.up1[s.up][dishes[1]], weights=dishes[0], minlength=len(s.word)) if len(s.word) else np.zeros(0)
         word1 = s.up1 * 256 + s.context1
         word2 = s.up1[s.up] * 65536 + s.context
         order = np.argsort(word2, kind="stable")
         self.key1, self.key2 = word1, word2[order]
-        self.p0, self.p1, self.p2 = [], [], []
+        self.p0, self.p1, self.p2, self.p3 = [], [], [], []
+        if own:
+            self.name_order = np.argsort(own.name, kind="stable")
+            self.name, self.customers, self.tables = own.name[self.name_order], own.customers, []
+            word3 = s.up1[s.up][own.up] * len(own.name) + own.at
+            order3 = np.argsort(word3, kind="stable")
+            self.key3 = word3[order3]
+        width = 8 if own else 5
         for k, total in enumerate(totals):
-            t2, c1, t1, c0, t0 = samples[5 * k : 5 * k + 5]
+            t2, c1, t1, c0, t0 = samples[width * k : width * k + 5]
+            c2 = samples[width * k + 5] if own else s.c2
             p0 = total.share(L0, c0, t0, self.base, 0)
             p1 = total.share(L1 + s.context1, c1, t1, p0[s.up1], 1)
-            p2 = total.share(s.context, s.c2, t2, p1[s.up], 2)
+            p2 = total.share(s.context, c2, t2, p1[s.up], 2)
             self.p0.append(np.r_[p0, total.share(L0, 0, 0, self.base, 0)])
             self.p1.append(p1)
             self.p2.append(p2[order])
-
-    def score(self, word: np.ndarray, repeat: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per token: training count, log10 of the base, and of the model."""
+            if own:
+                t3, tables = samples[width * k + 6 : width * k + 8]
+                self.tables.append(tables)
+                self.p3.append(total.share_words(own.customers[own.at], tables[own.at], own.c, t3, p2[own.up])[order3])
+
+    def score(self, word: np.ndarray, repeat: np.ndarray, context: np.ndarray, names: np.ndarray | None = None, index: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per token: training count, log10 of the base, and of the model.
+        ``context`` is per token, or, with the level of words, per name."""
         at = np.searchsorted(self.word, word)
         found = self.word[np.minimum(at, len(self.word) - 1)] == word if len(self.word) else np.zeros(len(word), bool)
         number = np.repeat(np.where(found, at, len(self.word)), repeat)
         known = np.r_[self.count, 0.0][number]
-        context = context.astype(np.int64)
+        if names is None:
+            mean = sum(self._below(number, context.astype(np.int64)))
+        else:
+            named = self._find(self.name, names)
+            place = np.where(named >= 0, np.r_[self.name_order, 0][named], -1)[index]
+            in3 = np.where(place >= 0, self._find(self.key3, number * len(self.name) + place), -1)
+            mean = sum(p[np.maximum(in3, 0)] for p in self.p3) if len(self.key3) else np.zeros(len(number))
+            rest = np.flatnonzero(in3 < 0)  # pairs that no text of the model's holds
+            if len(rest):
+                own = place[rest]
+                below = self._below(number[rest], context.astype(np.int64)[index[rest]])
+                seats = [(np.where(own >= 0, np.r_[x, 0][own], 0) for x in (self.customers, t)) for t in self.tables]
+                mean[rest] = sum(total.share_words(*seat, 0, 0, p) for total, seat, p in zip(self.totals, seats, below, strict=True))
+        return known, np.log10(known + 1) - self.smooth, np.log10(mean / len(self.totals))
+
+    def _below(self, number: np.ndarray, context: np.ndarray) -> list[np.ndarray]:
+        """Per sample the probabilities by the ends of the preceding words."""
         low = context & 0xFF
         in1 = self._find(self.key1, number * 256 + low)
         in2 = self._find(self.key2, number * 65536 + context)
-        mean = np.zeros(len(number))
+        out = []
         for total, p0, p1, p2 in zip(self.totals, self.p0, self.p1, self.p2, strict=True):
             p = total.share(L1 + low, 0, 0, p0[number], 1)
             p = np.where(in1 >= 0, np.r_[p1, 0.0][in1], p)
-            p = np.where(in2 >= 0, np.r_[p2, 0.0][in2], total.share(context, 0, 0, p, 2))
-            mean += p
-        return known, np.log10(known + 1) - self.smooth, np.log10(mean / len(self.totals))
+            out.append(np.where(in2 >= 0, np.r_[p2, 0.0][in2], total.share(context, 0, 0, p, 2)))
+        return out
 
     @staticmethod
     def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -470,7 +667,7 @@ class Scorer:
 MOVED = "part int, salt int, batch bigint, body binary, doc_id array<bigint>, n array<bigint>"
 
 
-def _token_blobs(docs: DataFrame, slices: int, salts) -> DataFrame:
+def _token_blobs(docs: DataFrame, slices: int, salts, words: bool) -> DataFrame:
     """Tokens packed by slice, and a row with each batch's documents."""
     names = ["part", "salt", "batch", "body", "doc_id", "n"]
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
@@ -484,25 +681,30 @@ def _token_blobs(docs: DataFrame, slices: int, salts) -> DataFrame:
             rows = [(-1 - batch % (1 << 20), 0, batch, None, ids, np.bincount(tokens.text, minlength=len(ids)).tolist())]
             part = _dealt(tokens.word, slices)
             order = np.lexsort((tokens.text, tokens.word, part))
-            word, context, text, part = tokens.word[order], tokens.context[order], tokens.text[order].astype(np.uint32), part[order]
+            word, context, text, before, part = tokens.word[order], tokens.context[order], tokens.text[order].astype(np.uint32), tokens.before[order], part[order]
             for s, a, b in _by_slice(part):
                 w = word[a:b]
                 first = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
                 repeat = np.diff(np.r_[first, len(w)]).astype(np.uint32)
-                rows.append((s, batch % salts.value[s], batch, _pack(w[first], repeat, context[a:b], text[a:b]), None, None))
+                own = [context[a:b]]
+                if words:
+                    name, tail, index = _named(before[a:b], context[a:b])
+                    own = [tail, name, index.astype(np.uint16) if len(name) < 1 << 16 else index]
+                rows.append((s, batch % salts.value[s], batch, _pack(w[first], repeat, text[a:b], *own), None, None))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     return docs.mapInArrow(run, MOVED)
 
 
-def score_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
+def score_documents(docs: DataFrame, seed: int = 0, words: bool = False) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens,
-    n_known, train_tokens, base_score, score."""
+    n_known, train_tokens, base_score, score.  With ``words`` the preceding
+    word is a context too, above its last two bytes."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length(text_column()).cast("bigint"))).first()[0] or 0
-    slices = max(MIN_SLICES, math.ceil(size / SLICE_BYTES))
-    model, totals = train(docs, slices, seed)
+    slices = max(MIN_SLICES, math.ceil(size / (WORD_SLICE_BYTES if words else SLICE_BYTES)))
+    model, totals = train(docs, slices, seed, words)
     shared = spark.sparkContext.broadcast(totals)
     # slices with many tokens are copied
     loads = {p: n for p, n in model.select("part", F.aggregate(F.filter(F.arrays_zip("code", "t"), lambda x: x["code"] == STATS + 3), F.lit(0).cast("bigint"), lambda a, x: a + x["t"])).collect()}
@@ -511,7 +713,7 @@ def score_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     copies = spark.createDataFrame(list(enumerate(salts)), "part int, copies int")
     blank = [F.lit(None).cast(t).alias(n) for n, t in (("batch", "bigint"), ("doc_id", "array<bigint>"), ("n", "array<bigint>"))]
     sent = model.join(F.broadcast(copies), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), blank[0], F.col("state").alias("body"), *blank[1:])
-    moved = sent.unionByName(_token_blobs(docs, slices, shared_salts)).repartition(sum(salts) * 2, "part", "salt").sortWithinPartitions("part", "salt", F.col("batch").asc_nulls_first())
+    moved = sent.unionByName(_token_blobs(docs, slices, shared_salts, words)).repartition(sum(salts) * 2, "part", "salt").sortWithinPartitions("part", "salt", F.col("batch").asc_nulls_first())
 
     names = ["batch", "doc_id", "n", "body"]
     kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
@@ -525,11 +727,11 @@ def score_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
                     rows.append((batch, ids, n, None))
                     continue
                 if (part, salt) != place:
-                    place, scorer = (part, salt), Scorer(body if batch is None else None, shared.value)
+                    place, scorer = (part, salt), Scorer(body if batch is None else None, shared.value, words)
                 if batch is None:
                     continue
-                word, repeat, context, text = _unpack(body)
-                known, base, model_ = scorer.score(word, repeat, context)
+                word, repeat, text, *own = _unpack(body)
+                known, base, model_ = scorer.score(word, repeat, *own)
                 docs_, at = np.unique(text, return_inverse=True)
                 sums = [np.bincount(at, weights=x) for x in (known > 0, base, model_)]
                 rows.append((batch, None, None, _pack(docs_, *sums)))
