@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -70,6 +71,14 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of tables that nothing refers to any more.
+    Spark deletes them once the driver's JVM has collected garbage, which by
+    itself may be as late as half an hour."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def text_groups(batches: Iterator[pa.RecordBatch], limit: int = GROUP_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Re-slice batches so that one slice holds about ``limit`` bytes of the
     text column (at least one row): bounded memory for any text length."""

@@ -59,7 +59,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, text_bytes, text_column, text_groups, written
+from .common import discard, release, text_bytes, text_column, text_groups, written
 
 HELD_MOD, HELD_REST = 7, 2
 STRENGTH = 1.0
@@ -72,7 +72,7 @@ MIN_SLICES = 24
 #: many slices as its words fall in, so smaller slices mean more of them.
 SLICE_BYTES = 128 << 20
 #: The same with the level of words, whose dishes are far more.
-WORD_SLICE_BYTES = 32 << 20
+MIN_WORD_SLICES, WORD_SLICE_BYTES = 12, 32 << 20
 #: Training tokens of a slice per copy of it when scoring.
 COPY_TOKENS = 2_000_000
 GROUP = 6 << 20
@@ -108,12 +108,23 @@ def _unpack(data: bytes) -> list[np.ndarray]:
 
 @dataclass
 class Tokens:
-    """Tokens of a group of texts: word digest, context and text of each."""
+    """Tokens of a group of texts: number of the word, of the preceding word
+    (END before a first token) and of the text of each; and the words' digests
+    and ends by number."""
 
-    word: np.ndarray
-    context: np.ndarray
+    number: np.ndarray
+    before: np.ndarray
     text: np.ndarray
-    before: np.ndarray  # the preceding word; END before a first token
+    digest: np.ndarray
+    tail: np.ndarray
+
+    @property
+    def word(self) -> np.ndarray:
+        return self.digest[self.number]
+
+    @property
+    def context(self) -> np.ndarray:
+        return self.tail[self.before]
 
     @classmethod
     def of(cls, texts: list[bytes]) -> Tokens:
@@ -135,7 +146,26 @@ class Tokens:
         number = np.full(total, len(names), np.int64)
         number[~is_end] = index
         before = np.r_[len(names), number[:-1]]  # an end's tail is START, which the next text's first token sees
-        return cls(digest[number], tail[before], np.repeat(np.arange(len(texts)), counts + 1), digest[before])
+        return cls(number, before, np.repeat(np.arange(len(texts)), counts + 1), digest, tail)
+
+    def sorted_pairs(self, mark: np.ndarray, marks: int, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the word, ``mark`` (below ``marks``) and number of the
+        preceding word of each token, ordered by slice and these three."""
+        size = len(self.digest)
+        by_slice = np.argsort(_dealt(self.digest, slices), kind="stable")
+        rank = np.empty(size, np.int64)
+        rank[by_slice] = np.arange(size)
+        key = np.sort((rank[self.number] * marks + mark) * size + self.before)
+        key, before = np.divmod(key, size)
+        own, mark = np.divmod(key, marks)
+        return by_slice[own], mark, before
+
+    def named(self, before: np.ndarray) -> list[np.ndarray]:
+        """The words numbered ``before`` once each, their ends, and an index."""
+        seen = np.zeros(len(self.digest), bool)
+        seen[before] = True
+        index = (np.cumsum(seen) - 1)[before]
+        return [self.digest[seen], self.tail[seen], index.astype(np.uint16 if len(index) < 1 << 16 else np.uint32)]
 
 
 def _dealt(word: np.ndarray, slices: int) -> np.ndarray:
@@ -148,12 +178,6 @@ def _by_slice(key: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(key[a]), a, b
 
 
-def _named(before: np.ndarray, context: np.ndarray) -> list[np.ndarray]:
-    """Preceding words once each, their ends, and each token's index."""
-    names, first, index = np.unique(before, return_index=True, return_inverse=True)
-    return [names, context[first], index.astype(np.uint32)]
-
-
 def training_counts(docs: DataFrame, slices: int, words: bool = False) -> DataFrame:
     """(part, body): per group of texts and slice the counts of dishes, by
     (word, context), or with ``words`` by (word, preceding word).  The latter
@@ -168,19 +192,33 @@ def training_counts(docs: DataFrame, slices: int, words: bool = False) -> DataFr
             if not texts:
                 continue
             tokens = Tokens.of(texts)
-            key = tokens.before if words else tokens.context
-            order = np.lexsort((key, tokens.word))
-            word, context, key = tokens.word[order], tokens.context[order], key[order]
-            weight = learnt[tokens.text[order]].astype(np.uint32) if words else np.ones(len(word), np.uint32)
-            first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (key[1:] != key[:-1])])
-            count = np.add.reduceat(weight, first).astype(np.uint32)
-            word, context, key = word[first], context[first], key[first]
-            order = np.argsort(_dealt(word, slices), kind="stable")
-            word, context, key, count = word[order], context[order], key[order], count[order]
             found = []
-            for s, a, b in _by_slice(_dealt(word, slices)):
-                own = _named(key[a:b], context[a:b]) if words else [context[a:b]]
-                found.append((s, _pack(word[a:b], count[a:b], *own)))
+            if words:
+                held = np.flatnonzero(~learnt)
+                number, _, before = tokens.sorted_pairs(np.zeros(1, np.int64), 1, slices)
+                first = np.flatnonzero(np.r_[True, (number[1:] != number[:-1]) | (before[1:] != before[:-1])])
+                count = np.diff(np.r_[first, len(number)])
+                number, before = number[first], before[first]
+                if len(held):
+                    out = np.isin(tokens.text, held)
+                    size = len(tokens.digest)
+                    place = np.argsort(number * size + before)
+                    own = tokens.number[out] * size + tokens.before[out]
+                    np.subtract.at(count, place[np.searchsorted((number * size + before)[place], own)], 1)
+                word = tokens.digest[number]
+                for s, a, b in _by_slice(_dealt(word, slices)):
+                    found.append((s, _pack(word[a:b], count[a:b].astype(np.uint32), *tokens.named(before[a:b]))))
+            else:
+                word, context = tokens.word, tokens.context
+                order = np.lexsort((context, word))
+                word, context = word[order], context[order]
+                first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])])
+                count = np.diff(np.r_[first, len(word)]).astype(np.uint32)
+                word, context = word[first], context[first]
+                order = np.argsort(_dealt(word, slices), kind="stable")
+                word, context, count = word[order], context[order], count[order]
+                for s, a, b in _by_slice(_dealt(word, slices)):
+                    found.append((s, _pack(word[a:b], count[a:b], context[a:b])))
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary())], names=["part", "body"])
 
     return docs.mapInArrow(run, "part int, body binary")
@@ -567,6 +605,7 @@ def train(docs: DataFrame, slices: int, seed: int = 0, words: bool = False) -> t
     spark = docs.sparkSession
     state = _states(_first_state(training_counts(docs, slices, words), slices, words))
     totals = [Totals.of(state, [seed, 0])]
+    release(spark)
     # the slices meet after each sweep; without words after those that are kept
     plan = [1] * (BURN_IN + SAMPLES) if words else [1 + BURN_IN] + [1] * (SAMPLES - 1)
     for k, rounds in enumerate([*plan, 0] if words else plan):
@@ -576,6 +615,8 @@ def train(docs: DataFrame, slices: int, seed: int = 0, words: bool = False) -> t
         swept = _states(_swept(rows, shared, k, rounds, seed, keep, slices))
         discard(state)
         state = swept
+        del rows, swept
+        release(spark)
         if rounds:
             totals.append(Totals.of(state, [seed, k + 1], totals[0].discount))
     return state.filter("kind = 0"), totals[-SAMPLES:]
@@ -679,17 +720,16 @@ def _token_blobs(docs: DataFrame, slices: int, salts, words: bool) -> DataFrame:
             ids = group.column(0).to_pylist()
             tokens = Tokens.of(text_bytes(group))
             rows = [(-1 - batch % (1 << 20), 0, batch, None, ids, np.bincount(tokens.text, minlength=len(ids)).tolist())]
-            part = _dealt(tokens.word, slices)
-            order = np.lexsort((tokens.text, tokens.word, part))
-            word, context, text, before, part = tokens.word[order], tokens.context[order], tokens.text[order].astype(np.uint32), tokens.before[order], part[order]
-            for s, a, b in _by_slice(part):
+            number, text, before = tokens.sorted_pairs(tokens.text, len(ids), slices)
+            word, text = tokens.digest[number], text.astype(np.uint32)
+            for s, a, b in _by_slice(_dealt(word, slices)):
                 w = word[a:b]
                 first = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
                 repeat = np.diff(np.r_[first, len(w)]).astype(np.uint32)
-                own = [context[a:b]]
+                own = [tokens.tail[before[a:b]]]
                 if words:
-                    name, tail, index = _named(before[a:b], context[a:b])
-                    own = [tail, name, index.astype(np.uint16) if len(name) < 1 << 16 else index]
+                    names_, *own = tokens.named(before[a:b])
+                    own.insert(1, names_)
                 rows.append((s, batch % salts.value[s], batch, _pack(w[first], repeat, text[a:b], *own), None, None))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
@@ -703,7 +743,7 @@ def score_documents(docs: DataFrame, seed: int = 0, words: bool = False) -> Data
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length(text_column()).cast("bigint"))).first()[0] or 0
-    slices = max(MIN_SLICES, math.ceil(size / (WORD_SLICE_BYTES if words else SLICE_BYTES)))
+    slices = max(MIN_WORD_SLICES, math.ceil(size / WORD_SLICE_BYTES)) if words else max(MIN_SLICES, math.ceil(size / SLICE_BYTES))
     model, totals = train(docs, slices, seed, words)
     shared = spark.sparkContext.broadcast(totals)
     # slices with many tokens are copied

@@ -700,7 +700,7 @@ def test_word_contexts_against_plain_predictive_probabilities(spark, llm):
     words = ["alpha", "beta", "béta", "a", "of", "Of", "x" * 300, "한국어", "new", "few"]
     rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(40)))) for i in range(60)] + [(3, "unseen word of alpha"), (None, None), (70, "")]
     df = frame(spark, rows)
-    model, totals = pitman_yor.train(df, pitman_yor.MIN_SLICES, words=True)
+    model, totals = pitman_yor.train(df, pitman_yor.MIN_WORD_SLICES, words=True)
     split = lambda t: [x.encode() for x in re.split("[ \t-\r]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")) if x]
     digest = xxhash.xxh3_64_intdigest
     tokens = lambda t: list(zip([b"", *split(t)], [*split(t), b""], strict=True))
@@ -742,7 +742,7 @@ def test_word_contexts_against_plain_predictive_probabilities(spark, llm):
     got = pitman_yor.score_documents(df, words=True).collect()
     assert sorted([(str(r.doc_id), round(r.score, 6)) for r in got]) == sorted([(str(i), round(score(t), 6)) for i, t in rows])
 
-    (state,) = model.filter(f"part = {pitman_yor._dealt(np.array([digest(b'of')], np.uint64), pitman_yor.MIN_SLICES)[0]}").select("state").first()
+    (state,) = model.filter(f"part = {pitman_yor._dealt(np.array([digest(b'of')], np.uint64), pitman_yor.MIN_WORD_SLICES)[0]}").select("state").first()
     scorer = pitman_yor.Scorer(bytes(state), totals, words=True)
     pair = np.array([digest(b"of")], np.uint64)
     for u in (b"alpha", b"unheard", b""):  # one slice's own probability, known pair or not
