@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -71,12 +71,17 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of tables that nothing refers to any more.
-    Spark deletes them once the driver's JVM has collected garbage, which by
-    itself may be as late as half an hour."""
-    gc.collect()
-    spark._jvm.System.gc()
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark deletes the shuffle files of an execution as it ends, for
+    tables that are written once and read from their files."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def text_groups(batches: Iterator[pa.RecordBatch], limit: int = GROUP_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:

@@ -59,7 +59,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, release, text_bytes, text_column, text_groups, written
+from .common import discard, shuffles_deleted, text_bytes, text_column, text_groups, written
 
 HELD_MOD, HELD_REST = 7, 2
 STRENGTH = 1.0
@@ -497,7 +497,8 @@ def _state_rows(part: int, s: Slice, samples: list[np.ndarray], slices: int) ->
 
 
 def _states(df: DataFrame) -> DataFrame:
-    return written(df, "py-state", partition_by="kind")
+    with shuffles_deleted(df.sparkSession):
+        return written(df, "py-state", partition_by="kind")
 
 
 def _first_state(counts: DataFrame, slices: int, words: bool = False) -> DataFrame:
@@ -605,7 +606,6 @@ def train(docs: DataFrame, slices: int, seed: int = 0, words: bool = False) -> t
     spark = docs.sparkSession
     state = _states(_first_state(training_counts(docs, slices, words), slices, words))
     totals = [Totals.of(state, [seed, 0])]
-    release(spark)
     # the slices meet after each sweep; without words after those that are kept
     plan = [1] * (BURN_IN + SAMPLES) if words else [1 + BURN_IN] + [1] * (SAMPLES - 1)
     for k, rounds in enumerate([*plan, 0] if words else plan):
@@ -615,8 +615,6 @@ def train(docs: DataFrame, slices: int, seed: int = 0, words: bool = False) -> t
         swept = _states(_swept(rows, shared, k, rounds, seed, keep, slices))
         discard(state)
         state = swept
-        del rows, swept
-        release(spark)
         if rounds:
             totals.append(Totals.of(state, [seed, k + 1], totals[0].discount))
     return state.filter("kind = 0"), totals[-SAMPLES:]
