@@ -1,22 +1,26 @@
 """Language-model scoring with a hierarchical Pitman-Yor model.
 
 Tokens are words (A-Z lower-cased, no ASCII white space) and one end per
-document.  A word's context is the end of the word before it: its last two
-bytes, whose parent is its last byte, whose parent is the empty context,
-which backs off to a uniform base over the known tokens and one unknown.
-Each context is a restaurant; its customers are the tokens seen after it
-and, for a parent, the tables of its children.  Contexts number at most
-65,536 + 256 + 1 whatever the corpus, while the dishes (context, word) grow
-with it.
+document.  With ``words`` a word's context is the whole word before it;
+that one's parent is the end of that word: its last two bytes, whose parent
+is its last byte, whose parent is the empty context, which backs off to a
+uniform base over the known tokens and one unknown.  Without ``words`` the
+last two bytes are the topmost context.  Each context is a restaurant; its
+customers are the tokens seen after it and, for a parent, the tables of its
+children.  Restaurants of words grow with the corpus; those of ends number
+at most 65,536 + 256 + 1.
 
 Everything about a word sits in one slice of the model (words are dealt by
 hash), so the seating of all its dishes is sampled in one task.  Slices
-meet only in the restaurants' totals (at most 65,793 rows), which are
-summed after each sweep and handed to the next.  A sweep is a blocked
-Gibbs step per dish: given the totals, the number of tables t of c
-customers is drawn from its conditional, proportional to
-S_d(c, t) * a**t, with generalized Stirling numbers and
-a = (strength + d * tables of the restaurant) * parent probability.  For
+meet only in the restaurants' totals, which are summed after each sweep and
+handed to the next: those of ends (at most 65,793 rows) by the driver, those
+of words by Spark, in buckets by name, from which each slice gets back the
+totals of the names it holds.  A sweep is a blocked Gibbs step per dish.
+The factor (strength | d)_T of a restaurant with T tables is the integral of
+(d * x)**T over x ~ Gamma(strength / d + T); given that x, drawn once per
+restaurant and sweep, the dishes' tables are independent, and t tables of c
+customers have a probability proportional to S_d(c, t) * a**t, with
+generalized Stirling numbers and a = d * x * parent probability.  For
 dishes with more than ``EXACT`` customers the same conditional is computed
 without the numbers' table: it is that of a Poisson(a / d) count of
 Sibuya(d) table sizes, given that they add up to c (``draw_large``).  Parents are
@@ -31,9 +35,10 @@ with a part of the blobs.  Partial sums return by document batch.  The
 number of slices grows with the bytes of text and that of a slice's copies
 with its tokens, so a task's share of either stays of one size.
 
-The conditional takes a restaurant's totals from the sweep before, the
-dish's own tables included, so it is an approximation of Gibbs sampling
-where one dish makes up much of its restaurant.  Batches are numbered by
+The parent's probability is that of the sweep's start, the dish's own tables
+there included, and the parent's own factor is left out, so the sweeps are an
+approximation of Gibbs sampling where one dish makes up much of its parent's.
+The strength is fixed and discounts are not sampled.  Batches are numbered by
 their place in a task: give rows whose order is fixed, as of a scan or a
 written table, or a task that is run again may number others.
 
@@ -72,7 +77,7 @@ MIN_SLICES = 24
 #: many slices as its words fall in, so smaller slices mean more of them.
 SLICE_BYTES = 128 << 20
 #: The same with the level of words, whose dishes are far more.
-MIN_WORD_SLICES, WORD_SLICE_BYTES = 12, 32 << 20
+MIN_WORD_SLICES, WORD_SLICE_BYTES = 12, 16 << 20
 #: Training tokens of a slice per copy of it when scoring.
 COPY_TOKENS = 2_000_000
 GROUP = 6 << 20
@@ -316,7 +321,7 @@ class Slice:
         head, *a = _unpack(data)
         n = 11 + int(head[0])
         above = Words(a[11], *(x.astype(np.int64) for x in a[12 : n - 1]), a[n - 1]) if n > 11 else None
-        return cls(a[0], *(x.astype(np.int64) for x in a[1:11]), above), [x.astype(np.int64) for x in a[n:]]
+        return cls(a[0], *(x.astype(np.int64) for x in a[1:11]), above), a[n:]
 
     def tables(self) -> list[np.ndarray]:
         """A sample: five arrays, or eight with the level of words, of which
@@ -719,7 +724,7 @@ def _token_blobs(docs: DataFrame, slices: int, salts, words: bool) -> DataFrame:
             tokens = Tokens.of(text_bytes(group))
             rows = [(-1 - batch % (1 << 20), 0, batch, None, ids, np.bincount(tokens.text, minlength=len(ids)).tolist())]
             number, text, before = tokens.sorted_pairs(tokens.text, len(ids), slices)
-            word, text = tokens.digest[number], text.astype(np.uint32)
+            word, text = tokens.digest[number], text.astype(np.uint16 if len(ids) <= 1 << 16 else np.uint32)
             for s, a, b in _by_slice(_dealt(word, slices)):
                 w = word[a:b]
                 first = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
