@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 #: Bytes of text handled at once inside a task; longer single texts form a
 #: group of their own.
 GROUP_BYTES = 4 << 20
+#: Bytes of rows handed to a Python worker at once by ``small_batches``.
+BATCH_BYTES = 4 << 20
 
 
 _shipped: set[str] = set()
@@ -84,6 +86,20 @@ def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark hands rows to Python in batches of about ``BATCH_BYTES``
+    (a larger row alone), not of 64 MB: both sides hold a batch in memory, some
+    of its columns more than once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_groups(batches: Iterator[pa.RecordBatch], limit: int = GROUP_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Re-slice batches so that one slice holds about ``limit`` bytes of the
     text column (at least one row): bounded memory for any text length."""
@@ -98,6 +114,7 @@ def text_groups(batches: Iterator[pa.RecordBatch], limit: int = GROUP_BYTES, col
             total += n
         if len(sizes) > start:
             yield batch.slice(start, len(sizes) - start)
+    pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
 
 def text_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

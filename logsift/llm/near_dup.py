@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, text_column, text_groups, written
+from .common import small_batches, text_bytes, text_column, text_groups, written
 from .components import connected_components
 
 BANDS, ROWS = 32, 4
@@ -52,6 +52,8 @@ FINE, FINE_WORDS, FINE_ESTIMATE = 2048, 128, 0.745
 GROUP_MEMBERS = 256
 #: Members of a bucket compared by sketch at once.
 BLOCK = 2048
+#: Bytes of text whose sets are made at once.
+GROUP = 1 << 20
 
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 1 << 31, FINE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -153,7 +155,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     names = ["doc_id", "n_shingles", "d1", "d2", "bands", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_groups(batches):
+        for part in text_groups(batches, GROUP):
             sets = hashed_sets(text_bytes(part), size)
             full = [i for i, s in enumerate(sets) if len(s)]
             bands: list = [None] * len(sets)
@@ -174,7 +176,7 @@ def fine_sketches(texts: DataFrame, size: int) -> DataFrame:
     """(id, sketch) of texts (id, text) that have words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_groups(batches, 1 << 20):
+        for part in text_groups(batches, GROUP):
             sets = hashed_sets(text_bytes(part), size)
             full = [i for i, s in enumerate(sets) if len(s)]
             if full:
@@ -206,7 +208,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, sets = None, []
-        for part in text_groups(batches):
+        for part in text_groups(batches, GROUP):
             found: tuple[list, list] = ([], [])
             for b, p, a, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), text_bytes(part), strict=True):
                 if (b, p) != group:
@@ -226,6 +228,19 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def _matrices(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The columns as arrays, those of sketches (as bits) and bands as
+    matrices; as Python numbers they would take six times the memory."""
+    out = []
+    for name, c in zip(batch.schema.names, batch.columns, strict=True):
+        if pa.types.is_list(c.type):
+            c = c.flatten().to_numpy().reshape(len(c), FINE_WORDS if name == "sketch" else BANDS)
+        else:
+            c = c.to_numpy()
+        out.append(c.view(np.uint64) if name == "sketch" else c)
+    return out
+
+
 def _across(members: DataFrame) -> DataFrame:
     """Pairs (a, b) of one bucket but different components whose sketches
     are close; members: (key, part, id, component, head, sketch, bands,
@@ -234,13 +249,9 @@ def _across(members: DataFrame) -> DataFrame:
     limit = most_different_bits(FINE_ESTIMATE, FINE, FINE_WORDS)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def pairs(key: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        ids = np.array([r[0] for r in rows])
-        comp = np.array([r[1] for r in rows])
-        head = np.array([r[2] for r in rows])
-        bands = np.array([r[4] for r in rows], np.int64)
-        half = np.array([r[5] for r in rows])  # 0: compare within; 1 and 2: across
-        bits = np.array([r[3] for r in rows], np.int64).view(np.uint64)
+    def pairs(key: int, rows: list[list[np.ndarray]]) -> Iterator[tuple[int, int]]:
+        # half: 0: compare within; 1 and 2: across
+        ids, comp, head, bits, bands, half = (np.concatenate(c) for c in zip(*rows, strict=True))
         names, size = np.unique(comp, return_counts=True)
         largest = names[size.argmax()]
         for i in np.flatnonzero(comp != largest).tolist():
@@ -261,13 +272,15 @@ def _across(members: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], schema=schema)
 
         for batch in batches:
-            for key, part, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (key, part) != group:
-                    if len(rows) > 1:
+            key, part, *cols = _matrices(batch)
+            cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])]) if len(key) else key
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)], strict=True) if len(key) else ():
+                if (place := (int(key[a]), int(part[a]))) != group:
+                    if sum(len(r[0]) for r in rows) > 1:
                         yield flush()
-                    group, rows = (key, part), []
-                rows.append(row)
-        if len(rows) > 1:
+                    group, rows = place, []
+                rows.append([c[a:b] for c in cols])
+        if sum(len(r[0]) for r in rows) > 1:
             yield flush()
 
     order = members.select("key", "part", "id", "component", "head", "sketch", "bands", "half")
@@ -289,6 +302,11 @@ def _in_blocks(members: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles,
     component_id (smallest doc_id reachable by links), kept."""
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, size, percent)
+
+
+def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     sig = written(signatures(docs, size), "signatures")
     nodes = sig.filter("n_shingles > 0 and doc_id is not null")
     folded = nodes.groupBy("d1", "d2").agg(F.min("doc_id").alias("id"))
