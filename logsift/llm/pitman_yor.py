@@ -64,7 +64,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, shuffles_deleted, text_bytes, text_column, text_groups, written
+from .common import discard, shuffles_deleted, small_batches, text_bytes, text_column, text_groups, written
 
 HELD_MOD, HELD_REST = 7, 2
 STRENGTH = 1.0
@@ -93,8 +93,8 @@ def held_out(doc_id: int | None) -> bool:
 
 def _pack(*arrays: np.ndarray) -> bytes:
     head = np.array([len(arrays), *(a.nbytes for a in arrays)], np.int64).tobytes()
-    kinds = "".join(a.dtype.str for a in arrays).encode().ljust(4 * len(arrays))
-    return zstandard.ZstdCompressor(level=1).compress(head + kinds + b"".join([a.tobytes() for a in arrays]))
+    kinds = "".join(a.dtype.str for a in arrays).encode().ljust(8 * len(arrays))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, kinds, *(x for a in arrays if a.size for x in (np.ascontiguousarray(a).data, bytes(-a.nbytes % 8)))]))
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
@@ -103,11 +103,11 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     sizes = np.frombuffer(raw, np.int64, n, 8).tolist()
     at = 8 * (n + 1)
     kinds = [raw[at + 3 * i : at + 3 * i + 3].decode() for i in range(n)]
-    at += 4 * n
+    at += 8 * n
     out = []
-    for kind, size in zip(kinds, sizes, strict=True):
-        out.append(np.frombuffer(raw[at : at + size], np.dtype(kind)))
-        at += size
+    for kind, size in zip(map(np.dtype, kinds), sizes, strict=True):
+        out.append(np.frombuffer(raw, kind, size // kind.itemsize, at) if size else np.zeros(0, kind))
+        at += size + -size % 8  # aligned
     return out
 
 
@@ -491,11 +491,11 @@ STATE_TYPES = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int
 STATE_NAMES = ["part", "bucket", "body", "state", "code", "c", "t", "kind"]
 
 
-def _state_rows(part: int, s: Slice, samples: list[np.ndarray], slices: int) -> pa.RecordBatch:
-    """The state (kind 0), and the names' customers and tables (kind 1) in a
-    row for each bucket of names."""
+def _state_rows(part: int, s: Slice, samples: list[np.ndarray], slices: int, meet: bool = True) -> pa.RecordBatch:
+    """The state (kind 0), and if the slices meet again the names' customers
+    and tables (kind 1) in a row for each bucket of names."""
     rows = [(part, None, None, s.pack(samples), *s.totals(), 0)]
-    if s.words:
+    if s.words and meet:
         c, t = s.words.partial()
         rows += [(part, k, _pack(s.words.name[a:b], c[a:b], t[a:b]), None, None, None, None, 1) for k, a, b in _by_slice(_dealt(s.words.name, slices))]
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), STATE_TYPES, strict=True)], names=STATE_NAMES)
@@ -590,7 +590,7 @@ def _swept(state: DataFrame, totals, number: int, rounds: int, seed: int, keep:
                 sweep(s, known, rng, stirling, 1.0 / (known.types + 1))
             if keep and s.words:
                 s.words.tables = s.words.tables[:0]  # not known yet
-            return _state_rows(part, s, kept + s.tables() if keep else kept, slices)
+            return _state_rows(part, s, kept + s.tables() if keep else kept, slices, meet=rounds > 0)
 
         for batch in batches:
             for p, bucket, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -747,6 +747,12 @@ def score_documents(docs: DataFrame, seed: int = 0, words: bool = False) -> Data
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length(text_column()).cast("bigint"))).first()[0] or 0
     slices = max(MIN_WORD_SLICES, math.ceil(size / WORD_SLICE_BYTES)) if words else max(MIN_SLICES, math.ceil(size / SLICE_BYTES))
+    with small_batches(spark):
+        return _scored(docs, slices, seed, words)
+
+
+def _scored(docs: DataFrame, slices: int, seed: int, words: bool) -> DataFrame:
+    spark = docs.sparkSession
     model, totals = train(docs, slices, seed, words)
     shared = spark.sparkContext.broadcast(totals)
     # slices with many tokens are copied
@@ -780,7 +786,9 @@ def score_documents(docs: DataFrame, seed: int = 0, words: bool = False) -> Data
                 rows.append((batch, None, None, _pack(docs_, *sums)))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
 
-    scored = moved.mapInArrow(score, "batch bigint, doc_id array<bigint>, n array<bigint>, body binary")
+    with shuffles_deleted(spark):
+        scored = written(moved.mapInArrow(score, "batch bigint, doc_id array<bigint>, n array<bigint>, body binary"), "py-scored")
+    discard(model)
     tokens = totals[0].tokens
     result = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 

@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -132,6 +133,47 @@ def test_keep_one_judges_rows_that_share_a_doc_id_by_their_texts(spark, llm):
     assert keyed((r.doc_id, r.text) for r in near_dup.keep_one(frame(spark, unique)).collect()) == keyed([(1, text), (3, other), (3, other)])
 
 
+def test_rows_come_to_near_duplicates_in_small_batches(spark, llm, monkeypatch):
+    """Texts of 12 MB in one partition: no batch over BATCH_BYTES and a row,
+    and the session's own limit afterwards."""
+    from pyspark.sql import functions as F
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(key), []
+
+    def noting(df, *rest):
+        sizes = df.sparkSession.sparkContext.accumulator(0)
+
+        def run(batches):
+            for b in batches:
+                if b.nbytes > (5 << 20):
+                    sizes.add(1)
+                yield b
+
+        seen.append((df.mapInArrow(run, df.schema).count(), sizes.value))
+        return real(df, *rest)
+
+    real = near_dup.signatures
+    monkeypatch.setattr(near_dup, "signatures", noting)
+    docs = spark.range(0, 120, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" ")), 25000).alias("text"))
+    assert near_dup.near_duplicates(docs.select("doc_id", F.substring("text", 1, 100_000).alias("text")), size=4).filter("kept").count() == 120
+    assert seen == [(120, 0)] and spark.conf.get(key) == before
+
+
+def test_bucket_members_stay_arrays():
+    """Sketches of a batch take their own size, not that of Python numbers."""
+    n, rng = 2000, np.random.default_rng(1)
+    sketch, bands = rng.integers(-(1 << 62), 1 << 62, (n, near_dup.FINE_WORDS)), rng.integers(-(1 << 62), 1 << 62, (n, near_dup.BANDS))
+    lists = {"key": pa.array(np.arange(n)), "sketch": pa.array(list(sketch), pa.list_(pa.int64())), "bands": pa.array(list(bands), pa.list_(pa.int64()))}
+    batch = pa.RecordBatch.from_pydict(lists).slice(5)
+    tracemalloc.start()
+    key, bits, own = near_dup._matrices(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert key.tolist() == list(range(5, n)) and (bits.view(np.int64) == sketch[5:]).all() and (own == bands[5:]).all()
+    assert peak < 1.1 * batch.nbytes
+
+
 def test_near_duplicates_of_nothing(spark, llm):
     assert near_dup.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
@@ -294,6 +336,20 @@ def test_scores_count_tokens_and_beat_the_base_on_held_out_text(spark, llm):
     assert held and sum(r.score for r in held) > sum(r.base_score for r in held) * 0.7
 
 
+def test_packed_arrays_are_read_in_place():
+    """No copy of each array beside the unpacked bytes; all are aligned."""
+    kinds = [np.uint8, np.uint64, np.uint16, np.uint32, np.float32, np.uint64]
+    arrays = [np.arange(n).astype(k) for n, k in zip([1, 300_000, 3, 300_001, 5, 0], kinds, strict=True)]
+    packed = pitman_yor._pack(*arrays, arrays[1][::2])
+    tracemalloc.start()
+    got = pitman_yor._unpack(packed)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for a, b in zip([*arrays, arrays[1][::2]], got, strict=True):
+        assert a.dtype == b.dtype and a.tolist() == b.tolist() and b.flags.aligned
+    assert peak < 1.2 * sum(b.nbytes for b in got)
+
+
 def test_predictive_probabilities_sum_to_one(spark, llm):
     df = spark.createDataFrame([(i, f"a b{i % 5} c{i % 3} a") for i in range(60)], DOCS)
     model, totals = pitman_yor.train(df, 1)
