@@ -63,12 +63,15 @@ def written(df: DataFrame, name: str, partition_by: str | None = None, codec: st
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(*tables: DataFrame) -> None:
+def discard(*tables: DataFrame, within: str = "") -> None:
     """Delete tables made by :func:`written` that nothing will read again:
-    all that came of them has been written itself."""
+    all that came of them has been written itself.  ``within``: only the
+    folder of that name, of a table partitioned so."""
     for df in tables:
         spark = df.sparkSession
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if not folder.endswith(within):
+                continue
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -54,6 +54,8 @@ import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +83,11 @@ MIN_WORD_SLICES, WORD_SLICE_BYTES = 12, 16 << 20
 #: Training tokens of a slice per copy of it when scoring.
 COPY_TOKENS = 2_000_000
 GROUP = 6 << 20
+#: Bytes of a state in a row.  A slice's whole state in one would be copied
+#: several times, on the heap and off it, by each step that Spark takes.
+PIECE = 1 << 20
+#: Rounds of scoring: a part of the documents each, of so many bytes at least.
+MAX_ROUNDS, ROUND_BYTES = 3, 48 << 20
 START = 0xFFFF  # context of a first token; no UTF-8 byte is 0xFF
 END = xxhash.xxh3_64_intdigest(b"")
 # codes of the totals: level 2 contexts, level 1 contexts, level 0, then scalars
@@ -138,9 +145,9 @@ class Tokens:
         owner = np.repeat(np.arange(len(texts), dtype=np.int64), pc.list_value_length(runs).to_numpy())
         keep = pc.binary_length(flat).to_numpy() > 0
         coded = flat.filter(pa.array(keep)).dictionary_encode()
-        names = coded.dictionary.cast(pa.binary()).to_pylist()
-        digest = np.array([xxhash.xxh3_64_intdigest(w) for w in names] + [END], np.uint64)
-        tail = np.array([(w[-2] << 8 if len(w) > 1 else 0) | w[-1] for w in names] + [START], np.uint16)
+        names = coded.dictionary.cast(pa.binary())
+        digest = np.fromiter(map(xxhash.xxh3_64_intdigest, chain(names.to_numpy(zero_copy_only=False), [b""])), np.uint64, len(names) + 1)
+        tail = np.r_[_tails(names), np.uint16(START)]
         index, owner = coded.indices.to_numpy().astype(np.int64), owner[keep]
         # a place for each text's end, after its words
         counts = np.bincount(owner, minlength=len(texts))
@@ -148,31 +155,54 @@ class Tokens:
         total = int(len(index) + len(texts))
         is_end = np.zeros(total, bool)
         is_end[stops] = True
-        number = np.full(total, len(names), np.int64)
+        number = np.full(total, len(digest) - 1, np.int64)
         number[~is_end] = index
-        before = np.r_[len(names), number[:-1]]  # an end's tail is START, which the next text's first token sees
+        before = np.r_[len(digest) - 1, number[:-1]]  # an end's tail is START, which the next text's first token sees
         return cls(number, before, np.repeat(np.arange(len(texts)), counts + 1), digest, tail)
 
-    def sorted_pairs(self, mark: np.ndarray, marks: int, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Number of the word, ``mark`` (below ``marks``) and number of the
+    def ranked(self, slices: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words by slice, and the place of each in that order."""
+        by_slice = np.argsort(_dealt(self.digest, slices), kind="stable")
+        rank = np.empty(len(by_slice), np.int64)
+        rank[by_slice] = np.arange(len(by_slice))
+        return by_slice, rank
+
+    def sorted_tokens(self, texts: int, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the word, text (below ``texts``) and number of the
         preceding word of each token, ordered by slice and these three."""
         size = len(self.digest)
-        by_slice = np.argsort(_dealt(self.digest, slices), kind="stable")
-        rank = np.empty(size, np.int64)
-        rank[by_slice] = np.arange(size)
-        key = np.sort((rank[self.number] * marks + mark) * size + self.before)
-        key, before = np.divmod(key, size)
-        own, mark = np.divmod(key, marks)
-        return by_slice[own], mark, before
+        by_slice, rank = self.ranked(slices)
+        key, before = np.divmod(np.sort((rank[self.number] * texts + self.text) * size + self.before), size)
+        own, text = np.divmod(key, texts)
+        return by_slice[own], text, before
+
+    def counted_pairs(self, learnt: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the word and of the preceding word of each pair, ordered
+        by slice and these, and its tokens in the texts ``learnt`` from."""
+        size = len(self.digest)
+        by_slice, rank = self.ranked(slices)
+        key = np.sort((rank[self.number] * size + self.before) * 2 + learnt[self.text])
+        pair = key >> 1
+        first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+        own, before = np.divmod(pair[first], size)
+        return by_slice[own], before, np.add.reduceat(key & 1, first)
 
     def named(self, before: np.ndarray) -> list[np.ndarray]:
         """The words numbered ``before`` once each, their ends, and an index."""
-        seen = np.zeros(len(self.digest), bool)
-        seen[before] = True
-        index = (np.cumsum(seen) - 1)[before]
+        seen, index = np.unique(before, return_inverse=True)
         return [self.digest[seen], self.tail[seen], index.astype(np.uint16 if len(index) < 1 << 16 else np.uint32)]
 
 
+def _tails(words: pa.Array) -> np.ndarray:
+    """The last two bytes of each word (binary, not empty), 0 before a single one."""
+    if not len(words):
+        return np.zeros(0, np.uint16)
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8).astype(np.uint16)
+    last = ends[1:] - 1
+    return np.where(np.diff(ends) > 1, data[last - 1] << 8, 0).astype(np.uint16) | data[last]
+
+
 def _dealt(word: np.ndarray, slices: int) -> np.ndarray:
     return ((word >> np.uint64(20)) % np.uint64(slices)).astype(np.int64)
 
@@ -199,17 +229,7 @@ def training_counts(docs: DataFrame, slices: int, words: bool = False) -> DataFr
             tokens = Tokens.of(texts)
             found = []
             if words:
-                held = np.flatnonzero(~learnt)
-                number, _, before = tokens.sorted_pairs(np.zeros(1, np.int64), 1, slices)
-                first = np.flatnonzero(np.r_[True, (number[1:] != number[:-1]) | (before[1:] != before[:-1])])
-                count = np.diff(np.r_[first, len(number)])
-                number, before = number[first], before[first]
-                if len(held):
-                    out = np.isin(tokens.text, held)
-                    size = len(tokens.digest)
-                    place = np.argsort(number * size + before)
-                    own = tokens.number[out] * size + tokens.before[out]
-                    np.subtract.at(count, place[np.searchsorted((number * size + before)[place], own)], 1)
+                number, before, count = tokens.counted_pairs(learnt, slices)
                 word = tokens.digest[number]
                 for s, a, b in _by_slice(_dealt(word, slices)):
                     found.append((s, _pack(word[a:b], count[a:b].astype(np.uint32), *tokens.named(before[a:b]))))
@@ -229,6 +249,15 @@ def training_counts(docs: DataFrame, slices: int, words: bool = False) -> DataFr
     return docs.mapInArrow(run, "part int, body binary")
 
 
+def _steps(up: np.ndarray) -> np.ndarray:
+    """Where an index that starts at 0 and never falls or skips goes up."""
+    return np.diff(up, prepend=up[:1]).astype(np.uint8)
+
+
+def _stepped(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.uint32)
+
+
 @dataclass
 class Words:
     """Level 3 of a slice: dishes whose restaurant is the preceding word,
@@ -239,12 +268,17 @@ class Words:
     up: np.ndarray  # dish to level 2 dish
     c: np.ndarray
     t: np.ndarray
-    customers: np.ndarray  # of each name
+    # of each name; empty until the slices have met, and not kept but for the last customers
+    customers: np.ndarray
     tables: np.ndarray
     weight: np.ndarray  # Gamma(strength / discount + tables)
 
-    def fields(self) -> list[np.ndarray]:
-        return [self.name, *(x.astype(np.uint32) for x in (self.at, self.up, self.c, self.t, self.customers, self.tables)), self.weight.astype(np.float32)]
+    def fields(self, met: bool) -> list[np.ndarray]:
+        return [self.name, _steps(self.up), *(x.astype(np.uint32, copy=False) for x in (self.at, self.c, self.t, self.customers if met else self.customers[:0]))]
+
+    @classmethod
+    def of_fields(cls, name: np.ndarray, up: np.ndarray, at: np.ndarray, c: np.ndarray, t: np.ndarray, customers: np.ndarray) -> Words:
+        return cls(name, at, _stepped(up), c, t, customers, np.zeros(0, np.uint32), np.zeros(0, np.float32))
 
     def partial(self) -> tuple[np.ndarray, np.ndarray]:
         """Customers and tables of each name in this slice."""
@@ -273,9 +307,13 @@ class Slice:
     @classmethod
     def of(cls, word: np.ndarray, context: np.ndarray, count: np.ndarray) -> Slice:
         """From distinct (word, context); every dish starts with one table."""
+        order = np.lexsort((context, context & 0xFF, word))
+        return cls.of_sorted(word[order], context[order], count[order])
+
+    @classmethod
+    def of_sorted(cls, word: np.ndarray, context: np.ndarray, count: np.ndarray) -> Slice:
+        """The same, ordered by word, last byte and context."""
         low = (context & 0xFF).astype(np.int64)
-        order = np.lexsort((context, low, word))
-        word, context, low, count = word[order], context[order], low[order], count[order]
         new1 = np.r_[True, (word[1:] != word[:-1]) | (low[1:] != low[:-1])][: len(word)]
         up = np.cumsum(new1) - 1
         word1, context1 = word[new1], low[new1]
@@ -287,23 +325,45 @@ class Slice:
         return cls(word1[new0], context, up, context1, up1, count.astype(np.int64), one(len(count), np.int64), c1, one(len(c1), np.int64), c0, one(len(c0), np.int64))
 
     @classmethod
-    def of_words(cls, word: np.ndarray, name: np.ndarray, tail: np.ndarray, count: np.ndarray, slices: int) -> Slice:
-        """From distinct (word, name); a dish with customers starts with one table."""
-        names, first, at = np.unique(name, return_index=True, return_inverse=True)
-        tails = tail[first]
-        bucket = _dealt(names, slices)
-        order = np.lexsort((names, bucket))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        names, at = names[order], place[at]
-        context = tails[order][at]
-        order = np.lexsort((at, context, context & 0xFF, word))
-        word, context, at, count = word[order], context[order], at[order], count[order].astype(np.int64)
-        new = np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])][: len(word)]
-        up, seats = np.cumsum(new) - 1, np.minimum(count, 1)
-        out = cls.of(word[new], context[new], np.bincount(up, weights=seats, minlength=int(new.sum())).astype(np.int64))
-        none = np.zeros(len(names), np.int64)
-        out.words = Words(names, at, up, count, seats, none, none, none.astype(float))
+    def of_words(cls, bodies: list[list[np.ndarray]], slices: int) -> Slice:
+        """From the ``training_counts`` of all groups, which are let go; a dish
+        with customers starts with one table."""
+        # a body has a word's pairs side by side and each name once
+        first = [np.flatnonzero(np.r_[True, b[0][1:] != b[0][:-1]]) for b in bodies]
+        runs = [np.diff(np.r_[f, len(b[0])]) for f, b in zip(first, bodies, strict=True)]
+        words, own = np.unique(np.concatenate([b[0][f] for f, b in zip(first, bodies, strict=True)]), return_inverse=True)
+        key = np.repeat(own, np.concatenate(runs))
+        names, own = np.unique(np.concatenate([b[2] for b in bodies]), return_inverse=True)
+        tails = np.zeros(len(names), np.uint16)
+        tails[own] = np.concatenate([b[3] for b in bodies])
+        place = np.empty(len(names), np.uint32)
+        place[np.argsort(_dealt(names, slices), kind="stable")] = np.arange(len(names))
+        # names by last byte, end and place: one number orders the dishes of a word
+        by_end = np.lexsort((place, tails, tails & 0xFF))
+        rank = np.empty(len(names), np.int64)
+        rank[by_end] = np.arange(len(names))
+        ends = np.cumsum([len(b[2]) for b in bodies])
+        key *= len(names)
+        key += np.concatenate([rank[own[e - len(b[2]) : e]][b[4]] for e, b in zip(ends.tolist(), bodies, strict=True)])
+        count = np.concatenate([b[1] for b in bodies])
+        bodies.clear()
+        del own, first, runs, rank
+        order = np.argsort(key)
+        key, count = key[order], count[order]
+        del order
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        count = np.add.reduceat(count, first, dtype=np.int64)
+        word, name = np.divmod(key[first], len(names))
+        del key, first
+        name = by_end[name]
+        context, at = tails[name], place[name]
+        new = np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])]
+        up, seats = (np.cumsum(new) - 1).astype(np.uint32), np.minimum(count, 1)
+        out = cls.of_sorted(words[word[new]], context[new], np.bincount(up, weights=seats).astype(np.int64))
+        order = np.empty_like(names)
+        order[place] = names
+        none = np.zeros(0, np.uint32)
+        out.words = Words(order, at, up, count, seats, none, none, none.astype(np.float32))
         out.t2 = np.minimum(out.c2, 1)
         out.c1 = np.bincount(out.up, weights=out.t2, minlength=len(out.c1)).astype(np.int64)
         out.t1 = np.minimum(out.c1, 1)
@@ -311,17 +371,19 @@ class Slice:
         out.t0 = np.minimum(out.c0, 1)
         return out
 
-    def pack(self, samples: list[np.ndarray]) -> bytes:
-        above = self.words.fields() if self.words else []
-        own = [self.context, self.up.astype(np.uint32), self.context1.astype(np.uint8), self.up1.astype(np.uint32), *(x.astype(np.uint32) for x in (self.c2, self.t2, self.c1, self.t1, self.c0, self.t0))]
+    def pack(self, samples: list[np.ndarray], met: bool = True) -> bytes:
+        """``met``: the slices won't meet again, the names' customers stay."""
+        above = self.words.fields(met) if self.words else []
+        own = [self.context, _steps(self.up), self.context1.astype(np.uint8), _steps(self.up1), *(x.astype(np.uint32) for x in (self.c2, self.t2, self.c1, self.t1, self.c0, self.t0))]
         return _pack(np.array([len(above)], np.uint8), self.word, *own, *above, *(x.astype(np.uint32) for x in samples))
 
     @classmethod
     def unpack(cls, data: bytes) -> tuple[Slice, list[np.ndarray]]:
         head, *a = _unpack(data)
         n = 11 + int(head[0])
-        above = Words(a[11], *(x.astype(np.int64) for x in a[12 : n - 1]), a[n - 1]) if n > 11 else None
-        return cls(a[0], *(x.astype(np.int64) for x in a[1:11]), above), a[n:]
+        above = Words.of_fields(*a[11:n]) if n > 11 else None
+        up, up1 = _stepped(a[2]).astype(np.int64), _stepped(a[4]).astype(np.int64)
+        return cls(a[0], a[1].astype(np.int64), up, a[3].astype(np.int64), up1, *(x.astype(np.int64) for x in a[5:11]), above), a[n:]
 
     def tables(self) -> list[np.ndarray]:
         """A sample: five arrays, or eight with the level of words, of which
@@ -409,7 +471,7 @@ def draw_tables(c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator
     t = np.minimum(c, 1)
     first = np.minimum(c, EXACT)
     order = np.flatnonzero(first > 1)
-    order = order[np.argsort(first[order], kind="stable")]
+    order = order[np.argsort(first[order].astype(np.uint8), kind="stable")]
     cuts = np.searchsorted(first[order], np.arange(2, EXACT + 2))
     for n in range(2, EXACT + 1):
         rows = order[cuts[n - 2] : cuts[n - 1]]
@@ -491,14 +553,21 @@ STATE_TYPES = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int
 STATE_NAMES = ["part", "bucket", "body", "state", "code", "c", "t", "kind"]
 
 
-def _state_rows(part: int, s: Slice, samples: list[np.ndarray], slices: int, meet: bool = True) -> pa.RecordBatch:
-    """The state (kind 0), and if the slices meet again the names' customers
-    and tables (kind 1) in a row for each bucket of names."""
-    rows = [(part, None, None, s.pack(samples), *s.totals(), 0)]
-    if s.words and meet:
+def _state_rows(part: int, s: Slice, samples: list[np.ndarray], slices: int, piece: int, meet: bool = True) -> Iterator[pa.RecordBatch]:
+    """The state (kind 0) in pieces, numbered up to -1 in the place of the
+    bucket, and if the slices meet again the names' customers and tables
+    (kind 1) in a row for each bucket of names."""
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), STATE_TYPES, strict=True)], names=STATE_NAMES)
+
+    totals, body = s.totals(), s.pack(samples, not meet)
+    n = -(-len(body) // piece)
+    for k in range(n):
+        yield batch([(part, k - n, None, body[k * piece : (k + 1) * piece], *(totals if k == 0 else [None] * 3), 0)])
+    if s.words and meet and len(s.words.name):
         c, t = s.words.partial()
-        rows += [(part, k, _pack(s.words.name[a:b], c[a:b], t[a:b]), None, None, None, None, 1) for k, a, b in _by_slice(_dealt(s.words.name, slices))]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), STATE_TYPES, strict=True)], names=STATE_NAMES)
+        yield batch([(part, k, _pack(s.words.name[a:b], c[a:b], t[a:b]), None, None, None, None, 1) for k, a, b in _by_slice(_dealt(s.words.name, slices))])
 
 
 def _states(df: DataFrame) -> DataFrame:
@@ -507,38 +576,36 @@ def _states(df: DataFrame) -> DataFrame:
 
 
 def _first_state(counts: DataFrame, slices: int, words: bool = False) -> DataFrame:
-    def build(part: int, bodies: list[list[np.ndarray]]) -> pa.RecordBatch:
-        word, count = (np.concatenate([b[k] for b in bodies]) for k in range(2))
+    piece = PIECE
+
+    def build(part: int, bodies: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         if words:
-            key, context = (np.concatenate([b[k][b[4]] for b in bodies]) for k in (2, 3))
-        else:
-            key = context = np.concatenate([b[2] for b in bodies])
+            return _state_rows(part, Slice.of_words(bodies, slices), [], slices, piece)
+        word, count, context = (np.concatenate([b[k] for b in bodies]) for k in range(3))
         bodies.clear()
-        order = np.lexsort((key, word))
-        word, key, context, count = word[order], key[order], context[order], count[order].astype(np.int64)
-        first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (key[1:] != key[:-1])])
-        count = np.add.reduceat(count, first)
-        s = Slice.of_words(word[first], key[first], context[first], count, slices) if words else Slice.of(word[first], context[first], count)
-        return _state_rows(part, s, [], slices)
+        order = np.lexsort((context, word))
+        word, context, count = word[order], context[order], count[order].astype(np.int64)
+        first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])])
+        return _state_rows(part, Slice.of(word[first], context[first], np.add.reduceat(count, first)), [], slices, piece)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, bodies = None, []
         for batch in batches:
             for p, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if p != part and bodies:
-                    yield build(part, bodies)
+                    yield from build(part, bodies)
                     bodies = []
                 part = p
                 bodies.append(_unpack(body))
         if bodies:
-            yield build(part, bodies)
+            yield from build(part, bodies)
 
     return counts.repartition(slices * 2, "part").sortWithinPartitions("part").mapInArrow(run, STATE)
 
 
-def _with_totals(state: DataFrame, discount: float, number: int, slices: int, seed: int) -> DataFrame:
-    """(part, bucket, body): each state, followed by the totals of its names
-    and their weights, bucket by bucket."""
+def _met(state: DataFrame, discount: float, number: int, slices: int, seed: int) -> DataFrame:
+    """(part, bucket, body): the totals of each state's names and their
+    weights, bucket by bucket, written; the states' own are deleted."""
 
     def answer(bucket: int, rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
         parts = [(p, *_unpack(body)) for p, body in sorted(rows)]
@@ -564,50 +631,58 @@ def _with_totals(state: DataFrame, discount: float, number: int, slices: int, se
             yield answer(place, rows)
 
     asked = state.filter("kind = 1").select("part", "bucket", "body").repartition(slices * 2, "bucket").sortWithinPartitions("bucket")
-    totals = asked.mapInArrow(run, "part int, bucket int, body binary")
-    own = state.filter("kind = 0").select("part", F.lit(-1).alias("bucket"), F.col("state").alias("body"))
-    return own.unionByName(totals).repartition(slices * 2, "part").sortWithinPartitions("part", "bucket")
+    with shuffles_deleted(state.sparkSession):
+        totals = written(asked.mapInArrow(run, "part int, bucket int, body binary"), "py-met")
+    discard(state, within="kind=1")
+    return totals
 
 
 def _swept(state: DataFrame, totals, number: int, rounds: int, seed: int, keep: bool, slices: int) -> DataFrame:
     """States after ``rounds`` sweeps, the last one kept as a sample if asked.
-    ``state``: (part, bucket, body); a sample's tables of the names, known
-    only once the slices have met, are entered first."""
+    ``state``: (part, bucket, body), a state's pieces before the totals; a
+    sample's tables of the names, known only once the slices have met, are
+    entered first."""
+    piece = PIECE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Totals = totals.value
         stirling = [log_stirling(d) for d in known.discount]
-        part, s, samples, met = None, None, [], []
+        part, s, samples, met, pieces = None, None, [], [], []
 
-        def finish() -> pa.RecordBatch:
+        def finish() -> Iterator[pa.RecordBatch]:
             kept = samples
             if s.words:
-                s.words.customers, s.words.tables = (np.concatenate([m[k] for m in met]).astype(np.int64) for k in (0, 1))
-                s.words.weight = np.concatenate([m[2] for m in met])
+                s.words.customers, s.words.tables, s.words.weight = (np.concatenate([m[k] for m in met]) for k in range(3))
+                met.clear()
                 kept = [*samples[:-1], s.words.tables] if samples and not len(samples[-1]) else samples
             rng = np.random.default_rng([seed, number, part])
             for _ in range(rounds):
                 sweep(s, known, rng, stirling, 1.0 / (known.types + 1))
             if keep and s.words:
                 s.words.tables = s.words.tables[:0]  # not known yet
-            return _state_rows(part, s, kept + s.tables() if keep else kept, slices, meet=rounds > 0)
+            return _state_rows(part, s, kept + s.tables() if keep else kept, slices, piece, meet=rounds > 0)
 
         for batch in batches:
             for p, bucket, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket < 0:
                     if s is not None:
-                        yield finish()
-                    part, (s, samples), met = p, Slice.unpack(body), []
+                        yield from finish()
+                    part, s, met = p, None, []
+                    pieces.append(body)
+                    if bucket == -1:
+                        s, samples = Slice.unpack(b"".join(pieces))
+                        pieces.clear()
                 else:
                     met.append(_unpack(body))
         if s is not None:
-            yield finish()
+            yield from finish()
 
     return state.mapInArrow(run, STATE)
 
 
 def train(docs: DataFrame, slices: int, seed: int = 0, words: bool = False) -> tuple[DataFrame, list[Totals]]:
-    """Model slices (part, state, ...) and the totals of each sample."""
+    """Model slices (part, bucket, state, ...), large ones in several rows in
+    the order of bucket, and the totals of each sample."""
     spark = docs.sparkSession
     state = _states(_first_state(training_counts(docs, slices, words), slices, words))
     totals = [Totals.of(state, [seed, 0])]
@@ -615,16 +690,25 @@ def train(docs: DataFrame, slices: int, seed: int = 0, words: bool = False) -> t
     plan = [1] * (BURN_IN + SAMPLES) if words else [1 + BURN_IN] + [1] * (SAMPLES - 1)
     for k, rounds in enumerate([*plan, 0] if words else plan):
         shared = spark.sparkContext.broadcast(totals[-1])  # at most 65,801 numbers a column
-        rows = _with_totals(state, totals[0].discount[3], k, slices, seed) if words else state.select("part", F.lit(-1).alias("bucket"), F.col("state").alias("body"))
+        rows = state.filter("kind = 0").select("part", "bucket", F.col("state").alias("body"))
+        rows = rows.repartition(slices * 2, "part").sortWithinPartitions("part", "bucket") if not words else rows
+        if words:
+            met = _met(state, totals[0].discount[3], k, slices, seed)
+            rows = rows.unionByName(met).repartition(slices * 2, "part").sortWithinPartitions("part", "bucket")
         keep = rounds > 0 and k >= len(plan) - SAMPLES
         swept = _states(_swept(rows, shared, k, rounds, seed, keep, slices))
-        discard(state)
+        discard(state, *[met] if words else [])
         state = swept
         if rounds:
             totals.append(Totals.of(state, [seed, k + 1], totals[0].discount))
     return state.filter("kind = 0"), totals[-SAMPLES:]
 
 
+def _turned(context: np.ndarray) -> np.ndarray:
+    """The last byte first, as dishes are ordered."""
+    return (context & 0xFF) << 8 | context >> 8
+
+
 class Scorer:
     """Averaged predictive probabilities of one slice."""
 
@@ -640,17 +724,18 @@ class Scorer:
         own = s.words
         dishes = (own.c, own.up) if own else (s.c2, np.arange(len(s.c2)))
         self.word, self.count = s.word, np.bincount(s.up1[s.up][dishes[1]], weights=dishes[0], minlength=len(s.word)) if len(s.word) else np.zeros(0)
-        word1 = s.up1 * 256 + s.context1
-        word2 = s.up1[s.up] * 65536 + s.context
-        order = np.argsort(word2, kind="stable")
-        self.key1, self.key2 = word1, word2[order]
-        self.p0, self.p1, self.p2, self.p3 = [], [], [], []
+        # dishes are in the order of these keys
+        word2 = s.up1[s.up]
+        self.key1, self.key2 = s.up1 * 256 + s.context1, word2 * 65536 + _turned(s.context)
+        self.p0, self.p1, self.p2, self.p3 = [], [], [], 0
         if own:
             self.name_order = np.argsort(own.name, kind="stable")
             self.name, self.customers, self.tables = own.name[self.name_order], own.customers, []
-            word3 = s.up1[s.up][own.up] * len(own.name) + own.at
-            order3 = np.argsort(word3, kind="stable")
-            self.key3 = word3[order3]
+            end = np.zeros(len(own.name), np.int64)
+            end[own.at] = s.context[own.up]
+            self.rank = np.empty(len(end), np.int64)
+            self.rank[np.argsort(_turned(end), kind="stable")] = np.arange(len(end))
+            self.key3 = word2[own.up] * len(own.name) + self.rank[own.at]
         width = 8 if own else 5
         for k, total in enumerate(totals):
             t2, c1, t1, c0, t0 = samples[width * k : width * k + 5]
@@ -660,11 +745,11 @@ class Scorer:
             p2 = total.share(s.context, c2, t2, p1[s.up], 2)
             self.p0.append(np.r_[p0, total.share(L0, 0, 0, self.base, 0)])
             self.p1.append(p1)
-            self.p2.append(p2[order])
+            self.p2.append(p2)
             if own:
                 t3, tables = samples[width * k + 6 : width * k + 8]
                 self.tables.append(tables)
-                self.p3.append(total.share_words(own.customers[own.at], tables[own.at], own.c, t3, p2[own.up])[order3])
+                self.p3 = self.p3 + total.share_words(own.customers[own.at], tables[own.at], own.c, t3, p2[own.up])
 
     def score(self, word: np.ndarray, repeat: np.ndarray, context: np.ndarray, names: np.ndarray | None = None, index: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per token: training count, log10 of the base, and of the model.
@@ -678,8 +763,8 @@ class Scorer:
         else:
             named = self._find(self.name, names)
             place = np.where(named >= 0, np.r_[self.name_order, 0][named], -1)[index]
-            in3 = np.where(place >= 0, self._find(self.key3, number * len(self.name) + place), -1)
-            mean = sum(p[np.maximum(in3, 0)] for p in self.p3) if len(self.key3) else np.zeros(len(number))
+            in3 = np.where(place >= 0, self._find(self.key3, number * len(self.name) + np.r_[self.rank, 0][place]), -1)
+            mean = self.p3[np.maximum(in3, 0)] if len(self.key3) else np.zeros(len(number))
             rest = np.flatnonzero(in3 < 0)  # pairs that no text of the model's holds
             if len(rest):
                 own = place[rest]
@@ -692,7 +777,7 @@ class Scorer:
         """Per sample the probabilities by the ends of the preceding words."""
         low = context & 0xFF
         in1 = self._find(self.key1, number * 256 + low)
-        in2 = self._find(self.key2, number * 65536 + context)
+        in2 = self._find(self.key2, number * 65536 + _turned(context))
         out = []
         for total, p0, p1, p2 in zip(self.totals, self.p0, self.p1, self.p2, strict=True):
             p = total.share(L1 + low, 0, 0, p0[number], 1)
@@ -708,6 +793,13 @@ class Scorer:
         return np.where(keys[at] == wanted, at, -1)
 
 
+def _rounds(docs: DataFrame, size: int) -> list[DataFrame]:
+    """``docs`` in parts scored one after the other, whose exchanges are
+    deleted in between."""
+    n = min(MAX_ROUNDS, max(1, size // ROUND_BYTES))
+    return [docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)) == k) for k in range(n)] if n > 1 else [docs]
+
+
 MOVED = "part int, salt int, batch bigint, body binary, doc_id array<bigint>, n array<bigint>"
 
 
@@ -723,7 +815,7 @@ def _token_blobs(docs: DataFrame, slices: int, salts, words: bool) -> DataFrame:
             ids = group.column(0).to_pylist()
             tokens = Tokens.of(text_bytes(group))
             rows = [(-1 - batch % (1 << 20), 0, batch, None, ids, np.bincount(tokens.text, minlength=len(ids)).tolist())]
-            number, text, before = tokens.sorted_pairs(tokens.text, len(ids), slices)
+            number, text, before = tokens.sorted_tokens(len(ids), slices)
             word, text = tokens.digest[number], text.astype(np.uint16 if len(ids) <= 1 << 16 else np.uint32)
             for s, a, b in _by_slice(_dealt(word, slices)):
                 w = word[a:b]
@@ -748,27 +840,29 @@ def score_documents(docs: DataFrame, seed: int = 0, words: bool = False) -> Data
     size = docs.agg(F.sum(F.octet_length(text_column()).cast("bigint"))).first()[0] or 0
     slices = max(MIN_WORD_SLICES, math.ceil(size / WORD_SLICE_BYTES)) if words else max(MIN_SLICES, math.ceil(size / SLICE_BYTES))
     with small_batches(spark):
-        return _scored(docs, slices, seed, words)
+        model, totals = train(docs, slices, seed, words)
+        scored = [_scored(part, model, totals, slices, words) for part in _rounds(docs, size if words else 0)]
+    discard(model)
+    return reduce(DataFrame.unionByName, scored)
 
 
-def _scored(docs: DataFrame, slices: int, seed: int, words: bool) -> DataFrame:
+def _scored(docs: DataFrame, model: DataFrame, totals: list[Totals], slices: int, words: bool) -> DataFrame:
     spark = docs.sparkSession
-    model, totals = train(docs, slices, seed, words)
     shared = spark.sparkContext.broadcast(totals)
     # slices with many tokens are copied
-    loads = {p: n for p, n in model.select("part", F.aggregate(F.filter(F.arrays_zip("code", "t"), lambda x: x["code"] == STATS + 3), F.lit(0).cast("bigint"), lambda a, x: a + x["t"])).collect()}
+    loads = {p: n for p, n in model.filter("code IS NOT NULL").select("part", F.aggregate(F.filter(F.arrays_zip("code", "t"), lambda x: x["code"] == STATS + 3), F.lit(0).cast("bigint"), lambda a, x: a + x["t"])).collect()}
     salts = [max(1, math.ceil(loads.get(p, 0) / COPY_TOKENS)) for p in range(slices)]
     shared_salts = spark.sparkContext.broadcast(salts)
     copies = spark.createDataFrame(list(enumerate(salts)), "part int, copies int")
-    blank = [F.lit(None).cast(t).alias(n) for n, t in (("batch", "bigint"), ("doc_id", "array<bigint>"), ("n", "array<bigint>"))]
-    sent = model.join(F.broadcast(copies), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), blank[0], F.col("state").alias("body"), *blank[1:])
-    moved = sent.unionByName(_token_blobs(docs, slices, shared_salts, words)).repartition(sum(salts) * 2, "part", "salt").sortWithinPartitions("part", "salt", F.col("batch").asc_nulls_first())
+    blank = [F.lit(None).cast("array<bigint>").alias(n) for n in ("doc_id", "n")]
+    sent = model.join(F.broadcast(copies), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), F.col("bucket").cast("bigint").alias("batch"), F.col("state").alias("body"), *blank)
+    moved = sent.unionByName(_token_blobs(docs, slices, shared_salts, words)).repartition(sum(salts) * 2, "part", "salt").sortWithinPartitions("part", "salt", "batch")
 
     names = ["batch", "doc_id", "n", "body"]
     kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, scorer = None, None
+        place, scorer, pieces = None, None, []
         for b in batches:
             rows = []
             for part, salt, batch, body, ids, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -776,9 +870,14 @@ def _scored(docs: DataFrame, slices: int, seed: int, words: bool) -> DataFrame:
                     rows.append((batch, ids, n, None))
                     continue
                 if (part, salt) != place:
-                    place, scorer = (part, salt), Scorer(body if batch is None else None, shared.value, words)
-                if batch is None:
+                    place, scorer = (part, salt), None
+                if batch < 0:
+                    pieces.append(body)
+                    if batch == -1:
+                        scorer = Scorer(b"".join(pieces), shared.value, words)
+                        pieces.clear()
                     continue
+                scorer = scorer or Scorer(None, shared.value, words)
                 word, repeat, text, *own = _unpack(body)
                 known, base, model_ = scorer.score(word, repeat, *own)
                 docs_, at = np.unique(text, return_inverse=True)
@@ -788,7 +887,6 @@ def _scored(docs: DataFrame, slices: int, seed: int, words: bool) -> DataFrame:
 
     with shuffles_deleted(spark):
         scored = written(moved.mapInArrow(score, "batch bigint, doc_id array<bigint>, n array<bigint>, body binary"), "py-scored")
-    discard(model)
     tokens = totals[0].tokens
     result = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
@@ -812,4 +910,8 @@ def _scored(docs: DataFrame, slices: int, seed: int, words: bool) -> DataFrame:
             yield flush()
 
     order = scored.repartition("batch").sortWithinPartitions("batch", F.col("body").asc_nulls_first())
-    return order.mapInArrow(gather, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    done = order.mapInArrow(gather, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    with shuffles_deleted(spark):
+        done = written(done, "py-scores")
+    discard(scored)
+    return done

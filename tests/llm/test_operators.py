@@ -807,6 +807,24 @@ def test_word_contexts_against_plain_predictive_probabilities(spark, llm):
         assert abs(p[0] - np.log10(np.mean([probability(t, f, int(pair[0]), end, int(name[0])) for t, f in zip(totals, seats, strict=True)]))) < 1e-6
 
 
+@pytest.mark.parametrize("words", [False, True])
+def test_states_in_pieces_and_scoring_in_rounds(spark, llm, monkeypatch, words):
+    """No row holds more of a state than one piece, and neither pieces nor
+    rounds of scoring change a score."""
+    rng = random.Random(33)
+    rows = [(i, " ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(30)))) for i in range(80)] + [(None, None), (4, "W1 w2 w1 w2"), (4, "W1 w2 w1 w2")]
+    df = frame(spark, rows)
+    scores = lambda: keyed([(r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 9), round(r.score, 9)) for r in pitman_yor.score_documents(df, words=words).collect()])
+    want = scores()
+    monkeypatch.setattr(pitman_yor, "PIECE", 200)
+    monkeypatch.setattr(pitman_yor, "ROUND_BYTES", 1)
+    model, _ = pitman_yor.train(df, 2, words=words)
+    sizes = [len(r.state) for r in model.select("state").collect()]
+    assert max(sizes) <= 200 and len(sizes) > 2
+    assert len(pitman_yor._rounds(df, 1 << 20)) > 1
+    assert scores() == want
+
+
 def test_scores_tell_words_with_one_ending_apart(spark, llm, tmp_path):
     """The query's contexts are words: after "new" and "few", which end
     alike, other words follow."""
