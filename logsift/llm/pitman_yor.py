@@ -80,7 +80,7 @@ MIN_SLICES = 24
 SLICE_BYTES = 128 << 20
 #: The same with the level of words, whose dishes are far more.
 MIN_WORD_SLICES, WORD_SLICE_BYTES = 12, 16 << 20
-#: Training tokens of a slice per copy of it when scoring.
+#: Training tokens of a slice per copy of it in a round of scoring.
 COPY_TOKENS = 2_000_000
 GROUP = 6 << 20
 #: Bytes of a state in a row.  A slice's whole state in one would be copied
@@ -841,17 +841,18 @@ def score_documents(docs: DataFrame, seed: int = 0, words: bool = False) -> Data
     slices = max(MIN_WORD_SLICES, math.ceil(size / WORD_SLICE_BYTES)) if words else max(MIN_SLICES, math.ceil(size / SLICE_BYTES))
     with small_batches(spark):
         model, totals = train(docs, slices, seed, words)
-        scored = [_scored(part, model, totals, slices, words) for part in _rounds(docs, size if words else 0)]
+        rounds = _rounds(docs, size if words else 0)
+        scored = [_scored(part, model, totals, slices, words, len(rounds)) for part in rounds]
     discard(model)
     return reduce(DataFrame.unionByName, scored)
 
 
-def _scored(docs: DataFrame, model: DataFrame, totals: list[Totals], slices: int, words: bool) -> DataFrame:
+def _scored(docs: DataFrame, model: DataFrame, totals: list[Totals], slices: int, words: bool, rounds: int) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(totals)
-    # slices with many tokens are copied
+    # slices with many tokens in a round are copied
     loads = {p: n for p, n in model.filter("code IS NOT NULL").select("part", F.aggregate(F.filter(F.arrays_zip("code", "t"), lambda x: x["code"] == STATS + 3), F.lit(0).cast("bigint"), lambda a, x: a + x["t"])).collect()}
-    salts = [max(1, math.ceil(loads.get(p, 0) / COPY_TOKENS)) for p in range(slices)]
+    salts = [max(1, math.ceil(loads.get(p, 0) / (COPY_TOKENS * rounds))) for p in range(slices)]
     shared_salts = spark.sparkContext.broadcast(salts)
     copies = spark.createDataFrame(list(enumerate(salts)), "part int, copies int")
     blank = [F.lit(None).cast("array<bigint>").alias(n) for n in ("doc_id", "n")]
